@@ -16,6 +16,28 @@ def op2_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_bwt_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioscope.llm.suffix_dedup import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
+def op6_pii_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioscope.llm import pii
+
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    return found.select("doc_id", *(f"n_{k}" for k in pii.BASE), F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def op8_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that it holds."""
+    from folioscope.llm.decontaminate import contamination
+
+    found = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioscope.llm import language_id
 
@@ -34,7 +56,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_simhash_pivots, op9_language_id, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_simhash_pivots, op3_bwt_merge, op6_pii_weak_labels, op8_simhash_windows, op9_language_id, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
