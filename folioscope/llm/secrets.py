@@ -131,5 +131,9 @@ def listed(spans: Column) -> Column:
 def report(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, counts of base spans, SHA-256 of the base spans' list, and all spans' list."""
     found = scanned(docs, text)
-    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS[:3])]
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [number(i).alias(f"n_{k}") for i, k in enumerate(KINDS[:3])]
     return found.select("doc_id", *counts, F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
