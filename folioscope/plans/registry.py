@@ -1,6 +1,570 @@
-"""Registered queries and their SQL oracles."""
+"""Registered queries over the test tables, each with DuckDB SQL for the same rows where SQL can tell them."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioscope.functions import entities, layout, text
+from folioscope.operators import codes, relational, segment
+from folioscope.sources import html
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def cases(pattern: dict[str, str], column: str = "t", dialect: str = "(?i)") -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({column}, '{dialect}{p.replace(chr(39), chr(39) * 2)}') THEN '{n}'" for n, p in pattern.items())
+
+
+# classification and predicates
+
+#: Rules for the test tables' prose, which has none of the reference's key words.
+PROSE_RULES = {
+    "licence": "licensed under|released under|all rights reserved",
+    "secret": "password|token",
+    "contact": "@|\\+[0-9]",
+    "table": "[|]",
+    "noise": "%%%|&&&",
+}
+STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
+CODE_FAMILIES = {"dotted": r"[0-9]+(?:\.[0-9]+)+"}
+CODE_HEAD = r"({number})"
+LINES = "list_filter(list_transform(string_split({0}, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '')"
+MEANINGFUL = f"(length({STRIP.format('text')}) >= 200 AND len({LINES.format('text')}) >= 2 AND len(list_filter({LINES.format('text')}, lambda x: length(x) > 40)) > 0)"
+
+
+@query(f"""
+SELECT doc_id, {cases(PROSE_RULES, 'substr(text, 1, 4000)')} ELSE 'other' END AS document_type FROM documents""")
+def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", text.document_type(F.col("text"), rules=PROSE_RULES).alias("document_type"))
+
+
+#: Two key words of different types for every part; the earlier rule must win.
+PHRASES = ["Диссертация", "ПРИКАЗЫВАЮ", "справка выдана", "Сводка", "Вердикт", "теорема 1", "Габариты", "ТТЗ", "слайд", "Спецификация", "abstract", "ничего", "Глава 3"]
+_PICK = "list_extract([" + ", ".join(f"'{p}'" for p in PHRASES) + "], {0})"
+
+
+@query(f"""
+WITH t AS (SELECT p_partkey, {_PICK.format(f'CAST(p_partkey % {len(PHRASES)} AS INT) + 1')} || ', ' || {_PICK.format(f'CAST(p_partkey * 7 // 13 % {len(PHRASES)} AS INT) + 1')} AS t FROM part)
+SELECT p_partkey, t AS sample, {cases(text.TYPE_WORDS)} WHEN p_partkey % 2 = 0 THEN 'report' ELSE 'other' END AS document_type FROM t""")
+def classify_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = F.array(*[F.lit(p) for p in PHRASES])
+    key = F.col("p_partkey")
+    second = F.floor(key * 7 / 13) % len(PHRASES)
+    sample = F.concat(F.get(names, (key % len(PHRASES)).cast("int")), F.lit(", "), F.get(names, second.cast("int")))
+    suffix = F.when(key % 2 == 0, ".PPTX").otherwise(".pdf")
+    return read(spark, sf_dir, "part").select("p_partkey", sample.alias("sample"), text.document_type(sample, suffix).alias("document_type"))
+
+
+@query(f"SELECT doc_id, {MEANINGFUL} AS meaningful FROM documents")
+def meaningful_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", text.meaningful(F.col("text")).alias("meaningful"))
+
+
+@query(f"""
+WITH p AS (SELECT doc_id, text, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\\S')) AS pages FROM documents)
+SELECT doc_id, regexp_matches(substr(text, 1, 3000), '(?i){text.COLLECTION_WORDS}') OR len(pages) >= 2 AND
+  len(list_filter(pages[1:5], lambda x: regexp_matches(regexp_replace(x, '^\\s+|\\s+$', '', 'g'), '{text.TITLE_LINE}')
+      AND len(regexp_extract_all(x, '\\S+')) <= 12)) >= 2 AS is_collection FROM p""")
+def collection_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = F.replace(F.col("text"), F.lit("\n"), F.lit("\f"))
+    return read(spark, sf_dir, "documents").select("doc_id", text.is_collection(pages).alias("is_collection"))
+
+
+# classification codes
+
+_FOUND = """
+WITH g AS (SELECT {id}, {text} AS t, regexp_extract_all({text}, '{p}') AS m, string_split_regex({text}, '{p}') AS s FROM {table} WHERE regexp_matches({text}, '{p}')),
+u AS (SELECT {id}, t, unnest(m) AS value, unnest(s[1:len(m)]) AS gap, unnest(range(1, len(m) + 1)) AS k FROM g),
+x AS (SELECT *, sum(length(gap)) OVER w + coalesce(sum(length(value)) OVER (PARTITION BY {id} ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
+      FROM u WINDOW w AS (PARTITION BY {id} ORDER BY k))"""
+
+
+@query(
+    _FOUND.format(id="doc_id", text="text", table="documents", p=CODE_FAMILIES["dotted"])
+    + r"""
+SELECT doc_id, value AS number, trim(replace(substr(t, CAST(greatest(a - 60, 0) AS BIGINT) + 1, CAST(a + length(value) + 60 - greatest(a - 60, 0) AS BIGINT)), chr(10), ' ')) AS evidence
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, value ORDER BY k) AS rn FROM x) WHERE rn = 1"""
+)
+def code_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = codes.extracted(F.col("text"), F.lit(1), CODE_FAMILIES, CODE_HEAD)
+    rows = read(spark, sf_dir, "documents").where(F.col("text").rlike(CODE_FAMILIES["dotted"])).select("doc_id", F.explode(found).alias("c"))
+    return rows.select("doc_id", "c.number", "c.evidence")
+
+
+@query(r"""
+WITH c AS (
+  SELECT p_partkey, 'УДК' AS type, 1 AS f, 'УДК ' || (p_partkey % 90) || '.7' AS value, (p_partkey % 90) || '.7' AS number FROM part
+  UNION ALL SELECT p_partkey, 'ГРНТИ', 2, 'грнти' || (10 + p_size) || '.34.56', (10 + p_size) || '.34.56' FROM part
+  UNION ALL SELECT p_partkey, 'ГНТИ', 3, 'ГНТИ  ' || (10 + p_size) || '.1', (10 + p_size) || '.1' FROM part WHERE p_partkey % 3 = 0)
+SELECT p_partkey, type, value, number, CAST(p_partkey % 5 + 1 AS INT) AS page FROM c""")
+def extract_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, size = F.col("p_partkey"), (F.col("p_size") + 10).cast("string")
+    first = F.concat(F.lit("УДК "), (k % 90).cast("string"), F.lit(".7"))
+    body = F.concat_ws(
+        "\n", first, F.concat(F.lit("См. также: "), first, F.lit("; грнти"), size, F.lit(".34.56")), F.when(k % 3 == 0, F.concat(F.lit("ГНТИ  "), size, F.lit(".1"))).otherwise(F.concat(F.lit("предУДК 1.2 ГНТИ 7")))
+    )
+    found = codes.extracted(body, k % 5 + 1)
+    return read(spark, sf_dir, "part").select("p_partkey", F.explode(found).alias("c")).select("p_partkey", "c.type", "c.value", "c.number", "c.page")
+
+
+@query(
+    f"""
+WITH r AS (SELECT doc_id, regexp_extract_all(text, '{CODE_FAMILIES["dotted"]}') AS m, * EXCLUDE (doc_id) FROM documents)
+SELECT doc_id, 'doc_' || doc_id || '.txt' AS file, CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes,
+       CASE WHEN {MEANINGFUL} THEN 'ok' ELSE 'skip' END AS status,
+       {cases(PROSE_RULES, 'substr(text, 1, 4000)')} ELSE 'other' END AS document_type,
+       CAST(len(list_distinct(m)) AS BIGINT) AS n_codes, m[1] AS first_code FROM r"""
+)
+def result_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: one narrow pass over documents, no shuffle."""
+    t = F.col("text")
+    rows = read(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("file"),
+        F.octet_length(t).cast("long").alias("size_bytes"),
+        F.when(text.meaningful(t), "ok").otherwise("skip").alias("status"),
+        text.document_type(t, rules=PROSE_RULES).alias("document_type"),
+        codes.extracted(t, F.lit(1), CODE_FAMILIES, CODE_HEAD).alias("codes"),
+    )
+    return rows.select("doc_id", "file", "size_bytes", "status", "document_type", F.size("codes").cast("long").alias("n_codes"), F.get("codes", F.lit(0))["number"].alias("first_code"))
+
+
+# segmentation
+
+_ARTICLES = """
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS i FROM documents),
+k AS (SELECT doc_id, i, i // 7 + 1 AS page, regexp_replace(CASE WHEN i % 5 = 1 THEN 'Статья ' || line ELSE line END, '^\\s+|\\s+$', '', 'g') AS line FROM l),
+n AS (SELECT *, sum(CASE WHEN i % 5 = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS part FROM k WHERE line <> ''),
+p AS (SELECT doc_id, part, min(i) AS i, min(page) AS page, max(page) AS last, string_agg(line, chr(10) ORDER BY i) AS text FROM n GROUP BY ALL)
+SELECT doc_id, CAST(row_number() OVER w AS INT) AS article, text, CAST(coalesce(lead(page) OVER w, last) AS INT) AS page FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY i)""".replace("\\\\", "\\")
+
+
+def issue(body) -> object:
+    """Every fifth line opens an article, every seventh ends a page."""
+    lines = F.transform(F.split(body, "\n", -1), lambda x, i: F.concat(F.when(i == 0, "").when(i % 7 == 0, "\f").otherwise("\n"), F.when(i % 5 == 1, F.concat(F.lit("Статья "), x)).otherwise(x)))
+    return F.array_join(lines, "")
+
+
+@query(_ARTICLES)
+def split_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "documents").where(text.strip(F.col("text")) != "")
+    return rows.select("doc_id", F.posexplode(segment.articles(issue(F.col("text")), F.lit(True)))).select("doc_id", (F.col("pos") + 1).alias("article"), "col.text", "col.page")
+
+
+def dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as Markdown: a page mark and a heading for each turn."""
+    turn = F.concat(F.lit("<!-- page "), (F.col("turn") + 1).cast("string"), F.lit(" -->\n# "), F.col("role"), F.lit("\n"), F.col("text"), F.lit("\n\nend of turn\n"))
+    gathered = read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", turn.alias("body")))).alias("turns"))
+    return gathered.select("conv_id", F.array_join(F.transform("turns", lambda t: t["body"]), "\n").alias("markdown"))
+
+
+@query(r"""
+WITH c AS (SELECT conv_id, turn, role, regexp_replace(text, '^\s+|\s+$', '', 'g') AS body FROM conversations),
+p AS (SELECT conv_id, turn, 1 AS paragraph, '# ' || role || CASE WHEN body = '' THEN '' ELSE chr(10) || array_to_string(list_filter(list_transform(string_split(body, chr(10)), lambda x: trim(x)), lambda x: x <> ''), chr(10)) END AS text, role FROM c
+      UNION ALL SELECT conv_id, turn, 2, 'end of turn', role FROM c)
+SELECT conv_id, CAST(turn + 1 AS INT) AS page, CAST(paragraph AS INT) AS paragraph, text, role AS section, 1 AS section_level FROM p""")
+def paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue(spark, sf_dir).select("conv_id", F.explode(segment.paragraphs(F.col("markdown"))).alias("p")).select("conv_id", "p.*")
+
+
+def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations = read(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("nations"))
+    return read(spark, sf_dir, "region").join(nations, F.col("r_regionkey") == F.col("n_regionkey")).select("r_regionkey", "r_name", "nations")
+
+
+@query(r"""
+WITH n AS (SELECT n_regionkey, string_agg('| ' || n_nationkey || ' | ' || n_name || ' |', chr(10) ORDER BY n_nationkey) AS body, string_agg(n_name, ',' ORDER BY n_nationkey) AS names, count(*) AS c FROM nation GROUP BY 1)
+SELECT r_regionkey, 0 AS pos, 'page_break' AS kind, CAST(r_regionkey + 1 AS INT) AS level, '' AS text, 0 AS n_rows, '' AS items FROM region
+UNION ALL SELECT r_regionkey, 1, 'heading', 2, r_name, 0, '' FROM region
+UNION ALL SELECT r_regionkey, 2, 'table', 0, '', CAST(c + 1 AS INT), '' FROM region JOIN n ON n_regionkey = r_regionkey
+UNION ALL SELECT r_regionkey, 3, 'list', 0, '', 0, names FROM region JOIN n ON n_regionkey = r_regionkey
+UNION ALL SELECT r_regionkey, 4, 'paragraph', 0, '#' || r_name || ' one two', 0, '' FROM region
+UNION ALL SELECT r_regionkey, 5, 'paragraph', 0, 'three', 0, '' FROM region""")
+def markdown_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = F.transform("nations", lambda n: F.array(n["n_nationkey"].cast("string"), n["n_name"]))
+    table = text.markdown_table(F.concat(F.array(F.array(F.lit("key"), F.lit("name"))), cells))
+    items = F.array_join(F.transform("nations", lambda n: F.concat(F.lit("- "), n["n_name"])), "\n")
+    body = F.concat(F.lit("<!-- page "), (F.col("r_regionkey") + 1).cast("string"), F.lit(" -->\n## "), F.col("r_name"), F.lit("\n"), table, F.lit("\n\n"), items, F.lit("\n\n#"), F.col("r_name"), F.lit("\none\n two\n<!-- note -->\n\nthree"))
+    rows = regions(spark, sf_dir).select("r_regionkey", F.posexplode(segment.blocks(body)))
+    return rows.select("r_regionkey", "pos", "col.kind", "col.level", "col.text", F.size("col.rows").alias("n_rows"), F.array_join("col.items", ",").alias("items"))
+
+
+@query(r"""
+SELECT r_regionkey, '| key | name |' || chr(10) || '| --- | --- |' || chr(10) || string_agg('| ' || n_nationkey || ' | ' || n_name || ' |', chr(10) ORDER BY n_nationkey) AS markdown
+FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY 1""")
+def markdown_table_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = F.transform("nations", lambda n: F.array(n["n_nationkey"].cast("string"), n["n_name"]))
+    return regions(spark, sf_dir).select("r_regionkey", text.markdown_table(F.concat(F.array(F.array(F.lit("key"), F.lit("name"))), cells)).alias("markdown"))
+
+
+@query(r"""
+WITH RECURSIVE w AS (SELECT item_id, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS words FROM benchmark WHERE length(text) > 80),
+s AS (
+  SELECT item_id, 1 AS i, 1 AS chunk, length(words[1]) + 1 AS used, words FROM w
+  UNION ALL
+  SELECT item_id, i + 1, CASE WHEN used + length(words[i + 1]) + 1 > 80 THEN chunk + 1 ELSE chunk END,
+         CASE WHEN used + length(words[i + 1]) + 1 > 80 THEN 0 ELSE used END + length(words[i + 1]) + 1, words FROM s WHERE i < len(words))
+SELECT item_id, CAST(chunk AS INT) AS chunk, string_agg(words[i], ' ' ORDER BY i) AS text, 0 AS start FROM s GROUP BY item_id, chunk
+UNION ALL SELECT item_id, 1, text, 0 FROM benchmark WHERE length(text) <= 80""")
+def chunk_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "benchmark").select("item_id", F.posexplode(segment.chunks(F.col("text"), 80))).select("item_id", (F.col("pos") + 1).alias("chunk"), "col.text", "col.start")
+
+
+@query(r"""
+SELECT p_partkey, CAST(k AS INT) AS pos, kind, text, path, alt FROM (
+  SELECT p_partkey, 0 AS k, 'text' AS kind, p_name || ' ' AS text, '' AS path, '' AS alt FROM part
+  UNION ALL SELECT p_partkey, 1, 'image', '', 'img/' || p_partkey || '.png', p_brand FROM part
+  UNION ALL SELECT p_partkey, 2, 'handwritten', p_type, 'h.png', '' FROM part
+  UNION ALL SELECT p_partkey, 3, 'text', ' [x](', '', '' FROM part)""")
+def inline_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = F.concat(F.col("p_name"), F.lit(" !["), F.col("p_brand"), F.lit("](img/"), F.col("p_partkey").cast("string"), F.lit(".png)[HANDWRITTEN: "), F.col("p_type"), F.lit("](h.png) [x]("))
+    return read(spark, sf_dir, "part").select("p_partkey", F.posexplode(segment.inline_segments(line))).select("p_partkey", "pos", "col.*")
+
+
+@query(r"""
+WITH m AS (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'purchase' GROUP BY ALL)
+SELECT e.event_id, e.user_id, coalesce(m.value, -1) AS last_purchase FROM (SELECT * FROM events WHERE event_type = 'view') e ASOF LEFT JOIN m ON e.user_id = m.user_id AND e.ts >= m.ts""")
+def page_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = read(spark, sf_dir, "events")
+    states = events.where("event_type = 'purchase'").groupBy("user_id", "ts").agg(F.max("value").alias("last_purchase"))
+    views = events.where("event_type = 'view'").select("event_id", "user_id", "ts")
+    return relational.as_of(views, states, ["user_id"], "ts", "ts", "last_purchase", -1.0).select("event_id", "user_id", "last_purchase")
+
+
+@query(r"""
+SELECT conv_id, CAST(max(turn) + 1 AS INT) AS pages, CAST(least(2, max(turn) + 1) AS INT) AS page_of_second FROM conversations GROUP BY 1""")
+def page_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dialogue(spark, sf_dir).select("conv_id", "markdown", segment.page_marks(F.col("markdown")).alias("marks"))
+    second = F.coalesce(F.get("marks", F.lit(1))["start"], F.length("markdown"))
+    return rows.select("conv_id", F.array_max(F.transform("marks", lambda m: m["page"])).alias("pages"), segment.page_at(F.col("marks"), second).alias("page_of_second"))
+
+
+# entities
+
+#: Values for orders, by key.
+VALUES = ["15 мм", "от 3 до 7.5", "±0.2", "12.05.2026", "ООО Ромашка", "это слишком длинное предложение из многих слов.", "8OO", " "]
+KINDS = ["amount", "other", "identifier", "date", "organization", "person", "handwritten_note", "amount"]
+
+
+def raw_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    pick = lambda names, i: F.get(F.array(*[F.lit(n) for n in names]), i.cast("int"))
+    return read(spark, sf_dir, "orders").select(
+        k, pick(KINDS, k % 8).alias("type"), pick(VALUES, (k / 8).cast("int") % 8).alias("value"), F.when(k % 3 == 0, "ttz").otherwise("other").alias("document_type"), "o_totalprice", "o_orderstatus", "o_orderpriority"
+    )
+
+
+_RAW = f"""
+WITH e AS (SELECT o_orderkey, list_extract({KINDS}, CAST(o_orderkey % 8 AS INT) + 1) AS type, list_extract({VALUES}, CAST(o_orderkey // 8 % 8 AS INT) + 1) AS value,
+                  CASE WHEN o_orderkey % 3 = 0 THEN 'ttz' ELSE 'other' END AS document_type, o_orderstatus, o_orderpriority FROM orders)"""
+
+
+@query(
+    _RAW
+    + """
+SELECT o_orderkey, trim(value) <> '' AND length(trim(value)) <= CASE WHEN type = 'handwritten_note' THEN 500 ELSE 150 END
+  AND NOT (value LIKE '%.' AND len(regexp_extract_all(value, '\\S+')) > 5 AND type <> 'handwritten_note') AS valid FROM e""".replace("\\\\", "\\")
+)
+def entity_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_entities(spark, sf_dir).select("o_orderkey", entities.is_valid(F.col("type"), F.col("value")).alias("valid"))
+
+
+@query(
+    _RAW
+    + """
+SELECT o_orderkey, CASE WHEN a THEN 'amount' ELSE type END AS type,
+  CASE WHEN a THEN 'NUM UNIT' WHEN document_type = 'ttz' AND value = 'от 3 до 7.5' THEN 'RANGE_NUM' WHEN document_type = 'ttz' AND value = '±0.2' THEN 'TOLERANCE_NUM'
+       WHEN type = 'date' AND value = '12.05.2026' THEN '2026-05-12' END AS normalized_value
+FROM (SELECT *, document_type = 'ttz' AND type IN ('amount', 'identifier', 'other') AND value = '15 мм' AS a FROM e)"""
+)
+def entity_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = entities.normalised(F.col("type"), F.col("value"), F.lit(None).cast("string"), F.col("document_type"))
+    return raw_entities(spark, sf_dir).select("o_orderkey", found.alias("n")).select("o_orderkey", "n.*")
+
+
+@query(
+    _RAW
+    + """
+, c AS (SELECT o_orderkey, value, o_orderstatus = 'F' AS hand, CASE o_orderkey % 4 WHEN 0 THEN 0.9 WHEN 1 THEN 0.25 WHEN 2 THEN 1.0 END AS raw, o_orderkey % 5 = 0 AS lost FROM e),
+p AS (SELECT *, CASE WHEN length(trim(value)) = 0 THEN 1 WHEN length(value) <= 4 THEN 0.75 WHEN length(value) <= 10 THEN 0.85 ELSE 1 END
+              * CASE WHEN value = '8OO' THEN 0.92 WHEN value LIKE 'ООО%' OR value LIKE 'это%' THEN 0.92 ELSE 1 END AS pen FROM c),
+b AS (SELECT *, CASE WHEN hand AND (raw IS NULL OR raw >= 1) THEN 0.70 - 0.35 * (1 - pen) ELSE coalesce(raw, 0.5) END * CASE WHEN hand THEN 0.85 ELSE 1 END
+              * CASE WHEN lost AND length(trim(value)) >= 3 THEN 0.7 ELSE 1 END AS s FROM p)
+SELECT o_orderkey, CASE WHEN trim(value) = '' THEN 0 ELSE CAST(floor(s * 1000 + 0.5) AS INT) END AS milli FROM b"""
+)
+def entity_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, v = F.col("o_orderkey"), F.col("value")
+    raw = F.when(k % 4 == 0, 0.9).when(k % 4 == 1, 0.25).when(k % 4 == 2, 1.0)
+    source = F.when(k % 5 == 0, "nothing here").otherwise(F.concat(F.lit("text  "), F.upper(v), F.lit(" text")))
+    score = entities.confidence(raw, v, v, F.col("o_orderstatus") == "F", source)
+    return raw_entities(spark, sf_dir).select("o_orderkey", F.floor(score * 1000 + 0.5).cast("int").alias("milli"))
+
+
+@query("SELECT event_type, user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1")
+def entity_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "events").select("event_type", "user_id", "ts", "event_id", "value")
+    return relational.keep_first(rows, ["event_type", "user_id"], ["ts", "event_id"]).drop("ts")
+
+
+# ledger, names, archive
+
+_LEDGER = "SELECT doc_id AS file, CASE WHEN toxic = 1 THEN 'error' WHEN quality = 1 THEN 'ok' ELSE 'skip' END AS status FROM labels"
+
+
+@query(f"SELECT doc_id AS file, n_chars AS size FROM documents WHERE doc_id NOT IN (SELECT file FROM ({_LEDGER}) WHERE status IN ('ok', 'skip'))")
+def ledger_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("file"), F.col("n_chars").alias("size"))
+    status = F.when(F.col("toxic") == 1, "error").when(F.col("quality") == 1, "ok").otherwise("skip")
+    return relational.pending(files, read(spark, sf_dir, "labels").select(F.col("doc_id").alias("file"), status.alias("status")))
+
+
+_PATHS = "SELECT DISTINCT regexp_extract(url, '://([^?#]+)', 1) || CASE WHEN page_id % 4 = 0 THEN '.html' WHEN page_id % 4 = 1 THEN '/a/b.pdf' ELSE '/x.docx' END AS path FROM pages"
+
+
+@query(f"""
+WITH f AS ({_PATHS}), d AS (SELECT path, string_split(path, '/') AS s FROM f), a AS (SELECT path, s, unnest(range(1, len(s))) AS n FROM d),
+m AS (SELECT DISTINCT array_to_string(s[1:n], '/') AS root FROM a WHERE regexp_matches(s[n], '(?i)\\.html?$') OR n = len(s) - 1 AND regexp_matches(s[len(s)], '(?i)\\.html?$')),
+o AS (SELECT root FROM m WHERE NOT EXISTS (SELECT 1 FROM m x WHERE starts_with(m.root, x.root || '/')))
+SELECT root AS path, true AS is_dir FROM o
+UNION ALL SELECT path, false FROM f WHERE NOT EXISTS (SELECT 1 FROM o WHERE starts_with(f.path, o.root || '/'))
+  AND regexp_matches(path, '(?i)\\.(pdf|docx|pptx|html?|png|jpe?g)$')""".replace("\\\\", "\\"))
+def collection_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id") % 4
+    path = F.concat(F.regexp_extract("url", "://([^?#]+)", 1), F.when(k == 0, ".html").when(k == 1, "/a/b.pdf").otherwise("/x.docx"))
+    return relational.discovered(read(spark, sf_dir, "pages").select(path.alias("path")).distinct())
+
+
+@query(r"""
+WITH s AS (SELECT page_id, regexp_replace(regexp_replace(regexp_extract(url, '://([^?#]+)', 1), '[<>:"/\\|?*\x00-\x1f]+', '_', 'g'), '^\.+|\.+$', '', 'g') AS b FROM pages),
+t AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN regexp_replace(b, '_[0-9].*$', '') ELSE b END AS base FROM s),
+n AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY page_id) AS n FROM t)
+SELECT page_id, CASE WHEN n = 1 THEN base ELSE base || '_' || n END AS name FROM n""")
+def txt_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.regexp_extract("url", "://([^?#]+)", 1)
+    stem = F.when(F.col("page_id") % 3 == 0, F.regexp_replace(text.file_name(raw), "_[0-9].*$", "")).otherwise(raw)
+    return relational.export_names(read(spark, sf_dir, "pages").select("page_id", stem.alias("stem")), "stem", ["page_id"]).select("page_id", "name")
+
+
+@query(r"""
+SELECT 'txts/' || doc_id || '.txt' AS name FROM documents WHERE doc_id % 3 <> 0 AND doc_id % 7 <> 0
+UNION ALL SELECT name FROM (VALUES ('results.jsonl'), ('stats.jsonl')) v(name)""")
+def archive_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.concat(F.when(F.col("doc_id") % 7 == 0, "tmp/").otherwise("txts/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"))
+    journals = spark.createDataFrame([(n,) for n in (*relational.JOURNALS, "readme.md")], "name string")
+    held = docs.where("doc_id % 3 = 0").select("name").unionByName(journals.where("name = 'results_readable.json'"))
+    return relational.missing(docs.select("name").unionByName(journals), held)
+
+
+@query(r"""
+SELECT 'f' || doc_id AS name, md5(text) AS crc, md5(text || 'x') AS held FROM documents WHERE false
+UNION ALL SELECT 'stats.jsonl', md5('new'), md5('old')""")
+def archive_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = lambda s: F.md5(F.lit(s).cast("binary"))
+    one = spark.range(1)
+    names = F.explode(F.array(*[F.lit(n) for n in (*relational.JOURNALS, "f1")])).alias("name")
+    files, held = one.select(names), one.select(names)
+    changed = F.col("name").isin("stats.jsonl", "f1")
+    return relational.stale(files.withColumn("crc", F.when(changed, digest("new")).otherwise(digest("old"))), held.withColumn("crc", digest("old")))
+
+
+# feedback
+
+_RECENT = "(SELECT conv_id * 1000 + turn AS pos, role, text FROM conversations ORDER BY pos DESC LIMIT 10)"
+
+
+@query(f"""
+WITH r AS (SELECT *, row_number() OVER (ORDER BY pos) AS i FROM {_RECENT})
+SELECT 'Recent corrections from operator (VLM was wrong, operator corrected it — follow the operator''s values, they are authoritative):' || chr(10) ||
+  string_agg('<EXAMPLE ' || i || '>' || chr(10) || 'Corrected markdown:' || chr(10) ||
+    CASE WHEN length(trim(text)) <= 800 THEN trim(text) ELSE substr(trim(text), 1, 800) || chr(10) || '... [truncated]' END || chr(10) || '</EXAMPLE ' || i || '>', chr(10) || chr(10) ORDER BY i) AS block FROM r""")
+def feedback_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioscope.plans.feedback import block
+
+    records = read(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("position"), F.col("text").alias("markdown"))
+    return block(relational.last_rows(records, "position", 10))
+
+
+@query(r"""
+SELECT conv_id, turn, 'img/' || conv_id || '_' || turn || '.png' AS image, text AS markdown FROM conversations WHERE regexp_matches(text, '\S') AND role <> 'system' OR turn % 2 = 0""")
+def finetune_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioscope.plans.feedback import corrected
+
+    rows = read(spark, sf_dir, "conversations").withColumn("seen", F.array(F.col("role"))).withColumn("fixed", F.when(F.col("turn") % 2 == 0, F.array(F.lit("x"), F.col("role"))).otherwise(F.col("seen")))
+    blank = F.when(F.col("role") == "system", " ").otherwise(F.col("text"))
+    image = F.concat(F.lit("img/"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string"), F.lit(".png"))
+    return rows.where(corrected(blank, F.col("seen"), F.col("fixed"))).select("conv_id", "turn", image.alias("image"), F.col("text").alias("markdown"))
+
+
+# text clean-up
+
+DIRTY = {
+    "bbox": ("[Image: photo: портрет | bbox: 100 200 300 400 | img: 2]", "[Image: photo: портрет]"),
+    "ocr": ("8OO мм и O0 mm, 5 - 7", "800 мм и 00 mm, 5   7"),
+    "fence": ('```json\n{"a": 1}\n```', '{"a": 1}'),
+    "think": ("<thinking>no\nidea</thinking> done [THINKING]x[/THINKING]", "done"),
+    "escape": (r"1\. \*bold\*", "1. *bold*"),
+    "name": (' a<b>:c"d/e. ', "a_b_c_d_e"),
+    "draft": ("a\\nb\r\nc\rd", "a\nb\nc\nd"),
+}
+
+
+def literal(s: str) -> str:
+    """A string as SQL: quotes doubled, control characters spelled out."""
+    return "'" + s.replace("'", "''").replace("\r", "' || chr(13) || '").replace("\n", "' || chr(10) || '") + "'"
+
+
+@query("SELECT p_partkey, kind, p_name || ' ' || cleaned AS cleaned FROM part, (VALUES " + ", ".join(f"('{k}', {literal(v[1])})" for k, v in DIRTY.items() if k not in ("fence", "name", "think")) + ") v(kind, cleaned) UNION ALL SELECT p_partkey, kind, cleaned FROM part, (VALUES " + ", ".join(f"('{k}', {literal(DIRTY[k][1])})" for k in ("fence", "name", "think")) + ") w(kind, cleaned)")
+def text_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = {"bbox": text.without_regions, "ocr": text.ocr_cleaned, "escape": text.unescaped, "draft": text.draft, "fence": text.without_fences, "think": text.without_thinking, "name": text.file_name}
+    rows = read(spark, sf_dir, "part")
+    named = F.concat(F.col("p_name"), F.lit(" "))
+    items = [F.struct(F.lit(k).alias("kind"), f(F.lit(DIRTY[k][0]) if k in ("fence", "think", "name") else F.concat(named, F.lit(DIRTY[k][0]))).alias("cleaned")) for k, f in work.items()]
+    return rows.select("p_partkey", F.explode(F.array(*items)).alias("x")).select("p_partkey", "x.*")
+
+
+@query(r"""
+SELECT doc_id, CAST(len(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '(?i)^\s*(references|appendix|page\s+\d+)\s*$'))) AS BIGINT) AS n_lines FROM documents
+WHERE NOT regexp_matches(text, '^\s|\s$|\n\s*\n')""")
+def noise_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.array_join(F.transform(F.split("text", "\n", -1), lambda x, i: F.when(i % 3 == 1, F.concat(F.lit(" References \nPage 7\nAPPENDIX\n"), x)).otherwise(x)), "\n")
+    rows = read(spark, sf_dir, "documents").where(~F.col("text").rlike(r"^\s|\s$|\n\s*\n"))
+    return rows.select("doc_id", F.size(F.split(text.without_noise(noisy), "\n", -1)).cast("long").alias("n_lines"))
+
+
+@query(r"""
+SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '# глава ' || p_size || ' x' WHEN 1 THEN '## ' || p_size || '.2 ' || p_name WHEN 2 THEN '### ' || p_name || ':' WHEN 3 THEN '###### 1.2.3.4.5.6.7 ' || p_name END AS heading FROM part
+""".replace("'# глава '", "'# Глава '"))
+def slide_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, size, name = F.col("p_partkey") % 5, F.col("p_size").cast("string"), F.col("p_name")
+    line = F.when(k == 0, F.concat(F.lit(" Глава "), size)).when(k == 1, F.concat(size, F.lit(".2 "), name)).when(k == 2, F.concat(name, F.lit(":"))).when(k == 3, F.concat(F.lit("1.2.3.4.5.6.7 "), name)).otherwise(name)
+    shown = text.slide_heading(line)
+    return read(spark, sf_dir, "part").select("p_partkey", F.when(k == 0, F.concat(shown, F.lit(" x"))).otherwise(shown).alias("heading"))
+
+
+@query("SELECT doc_id, CASE WHEN length(text) > 500 THEN substr(text, 1, 250) || '|' || right(text, 250) ELSE text END AS cut FROM documents")
+def head_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", text.head_and_tail(F.col("text"), 500, "|").alias("cut"))
+
+
+@query("SELECT page_id, sha256(url || '{\"model\":\"m\",\"page\":' || page_id || '}') AS key FROM pages")
+def cache_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioscope.plans.model import cache_key
+
+    payload = F.to_json(F.struct(F.lit("m").alias("model"), F.col("page_id").alias("page")))
+    return read(spark, sf_dir, "pages").select("page_id", cache_key(F.col("url"), payload).alias("key"))
+
+
+# HTML
+
+@query(r"""
+SELECT page_id, replace(replace(replace(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '^\s+|\s+$', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title,
+       CAST(len(regexp_extract_all(html, '<script>')) AS INT) AS scripts FROM pages""")
+def html_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "pages").select("page_id", F.split_part(html.text_of(F.col("html")), F.lit("\n"), F.lit(1)).alias("title"), F.size(F.regexp_extract_all("html", F.lit("<script>"), F.lit(0))).alias("scripts"))
+    return rows
+
+
+@query()
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "pages").select("page_id", "url", html.text_of(F.col("html")).alias("text"))
+
+
+# layout and diagrams
+
+@query(r"""
+SELECT p_partkey, greatest(4, least(48, greatest(length(p_name), length(p_brand)))) AS w1, greatest(4, least(48, length(p_type))) AS w2, 4 AS w3 FROM part""")
+def column_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = F.array(F.array(F.col("p_name"), F.col("p_type"), F.lit("x")), F.array(F.col("p_brand")))
+    return read(spark, sf_dir, "part").select("p_partkey", layout.column_weights(rows).alias("w")).select("p_partkey", F.get("w", F.lit(0)).alias("w1"), F.get("w", F.lit(1)).alias("w2"), F.get("w", F.lit(2)).alias("w3"))
+
+
+@query(r"""
+WITH a AS (SELECT s_suppkey, [s_suppkey % 40 + 4, s_nationkey + 4, 4, 48] AS w FROM supplier),
+b AS (SELECT s_suppkey, list_transform(w, lambda x: greatest(20.0, x / list_sum(w) * 100)) AS w FROM a),
+c AS (SELECT s_suppkey, CASE WHEN list_sum(w) <= 100 THEN w ELSE list_transform(w, lambda x: greatest(9.0, x * 100 / list_sum(w))) END AS w FROM b)
+SELECT s_suppkey, CAST(floor(CASE WHEN list_sum(w) > 100.0000001 THEN 9 ELSE w[1] END * 1000 + 0.5) AS BIGINT) AS first, CAST(floor(CASE WHEN list_sum(w) > 100.0000001 THEN 9 ELSE w[4] END * 1000 + 0.5) AS BIGINT) AS last FROM c""")
+def scaled_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weights = F.array((F.col("s_suppkey") % 40 + 4).cast("int"), F.col("s_nationkey") + 4, F.lit(4), F.lit(48))
+    rows = read(spark, sf_dir, "supplier").select("s_suppkey", layout.scaled_widths(weights, 100.0).alias("w"))
+    milli = lambda i: F.floor(F.get("w", F.lit(i)) * 1000 + 0.5).cast("long")
+    return rows.select("s_suppkey", milli(0).alias("first"), milli(3).alias("last"))
+
+
+@query(r"""
+SELECT doc_id, CAST(list_sum(list_transform(string_split(text, chr(10)), lambda x: greatest(1, CAST(ceil(length(x) / 72.0) AS INT)))) AS INT) AS n_lines FROM documents""")
+def lines_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", layout.lines_needed(F.col("text"), F.lit(450.0), F.lit(12.0)).alias("n_lines"))
+
+
+_BOX = "l_orderkey % 1000 AS x, l_partkey % 900 AS y, l_quantity * 2 AS w, l_suppkey % 50 AS h"
+
+
+@query(f"""
+WITH b AS (SELECT l_orderkey, l_linenumber, l_linenumber = 1 AS thin, {_BOX} FROM lineitem),
+i AS (SELECT *, 1200.0 / 200 AS pw, 900.0 / 200 AS ph FROM b)
+SELECT l_orderkey, l_linenumber, CAST(round(x / 1000.0 * pw * 1000000) AS BIGINT) AS "left", CAST(round((ph - y / 1000.0 * ph - h / 1000.0 * ph) * 1000000) AS BIGINT) AS bottom,
+       CAST(round(greatest(w / 1000.0 * pw, CASE WHEN thin THEN 0.01 ELSE 0 END) * 1000000) AS BIGINT) AS width, CAST(round(greatest(h / 1000.0 * ph, CASE WHEN thin THEN 0.01 ELSE 0 END) * 1000000) AS BIGINT) AS height FROM i""")
+def diagram_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    box = layout.box_inches(F.col("l_orderkey") % 1000, F.col("l_partkey") % 900, F.col("l_quantity") * 2, F.col("l_suppkey") % 50, F.lit(1200), F.lit(900), F.col("l_linenumber") == 1)
+    micro = lambda c: F.round(F.col(f"b.{c}") * 1_000_000).cast("long").alias(c)
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", box.alias("b")).select("l_orderkey", "l_linenumber", *[micro(c) for c in ("left", "bottom", "width", "height")])
+
+
+@query(r"""
+SELECT p_partkey, CAST(round(w * 1000) AS BIGINT) AS width, CAST(round(h * 1000) AS BIGINT) AS height FROM (
+  SELECT p_partkey, pw / 150.0 * 2.54 * least(17.0 / (pw / 150.0 * 2.54), 24.0 / (ph / 150.0 * 2.54), 1) AS w, ph / 150.0 * 2.54 * least(17.0 / (pw / 150.0 * 2.54), 24.0 / (ph / 150.0 * 2.54), 1) AS h
+  FROM (SELECT p_partkey, 100 + p_partkey % 3000 AS pw, 200 + p_size * 40 AS ph FROM part))""")
+def image_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = layout.image_cm(F.col("p_partkey") % 3000 + 100, F.col("p_size") * 40 + 200)
+    return read(spark, sf_dir, "part").select("p_partkey", size.alias("s")).select("p_partkey", F.round(F.col("s.width") * 1000).cast("long").alias("width"), F.round(F.col("s.height") * 1000).cast("long").alias("height"))
+
+
+@query(r"""
+SELECT p_partkey, CASE WHEN p_partkey % 3 <> 0 AND p_size > 0 THEN CAST(p_size AS DOUBLE) END AS width, CASE WHEN p_partkey % 3 <> 0 AND p_size > 0 THEN p_size + 0.5 END AS height FROM part""")
+def page_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.col("p_size").cast("string")
+    value = F.concat(size, F.when(F.col("p_partkey") % 3 == 0, "-").otherwise(" x "), size, F.lit(".5"))
+    return read(spark, sf_dir, "part").select("p_partkey", text.page_size(value).alias("s")).select("p_partkey", "s.width", "s.height")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 10 <> 0)")
+def broken_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return relational.violations(lines, read(spark, sf_dir, "part").where("p_partkey % 10 <> 0"), "l_partkey", "p_partkey").select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+# statistics
+
+@query(r"""
+SELECT event_type, count(*) AS requests, CAST(floor(avg(value) * 1000 + 0.5) AS BIGINT) AS mean_milli, max(value) AS max_value, CAST(floor(count(*) / sum(value) * 1000000 + 0.5) AS BIGINT) AS per_million FROM events GROUP BY 1""")
+def bench_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "events").groupBy("event_type").agg(
+        F.count("*").alias("requests"),
+        F.floor(F.avg("value") * 1000 + 0.5).cast("long").alias("mean_milli"),
+        F.max("value").alias("max_value"),
+        F.floor(F.count("*") / F.sum("value") * 1_000_000 + 0.5).cast("long").alias("per_million"),
+    )
+
+
+@query("SELECT source, count(*) AS files, count(*) FILTER (status = 'ok') AS processed, sum(n_chars)::BIGINT AS chars FROM (SELECT source, n_chars, CASE WHEN n_chars >= 200 THEN 'ok' ELSE 'skip' END AS status FROM documents) GROUP BY 1")
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("files"), F.count_if(F.col("n_chars") >= 200).alias("processed"), F.sum("n_chars").alias("chars"))
