@@ -32,8 +32,9 @@ def extracted(text: Column, page: Column, families: dict[str, str] | None = None
     """array of (type, value, number, evidence, page): codes by family, then by position; the
     first of each type and number. Null texts have none."""
     def of(name: str, number: str) -> Column:
-        found = first_of_each(matches(text, head.format(name=name, number=number), 1), lambda m: m["value"])
-        return F.transform(
+        pattern = head.format(name=name, number=number)
+        found = first_of_each(matches(text, pattern, 1), lambda m: m["value"])
+        records = F.transform(
             found,
             lambda m: F.struct(
                 F.lit(name).alias("type"),
@@ -43,6 +44,7 @@ def extracted(text: Column, page: Column, families: dict[str, str] | None = None
                 page.cast("int").alias("page"),
             ),
         )
+        return F.when(text.rlike(pattern), records)  # most texts have none: one look, no arrays
 
     parts = [of(name, number) for name, number in (families or FAMILIES).items()]
     return F.concat(*[F.coalesce(p, F.array().cast("array<struct<type:string,value:string,number:string,evidence:string,page:int>>")) for p in parts])
