@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import pieces, worker_state
+from folioscope.llm.common import arrow_map, pieces, worker_state
 
 # symbols
 LETTER, NUMBER, OTHER, SPACE_MID, BLANK_LAST, SPACE_LAST, APOSTROPHE_2, APOSTROPHE_3 = range(8)
@@ -33,7 +33,7 @@ FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHER, IN_SPACE, PREFIXED, TAIL_1, TAIL_2 = ra
 WHITE_SPACE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 CONTRACTIONS_1, CONTRACTIONS_2 = "stmd", ("re", "ve", "ll")
 #: Entries the merge cache may hold before it starts anew.
-CACHE = 300_000
+CACHE = 200_000
 NONE = 1 << 40
 BLOCK = 128
 
@@ -295,6 +295,7 @@ def load(path: str):
             tokens[rank] = token
         to, cut = automaton()
         state.bpe, state.bpe_path = (Merger(ranks), tokens, classes(), (to, cut, monoid(to))), path
+    state.clear = state.bpe[0].cache.clear  # at the end of each task
     return state.bpe
 
 
@@ -325,7 +326,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
                 columns.append(pa.array([np.cumsum(sizes[np.frombuffer(x, "<u4")]).astype("<u8").tobytes() for x in ids], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return source.mapInArrow(run, ddl)
+    return arrow_map(source, run, ddl)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -338,7 +339,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             out = [b"".join(map(tokens.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, ddl)
+    return arrow_map(encoded, run, ddl)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

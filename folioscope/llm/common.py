@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import tempfile
 import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,10 +72,31 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20)
             a = b
 
 
-def arrow_rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], (pa.Array, pa.ChunkedArray)) else columns[f.name] for f in schema], schema=schema)
-
-
-def passed_through(df: DataFrame, names: list[str]) -> str:
-    """DDL of the named columns of df."""
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in names)
+#: Rows of whole texts that a Python worker holds at once.
+BATCH_ROWS = 1000
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; then what the task leaves unused goes back to the system, as workers live on."""
+    try:
+        yield from batches
+    finally:
+        clear = getattr(worker_state(), "clear", None)
+        if clear is not None:
+            clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not glibc
+            pass
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], ddl: str) -> DataFrame:
+    """mapInArrow with batches of at most BATCH_ROWS rows (the session's setting is lowered to
+    it, as texts are long) and memory given back at the end of each task."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, BATCH_ROWS)
+    return df.mapInArrow(lambda batches: released(run(batches)), ddl)

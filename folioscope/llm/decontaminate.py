@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import pieces, worker_state
+from folioscope.llm.common import arrow_map, pieces, worker_state
 
 WORDS, SIMILARITY, RADIUS, NEAR = 5, 0.8, 23, 2
 ODD, INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -244,7 +244,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", blo
                 yield pa.RecordBatch.from_arrays([*batch.columns[:place], column, *batch.columns[place + 1 :]], names=batch.schema.names)
 
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
-        out = out.mapInArrow(run, ddl)
+        out = arrow_map(out, run, ddl)
     return out
 
 
