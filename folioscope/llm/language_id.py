@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import pieces
+from folioscope.llm.common import arrow_map, pieces
 
 BUCKETS = 1 << 15
 GRAMS = (1, 2, 3, 4)
@@ -43,31 +43,27 @@ def letter_bytes() -> np.ndarray:
     return out
 
 
-def grams(data: bytes, offsets: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Buckets of all grams and the first gram of each text, by length of gram."""
+def grams(data: bytes, offsets: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Buckets of the grams at every place, by length of gram, and each text's first and
+    last + 1 place. Texts stand apart by blanks, so no gram reaches into the next one."""
     raw = letter_bytes()[np.frombuffer(data, np.uint8)]
-    # a blank before each text keeps grams within it
-    padded = np.full(len(raw) + len(offsets), 32, np.uint8)
-    shift = np.repeat(np.arange(1, len(offsets)), np.diff(offsets))
-    padded[np.arange(len(raw)) + shift] = raw
-    starts = offsets[:-1] + np.arange(len(offsets) - 1)
-    keep = np.ones(len(padded), bool)
-    keep[1:] = (padded[1:] != 32) | (padded[:-1] != 32)
-    keep[starts] = True
-    before = np.concatenate([[0], np.cumsum(keep)])
-    starts, text = before[starts], padded[keep]
-    texts = np.zeros(len(text), bool)
-    texts[starts] = True
-    buckets, firsts = [], []
-    code = np.zeros(len(text), np.uint32)
-    wide = text.astype(np.uint32)
-    for n in range(1, max(GRAMS) + 1):
-        code = code[: len(text) - n + 1] * np.uint32(0x01000193) + wide[n - 1 :] + np.uint32(n)
-        if n in GRAMS:
-            mixed = code * np.uint32(0x9E3779B1)
-            buckets.append((mixed >> np.uint32(32 - 15)).astype(np.int32))
-            firsts.append(np.minimum(starts, max(len(code) - 1, 0)))
-    return buckets, firsts
+    n = len(offsets) - 1
+    keep = np.ones(len(raw), bool)
+    keep[1:] = (raw[1:] != 32) | (raw[:-1] != 32)
+    keep[offsets[:-1][offsets[:-1] < len(raw)]] = True
+    ends = np.concatenate([[0], np.cumsum(keep)])[offsets]
+    apart = max(GRAMS) + 1
+    text = np.full(int(ends[-1]) + apart * (n + 1), 32, np.uint8)
+    text[np.arange(int(ends[-1])) + np.repeat(np.arange(1, n + 1) * apart, np.diff(ends))] = raw[keep]
+    # a text's grams begin at the blank before it
+    first = ends[:-1] + np.arange(1, n + 1) * apart - 1
+    last = first + np.diff(ends) + 1
+    code, wide, buckets = np.zeros(len(text), np.uint32), text.astype(np.uint32), []
+    for k in range(1, max(GRAMS) + 1):
+        code = code[: len(text) - k + 1] * np.uint32(0x01000193) + wide[k - 1 :] + np.uint32(k)
+        if k in GRAMS:
+            buckets.append(((code * np.uint32(0x9E3779B1)) >> np.uint32(32 - 15)).astype(np.int32))
+    return buckets, first, last
 
 
 @dataclass
@@ -82,13 +78,12 @@ class Model:
         n, k = len(offsets) - 1, len(self.languages)
         total, count = np.zeros((n, k)), np.zeros(n)
         if data:
-            # grams that run over a text's end touch the next one's leading blank only
-            for buckets, first in zip(*grams(data, offsets), strict=True):
-                if not len(buckets):
-                    continue
+            buckets, first, last = grams(data, offsets)
+            ranges = np.stack([first, last], 1).ravel()
+            for b in buckets:
                 for j in range(k):
-                    total[:, j] += np.add.reduceat(self.table[:, j].take(buckets), first, dtype=np.float64)
-                count += np.diff(np.append(first, len(buckets)))
+                    total[:, j] += np.add.reduceat(self.table[:, j].take(b), ranges, dtype=np.float64)[::2]
+            count += (last - first) * len(buckets)
         logits = (total / np.maximum(count, 1)[:, None] + self.bias) / self.temperature
         e = np.exp(logits - logits.max(1, keepdims=True))
         return e / e.sum(1, keepdims=True)
@@ -99,8 +94,8 @@ def bag(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     out = []
     for t in texts:
         data = t.encode()
-        buckets, _ = grams(data, np.array([0, len(data)])) if data else ([np.zeros(1, np.int32)], None)
-        ids, n = np.unique(np.concatenate(buckets), return_counts=True)
+        buckets, first, last = grams(data, np.array([0, len(data)]))
+        ids, n = np.unique(np.concatenate([b[first[0] : last[0]] for b in buckets]), return_counts=True)
         out.append((ids, (n / n.sum()).astype(np.float32)))
     return out
 
@@ -183,6 +178,7 @@ def training_sample(docs: DataFrame, per_language: int = 600, most_languages: in
     rows = (
         usable.select("lang", "text", draw.alias("draw"))
         .where(F.col("draw") < shares[F.col("lang")])
+        .distinct()
         .orderBy("draw", "lang", "text")
         .limit(per_language * len(counts) * 2)
         .collect()
@@ -206,7 +202,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 names=[*batch.schema.names, "__best", "__score"],
             )
 
-    out = docs.mapInArrow(run, ddl)
+    out = arrow_map(docs, run, ddl)
     known = letters & (F.col("__best") != UND)
     return out.select(
         *docs.columns,
