@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import utf8, written
+from folioscope.llm.common import arrow_map, utf8, written
 
 BASE = ("email", "ip", "card", "phone")
 MORE = ("ssn", "iban", "name")
@@ -196,8 +196,8 @@ def trained(rows: list[tuple[list[int], float]], epochs: int = 30, rate: float =
 
 
 def votes_table(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row for each candidate: kind, its three votes, features and a hash to sample by."""
-    ddl = "kind string, v1 tinyint, v2 tinyint, v3 tinyint, ids array<int>, draw bigint"
+    """One row for each candidate: kind, its three votes and features."""
+    ddl = "kind string, v1 tinyint, v2 tinyint, v3 tinyint, ids array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,10 +206,10 @@ def votes_table(docs: DataFrame, text: str = "text") -> DataFrame:
                 if t:
                     for span in (x for both in candidates(t) for x in both):
                         v, ids = described(t, span)
-                        out.append({"kind": span[0], "v1": v[0], "v2": v[1], "v3": v[2], "ids": ids, "draw": zlib.crc32(t[max(0, span[1] - 20) : span[2]].encode())})
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("kind", pa.string()), ("v1", pa.int8()), ("v2", pa.int8()), ("v3", pa.int8()), ("ids", pa.list_(pa.int32())), ("draw", pa.int64())]))
+                        out.append({"kind": span[0], "v1": v[0], "v2": v[1], "v3": v[2], "ids": ids})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("kind", pa.string()), ("v1", pa.int8()), ("v2", pa.int8()), ("v3", pa.int8()), ("ids", pa.list_(pa.int32()))]))
 
-    return docs.select(F.col(text).cast("string").alias("__text")).mapInArrow(run, ddl)
+    return arrow_map(docs.select(F.col(text).cast("string").alias("__text")), run, ddl)
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> Iterator[str]:
@@ -228,7 +228,12 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
     prior, reliable, post = {}, {}, {}
     for kind, counts in patterns.items():
         prior[kind], reliable[kind], post[kind] = expectation_maximisation(counts)
-    sample = table.orderBy("draw", "kind", "ids").limit(SAMPLE).collect()
+    # unlike candidates only, thinned by a hash before the limit, so that the driver gets
+    # about SAMPLE rows from all tasks together
+    unlike = table.select("kind", "v1", "v2", "v3", "ids").distinct()
+    draw = F.pmod(F.xxhash64("kind", "v1", "v2", "v3", "ids"), F.lit(1 << 30))
+    most = int(min(1.0, 1.1 * SAMPLE / max(unlike.count(), 1)) * (1 << 30))
+    sample = unlike.withColumn("draw", draw).where(F.col("draw") <= most).orderBy("draw", "kind", "ids").limit(SAMPLE).collect()
     rows = [(list(r["ids"]), post[r["kind"]][(r["v1"], r["v2"], r["v3"])]) for r in sample]
     return Model(reliable, prior, trained(rows))
 
@@ -257,7 +262,7 @@ def find(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...
                 names=[*[f.name for f in fields], *(f"n_{k}" for k in BASE), "base_spans", "spans"],
             )
 
-    return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(run, ddl)
+    return arrow_map(docs.select(*keep, F.col(text).cast("string").alias("__text")), run, ddl)
 
 
 def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -286,7 +291,7 @@ def mask(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     new[i] = masked(t, base + more)
             yield batch if new is None else pa.RecordBatch.from_arrays([*batch.columns[:place], pa.array(new, column.type), *batch.columns[place + 1 :]], names=batch.schema.names)
 
-    out = docs.mapInArrow(run, ddl)
+    out = arrow_map(docs, run, ddl)
     if "n_chars" in docs.columns:
         kind = next(f.dataType for f in docs.schema if f.name == "n_chars")
         out = out.withColumn("n_chars", F.length(text).cast(kind))
