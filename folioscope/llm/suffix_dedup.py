@@ -20,6 +20,10 @@ into line:
    are an interval of repeats.
 4. The intervals go back to all occurrences of each segment, and to the texts.
 
+An anchor with more than `MOST` unlike segments would fill a task. Its segments are
+laid out string by string instead, each `length`-byte string its own anchor, and
+counted in a pre-aggregated sum; those that occur twice give the same intervals.
+
 Segments and texts are told apart by 128 bits of hash. Null texts count as empty;
 texts shorter than `length` lose nothing. Repeated rows repeat one another and so
 lose their texts, if long enough; each keeps its output row.
@@ -36,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioscope.llm.common import pieces, worker_state, written
+from folioscope.llm.common import arrow_map, pieces, worker_state, written
 
 LENGTH, ANCHOR = 400, 128
 ODD, INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -44,6 +48,8 @@ CODES = np.random.default_rng(5).integers(0, 1 << 63, 256, dtype=np.int64).astyp
 PLACE = np.uint64(24)
 #: Bytes hashed at once, and strings merged at once unless one anchor has more.
 CHUNK, MERGE = 1 << 20, 6000
+#: Unlike segments of one anchor that a task merges at most.
+MOST = 30_000
 
 
 def mixed(x: np.ndarray, k: int = 0) -> np.ndarray:
@@ -166,25 +172,25 @@ def found_segments(rows: DataFrame, length: int, anchor: int) -> DataFrame:
                     names=names,
                 )
 
-    return rows.select("bytes", "r1", "r2").mapInArrow(run, ddl)
+    return arrow_map(rows.select("bytes", "r1", "r2"), run, ddl)
 
 
 def cut_out(rows: DataFrame) -> DataFrame:
     """Bytes of the wanted segments of each text."""
-    ddl = "anchor bigint, h bigint, n bigint, place smallint, string binary"
+    ddl = "anchor bigint, h bigint, n bigint, place smallint, many boolean, string binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, off in pieces(batches, "bytes", CHUNK):
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for begin, want in zip(off.tolist(), batch.column("want").to_pylist(), strict=False):
                 for w in want:
                     s = begin + w["start"]
-                    for column, v in zip(out, (w["anchor"], w["h"], w["n"], w["place"], data[s : s + w["size"]]), strict=True):
+                    for column, v in zip(out, (w["anchor"], w["h"], w["n"], w["place"], w["many"], data[s : s + w["size"]]), strict=True):
                         column.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=["anchor", "h", "n", "place", "string"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=["anchor", "h", "n", "place", "many", "string"])
 
-    return rows.select("bytes", "want").mapInArrow(run, ddl)
+    return arrow_map(rows.select("bytes", "want"), run, ddl)
 
 
 def merged(strings: DataFrame, length: int, anchor: int) -> DataFrame:
@@ -209,24 +215,36 @@ def merged(strings: DataFrame, length: int, anchor: int) -> DataFrame:
                 if cut >= MERGE // 2:
                     yield done(t.slice(0, cut).combine_chunks())
                     t = t.slice(cut)
-                rest = t.combine_chunks()
+                rest = t
         if rest is not None and rest.num_rows:
-            yield done(rest)
+            yield done(rest.combine_chunks())
+
+    return arrow_map(strings, run, "anchor bigint, h bigint, lo bigint, hi bigint")
+
 
-    return strings.mapInArrow(run, "anchor bigint, h bigint, lo bigint, hi bigint")
+def counted(strings: DataFrame, length: int) -> DataFrame:
+    """(anchor, h, lo, hi) like merged(), for anchors of any size: every string by itself."""
+    rows = strings.select(F.col("string").alias("bytes"), F.col("anchor").alias("r1"), F.col("h").alias("r2"))
+    single = found_segments(rows, length, length)
+    twice = single.groupBy("anchor", "h").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "h")
+    return single.join(twice, ["anchor", "h"]).groupBy(F.col("r1").alias("anchor"), F.col("r2").alias("h")).agg(F.min("start").alias("lo"), F.max(F.col("start") + F.col("size")).alias("hi"))
 
 
-def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, anchor: int = ANCHOR) -> tuple[DataFrame, DataFrame]:
+def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, anchor: int = ANCHOR, most: int = MOST) -> tuple[DataFrame, DataFrame]:
     """(rows with keys r1 and r2, spans to remove by r1 and r2 as a set of (lo, hi))."""
     rows = keyed(docs, text)
     found = written(found_segments(rows, length, anchor))
     unlike = found.groupBy("anchor", "h").agg(F.count("*").alias("n"), F.min(F.struct("r1", "r2", "start")).alias("at"), F.first("size").alias("size"), F.first("place").alias("place"))
     unlike = unlike.withColumn("others", F.count("*").over(Window.partitionBy("anchor"))).where("n > 1 or others > 1")
     unlike = written(unlike.select("anchor", "h", "n", "at.r1", "at.r2", "at.start", "size", "place", "others"))
-    want = unlike.where("others > 1").groupBy("r1", "r2").agg(F.collect_list(F.struct("start", "size", "place", "anchor", "h", "n")).alias("want"))
+    want = unlike.where("others > 1").groupBy("r1", "r2").agg(F.collect_list(F.struct("start", "size", "place", "anchor", "h", "n", (F.col("others") > most).alias("many"))).alias("want"))
     strings = cut_out(rows.join(want.hint("shuffle_hash"), ["r1", "r2"]))
-    strings = strings.repartition("anchor").sortWithinPartitions("anchor", "h")
-    part = merged(strings, length, anchor).groupBy("anchor", "h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    many = unlike.where(F.col("others") > most).limit(1).count() > 0
+    strings = written(strings) if many else strings
+    few = strings.where("not many").repartition("anchor").sortWithinPartitions("anchor", "h")
+    part = merged(few, length, anchor)
+    part = part.unionByName(counted(strings.where("many"), length)) if many else part
+    part = part.groupBy("anchor", "h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     whole = unlike.where("n > 1").select("anchor", "h", F.lit(0).cast("bigint").alias("lo"), F.col("size").cast("bigint").alias("hi"))
     verdicts = part.unionByName(whole)
     spans = found.join(verdicts, ["anchor", "h"]).select("r1", "r2", F.struct((F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi")).alias("span"))
@@ -243,9 +261,9 @@ def united(spans: list[dict] | None) -> list[tuple[int, int]]:
     return out
 
 
-def remaining(docs: DataFrame, text: str = "text", length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+def remaining(docs: DataFrame, text: str = "text", length: int = LENGTH, anchor: int = ANCHOR, most: int = MOST) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (binary: the remaining bytes), a row for each row."""
-    rows, spans = repeated_spans(docs, text, length, anchor)
+    rows, spans = repeated_spans(docs, text, length, anchor, most)
     kind = next(f.dataType.simpleString() for f in docs.schema if f.name == "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +283,7 @@ def remaining(docs: DataFrame, text: str = "text", length: int = LENGTH, anchor:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     both = rows.join(spans.hint("shuffle_hash"), ["r1", "r2"], "left").select("doc_id", "bytes", "spans")
-    return both.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    return arrow_map(both, run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
 def digests(docs: DataFrame) -> DataFrame:

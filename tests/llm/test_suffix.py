@@ -31,8 +31,9 @@ def test_against_brute_force(spark):
                 t += b[i : rng.randint(i, len(b))] if rng.random() < 0.8 else bytes(rng.choice(alphabet) for _ in range(7))
             texts.append(t)
         rows = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id long, text string")
-        got = [(r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in S.remaining(rows, length=n, anchor=a).orderBy("doc_id").collect()]
-        assert got == plain(texts, n)
+        for most in (S.MOST, 2):
+            got = [(r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in S.remaining(rows, length=n, anchor=a, most=most).orderBy("doc_id").collect()]
+            assert got == plain(texts, n)
 
 
 def test_long_repeats_and_odd_rows(spark):
