@@ -18,6 +18,10 @@ A cell with many members (a large group of near copies) is cut into blocks that
 meet pairwise in tasks of bounded size, and a task returns a spanning forest of
 its links, never all pairs.
 
+one_of_each() groups texts by their similarity: more fingerprints of the same
+shingles and a wider radius find candidates by the same tables, and the shingle sets
+of the closest pairs decide.
+
 Null and empty texts have fingerprint zero and link like any other. Repeated rows
 keep one output row each.
 """
@@ -34,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioscope.llm.common import utf8, written
+from folioscope.llm.common import arrow_map, utf8, written
 from folioscope.llm.graph import components
 
 RADIUS = 4
@@ -43,53 +47,73 @@ CELL = 512
 PIVOTS = np.array([0, *(xxhash.xxh64_intdigest(f"pivot {i}".encode()) for i in range(23))], np.uint64)
 
 
-def fingerprint(text: bytes, words: int = 4) -> int:
-    """SimHash of the ASCII-lower-cased word shingles, as an unsigned integer."""
+def shingle_hashes(text: bytes, words: int) -> np.ndarray:
+    """XXH64 of the ASCII-lower-cased word shingles, repeats included; the whole sequence if shorter."""
     parts = text.lower().split()
     if not parts:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(parts)
-    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     if len(parts) < words:
         shingles = [joined]
     else:
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
         starts = [0, *(ends[: len(parts) - words] + 1).tolist()]
         shingles = map(joined.__getitem__, map(slice, starts, ends[words - 1 :].tolist()))
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(s, 42) for s in shingles], np.uint64)
+    return np.array([digest(s, 42) for s in shingles], np.uint64)
+
+
+def simhash(h: np.ndarray) -> int:
+    """Bits that are set in over half of the hashes; 0 of none."""
     ones = np.zeros(64, np.int64)
     for k in range(0, len(h), 1 << 16):
         ones += np.unpackbits(h[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", words: int = 4, keep: tuple[str, ...] = ("doc_id",), name: str = "fp") -> DataFrame:
-    """`keep` columns and the fingerprint as a signed long."""
+def fingerprint(text: bytes, words: int = 4) -> int:
+    return simhash(shingle_hashes(text, words))
+
+
+def stirred(h: np.ndarray, k: int) -> np.ndarray:
+    """Another hash of the same shingles; the same one for k = 0."""
+    if not k:
+        return h
+    x = (h ^ np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+def fingerprints(docs: DataFrame, text: str = "text", words: int = 4, keep: tuple[str, ...] = ("doc_id",), number: int = 1) -> DataFrame:
+    """`keep` columns and `fp`, the fingerprint as a signed long; with `number` over one,
+    also fp1, fp2 and so on, of other hashes of the shingles."""
     fields = [f for f in docs.schema if f.name in keep]
-    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + f"`{name}` bigint"
+    names = ["fp", *(f"fp{k}" for k in range(1, number))]
+    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), *(f"{n} bigint" for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = utf8(batch.column("__text"))
             cuts = off.tolist()
-            fp = np.array([fingerprint(data[a:b], words) for a, b in zip(cuts, cuts[1:], strict=False)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], pa.array(fp)], names=[*[f.name for f in fields], name])
+            hashes = (shingle_hashes(data[a:b], words) for a, b in zip(cuts, cuts[1:], strict=False))
+            fps = np.array([[simhash(stirred(h, k)) for k in range(number)] for h in hashes], np.uint64).reshape(-1, number).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], *[pa.array(np.ascontiguousarray(fps[:, k])) for k in range(number)]], names=[*[f.name for f in fields], *names])
 
-    return docs.select(*keep, F.col(text).cast("string").alias("__text")).mapInArrow(run, ddl)
+    return arrow_map(docs.select(*keep, F.col(text).cast("string").alias("__text")), run, ddl)
 
 
 def blocks_for(n: int, radius: int = RADIUS) -> int:
-    """Fewest blocks whose cells hold about one fingerprint by chance, between radius + 2 and radius + 6."""
-    return next((b for b in range(radius + 2, radius + 6) if n <= 2 ** (64 * (b - radius) / b)), radius + 6)
+    """Fewest blocks, from radius + 2 to radius + 6, whose cells hold 16 fingerprints by chance at most."""
+    return next((b for b in range(radius + 2, radius + 6) if n <= 16 * 2 ** (64 * (b - radius) / b)), radius + 6)
 
 
 def cells(distinct: DataFrame, blocks: int, radius: int = RADIUS) -> DataFrame:
-    """(fp, cell): one row for each table and fingerprint; cells with one member are left out."""
+    """(node, fp, i, key, n): one row for each table and fingerprint; cells with one member are left out."""
     edges = [round(64 * i / blocks) for i in range(blocks + 1)]
     masks = [sum(((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in equal) for equal in itertools.combinations(range(blocks), blocks - radius)]
     signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
     tables = F.array(*[F.struct(F.lit(i).cast("smallint").alias("i"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)])
-    rows = distinct.select("fp", F.explode(tables).alias("cell")).select("fp", "cell.i", "cell.key")
+    rows = distinct.select("node", "fp", F.explode(tables).alias("cell")).select("node", "fp", "cell.i", "cell.key")
     return rows.withColumn("n", F.count("*").over(Window.partitionBy("i", "key"))).where("n > 1")
 
 
@@ -97,16 +121,8 @@ def linked(group: np.ndarray, fps: np.ndarray, pivots: np.ndarray, radius: int,
     """A spanning forest of the links within each group of a sorted array; also how
     many pairs the pivots left to verify. With `side`, rows of unlike sides only."""
     n = len(fps)
-    root = np.arange(n)
     coords = np.bitwise_count(fps[:, None] ^ pivots[None, :]).astype(np.int8)
-    left, right, survivors = [], [], 0
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return int(x)
-
+    pairs, survivors = [], 0
     alive = np.arange(n - 1)
     shift = 1
     while len(alive):
@@ -120,20 +136,33 @@ def linked(group: np.ndarray, fps: np.ndarray, pivots: np.ndarray, radius: int,
             near = np.abs(coords[i, k] - coords[j, k]) <= radius
             i, j = i[near], j[near]
         survivors += len(i)
-        close = np.bitwise_count(fps[i] ^ fps[j]) <= radius
-        i, j = i[close], j[close]
-        for x, y in zip(i.tolist(), j.tolist(), strict=True):
-            a, b = find(x), find(y)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                left.append(x)
-                right.append(y)
+        bits = np.bitwise_count(fps[i] ^ fps[j])
+        close = bits <= radius
+        pairs.append(np.stack([bits[close].astype(np.int64), i[close], j[close]]))
         shift += 1
+    root = list(range(n))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    left, right = [], []
+    found = np.concatenate(pairs, 1) if pairs else np.zeros((3, 0), np.int64)
+    # the closest pairs first, so that the forest holds the surest links
+    for x, y in found[1:, np.argsort(found[0], kind="stable")].T.tolist():
+        a, b = find(x), find(y)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            left.append(x)
+            right.append(y)
     return np.array(left, np.int64), np.array(right, np.int64), survivors
 
 
 def links(distinct: DataFrame, blocks: int | None = None, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
-    """(a, b): fingerprints within the radius, as forests that connect what all such pairs connect."""
+    """(a, b): nodes whose fingerprints are within the radius, as forests of the closest pairs
+    that connect what all such pairs connect. `distinct` has unlike rows of (node, fp)."""
     blocks = blocks or blocks_for(distinct.count(), radius)
     rows = cells(distinct, blocks, radius)
     # large cells: blocks of about `cell` members meet pairwise
@@ -141,7 +170,7 @@ def links(distinct: DataFrame, blocks: int | None = None, radius: int = RADIUS,
     own = F.pmod(F.xxhash64(F.lit("block"), "fp"), parts).cast("int")
     rows = rows.withColumn("parts", parts).withColumn("own", own)
     meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, F.col("own")).alias("p"), F.greatest(k, F.col("own")).alias("q")))
-    rows = rows.select("fp", "i", "key", "own", F.explode(meets).alias("m")).select("fp", "i", "key", "m.p", "m.q", F.when(F.col("m.p") == F.col("m.q"), -1).otherwise(F.col("own")).alias("side"))
+    rows = rows.select("node", "fp", "i", "key", "own", F.explode(meets).alias("m")).select("node", "fp", "i", "key", "m.p", "m.q", F.when(F.col("m.p") == F.col("m.q"), -1).otherwise(F.col("own")).alias("side"))
     rows = rows.repartition("i", "key", "p", "q").sortWithinPartitions("i", "key", "p", "q", "fp")
     pivots = PIVOTS
 
@@ -157,8 +186,8 @@ def links(distinct: DataFrame, blocks: int | None = None, radius: int = RADIUS,
             mixed = np.where(side < 0, np.arange(len(side)) + 2, side % 2 if len(side) else side)
             mixed = np.where(side < 0, mixed, np.where(side == t.column("p").to_numpy(), 0, 1))
             i, j, _ = linked(group, fps, pivots, radius, mixed)
-            signed = fps.view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(signed[i]), pa.array(signed[j])], names=["a", "b"])
+            nodes = t.column("node").to_numpy()
+            return pa.RecordBatch.from_arrays([pa.array(nodes[i]), pa.array(nodes[j])], names=["a", "b"])
 
         for batch in batches:
             t = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])]).combine_chunks()
@@ -172,12 +201,12 @@ def links(distinct: DataFrame, blocks: int | None = None, radius: int = RADIUS,
         if rest is not None and rest.num_rows:
             yield found(rest)
 
-    return rows.mapInArrow(run, "a bigint, b bigint")
+    return arrow_map(rows, run, "a bigint, b bigint")
 
 
 def classes(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, root): the component of every fingerprint that has a link."""
-    distinct = fps.select("fp").distinct()
+    distinct = fps.select(F.col("fp").alias("node"), "fp").distinct()
     return components(links(distinct, radius=radius)).select(F.col("node").alias("fp"), "root")
 
 
@@ -193,17 +222,59 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 4, radius:
     return fps.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, text: str = "text", words: int = 5, radius: int = RADIUS) -> DataFrame:
-    """Rows of docs, one for each component: that of the smallest doc_id (null ids
-    last), then the smallest hash of its text. Same columns."""
-    keyed = docs.withColumn("__h", F.xxhash64(text))
-    fps = written(fingerprints(keyed, text, words, keep=("doc_id", "__h")))
-    roots = classes(fps, radius)
-    labelled = fps.join(roots, "fp", "left").select(F.coalesce("root", "fp").alias("root"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__h").alias("who"))
-    kept = labelled.groupBy("root").agg(F.min("who").alias("who")).select(F.col("who.doc_id").alias("__id"), F.col("who.__h").alias("__hash"))
-    kept = kept.groupBy("__id", "__hash").agg(F.lit(1).alias("__one"))
-    # repeated rows agree in id and text; one of them stays
-    same = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("__h").eqNullSafe(F.col("__hash")), "left_semi")
-    return same.dropDuplicates(["doc_id", "__h"]).drop("__h")
+#: For groups by similarity: words a shingle, least similarity, fingerprints a text and their radius.
+WORDS, SIMILAR, PRINTS, WIDE = 5, 0.8, 3, 6
 
 
+def shingle_sets(docs: DataFrame, text: str, words: int, keep: tuple[str, ...]) -> DataFrame:
+    """`keep` columns and the set of shingle hashes."""
+    fields = [f for f in docs.schema if f.name in keep]
+    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + "shingles array<bigint>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = utf8(batch.column("__text"))
+            cuts = off.tolist()
+            sets = [np.unique(shingle_hashes(data[a:b], words)).view(np.int64) for a, b in zip(cuts, cuts[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], pa.array(sets, pa.list_(pa.int64()))], names=[*[f.name for f in fields], "shingles"])
+
+    return arrow_map(docs.select(*keep, F.col(text).cast("string").alias("__text")), run, ddl)
+
+
+def similar(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) whose shingle sets (node, shingles) are that similar by Jaccard; two empty sets are."""
+    a, b = (sets.select(F.col("node").alias(n), F.col("shingles").alias(f"s{n}")) for n in ("a", "b"))
+    both = edges.join(a, "a").join(b, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
+    union = F.size("sa") + F.size("sb") - F.col("common")
+    return both.where((union == 0) | (F.col("common") >= similarity * union)).select("a", "b")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILAR, number: int = PRINTS, radius: int = WIDE) -> DataFrame:
+    """Rows of docs, one for each group of near-duplicates: that of the smallest doc_id (null
+    ids last), then the smallest hash of its text. Same columns.
+
+    Texts link if one of their `number` fingerprints is within the radius and their sets
+    of `words`-word shingles are `similarity` similar; equal first fingerprints count as
+    copies. Of the pairs within the radius the closest that connect them are verified. A
+    pair at the very threshold differs in about ten of 64 bits and may be missed, one
+    at 0.95 hardly ever is.
+    """
+    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    own = {"__r1": F.xxhash64(F.lit(1), t, "doc_id"), "__r2": F.xxhash64(F.lit("second"), t, "doc_id")}
+    keyed = docs.withColumns(own)
+    fps = written(fingerprints(keyed, text, words, ("doc_id", "__r1", "__r2"), number))
+    blocks = blocks_for(fps.select("fp").distinct().count(), radius)
+    edges = None
+    for k in range(number):
+        one = links(fps.select(F.col("fp").alias("node"), F.col(f"fp{k}" if k else "fp").alias("fp")).distinct(), blocks, radius)
+        edges = one if edges is None else edges.unionByName(one)
+    edges = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    # a text for each fingerprint that has a link
+    who = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__r1", "__r2")
+    ends = edges.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    shown = fps.join(ends, "fp", "left_semi").groupBy("fp").agg(F.min(who).alias("who")).select(F.col("fp").alias("node"), "who.__r1", "who.__r2")
+    sets = shingle_sets(keyed.select("__r1", "__r2", text).join(shown.hint("shuffle_hash"), ["__r1", "__r2"]).select("node", text), text, words, ("node",)).dropDuplicates(["node"])
+    roots = components(similar(edges, written(sets), similarity)).select(F.col("node").alias("fp"), "root")
+    kept = fps.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(who).alias("who")).select("who.__r1", "who.__r2")
+    # repeated rows agree in id and text; one of them stays
+    return keyed.join(kept.hint("shuffle_hash"), ["__r1", "__r2"], "left_semi").dropDuplicates(["__r1", "__r2"]).drop(*own)
