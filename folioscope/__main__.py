@@ -22,7 +22,7 @@ def main() -> None:
     samples.add_argument("corrections")
     samples.add_argument("out")
     samples.add_argument("--prompt", default="")
-    rebuild = commands.add_parser("rebuild", help="Markdown to DOCX or VSDX")
+    rebuild = commands.add_parser("rebuild", help="Markdown to DOCX, PDF or VSDX")
     rebuild.add_argument("markdown")
     rebuild.add_argument("out")
     a = parser.parse_args()
@@ -41,10 +41,10 @@ def main() -> None:
         build(ledger.read(spark, a.corrections, ledger.CORRECTION), a.prompt).write.mode("overwrite").json(a.out)
     else:
         from folioscope.operators.segment import blocks, joined_links
-        from folioscope.sinks import drawings, word
+        from folioscope.sinks import drawings, pdf, word
 
         rows = spark.read.text(a.markdown, wholetext=True).select(F.lit(a.out).alias("file"), blocks(joined_links(F.col("value"))).alias("blocks"))
-        made = word.written(rows) if a.out.endswith(".docx") else drawings.drawn(rows)
+        made = {"docx": word.written, "pdf": pdf.written}.get(a.out.rpartition(".")[2], drawings.drawn)(rows)
         with open(a.out, "wb") as f:
             f.write(made.first()["content"])
 

@@ -81,3 +81,25 @@ def image_cm(width_px: Column, height_px: Column, bbox: Column | None = None, ar
     fitted = F.struct(F.when(ratio > w / h, w).otherwise(h * ratio).alias("width"), F.when(ratio > w / h, w / ratio).otherwise(h).alias("height"))
     usable = F.coalesce((F.size(bbox) == 4) & (F.get(bbox, 2) > F.get(bbox, 0)) & (F.get(bbox, 3) > F.get(bbox, 1)), F.lit(False))
     return F.when(known & usable, fitted).when(known, natural)
+
+
+def fitted(width: Column, height: Column, most_width: Column, most_height: Column) -> Column:
+    """(width, height) scaled into a box at their own ratio; the box itself if they are not positive."""
+    scale = F.least(most_width / width, most_height / height)
+    whole = F.struct(most_width.cast("double").alias("width"), most_height.cast("double").alias("height"))
+    return F.when((width > 0) & (height > 0), F.struct((width * scale).alias("width"), (height * scale).alias("height"))).otherwise(whole)
+
+
+def on_sheet(index: Column, count: Column, width: Column, height: Column, cell_width: Column, cell_height: Column, columns: Column | None = None) -> Column:
+    """(left, bottom, width, height) of the index-th (from 0) of `count` pictures tiled on one
+    sheet of equal cells, row by row from the top, each centred in its cell."""
+    across = F.greatest(F.lit(1), F.floor(F.sqrt(count) + 0.999)) if columns is None else F.greatest(F.lit(1), columns)
+    down = F.greatest(F.lit(1), F.floor(count / across + 0.999))
+    row, column = F.floor(index / across), index % across
+
+    def placed(s: Column) -> Column:
+        left = column * cell_width + (cell_width - s["width"]) / 2
+        bottom = (down - row - 1) * cell_height + (cell_height - s["height"]) / 2
+        return F.struct(left.alias("left"), bottom.alias("bottom"), s["width"].alias("width"), s["height"].alias("height"))
+
+    return bound(fitted(width, height, cell_width, cell_height), placed)

@@ -538,6 +538,30 @@ def image_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", size.alias("s")).select("p_partkey", F.round(F.col("s.width") * 1000).cast("long").alias("width"), F.round(F.col("s.height") * 1000).cast("long").alias("height"))
 
 
+@query(r"""
+WITH a AS (SELECT p_partkey % 12 AS i, p_size AS w, p_partkey % 40 + 1 AS h, p_partkey FROM part),
+f AS (SELECT *, least(6.0 / w, 4.0 / h) AS k FROM a)
+SELECT p_partkey, CAST(round((i % 4 * 6 + (6 - w * k) / 2) * 1000) AS BIGINT) AS "left", CAST(round(((3 - i // 4 - 1) * 4 + (4 - h * k) / 2) * 1000) AS BIGINT) AS bottom,
+       CAST(round(w * k * 1000) AS BIGINT) AS width, CAST(round(h * k * 1000) AS BIGINT) AS height FROM f""")
+def sheet_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = layout.on_sheet(F.col("p_partkey") % 12, F.lit(12), F.col("p_size"), F.col("p_partkey") % 40 + 1, F.lit(6), F.lit(4))
+    milli = lambda c: F.round(F.col(f"s.{c}") * 1000).cast("long").alias(c)
+    return read(spark, sf_dir, "part").select("p_partkey", place.alias("s")).select("p_partkey", *[milli(c) for c in ("left", "bottom", "width", "height")])
+
+
+@query(r"""
+SELECT p_partkey, CASE WHEN p_partkey % 5 < 3 THEN p_size END AS width FROM part""")
+def region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioscope.plans.extraction import with_regions
+
+    parts = read(spark, sf_dir, "part")
+    name = F.concat(F.col("p_partkey").cast("string"), F.lit(".png"))
+    links = parts.select("p_partkey", F.concat(F.lit("images/"), name).alias("path"))
+    known = parts.where("p_partkey % 5 < 3").select(name.alias("name"), F.explode(F.array(*[F.struct(F.lit(i).alias("position"), F.array(F.col("p_size") * i).alias("bbox")) for i in (0, 1)])).alias("r"))
+    found = with_regions(links, known.select("name", "r.position", "r.bbox"))
+    return found.select("p_partkey", F.get("bbox", F.lit(0)).alias("width"))
+
+
 @query(r"""
 SELECT p_partkey, CASE WHEN p_partkey % 3 <> 0 AND p_size > 0 THEN CAST(p_size AS DOUBLE) END AS width, CASE WHEN p_partkey % 3 <> 0 AND p_size > 0 THEN p_size + 0.5 END AS height FROM part""")
 def page_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioscope.plans import model
-from folioscope.sinks import drawings, ledger, texts, word
+from folioscope.plans import extraction, model
+from folioscope.sinks import drawings, ledger, pdf, texts, word
 from folioscope.sources import archives, files, html, images, ooxml
 from folioscope.streaming import watch
 
@@ -45,6 +45,49 @@ def test_drawing():
     assert any("no shapes" in p for p in drawings.problems(drawings.package([[]])))
 
 
+def test_drawing_summary():
+    pages = drawings.laid_out(BLOCKS)
+    found = drawings.summary(drawings.package(pages))
+    assert found["pages"] == len(pages) and found["shapes"] == sum(map(len, pages)) == found["texts"]
+
+
+def test_pdf():
+    content = pdf.package([{"kind": "paragraph", "level": 0, "text": "plain (text) " * 900, "rows": [], "items": []}, *BLOCKS[2:]])
+    assert content.startswith(b"%PDF-1.4") and content.count(b"/Type /Page ") > 1
+    table = int(content.rsplit(b"startxref\n", 1)[1].split()[0])
+    assert content[table : table + 4] == b"xref"
+    import re
+    import zlib
+
+    streams = [zlib.decompress(x) for x in re.findall(rb"stream\n(.*?)\nendstream", content, re.DOTALL)]
+    assert rb"plain \(text\) plain" in streams[0]
+
+
+def test_entities_from_a_model(spark):
+    def post(url, payload):
+        text = payload["messages"][1]["content"]
+        if "fail" in text:
+            return 400, "bad"
+        found = [{"type": "date", "value": "12.05.2026", "evidence": "12.05.2026", "confidence": 0.9}, {"type": "date", "value": " 12.05.2026", "confidence": 0.9}, {"type": "x", "value": ""}, {"type": "y", "value": "z", "confidence": 0.1}]
+        return 200, "<thinking>hm</thinking>```json\n" + json.dumps({"entities": found}) + "\n```"
+
+    body = "<!-- page 3 -->\n\nSigned on 12.05.2026 in town.\n\n" + "word " * 20
+    rows = spark.createDataFrame([("a", body, "other"), ("b", "fail", "other")], "file string, text string, document_type string")
+    system = extraction.prompt([("date", "a day")], "ttz", "feedback")
+    assert "- date: a day" in system and system.endswith("feedback")
+    got = extraction.extracted(rows, ["u"], system, post, limit=60).collect()
+    assert [(r["file"], r["record"]["type"], r["record"]["normalized_value"], r["record"]["page"], r["record"]["confidence"]) for r in got] == [("a", "date", "2026-05-12", 3, 0.9)]
+    notes = extraction.annotated(rows, ["u"], lambda u, p: (200, "```\nshort\n```")).collect()
+    assert {r["file"]: r["annotation"] for r in notes} == {"a": "short", "b": "short"}
+
+
+def test_layout_reply(spark):
+    reply = '{"blocks": [{"type": "heading", "level": 9, "text": " A "}, {"type": "odd"}, {"type": "list", "items": ["x"]}, {"type": "image", "caption": "c"}]}'
+    got = spark.createDataFrame([(reply,), ("bad",)], "r string").select(extraction.layout_blocks(F.col("r"))).collect()
+    assert [(b["kind"], b["level"], b["text"]) for b in got[0][0]] == [("heading", 6, "A"), ("list", 1, ""), ("paragraph", 1, "[c]")]
+    assert got[1][0] == []
+
+
 def slides() -> bytes:
     p, a, r = ooxml.P[1:-1], ooxml.A[1:-1], ooxml.R[1:-1]
     slide = f'<p:sld xmlns:p="{p}" xmlns:a="{a}"><p:cSld><p:spTree><p:sp><p:txBody><a:p><a:r><a:t>1.2 Title</a:t></a:r></a:p></p:txBody></p:sp><p:sp><p:txBody><a:p><a:r><a:t>body</a:t></a:r></a:p></p:txBody></p:sp></p:spTree></p:cSld></p:sld>'
