@@ -269,12 +269,13 @@ def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similar
         one = links(fps.select(F.col("fp").alias("node"), F.col(f"fp{k}" if k else "fp").alias("fp")).distinct(), blocks, radius)
         edges = one if edges is None else edges.unionByName(one)
     edges = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
-    # a text for each fingerprint that has a link
+    # a text for each fingerprint, by a pre-aggregated minimum: copies go before any join
     who = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__r1", "__r2")
+    first = written(fps.groupBy("fp").agg(F.min(who).alias("who")))
     ends = edges.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    shown = fps.join(ends, "fp", "left_semi").groupBy("fp").agg(F.min(who).alias("who")).select(F.col("fp").alias("node"), "who.__r1", "who.__r2")
+    shown = first.join(ends, "fp", "left_semi").select(F.col("fp").alias("node"), "who.__r1", "who.__r2")
     sets = shingle_sets(keyed.select("__r1", "__r2", text).join(shown.hint("shuffle_hash"), ["__r1", "__r2"]).select("node", text), text, words, ("node",)).dropDuplicates(["node"])
     roots = components(similar(edges, written(sets), similarity)).select(F.col("node").alias("fp"), "root")
-    kept = fps.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(who).alias("who")).select("who.__r1", "who.__r2")
+    kept = first.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("who").alias("who")).select("who.__r1", "who.__r2")
     # repeated rows agree in id and text; one of them stays
     return keyed.join(kept.hint("shuffle_hash"), ["__r1", "__r2"], "left_semi").dropDuplicates(["__r1", "__r2"]).drop(*own)
