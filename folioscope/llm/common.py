@@ -41,6 +41,13 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def swept(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished work: they go once nothing refers to them
+    and the driver's JVM has collected, which on a large heap may be late."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def worker_state() -> types.ModuleType:
     """A namespace that lives as long as the Python worker does, for caches."""
     return sys.modules.setdefault("_worker_state", types.ModuleType("_worker_state"))

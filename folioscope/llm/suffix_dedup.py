@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioscope.llm.common import arrow_map, pieces, worker_state, written
+from folioscope.llm.common import arrow_map, pieces, swept, worker_state, written
 
 LENGTH, ANCHOR = 400, 128
 ODD, INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -237,6 +237,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, an
     unlike = found.groupBy("anchor", "h").agg(F.count("*").alias("n"), F.min(F.struct("r1", "r2", "start")).alias("at"), F.first("size").alias("size"), F.first("place").alias("place"))
     unlike = unlike.withColumn("others", F.count("*").over(Window.partitionBy("anchor"))).where("n > 1 or others > 1")
     unlike = written(unlike.select("anchor", "h", "n", "at.r1", "at.r2", "at.start", "size", "place", "others"))
+    swept(docs.sparkSession)  # the counts' shuffles, before texts are shuffled
     want = unlike.where("others > 1").groupBy("r1", "r2").agg(F.collect_list(F.struct("start", "size", "place", "anchor", "h", "n", (F.col("others") > most).alias("many"))).alias("want"))
     strings = cut_out(rows.join(want.hint("shuffle_hash"), ["r1", "r2"]))
     many = unlike.where(F.col("others") > most).limit(1).count() > 0
@@ -246,7 +247,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, an
     part = part.unionByName(counted(strings.where("many"), length)) if many else part
     part = part.groupBy("anchor", "h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     whole = unlike.where("n > 1").select("anchor", "h", F.lit(0).cast("bigint").alias("lo"), F.col("size").cast("bigint").alias("hi"))
-    verdicts = part.unionByName(whole)
+    verdicts = written(part.unionByName(whole))
+    swept(docs.sparkSession)  # the texts' first shuffle, before their second
     spans = found.join(verdicts, ["anchor", "h"]).select("r1", "r2", F.struct((F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi")).alias("span"))
     return rows, spans.groupBy("r1", "r2").agg(F.collect_set("span").alias("spans"))
 
