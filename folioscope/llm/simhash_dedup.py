@@ -18,9 +18,9 @@ A cell with many members (a large group of near copies) is cut into blocks that
 meet pairwise in tasks of bounded size, and a task returns a spanning forest of
 its links, never all pairs.
 
-one_of_each() groups texts by their similarity: more fingerprints of the same
-shingles and a wider radius find candidates by the same tables, and the shingle sets
-of the closest pairs decide.
+one_of_each() groups texts by their similarity, at which SimHash fingerprints differ in
+too many bits for tables. Bands of least hashes (MinHash) of the same shingles find
+candidates, and their shingle sets decide.
 
 Null and empty texts have fingerprint zero and link like any other. Repeated rows
 keep one output row each.
@@ -28,6 +28,7 @@ keep one output row each.
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 
@@ -117,6 +118,26 @@ def cells(distinct: DataFrame, blocks: int, radius: int = RADIUS) -> DataFrame:
     return rows.withColumn("n", F.count("*").over(Window.partitionBy("i", "key"))).where("n > 1")
 
 
+def spanning(n: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of links between n items; earlier links are preferred."""
+    root = list(range(n))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    x_out, y_out = [], []
+    for x, y in zip(left.tolist(), right.tolist(), strict=True):
+        a, b = find(x), find(y)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            x_out.append(x)
+            y_out.append(y)
+    return np.array(x_out, np.int64), np.array(y_out, np.int64)
+
+
 def linked(group: np.ndarray, fps: np.ndarray, pivots: np.ndarray, radius: int, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """A spanning forest of the links within each group of a sorted array; also how
     many pairs the pivots left to verify. With `side`, rows of unlike sides only."""
@@ -140,24 +161,10 @@ def linked(group: np.ndarray, fps: np.ndarray, pivots: np.ndarray, radius: int,
         close = bits <= radius
         pairs.append(np.stack([bits[close].astype(np.int64), i[close], j[close]]))
         shift += 1
-    root = list(range(n))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    left, right = [], []
     found = np.concatenate(pairs, 1) if pairs else np.zeros((3, 0), np.int64)
     # the closest pairs first, so that the forest holds the surest links
-    for x, y in found[1:, np.argsort(found[0], kind="stable")].T.tolist():
-        a, b = find(x), find(y)
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            left.append(x)
-            right.append(y)
-    return np.array(left, np.int64), np.array(right, np.int64), survivors
+    order = np.argsort(found[0], kind="stable")
+    return *spanning(n, found[1][order], found[2][order]), survivors
 
 
 def links(distinct: DataFrame, blocks: int | None = None, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
@@ -222,8 +229,54 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 4, radius:
     return fps.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: For groups by similarity: words a shingle, least similarity, fingerprints a text and their radius.
-WORDS, SIMILAR, PRINTS, WIDE = 5, 0.8, 3, 6
+#: For groups by similarity: words a shingle, least similarity, bands and minima a band. A pair
+#: of similarity s shares no band by a chance of (1 - s ** MINIMA) ** BANDS: 3e-6 at 0.8.
+WORDS, SIMILAR, BANDS, MINIMA = 5, 0.8, 24, 4
+
+
+def odd(name: str, n: int) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(f"{name} {i}".encode()) | 1 for i in range(n)], np.uint64)
+
+
+def band_keys(h: np.ndarray, bands: int, minima: int) -> np.ndarray:
+    """A hash of each band's minima, by a factor each, over the shingle hashes; none of none."""
+    if not len(h):
+        return np.zeros(0, np.int64)
+    factors = odd_factors(bands * minima)
+    least = np.full(bands * minima, (1 << 64) - 1, np.uint64)
+    for k in range(0, len(h), 4096):
+        least = np.minimum(least, (h[k : k + 4096] * factors[:, None]).min(1))
+    keys = (least ^ least >> np.uint64(29)) * odd_mixers(bands * minima)
+    return (keys.reshape(bands, minima).sum(1, dtype=np.uint64)).view(np.int64)
+
+
+@functools.cache
+def odd_factors(n: int) -> np.ndarray:
+    return odd("factor", n)
+
+
+@functools.cache
+def odd_mixers(n: int) -> np.ndarray:
+    return odd("mixer", n)
+
+
+def sketches(docs: DataFrame, text: str, words: int, keep: tuple[str, ...], bands: int, minima: int) -> DataFrame:
+    """`keep` columns, `node`, the fingerprint, and `bands`, its band keys."""
+    fields = [f for f in docs.schema if f.name in keep]
+    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + "node bigint, bands array<bigint>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = utf8(batch.column("__text"))
+            cuts = off.tolist()
+            nodes, keys = [], []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                h = shingle_hashes(data[a:b], words)
+                nodes.append(simhash(h))
+                keys.append(band_keys(h, bands, minima))
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], names=[*[f.name for f in fields], "node", "bands"])
+
+    return arrow_map(docs.select(*keep, F.col(text).cast("string").alias("__text")), run, ddl)
 
 
 def shingle_sets(docs: DataFrame, text: str, words: int, keep: tuple[str, ...]) -> DataFrame:
@@ -249,33 +302,30 @@ def similar(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where((union == 0) | (F.col("common") >= similarity * union)).select("a", "b")
 
 
-def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILAR, number: int = PRINTS, radius: int = WIDE) -> DataFrame:
+def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILAR, bands: int = BANDS, minima: int = MINIMA) -> DataFrame:
     """Rows of docs, one for each group of near-duplicates: that of the smallest doc_id (null
     ids last), then the smallest hash of its text. Same columns.
 
-    Texts link if one of their `number` fingerprints is within the radius and their sets
-    of `words`-word shingles are `similarity` similar; equal first fingerprints count as
-    copies. Of the pairs within the radius the closest that connect them are verified. A
-    pair at the very threshold differs in about ten of 64 bits and may be missed, one
-    at 0.95 hardly ever is.
+    Texts link if their sets of `words`-word shingles are `similarity` similar. Equal
+    fingerprints count as copies. Sets that agree in one of `bands` bands of `minima` least
+    hashes share a cell; each set is verified against its cell's smallest.
     """
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     own = {"__r1": F.xxhash64(F.lit(1), t, "doc_id"), "__r2": F.xxhash64(F.lit("second"), t, "doc_id")}
     keyed = docs.withColumns(own)
-    fps = written(fingerprints(keyed, text, words, ("doc_id", "__r1", "__r2"), number))
-    blocks = blocks_for(fps.select("fp").distinct().count(), radius)
-    edges = None
-    for k in range(number):
-        one = links(fps.select(F.col("fp").alias("node"), F.col(f"fp{k}" if k else "fp").alias("fp")).distinct(), blocks, radius)
-        edges = one if edges is None else edges.unionByName(one)
-    edges = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    found = written(sketches(keyed, text, words, ("doc_id", "__r1", "__r2"), bands, minima))
     # a text for each fingerprint, by a pre-aggregated minimum: copies go before any join
     who = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__r1", "__r2")
-    first = written(fps.groupBy("fp").agg(F.min(who).alias("who")))
-    ends = edges.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    shown = first.join(ends, "fp", "left_semi").select(F.col("fp").alias("node"), "who.__r1", "who.__r2")
+    first = written(found.groupBy("node").agg(F.min(who).alias("who"), F.first("bands").alias("bands")))
+    w = Window.partitionBy("key")
+    tables = first.select("node", F.posexplode("bands").alias("i", "key")).select("node", F.xxhash64("i", "key").alias("key"))
+    rows = written(tables.withColumns({"n": F.count("*").over(w), "least": F.min("node").over(w)}).where("n > 1"))
+    shown = first.join(rows.select("node").distinct(), "node", "left_semi").select("node", "who.__r1", "who.__r2")
     sets = shingle_sets(keyed.select("__r1", "__r2", text).join(shown.hint("shuffle_hash"), ["__r1", "__r2"]).select("node", text), text, words, ("node",)).dropDuplicates(["node"])
-    roots = components(similar(edges, written(sets), similarity)).select(F.col("node").alias("fp"), "root")
-    kept = first.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("who").alias("who")).select("who.__r1", "who.__r2")
+    sets = written(sets.withColumn("size", F.size("shingles")))
+    stars = rows.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    links = written(similar(stars, sets.select("node", "shingles"), similarity))
+    roots = components(links)
+    kept = first.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("who").alias("who")).select("who.__r1", "who.__r2")
     # repeated rows agree in id and text; one of them stays
     return keyed.join(kept.hint("shuffle_hash"), ["__r1", "__r2"], "left_semi").dropDuplicates(["__r1", "__r2"]).drop(*own)

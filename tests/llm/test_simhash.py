@@ -102,3 +102,29 @@ def test_one_of_each_group(spark):
     assert out.columns == rows.columns
     assert kept == sorted([min(i for i, x in group.items() if x == g) for g in range(30)] + [n, n + 1])
     assert S.one_of_each(rows.limit(0)).count() == 0
+
+
+def changed_words(rng, base, n):
+    """The words of a text, n of them, far apart, replaced by new ones."""
+    out = list(base)
+    for i in range(n):
+        out[3 + i * (len(base) // n)] = f"x{rng.getrandbits(40)}"
+    return out
+
+
+def similarity(a, b):
+    a, b = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_pairs_near_the_threshold(spark):
+    """Of pairs between 0.8 and 0.9 every one is found, of pairs just below 0.8 none."""
+    rng = random.Random(31)
+    docs, near = [], 0
+    for g in range(120):
+        base = [f"v{rng.getrandbits(40)}" for _ in range(400)]
+        other = changed_words(rng, base, (8, 6, 10)[g % 3])
+        near += similarity(base, other) >= 0.8
+        docs += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(other))]
+    assert near == 80
+    assert S.one_of_each(spark.createDataFrame(docs, "doc_id long, text string")).count() == len(docs) - near
