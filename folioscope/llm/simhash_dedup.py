@@ -20,7 +20,7 @@ its links, never all pairs.
 
 one_of_each() groups texts by their similarity, at which SimHash fingerprints differ in
 too many bits for tables. Bands of least hashes (MinHash) of the same shingles find
-candidates, and their shingle sets decide.
+candidates, and the shingle sets of every pair decide.
 
 Null and empty texts have fingerprint zero and link like any other. Repeated rows
 keep one output row each.
@@ -232,6 +232,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 4, radius:
 #: For groups by similarity: words a shingle, least similarity, bands and minima a band. A pair
 #: of similarity s shares no band by a chance of (1 - s ** MINIMA) ** BANDS: 3e-6 at 0.8.
 WORDS, SIMILAR, BANDS, MINIMA = 5, 0.8, 24, 4
+#: Shingles that a block of a cell holds, on average, at most.
+BLOCK = 1 << 19
 
 
 def odd(name: str, n: int) -> np.ndarray:
@@ -302,13 +304,77 @@ def similar(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where((union == 0) | (F.col("common") >= similarity * union)).select("a", "b")
 
 
-def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILAR, bands: int = BANDS, minima: int = MINIMA) -> DataFrame:
+def alike(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of the sets that are that similar by Jaccard: counts of common shingles, by matrix products."""
+    n, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
+    _, place, times = np.unique(np.concatenate([np.zeros(0, np.int64), *sets]), return_inverse=True, return_counts=True)
+    many = times[place] > 1
+    owner, column = np.repeat(np.arange(n), sizes)[many], (np.cumsum(times > 1) - 1)[place[many]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((n, n), np.float32)
+    for c in range(0, int(column[-1]) + 1 if len(column) else 0, 1024):
+        a, b = np.searchsorted(column, [c, c + 1024])
+        dense = np.zeros((n, 1024), np.float32)
+        dense[owner[a:b], column[a:b] - c] = 1
+        common += dense @ dense.T
+    exact = common.astype(np.float64)
+    return np.nonzero(np.triu(exact >= similarity * (sizes[:, None] + sizes[None, :] - exact), 1))
+
+
+def contested(rows: DataFrame, known: DataFrame, sets: DataFrame, similarity: float, cell: int = CELL) -> DataFrame:
+    """Links (a, b) between unlike roots: every pair of a cell that holds nodes of several
+    known roots is verified. Large cells are cut into blocks that meet pairwise, with their sets."""
+    w = Window.partitionBy("key")
+    rows = rows.where("n > 2").join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = rows.withColumns({"low": F.min("root").over(w), "high": F.max("root").over(w)}).where("low <> high").select("node", "key", "n", "root")
+    rows = rows.join(sets.select("node", "size"), "node").withColumn("total", F.sum("size").over(w))
+    parts = F.greatest(F.ceil(F.col("n") / cell), F.ceil(F.col("total") / BLOCK)).cast("int")
+    rows = rows.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("parts")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: (k != F.col("own")) | (F.col("parts") == 1))
+    meets = F.transform(others, lambda k: F.struct(F.least(k, F.col("own")).alias("p"), F.greatest(k, F.col("own")).alias("q")))
+    rows = rows.select("node", "key", "root", F.explode(meets).alias("m")).select("node", "key", "root", "m.p", "m.q")
+    rows = rows.join(sets.select("node", "shingles"), "node").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+
+        def changes(t: pa.Table) -> np.ndarray:
+            keys = [t.column(c).to_numpy() for c in ("key", "p", "q")]
+            return np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+
+        def found(t: pa.Table, cuts: list[int]) -> Iterator[pa.RecordBatch]:
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                group = t.slice(a, b - a)
+                nodes, roots = group.column("node").to_numpy(), group.column("root").to_numpy()
+                i, j = alike([s.values.to_numpy() for s in group.column("shingles")], similarity)
+                apart = roots[i] != roots[j]
+                i, j = spanning(len(nodes), i[apart], j[apart])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[i]), pa.array(nodes[j])], names=["a", "b"])
+
+        for batch in batches:
+            t = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            if not t.num_rows:
+                continue
+            # the last group may go on in the next batch
+            cuts = [0, *changes(t).tolist()]
+            yield from found(t, cuts)
+            rest = t.slice(cuts[-1])
+        if rest is not None and rest.num_rows:
+            yield from found(rest, [0, rest.num_rows])
+
+    return arrow_map(rows, run, "a bigint, b bigint")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILAR, bands: int = BANDS, minima: int = MINIMA, cell: int = CELL) -> DataFrame:
     """Rows of docs, one for each group of near-duplicates: that of the smallest doc_id (null
     ids last), then the smallest hash of its text. Same columns.
 
     Texts link if their sets of `words`-word shingles are `similarity` similar. Equal
     fingerprints count as copies. Sets that agree in one of `bands` bands of `minima` least
-    hashes share a cell; each set is verified against its cell's smallest.
+    hashes share a cell. Every pair of a cell is verified, unless links that were verified
+    connect it already: first each set with its cell's smallest, then all pairs of the
+    cells that this leaves in several pieces.
     """
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     own = {"__r1": F.xxhash64(F.lit(1), t, "doc_id"), "__r2": F.xxhash64(F.lit("second"), t, "doc_id")}
@@ -325,7 +391,8 @@ def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similar
     sets = written(sets.withColumn("size", F.size("shingles")))
     stars = rows.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     links = written(similar(stars, sets.select("node", "shingles"), similarity))
-    roots = components(links)
+    more = written(contested(rows, components(links), sets, similarity, cell))
+    roots = components(links.unionByName(more))
     kept = first.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("who").alias("who")).select("who.__r1", "who.__r2")
     # repeated rows agree in id and text; one of them stays
     return keyed.join(kept.hint("shuffle_hash"), ["__r1", "__r2"], "left_semi").dropDuplicates(["__r1", "__r2"]).drop(*own)

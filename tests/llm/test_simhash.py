@@ -128,3 +128,20 @@ def test_pairs_near_the_threshold(spark):
         docs += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(other))]
     assert near == 80
     assert S.one_of_each(spark.createDataFrame(docs, "doc_id long, text string")).count() == len(docs) - near
+
+
+def test_every_pair_of_a_group_is_verified(spark):
+    """Texts that share a template are unlike each other; the near pairs among them are
+    found nonetheless, in one block or in several."""
+    rng = random.Random(32)
+    template = [f"v{rng.getrandbits(40)}" for _ in range(600)]
+    docs = []
+    for _ in range(150):
+        tail = [f"v{rng.getrandbits(40)}" for _ in range(100)]
+        docs.append(template + tail)
+    twins = [changed_words(rng, d, 6) for d in docs[:60]]
+    assert similarity(docs[0], docs[1]) < 0.8 < 0.85 < similarity(docs[0], twins[0])
+    rng.shuffle(docs)
+    rows = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs + twins)], "doc_id long, text string")
+    for cell in (512, 40):
+        assert sorted(r["doc_id"] for r in S.one_of_each(rows, cell=cell).collect()) == list(range(150))
