@@ -263,7 +263,7 @@ def odd_mixers(n: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, text: str, words: int, keep: tuple[str, ...], bands: int, minima: int) -> DataFrame:
-    """`keep` columns, `node`, the fingerprint, and `bands`, its band keys."""
+    """`keep` columns, `node`, a hash of the set of shingles, and `bands`, its band keys."""
     fields = [f for f in docs.schema if f.name in keep]
     ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + "node bigint, bands array<bigint>"
 
@@ -273,8 +273,8 @@ def sketches(docs: DataFrame, text: str, words: int, keep: tuple[str, ...], band
             cuts = off.tolist()
             nodes, keys = [], []
             for a, b in zip(cuts, cuts[1:], strict=False):
-                h = shingle_hashes(data[a:b], words)
-                nodes.append(simhash(h))
+                h = np.unique(shingle_hashes(data[a:b], words))
+                nodes.append(xxhash.xxh64_intdigest(h.tobytes(), 7))
                 keys.append(band_keys(h, bands, minima))
             yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], names=[*[f.name for f in fields], "node", "bands"])
 
@@ -370,8 +370,8 @@ def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similar
     """Rows of docs, one for each group of near-duplicates: that of the smallest doc_id (null
     ids last), then the smallest hash of its text. Same columns.
 
-    Texts link if their sets of `words`-word shingles are `similarity` similar. Equal
-    fingerprints count as copies. Sets that agree in one of `bands` bands of `minima` least
+    Texts link if their sets of `words`-word shingles are `similarity` similar. Equal sets
+    (by a 64-bit hash) are copies. Sets that agree in one of `bands` bands of `minima` least
     hashes share a cell. Every pair of a cell is verified, unless links that were verified
     connect it already: first each set with its cell's smallest, then all pairs of the
     cells that this leaves in several pieces.
@@ -380,7 +380,7 @@ def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similar
     own = {"__r1": F.xxhash64(F.lit(1), t, "doc_id"), "__r2": F.xxhash64(F.lit("second"), t, "doc_id")}
     keyed = docs.withColumns(own)
     found = written(sketches(keyed, text, words, ("doc_id", "__r1", "__r2"), bands, minima))
-    # a text for each fingerprint, by a pre-aggregated minimum: copies go before any join
+    # a text for each set of shingles, by a pre-aggregated minimum: copies go before any join
     who = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__r1", "__r2")
     first = written(found.groupBy("node").agg(F.min(who).alias("who"), F.first("bands").alias("bands")))
     w = Window.partitionBy("key")

@@ -145,3 +145,11 @@ def test_every_pair_of_a_group_is_verified(spark):
     rows = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs + twins)], "doc_id long, text string")
     for cell in (512, 40):
         assert sorted(r["doc_id"] for r in S.one_of_each(rows, cell=cell).collect()) == list(range(150))
+
+
+def test_one_repeated_line_makes_no_copies(spark):
+    rng = random.Random(33)
+    line = " ".join(rng.choice(WORDS) for _ in range(9))
+    docs = [(i, "\n".join([line] * 100 + [" ".join(f"v{rng.getrandbits(40)}" for _ in range(300))])) for i in range(6)]
+    assert len({S.fingerprint(t.encode(), 5) for _, t in docs}) < 6
+    assert S.one_of_each(spark.createDataFrame(docs, "doc_id long, text string")).count() == 6
