@@ -38,14 +38,17 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
 
 
-def swept(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished work: they go once nothing refers to them
-    and the driver's JVM has collected, which on a large heap may be late."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def forget(*tables: DataFrame) -> None:
+    """Remove tables that written() made, once nothing reads them any more."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t.written_to)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def worker_state() -> types.ModuleType:
@@ -79,8 +82,17 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20)
             a = b
 
 
-#: Rows of whole texts that a Python worker holds at once.
-BATCH_ROWS = 1000
+#: Bytes of a batch that an operator works on at once, about. Spark itself hands over at most
+#: spark.sql.execution.arrow.maxBytesPerBatch (64 MB) and a row.
+BATCH_BYTES = 4 << 20
+
+
+def smaller(batches: Iterator[pa.RecordBatch], limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut into runs of rows of about `limit` bytes, without a copy."""
+    for batch in batches:
+        step = max(1, batch.num_rows * limit // max(batch.nbytes, 1))
+        for k in range(0, batch.num_rows, step):
+            yield batch.slice(k, step)
 
 
 def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,10 +112,5 @@ def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], ddl: str) -> DataFrame:
-    """mapInArrow with batches of at most BATCH_ROWS rows (the session's setting is lowered to
-    it, as texts are long) and memory given back at the end of each task."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    conf = df.sparkSession.conf
-    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
-        conf.set(key, BATCH_ROWS)
-    return df.mapInArrow(lambda batches: released(run(batches)), ddl)
+    """mapInArrow with batches bounded by bytes, and memory given back at the end of each task."""
+    return df.mapInArrow(lambda batches: released(run(smaller(batches))), ddl)

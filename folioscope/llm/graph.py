@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import written
+from folioscope.llm.common import forget, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
@@ -28,7 +28,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u")
         small = small.select("v", "m").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        state = written(small)
+        last, state = state, written(small)
+        forget(last)
         now = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break

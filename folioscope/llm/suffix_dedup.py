@@ -24,9 +24,15 @@ An anchor with more than `MOST` unlike segments would fill a task. Its segments
 laid out string by string instead, each `length`-byte string its own anchor, and
 counted in a pre-aggregated sum; those that occur twice give the same intervals.
 
+Texts travel twice: to where strings are cut out of them, and to where what repeats
+is taken out. Both times they are compressed before the exchange.
+
 Segments and texts are told apart by 128 bits of hash. Null texts count as empty;
-texts shorter than `length` lose nothing. Repeated rows repeat one another and so
-lose their texts, if long enough; each keeps its output row.
+texts shorter than `length` lose nothing. Very long texts are read in overlapping
+parts. Repeated rows repeat one another and so lose their texts, if long enough;
+each keeps its output row. Strings that tie for an anchor share it; the leftmost
+place wins. An empty table gives an empty one; columns other than doc_id and the
+text are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,11 +42,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from folioscope.llm.common import arrow_map, pieces, swept, worker_state, written
+from folioscope.llm.common import arrow_map, forget, pieces, worker_state, written
 
 LENGTH, ANCHOR = 400, 128
 ODD, INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -155,6 +161,29 @@ def keyed(docs: DataFrame, text: str) -> DataFrame:
     return docs.select("doc_id", t.cast("binary").alias("bytes"), F.xxhash64(F.lit(1), t, "doc_id").alias("r1"), F.xxhash64(F.lit("second"), t, "doc_id").alias("r2"))
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """rows with `z`, the compressed bytes, in place of `bytes`."""
+    fields = [f for f in rows.schema if f.name != "bytes"]
+    names = [f.name for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(3)
+        for batch in batches:
+            z = [squeeze.compress(x.as_buffer()) for x in batch.column("bytes")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(z, pa.binary())], names=[*names, "z"])
+
+    return arrow_map(rows.select(*names, "bytes"), run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "z binary"]))
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Batches of packed() rows and their texts; some rows at a time."""
+    back = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for k in range(0, batch.num_rows, 256):
+            part = batch.slice(k, 256)
+            yield part, [back.decompress(x.as_buffer()) for x in part.column("z")]
+
+
 def found_segments(rows: DataFrame, length: int, anchor: int) -> DataFrame:
     ddl = "anchor bigint, h bigint, r1 bigint, r2 bigint, start bigint, size smallint, place smallint"
     names = [x.split()[0] for x in ddl.split(", ")]
@@ -176,21 +205,20 @@ def found_segments(rows: DataFrame, length: int, anchor: int) -> DataFrame:
 
 
 def cut_out(rows: DataFrame) -> DataFrame:
-    """Bytes of the wanted segments of each text."""
+    """Bytes of the wanted segments of each packed text."""
     ddl = "anchor bigint, h bigint, n bigint, place smallint, many boolean, string binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, off in pieces(batches, "bytes", CHUNK):
+        for batch, texts in unpacked(batches):
             out: list[list] = [[], [], [], [], [], []]
-            for begin, want in zip(off.tolist(), batch.column("want").to_pylist(), strict=False):
+            for text, want in zip(texts, batch.column("want").to_pylist(), strict=True):
                 for w in want:
-                    s = begin + w["start"]
-                    for column, v in zip(out, (w["anchor"], w["h"], w["n"], w["place"], w["many"], data[s : s + w["size"]]), strict=True):
+                    for column, v in zip(out, (w["anchor"], w["h"], w["n"], w["place"], w["many"], text[w["start"] : w["start"] + w["size"]]), strict=True):
                         column.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.bool_(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=["anchor", "h", "n", "place", "many", "string"])
 
-    return arrow_map(rows.select("bytes", "want"), run, ddl)
+    return arrow_map(rows.select("z", "want"), run, ddl)
 
 
 def merged(strings: DataFrame, length: int, anchor: int) -> DataFrame:
@@ -231,16 +259,18 @@ def counted(strings: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, anchor: int = ANCHOR, most: int = MOST) -> tuple[DataFrame, DataFrame]:
-    """(rows with keys r1 and r2, spans to remove by r1 and r2 as a set of (lo, hi))."""
+    """(packed rows with keys r1 and r2, spans to remove by r1 and r2 as a set of (lo, hi))."""
     rows = keyed(docs, text)
     found = written(found_segments(rows, length, anchor))
     unlike = found.groupBy("anchor", "h").agg(F.count("*").alias("n"), F.min(F.struct("r1", "r2", "start")).alias("at"), F.first("size").alias("size"), F.first("place").alias("place"))
-    unlike = unlike.withColumn("others", F.count("*").over(Window.partitionBy("anchor"))).where("n > 1 or others > 1")
-    unlike = written(unlike.select("anchor", "h", "n", "at.r1", "at.r2", "at.start", "size", "place", "others"))
-    swept(docs.sparkSession)  # the counts' shuffles, before texts are shuffled
-    want = unlike.where("others > 1").groupBy("r1", "r2").agg(F.collect_list(F.struct("start", "size", "place", "anchor", "h", "n", (F.col("others") > most).alias("many"))).alias("want"))
-    strings = cut_out(rows.join(want.hint("shuffle_hash"), ["r1", "r2"]))
-    many = unlike.where(F.col("others") > most).limit(1).count() > 0
+    unlike = written(unlike.select("anchor", "h", "n", "at.r1", "at.r2", "at.start", "size", "place"))
+    # counted by a pre-aggregated sum, not a window: a hot anchor does not meet in one task
+    sizes = unlike.groupBy("anchor").agg(F.count("*").alias("others")).where("others > 1")
+    shared = written(unlike.join(sizes, "anchor"))
+    want = shared.groupBy("r1", "r2").agg(F.collect_list(F.struct("start", "size", "place", "anchor", "h", "n", (F.col("others") > most).alias("many"))).alias("want"))
+    rows = packed(rows)
+    strings = cut_out(rows.drop("doc_id").join(want.hint("shuffle_hash"), ["r1", "r2"]))
+    many = shared.where(F.col("others") > most).limit(1).count() > 0
     strings = written(strings) if many else strings
     few = strings.where("not many").repartition("anchor").sortWithinPartitions("anchor", "h")
     part = merged(few, length, anchor)
@@ -248,7 +278,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, an
     part = part.groupBy("anchor", "h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     whole = unlike.where("n > 1").select("anchor", "h", F.lit(0).cast("bigint").alias("lo"), F.col("size").cast("bigint").alias("hi"))
     verdicts = written(part.unionByName(whole))
-    swept(docs.sparkSession)  # the texts' first shuffle, before their second
+    forget(unlike, shared, *([strings] if many else []))
     spans = found.join(verdicts, ["anchor", "h"]).select("r1", "r2", F.struct((F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi")).alias("span"))
     return rows, spans.groupBy("r1", "r2").agg(F.collect_set("span").alias("spans"))
 
@@ -269,24 +299,26 @@ def remaining(docs: DataFrame, text: str = "text", length: int = LENGTH, anchor:
     kind = next(f.dataType.simpleString() for f in docs.schema if f.name == "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, off in pieces(batches, "bytes", CHUNK):
+        for batch, texts in unpacked(batches):
             kept, removed, runs = [], [], []
-            cuts = off.tolist()
-            for x, y, found in zip(cuts, cuts[1:], batch.column("spans").to_pylist(), strict=False):
-                at, left = x, []
+            for data, found in zip(texts, batch.column("spans").to_pylist(), strict=True):
+                at, left = 0, []
                 spans = united(found)
                 for a, b in spans:
-                    left.append(data[at : x + a])
-                    at = x + b
-                kept.append(b"".join([*left, data[at:y]]))
+                    left.append(data[at:a])
+                    at = b
+                kept.append(b"".join([*left, data[at:]]))
                 removed.append(sum(b - a for a, b in spans))
                 runs.append(len(spans))
-            columns = [batch.column("doc_id"), pa.array(np.diff(off)), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())]
+            columns = [batch.column("doc_id"), pa.array(list(map(len, texts)), pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    both = rows.join(spans.hint("shuffle_hash"), ["r1", "r2"], "left").select("doc_id", "bytes", "spans")
+    both = rows.join(spans.hint("shuffle_hash"), ["r1", "r2"], "left").select("doc_id", "z", "spans")
     return arrow_map(both, run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    return remaining(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """Numbers and SHA-256 of what remains, and the remaining text (a character that a cut
+    broke shows as U+FFFD there; the digest is of the bytes)."""
+    left = F.make_valid_utf8(F.col("kept").cast("string"))
+    return remaining(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), (F.col("n_bytes") - F.col("n_removed")).alias("n_kept"), left.alias("text"))
