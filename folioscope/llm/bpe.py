@@ -9,8 +9,11 @@ symbols are composed side by side, block functions are scanned by doubling, and
 each block is replayed from its start state. The slices between boundaries go
 through a pair-merging cache that lives in the Python worker.
 
-Null texts encode to no tokens, as empty ones do. One output row per input row;
-repeated rows give repeated results.
+Null texts encode to no tokens, as empty ones do. Very long texts go through alone, in
+arrays of their size; a pre-token of any length is merged in O(n log n). Pairs that tie
+in rank are merged leftmost first. One output row per input row; repeated rows give
+repeated results, an empty table none. Input columns are dealt with under private
+names, so a column named like a result may be there unless it is kept.
 """
 
 from __future__ import annotations
@@ -290,24 +293,44 @@ def load(path: str):
     if getattr(state, "bpe_path", None) != path:
         with open(path, "rb") as f:
             ranks = read_ranks(f.read().splitlines())
-        tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
         to, cut = automaton()
-        state.bpe, state.bpe_path = (Merger(ranks), tokens, classes(), (to, cut, monoid(to))), path
+        state.bpe, state.bpe_path = (Merger(ranks), by_id(ranks), classes(), (to, cut, monoid(to))), path
     state.clear = state.bpe[0].cache.clear  # at the end of each task
     return state.bpe
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), offsets: bool = False) -> DataFrame:
+def by_id(ranks: dict[bytes, int]) -> list[bytes]:
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
+def token_bytes(path: str) -> list[bytes]:
+    """Token bytes by id, without what only encoding needs."""
+    state = worker_state()
+    if getattr(state, "bpe_path", None) == path:
+        return state.bpe[1]
+    if getattr(state, "tokens_path", None) != path:
+        with open(path, "rb") as f:
+            state.tokens, state.tokens_path = by_id(read_ranks(f.read().splitlines())), path
+    return state.tokens
+
+
+def read_back(ids: list[bytes | None], tokens: list[bytes]) -> pa.Array:
+    return pa.array([b"".join(map(tokens.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in ids], pa.binary())
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), offsets: bool = False, decoded: bool = False) -> DataFrame:
     """`keep` columns, ids (binary, little-endian unsigned 32-bit) and n_tokens; with
-    `offsets` also token_ends (binary, the byte position after each token).
+    `offsets` also token_ends (binary, the byte position after each token); with `decoded`
+    also the bytes that the ids decode to, as decode() would give them, in the same pass.
 
     `path` names a rank file that every node has, as installed tokenizers are.
     """
     fields = [f for f in docs.schema if f.name in keep]
     source = docs.select(*keep, F.col(text).cast("string").alias("__text"))
-    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + "ids binary, n_tokens bigint" + ", token_ends binary" * offsets
+    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + "ids binary, n_tokens bigint" + ", token_ends binary" * offsets + ", decoded binary" * decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger, tokens, table, machine = load(path)
@@ -324,6 +347,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
             if offsets:
                 names.append("token_ends")
                 columns.append(pa.array([np.cumsum(sizes[np.frombuffer(x, "<u4")]).astype("<u8").tobytes() for x in ids], pa.binary()))
+            if decoded:
+                names.append("decoded")
+                columns.append(read_back(ids, tokens))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return arrow_map(source, run, ddl)
@@ -334,15 +360,14 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = load(path)[1]
+        tokens = token_bytes(path)
         for batch in batches:
-            out = [b"".join(map(tokens.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, read_back(batch.column(ids).to_pylist(), tokens)], names=[*batch.schema.names, "decoded"])
 
     return arrow_map(encoded, run, ddl)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and SHA-256 of the ids and of the decoded bytes."""
-    back = decode(encode(docs, path), path)
+    back = encode(docs, path, decoded=True)
     return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
