@@ -30,36 +30,50 @@ def islands(array: Column, starts: Column) -> Column:
 
 def carried(array: Column, value: Callable[[Column], Column], initial: int) -> Column:
     """For each element the last non-null integer value(element) up to it, `initial` before any."""
-    zero = F.struct(F.lit(initial).cast("int").alias("now"), F.array().cast("array<int>").alias("all"))
 
-    def step(s: Column, x: Column) -> Column:
-        return bound(F.coalesce(value(x).cast("int"), s["now"]), lambda v: F.struct(v.alias("now"), F.concat(s["all"], F.array(v)).alias("all")))
+    def laid(a: Column) -> Column:
+        marks = F.filter(F.transform(a, lambda x, i: F.struct(value(x).cast("int").alias("v"), i.alias("i"))), lambda m: m["v"].isNotNull())
+        return bound(marks, lambda m: F.concat(F.array_repeat(F.lit(initial).cast("int"), F.coalesce(F.get(m, F.lit(0))["i"], F.size(a))), F.flatten(F.transform(m, lambda x, k: F.array_repeat(x["v"], F.coalesce(F.get(m, k + 1)["i"], F.size(a)) - x["i"])))))
 
-    return F.aggregate(array, zero, step, lambda s: s["all"])
+    return bound(array, laid)
+
+
+#: Elements that running() sums at a time.
+BLOCK = 64
+
+
+def running(values: Column) -> Column:
+    """Sum of the integers up to and with each one.
+
+    Blocks are summed by themselves and their totals carried over, so that no array of
+    all sums is copied for each element.
+    """
+    total = lambda v: F.aggregate(v, F.lit(0), lambda s, x: s + x)
+
+    def whole(v: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")), lambda b: F.slice(v, b * BLOCK + 1, BLOCK))
+        return F.when(F.size(v) == 0, F.array().cast("array<int>")).otherwise(bound(blocks, summed))
+
+    def summed(blocks: Column) -> Column:
+        before = F.aggregate(blocks, F.array(F.lit(0)), lambda s, b: F.concat(s, F.array(F.element_at(s, -1) + total(b))))
+        return bound(before, lambda o: F.flatten(F.transform(blocks, lambda b, k: F.transform(b, lambda _, i: F.get(o, k) + total(F.slice(b, 1, i + 1))))))
+
+    return bound(values, whole)
 
 
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """array of (start, end, found, value) of all matches, in code points; `value` is a group.
 
-    Starts follow from the lengths of the gaps and matches before them; matches
-    must not be empty.
+    Ends are running sums of the lengths of gaps and matches; matches must not be empty.
     """
     parts = F.struct(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"),
         F.split(text, pattern, -1).alias("gap"),
     )
-    none = F.array().cast("array<int>")
 
     def placed(p: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("at"), none.alias("all"))
-
-        def step(s: Column, i: Column) -> Column:
-            start = s["at"] + F.length(F.get(p["gap"], i))
-            return F.struct((start + F.length(F.get(p["found"], i))).alias("at"), F.concat(s["all"], F.array(start)).alias("all"))
-
-        n = F.size(p["found"])
-        starts = F.when(n == 0, none).otherwise(F.aggregate(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), zero, step, lambda s: s["all"]))
-        return F.transform(starts, lambda a, i: F.struct(a.alias("start"), (a + F.length(F.get(p["found"], i))).alias("end"), F.get(p["found"], i).alias("found"), F.get(p["value"], i).alias("value")))
+        ends = running(F.transform(p["found"], lambda f, i: F.length(F.get(p["gap"], i)) + F.length(f)))
+        return F.transform(ends, lambda e, i: F.struct((e - F.length(F.get(p["found"], i))).alias("start"), e.alias("end"), F.get(p["found"], i).alias("found"), F.get(p["value"], i).alias("value")))
 
     return bound(parts, placed)
