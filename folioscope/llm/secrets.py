@@ -1,22 +1,31 @@
 """Secret scans by sliding-window entropy. DataFrame functions only.
 
 Base spans are fixed patterns. The method adds long strings of credential
-characters: for each the class is found (hexadecimal, or base-64 letters, digits
-and signs), and a window of `WINDOW` characters slides over it. The window's
-Shannon entropy is kept up incrementally: one count goes up, one goes down, and the
-sum of c * log2(c) changes by their differences. A string whose highest window
-entropy reaches its class's threshold is added, unless an allow-list knows it:
-UUIDs, placeholders, runs of an alphabet, paths, or a digest named as one before
-it. Base spans stay whatever the allow-list says.
-
-Null texts count as empty. Offsets are in code points. Repeated rows agree.
+characters: for each the class is found (hexadecimal, letters and digits, or base-64
+with its signs), and a window of `WINDOW` characters slides over it. The window's
+counts of characters are kept as 5-bit fields of seven long integers: with each step
+one field goes up, one goes down, and the sum of c * log2(c) changes by their
+differences. A string whose highest window entropy reaches its class's threshold is
+added, unless an allow-list knows it: UUIDs, placeholders, runs of an alphabet, paths and names
+of words, rulers, or a digest named as one before it. Base spans stay whatever the
+allow-list says.
+
+Null and empty texts have no spans. Very long texts and strings take time in
+proportion to their length. Offsets are in code points; spans that start together
+come in the order of their kinds. Repeated rows agree; an empty table gives an empty
+one. Columns of the input beyond `keep` are not looked at; kept ones must not be
+named like the results.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.functions.arrays import bound, matches
+
 KINDS = ("assign", "access", "hex", "entropy")
 #: Base patterns. Shorter matches of the last two fail and hide no longer one.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -24,65 +33,58 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 STRING = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
-#: Bits that a window of the class must reach.
-THRESHOLDS = {"hex": 3.0, "base64": 3.6}
+#: Bits that a window of the class must reach, of log2(20) = 4.32 at most.
+CLASSES = (("hex", "^[0-9a-fA-F]+$", 3.0), ("alnum", "^[0-9A-Za-z]+$", 3.6), ("base64", "", 3.6))
+WORD = r"(?:[A-Z]?[a-z]++|[_-])*+[0-9]{0,4}"
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
     r"|(?i)example|placeholder|changeme|your[_-]|xxxx|abcdefghij|0123456789|1234567890"
-    r"|/.*/.*/|^[-=_/+]+|__"
+    rf"|^(?-i:/?(?:{WORD}/)*{WORD})$|^[-=_/+]+$|__"
 )
 ALLOWED_BEFORE = r"(?i)(?:sha-?(?:1|256|384|512)|md5|checksum|digest|integrity|commit|etag|uuid)[\x20\"'=:-]*$"
+#: Counts are fields of so many bits, twelve to a long integer; codes from "+" to "~".
+FIELD, FIELDS, LOWEST, HIGHEST = 5, 12, 43, 126
 
 
-def bound(value: Column, use) -> Column:
-    """use(value) with value computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
-def matches(text: Column, pattern: str, group: int = 0) -> Column:
-    """array of (start, end, value): all matches in code points; value is a group of the match."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    parts = F.struct(found.alias("found"), values.alias("values"), F.split(text, pattern, -1).alias("gaps"))
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-
-    def placed(p: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
-
-        def step(s: Column, i: Column) -> Column:
-            start = s["at"] + F.length(F.get(p["gaps"], i))
-            end = start + F.length(F.get(p["found"], i))
-            return F.struct(end.alias("at"), F.concat(s["out"], F.array(F.struct(start.alias("start"), end.alias("end"), F.get(p["values"], i).alias("value")))).alias("out"))
-
-        n = F.size(p["found"])
-        return F.when(n == 0, none).otherwise(F.aggregate(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), zero, step, lambda s: s["out"]))
+def highest_entropy(string: Column, window: int = WINDOW) -> Column:
+    """Largest Shannon entropy, in bits, of a window over a string of characters from "+" to
+    "~" (others count as the nearest of them); of the whole one if shorter. At most 31 wide."""
+    if not 0 < window < 1 << FIELD:
+        raise ValueError(f"a window of {window} does not fit the counts")
+    size = F.least(F.length(string), F.lit(window)).cast("double")
+    longs = (HIGHEST - LOWEST) // FIELDS + 1
+    codes = F.transform(F.split(string, ""), lambda c: F.least(F.greatest(F.ascii(c), F.lit(LOWEST)), F.lit(HIGHEST)) - LOWEST)
 
-    return bound(parts, placed)
+    # of c * log2(c) when the count c goes up by one
+    gains = F.array(*[F.lit((c + 1) * math.log2(c + 1) - (c * math.log2(c) if c else 0.0)) for c in range(window + 1)])
+    words = [f"n{j}" for j in range(longs)]
 
+    def one(code: Column) -> tuple[Column, Column]:
+        """Which long holds the code's field, and one unit of the field."""
+        return F.floor(code / FIELDS).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (code % FIELDS) * FIELD)
 
-def highest_entropy(string: Column, window: int = WINDOW) -> Column:
-    """Largest Shannon entropy, in bits, of a window over an ASCII string; of the whole one if shorter."""
-    size = F.least(F.length(string), F.lit(window)).cast("double")
-    codes = F.transform(F.split(string, ""), lambda c: F.ascii(c))
+    def count(s: Column, code: Column) -> Column:
+        held = F.get(F.array(*[s[w] for w in words]), F.floor(code / FIELDS).cast("int"))
+        return F.call_function("shiftright", held, (code % FIELDS) * FIELD).bitwiseAND(F.lit((1 << FIELD) - 1)).cast("int")
 
-    def gain(c: Column) -> Column:  # of c * log2(c) when the count c goes up by one
-        return (c + 1) * F.log2(c + 1) - F.when(c > 0, c * F.log2(c)).otherwise(0.0)
+    def changed(s: Column, code: Column, by: int) -> list[Column]:
+        which, unit = one(code)
+        return [(s[w] + F.when(which == j, unit * by).otherwise(F.lit(0).cast("long"))).alias(w) for j, w in enumerate(words)]
 
     def slid(code: Column) -> Column:
-        zero = F.struct(F.array_repeat(F.lit(0), 128).alias("n"), F.lit(0.0).alias("sum"), F.lit(1e9).alias("least"))
+        zero = F.struct(*[F.lit(0).cast("long").alias(w) for w in words], F.lit(0.0).alias("sum"), F.lit(1e9).alias("least"))
+
+        def left(s: Column, i: Column) -> Column:
+            old = F.get(code, i - window)
+            return F.when(i < window, s).otherwise(F.struct(*changed(s, old, -1), (s["sum"] - F.get(gains, count(s, old) - 1)).alias("sum"), s["least"].alias("least")))
 
-        def step(s: Column, i: Column) -> Column:
+        def entered(s: Column, i: Column) -> Column:
             new = F.get(code, i)
-            full = i >= window
-            old = F.when(full, F.get(code, i - window)).otherwise(-1)
-            less = F.when(full, -gain(F.get(s["n"], old).cast("double") - 1)).otherwise(0.0)
-            stays = F.get(s["n"], new).cast("double") - F.when(full & (old == new), 1.0).otherwise(0.0)
-            total = s["sum"] + less + gain(stays)
-            counts = F.transform(s["n"], lambda c, k: c + (k == new).cast("int") - (k == old).cast("int"))
+            total = s["sum"] + F.get(gains, count(s, new))
             least = F.when((i + 1 >= window) | (i + 1 == F.size(code)), F.least(s["least"], total)).otherwise(s["least"])
-            return F.struct(counts.alias("n"), total.alias("sum"), least.alias("least"))
+            return F.struct(*changed(s, new, 1), total.alias("sum"), least.alias("least"))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(code) - 1), zero, step, lambda s: F.log2(size) - s["least"] / size)
+        return F.aggregate(F.sequence(F.lit(0), F.size(code) - 1), zero, lambda s, i: bound(left(s, i), lambda t: entered(t, i)), lambda s: F.log2(size) - s["least"] / size)
 
     return bound(codes, slid)
 
@@ -92,7 +94,7 @@ def suspicious(text: Column, m: Column) -> Column:
     v = m["value"]
     mixed = v.rlike("[0-9]") & v.rlike("[A-Za-z]")
     known = v.rlike(ALLOWED) | F.substring(text, F.greatest(m["start"] - 23, F.lit(1)), F.least(m["start"], F.lit(24))).rlike(ALLOWED_BEFORE)
-    threshold = F.when(v.rlike("^[0-9a-fA-F]+$"), THRESHOLDS["hex"]).otherwise(THRESHOLDS["base64"])
+    threshold = F.coalesce(*[F.when(v.rlike(pattern), bits) for _, pattern, bits in CLASSES])
     return F.when(~mixed | known, False).otherwise(highest_entropy(v) >= threshold)
 
 
@@ -102,7 +104,7 @@ def tagged(spans: Column, kind: str) -> Column:
 
 def scanned(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """`keep` columns, `base` and `spans`: arrays of (start, kind, end, value) in order."""
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    none = F.array().cast("array<struct<start:int,end:int,found:string,value:string>>")
     t = F.col("t")
     rows = docs.select(*keep, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
     # cheap tests first: most texts hold no trigger and no long string
@@ -129,11 +131,11 @@ def listed(spans: Column) -> Column:
 
 
 def report(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, counts of base spans, SHA-256 of the base spans' list, and all spans' list."""
+    """doc_id, counts of base spans, SHA-256 of the base spans' list, all spans' list, and their number."""
     found = scanned(docs, text)
 
     def number(kind: int) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
 
     counts = [number(i).alias(f"n_{k}") for i, k in enumerate(KINDS[:3])]
-    return found.select("doc_id", *counts, F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
