@@ -5,15 +5,20 @@ every run of other characters as one blank, hashed to rows of an embedding table
 Their embeddings are averaged and a linear softmax scores the languages. Both are
 trained here by stochastic gradient descent in numpy, on a bounded sample of
 labelled rows chosen by a hash of doc_id, evenly by language. A part of the
-sample is set aside: it fits the softmax temperature and the rejection threshold,
-the score that all but `false_rejection` of its texts reach.
+sample is set aside and calibrates: it fits the softmax temperature, and the threshold of
+rejection, which `false_rejection` of texts like them fall below at most, by the rank that
+exchangeable texts have (none where the sample is too small to vouch for it); one for each
+range of lengths. It is a threshold of the evidence before the softmax: texts unlike all that was learned, as of
+other languages, have little for any language, but the softmax of it may be near one.
 
 Scores of whole texts need no embeddings: as averaging is linear, each hashed
 gram carries its product with the softmax matrix, and a text adds these up.
 
-Null texts and texts without a letter are `und` with score 0 and rejected. With
-nothing to learn from, every text is `und`. Ties go to the first language in
-alphabetical order. Repeated rows get the same answer.
+Null and empty texts and texts without a letter are `und` with score 0 and rejected.
+Very long texts are scored whole, a text at a time. With nothing to learn from, every
+text is `und`. Ties go to the first language in alphabetical order. Repeated rows get the
+same answer; an empty table gives an empty one. predict() replaces columns that are
+named like its results; accepted() leaves all columns as they are.
 """
 
 from __future__ import annotations
@@ -32,6 +37,9 @@ from folioscope.llm.common import arrow_map, pieces
 BUCKETS = 1 << 15
 GRAMS = (1, 2, 3, 4)
 UND = "und"
+#: Bytes of text, blanks and other signs as one, at which a further threshold of rejection begins:
+#: short texts have less steady evidence, and are held against others of their kind.
+LENGTHS = (200,)
 
 
 def letter_bytes() -> np.ndarray:
@@ -72,9 +80,11 @@ class Model:
     table: np.ndarray = field(repr=False)  # buckets x languages
     bias: np.ndarray = field(repr=False)
     temperature: float = 1.0
-    threshold: float = 0.0
+    thresholds: tuple[float, ...] = (-np.inf,) * (len(LENGTHS) + 1)
 
-    def probabilities(self, data: bytes, offsets: np.ndarray) -> np.ndarray:
+    def evidence(self, data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Score of each language before the softmax, which says how much a text is like what
+        was learned, and the texts' sizes."""
         n, k = len(offsets) - 1, len(self.languages)
         total, count = np.zeros((n, k)), np.zeros(n)
         if data:
@@ -84,10 +94,19 @@ class Model:
                 for j in range(k):
                     total[:, j] += np.add.reduceat(self.table[:, j].take(b), ranges, dtype=np.float64)[::2]
             count += (last - first) * len(buckets)
-        logits = (total / np.maximum(count, 1)[:, None] + self.bias) / self.temperature
-        e = np.exp(logits - logits.max(1, keepdims=True))
+        return total / np.maximum(count, 1)[:, None] + self.bias, count // len(GRAMS)
+
+    def unlike(self, evidence: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Which texts have less evidence than those of their length that calibrated."""
+        return evidence.max(1) < np.array(self.thresholds)[np.searchsorted(LENGTHS, sizes, "right")]
+
+    def softmax(self, evidence: np.ndarray) -> np.ndarray:
+        e = np.exp((evidence - evidence.max(1, keepdims=True)) / self.temperature)
         return e / e.sum(1, keepdims=True)
 
+    def probabilities(self, data: bytes, offsets: np.ndarray) -> np.ndarray:
+        return self.softmax(self.evidence(data, offsets)[0])
+
 
 def bag(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Distinct buckets and their shares, for each text."""
@@ -100,8 +119,15 @@ def bag(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def fitted(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4, rate: float = 0.5, seed: int = 7, false_rejection: float = 0.0005, parts: int = 2) -> Model:
-    """Train on whole texts and on `parts` random pieces of each; one text in five calibrates."""
+#: Characters of a piece that stands for a longer text in training. Scores are of whole texts.
+PIECE = 3000
+#: Texts and pieces that training goes through at least, in more epochs if they are few.
+LEAST = 20_000
+
+
+def fitted(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4, rate: float = 0.5, seed: int = 7, false_rejection: float = 0.005, parts: int = 2) -> Model:
+    """Train on texts (a random piece of long ones) and on `parts` short random pieces of
+    each; one text in three, whole, calibrates."""
     languages = sorted(set(labels))
     k = len(languages)
     if not k:
@@ -109,12 +135,13 @@ def fitted(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4,
     rng = np.random.default_rng(seed)
     y = np.array([languages.index(x) for x in labels])
     held = np.zeros(len(y), bool)
-    for j in range(k):  # every fifth text of each language
+    for j in range(k):  # every third text of each language
         own = np.flatnonzero(y == j)
-        held[own[4::5]] = True
+        held[own[2::3]] = True
     xs, ys, hx, hy = [], [], [], []
     for t, j, h in zip(texts, y, held, strict=True):
-        pick = [t]
+        at = int(rng.integers(0, max(1, len(t) - PIECE)))
+        pick = [t[at : at + PIECE]]
         for _ in range(parts):
             a = int(rng.integers(0, max(1, len(t) - 60)))
             pick.append(t[a : a + int(rng.integers(20, 400))])
@@ -127,6 +154,7 @@ def fitted(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4,
     table = rng.normal(0, 0.1, (BUCKETS, dim)).astype(np.float32)
     soft, bias = np.zeros((dim, k), np.float32), np.zeros(k, np.float32)
     scale = 40.0  # averages are small; this stands for a larger rate of the embeddings
+    epochs = max(epochs, -(-LEAST // max(len(x), 1)))
     for epoch in range(epochs):
         order = rng.permutation(len(x))
         step = rate * (1 - epoch / epochs)
@@ -144,72 +172,85 @@ def fitted(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4,
             back = error @ soft.T
             soft -= step * hidden.T @ error
             bias -= step * 0.1 * error.sum(0)
-            np.subtract.at(table, ids, step * scale * share[:, None] * np.repeat(back, np.diff(np.append(cuts, len(ids))), 0))
+            turn = np.argsort(ids, kind="stable")
+            new = np.concatenate([[0], np.flatnonzero(np.diff(ids[turn])) + 1])
+            moved = (share[:, None] * np.repeat(back, np.diff(np.append(cuts, len(ids))), 0))[turn]
+            table[ids[turn[new]]] -= step * scale * np.add.reduceat(moved, new, 0)
     model = Model(languages, (table @ soft).astype(np.float32), bias.astype(np.float64))
     if hx:
         data = [t.encode() for t in hx]
         off = np.concatenate([[0], np.cumsum([len(d) for d in data])])
-        truth, blob = np.array(hy), b"".join(data)
-        best = None
-        for t in np.geomspace(0.05, 8, 40):
-            model.temperature = float(t)
-            p = model.probabilities(blob, off)
-            loss = -np.log(np.maximum(p[np.arange(len(truth)), truth], 1e-12)).mean()
-            if best is None or loss < best[0]:
-                best = (loss, float(t))
-        # no sharper than the held-out texts can vouch for
-        model.temperature = best[1]
-        top = np.sort(model.probabilities(blob, off).max(1))
-        model.threshold = float(min(top[int(false_rejection * len(top))], 1 / k + 0.15))
+        (z, sizes), truth = model.evidence(b"".join(data), off), np.array(hy)
+        # as if one more text had been wrong: few texts cannot vouch for a sharp temperature
+        doubt = 1 / (len(truth) + 2)
+
+        def loss(t: float) -> float:
+            model.temperature = t
+            p = np.log(np.maximum(model.softmax(z), 1e-300))
+            own = p[np.arange(len(truth)), truth]
+            return -float(((1 - doubt) * own + doubt * (p.sum(1) - own) / max(1, k - 1)).mean())
+
+        model.temperature = min(map(float, np.geomspace(0.05, 8, 40)), key=loss)
+        kind, thresholds = np.searchsorted(LENGTHS, sizes, "right"), []
+        for j in range(len(LENGTHS) + 1):
+            top = np.sort(z.max(1)[kind == j])
+            rank = int(false_rejection * (len(top) + 1))
+            thresholds.append(float(top[rank - 1]) if rank else -np.inf)
+        model.thresholds = tuple(thresholds)
     return model
 
 
-def training_sample(docs: DataFrame, per_language: int = 600, most_languages: int = 200) -> tuple[list[str], list[str]]:
-    """At most about `per_language` texts each of the `most_languages` most frequent
-    languages, the ones of lowest hash; bounded whatever the input."""
+def training_sample(docs: DataFrame, per_language: int = 1000, longest: int = 20_000) -> tuple[list[str], list[str]]:
+    """At most about `per_language` texts of each language, the ones of lowest hash, none over
+    `longest` characters (unless all of its language are): per_language * longest characters
+    a language bound what reaches the driver."""
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 != 2))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    usable = usable.select("doc_id", "lang", "text", (F.length("text") <= longest).alias("fits"))
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.col("fits").cast("long")).alias("fit"), F.min("doc_id").alias("one")).collect()
     if not counts:
         return [], []
-    # the share of each language that gives about per_language rows
-    share = {r["lang"]: min(1.0, 1.15 * per_language / r["count"]) for r in counts}
+    # the share of each language that gives about per_language rows; one text, cut, of those that have long ones only
+    share = {r["lang"]: min(1.0, 1.15 * per_language / r["fit"]) for r in counts if r["fit"]}
+    alone = [(r["lang"], r["one"]) for r in counts if not r["fit"]]
     shares = F.from_json(F.lit(json.dumps(share)), "map<string,double>")
     draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = (
-        usable.select("lang", "text", draw.alias("draw"))
-        .where(F.col("draw") < shares[F.col("lang")])
-        .distinct()
-        .orderBy("draw", "lang", "text")
-        .limit(per_language * len(counts) * 2)
-        .collect()
-    )
+    rows = usable.where("fits").select("lang", "text", draw.alias("draw")).where(F.col("draw") < shares[F.col("lang")]).distinct()
+    rows = rows.orderBy("draw", "lang", "text").limit(per_language * len(counts) * 2).collect()
+    for lang, one in alone:
+        rows += usable.where((F.col("lang") == lang) & F.col("doc_id").eqNullSafe(F.lit(one))).select("lang", F.substring("text", 1, longest).alias("text")).limit(1).collect()
     return [r["text"] for r in rows], [r["lang"] for r in rows]
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of docs plus lang_pred, score and rejected, from the text alone."""
-    added = {"lang_pred", "score", "rejected"}
-    docs = docs.drop(*added)
-    letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", __best string, __score double"
+def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """All columns of docs and `__language`: (language, score, rejected), from the text alone."""
+    docs = docs.drop("__language")
+    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "__language struct<language:string,score:double,rejected:boolean>"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array(model.languages)
         for batch, data, off in pieces(batches, text):
-            p = model.probabilities(data, off)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names[p.argmax(1)].tolist(), pa.string()), pa.array(p.max(1), pa.float64())],
-                names=[*batch.schema.names, "__best", "__score"],
-            )
-
-    out = arrow_map(docs, run, ddl)
-    known = letters & (F.col("__best") != UND)
-    return out.select(
-        *docs.columns,
-        F.when(known, F.col("__best")).otherwise(UND).alias("lang_pred"),
-        F.when(known, F.col("__score")).otherwise(0.0).alias("score"),
-        (~known | (F.col("__score") < model.threshold)).alias("rejected"),
-    )
+            z, sizes = model.evidence(data, off)
+            best = [pa.array(names[z.argmax(1)].tolist(), pa.string()), pa.array(model.softmax(z).max(1), pa.float64()), pa.array(model.unlike(z, sizes))]
+            both = pa.StructArray.from_arrays(best, names=["language", "score", "rejected"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, both], names=[*batch.schema.names, "__language"])
+
+    found = F.col("__language")
+    known = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)) & (found["language"] != UND)
+    score = F.when(known, found["score"]).otherwise(0.0)
+    verdict = F.struct(F.when(known, found["language"]).otherwise(UND).alias("language"), score.alias("score"), (~known | found["rejected"]).alias("rejected"))
+    return arrow_map(docs, run, ddl).withColumn("__language", verdict)
+
+
+def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """All columns of docs plus lang_pred, score and rejected."""
+    others = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
+    found = F.col("__language")
+    return scored(docs.select(*{*others, text}), model, text).select(*others, found["language"].alias("lang_pred"), found["score"].alias("score"), found["rejected"].alias("rejected"))
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """Rows of docs, as they are, whose language the classifier accepts."""
+    return scored(docs, model, text).where(~F.col("__language.rejected")).select(*docs.columns)
 
 
 def train(docs: DataFrame, **options) -> Model:
