@@ -11,12 +11,16 @@ Each candidate is then verified by the exact weighted similarity of shingle
 multisets (sum of minima over sum of maxima), 0.8 or more.
 
 Windows without any shingle of an item of their size have similarity 0 with all of
-them; they are passed over, which loses nothing. The index travels as a broadcast
-of at most `block_bytes` of benchmark text; more items take further passes.
+them; they are passed over, which loses nothing. The index travels as a broadcast of
+flat arrays, of at most `block_bytes` in all (an item at least); more items take further
+passes. Windows meet the items of their size in blocks of `MEETINGS` pairs.
 
 Items of fewer than five words have no shingle and never match; so do null and
-empty texts. A text with fewer words than an item is one window. Repeated items
-and rows each keep their results.
+empty texts. A text with fewer words than an item is one window. Very long texts go
+through whole, a text at a time. Windows of one item that tie are told by the first of
+them. Repeated items and rows each keep their results; an empty table gives an empty
+one, and an empty benchmark finds nothing. contamination() replaces a column named like
+its result; clean() leaves all columns as they are.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ WORDS, SIMILARITY, RADIUS, NEAR = 5, 0.8, 23, 2
 ODD, INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 STEP = np.uint64(0xD6E8FEB86659FD93)
 FILTER_BITS = 20
+#: Windows times items that are compared at once.
+MEETINGS = 1 << 22
 
 
 def word_bytes() -> np.ndarray:
@@ -119,36 +125,46 @@ class Index:
     """Items by size in words: their shingles, fingerprints and block tables."""
 
     ids: dict[int, list] = field(default_factory=dict)
-    hashes: dict[int, list[np.ndarray]] = field(default_factory=dict)
+    hashes: dict[int, np.ndarray] = field(default_factory=dict)  # items x shingles: as many for each item of a size
     prints: dict[int, np.ndarray] = field(default_factory=dict)
     tables: dict[int, np.ndarray] = field(default_factory=dict)
     known: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    sizes: list[np.ndarray] = field(default_factory=list)  # sizes that hold each known shingle
+    places: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # of each known shingle in `sizes`
+    sizes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # sizes that hold each known shingle
     filter: np.ndarray = field(default_factory=lambda: np.zeros(1 << FILTER_BITS, bool))
 
 
+def item_shingles(text: str) -> np.ndarray:
+    data = text.encode()
+    h, words = shingles(data, np.array([0, len(data)])) if data else (np.zeros(0, np.uint64), np.zeros(2, np.int64))
+    return h[: max(0, int(words[1]) - WORDS + 1)]
+
+
+def weight(text: str) -> int:
+    """Bytes of the index that an item of this text takes, at most: a shingle, its place and
+    size for each word, block tables, and its name."""
+    return 24 * (text.count(" ") + len(text) // 2 + 1) + 8 * 256 + 200
+
+
 def indexed(items: list[tuple[object, str]]) -> Index:
-    index, holders = Index(), {}
+    index = Index()
     near = np.bitwise_count(np.arange(256)[:, None] ^ np.arange(256)[None, :]) <= NEAR
+    lists: dict[int, list[np.ndarray]] = {}
     for item, text in items:
-        data = (text or "").encode()
-        if not data:
-            continue
-        h, words = shingles(data, np.array([0, len(data)]))
-        n = int(words[1])
-        if n < WORDS:
-            continue
-        h = h[: n - WORDS + 1]
-        index.ids.setdefault(n, []).append(item)
-        index.hashes.setdefault(n, []).append(h)
-        for x in h.tolist():
-            holders.setdefault(x, set()).add(n)
-    for n, lists in index.hashes.items():
-        index.prints[n] = np.concatenate([simhashes(h, len(h), np.zeros(1, np.int64)) for h in lists])
+        h = item_shingles(text or "")
+        if len(h):
+            index.ids.setdefault(len(h) + WORDS - 1, []).append(item)
+            lists.setdefault(len(h) + WORDS - 1, []).append(h)
+    if not lists:
+        return index
+    for n, some in lists.items():
+        index.hashes[n] = np.stack(some)
+        index.prints[n] = np.concatenate([simhashes(h, len(h), np.zeros(1, np.int64)) for h in some])
         blocks = index.prints[n].view(np.uint8).reshape(-1, 8)
         index.tables[n] = np.stack([near[:, blocks[:, k]] for k in range(8)])
-    index.known = np.array(sorted(holders), np.uint64)
-    index.sizes = [np.array(sorted(holders[x])) for x in index.known.tolist()]
+    held = np.unique(np.concatenate([np.stack([h.ravel(), np.full(h.size, n, np.uint64)], 1) for n, h in index.hashes.items()]), axis=0)
+    index.known, first = np.unique(held[:, 0], return_index=True)
+    index.places, index.sizes = np.append(first, len(held)), held[:, 1].astype(np.int32)
     index.filter[index.known >> np.uint64(64 - FILTER_BITS)] = True
     return index
 
@@ -157,8 +173,8 @@ def hits(hashes: np.ndarray, n_words: int, seeds: np.ndarray, index: Index) -> l
     """(item, first word, words, similarity) of one text; `hashes` are its shingles."""
     out = []
     by_size: dict[int, list[int]] = {}
-    for p in seeds.tolist():
-        for n in index.sizes[int(np.searchsorted(index.known, hashes[p]))].tolist():
+    for p, k in zip(seeds.tolist(), np.searchsorted(index.known, hashes[seeds]).tolist(), strict=True):
+        for n in index.sizes[index.places[k] : index.places[k + 1]].tolist():
             by_size.setdefault(n, []).append(p)
     for n, places in by_size.items():
         width = n - WORDS + 1
@@ -168,8 +184,9 @@ def hits(hashes: np.ndarray, n_words: int, seeds: np.ndarray, index: Index) -> l
         np.add.at(cover, np.clip(p - width + 1, 0, last), 1)
         np.add.at(cover, np.clip(p, 0, last) + 1, -1)
         starts = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
-        for k in range(0, len(starts), 1 << 14):
-            part = starts[k : k + (1 << 14)]
+        block = max(1, MEETINGS // len(index.ids[n]))
+        for k in range(0, len(starts), block):
+            part = starts[k : k + block]
             a = part[0]
             fps = simhashes(hashes[a : part[-1] + width], width, part - a)
             blocks = fps.view(np.uint8).reshape(-1, 8)
@@ -199,30 +216,31 @@ def hits(hashes: np.ndarray, n_words: int, seeds: np.ndarray, index: Index) -> l
 
 
 def blocks_of(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[object, str]]]:
-    """Items in blocks of bounded size, streamed to the driver."""
+    """Items in blocks whose index is bounded, streamed to the driver."""
     part, size = [], 0
     for r in benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null").toLocalIterator():
-        part.append((r["item_id"], r["text"]))
-        size += len(r["text"])
-        if size >= block_bytes:
+        own = weight(r["text"])
+        if part and size + own > block_bytes:
             yield part
             part, size = [], 0
+        part.append((r["item_id"], r["text"]))
+        size += own
     if part:
         yield part
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
-    """docs with `hits`: array of (item_id, start_word, n_words, similarity), empty for clean texts."""
+def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_bytes: int = 64 << 20, name: str = "hits") -> DataFrame:
+    """docs with `name`: array of (item_id, start_word, n_words, similarity), empty for clean texts."""
     kind = next(f.dataType.simpleString() for f in benchmark.schema if f.name == "item_id")
     empty = f"array<struct<item_id:{kind},start_word:int,n_words:int,similarity:double>>"
-    out = docs.drop("hits").withColumn("hits", F.expr(f"cast(array() as {empty})"))
+    out = docs.withColumn(name, F.expr(f"cast(array() as {empty})"))
     for part in blocks_of(benchmark, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(indexed(part))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch, data, off in pieces(batches, text):
-                place = batch.schema.get_field_index("hits")
+                place = batch.schema.get_field_index(name)
                 column = batch.column(place)
                 if data and len(index.known):
                     h, words = shingles(data, off)
@@ -249,5 +267,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", blo
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of docs that hold no benchmark item."""
-    return contamination(docs, benchmark).where(F.size("hits") == 0).select(*docs.columns)
+    """Rows of docs, as they are, that hold no benchmark item."""
+    return contamination(docs, benchmark, name="__hits").where(F.size("__hits") == 0).select(*docs.columns)
