@@ -37,18 +37,105 @@ def test_word_round_trip():
     assert found.markdown().startswith("## Заголовок")
 
 
+def png(wide: int, high: int) -> bytes:
+    import struct
+    import zlib
+
+    chunk = lambda k, d: struct.pack(">I", len(d)) + k + d + struct.pack(">I", zlib.crc32(k + d))
+    rows = zlib.compress((b"\0" + b"\x80" * wide) * high)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", wide, high, 8, 0, 0, 0, 0)) + chunk(b"IDAT", rows) + chunk(b"IEND", b"")
+
+
 def test_drawing():
     pages = drawings.laid_out(BLOCKS)
     assert len(pages) > 1
     assert list(drawings.problems(drawings.package(pages))) == []
     assert list(drawings.problems(b"no zip"))
     assert any("no shapes" in p for p in drawings.problems(drawings.package([[]])))
+    # a table that goes over pages has its header on each; a single row is not one
+    heads = [[s.text for s in p if s.name.startswith("Header")] for p in pages if any(s.name.startswith("Row") for s in p)]
+    assert len(heads) > 1 and all(h == ["x", "y"] for h in heads)
+    assert [s.name for s in drawings.laid_out([{"kind": "table", "rows": [["a", "b"]]}])[0]] == ["Row 1 1", "Row 1 2"]
+    assert drawings.laid_out([{"kind": "page_break"}]) == [[]] and all(p for p in drawings.laid_out([BLOCKS[0], {"kind": "page_break"}, {"kind": "page_break"}, BLOCKS[2]]))
+    low = [s.bottom for p in pages for s in p]
+    assert min(low) >= drawings.MARGIN - 1e-6
 
 
 def test_drawing_summary():
     pages = drawings.laid_out(BLOCKS)
     found = drawings.summary(drawings.package(pages))
-    assert found["pages"] == len(pages) and found["shapes"] == sum(map(len, pages)) == found["texts"]
+    assert found["pages"] == len(pages) and found["shapes"] == sum(map(len, pages)) == found["texts"] == found["written"]
+    assert found["images"] == 0 and found["sizes"] == [drawings.A4] * len(pages)
+
+
+def test_pictures_in_drawings(spark):
+    blocks = [{"kind": "paragraph", "level": 0, "text": "see ![a map](images/m.png) and [HANDWRITTEN: note](n.jpg) ![gone](x.png)", "rows": [], "items": []}]
+    pages = drawings.laid_out(blocks, pictures={"images/m.png": png(3000, 600), "n.jpg": b"no picture"})
+    assert [(s.name, s.text, bool(s.picture)) for s in pages[0]] == [("Paragraph", "see and note", False), ("a map", "", True), ("Caption", "[gone]", False)]
+    shown = pages[0][1]
+    assert round(shown.width, 6) == drawings.A4[0] - 2 * drawings.MARGIN and round(shown.width / shown.height, 6) == 5
+    content = drawings.package(pages)
+    assert list(drawings.problems(content)) == [] and drawings.summary(content)["images"] == 1
+    rows = spark.createDataFrame([("f", blocks, [("images/m.png", bytearray(png(30, 20)))])], "file string, blocks array<struct<kind:string,level:int,text:string,rows:array<array<string>>,items:array<string>>>, pictures array<struct<path:string,content:binary>>")
+    assert drawings.summary(bytes(drawings.drawn(rows).first()["content"]))["images"] == 1
+    one, sizes = drawings.pictured([("a.png", png(200, 400)), ("b.png", png(100, 100)), ("c.gif", b"x")])
+    assert sizes == [(1.0, 2.0), (0.5, 0.5)] and list(drawings.problems(drawings.package(one, size=sizes))) == []
+    tiles, sizes = drawings.pictured([(f"{i}.png", png(100, 50)) for i in range(5)], dpi=100, sheet=True)
+    assert sizes == [(3.0, 1.0)] and [(s.left, s.bottom) for s in tiles[0]] == [(0, 0.5), (1, 0.5), (2, 0.5), (0, 0), (1, 0)]
+    with pytest.raises(ValueError):
+        drawings.pictured([("c.gif", b"x")])
+
+
+def test_faults_in_drawings():
+    def changed(edit):
+        out = io.BytesIO()
+        with zipfile.ZipFile(io.BytesIO(whole)) as z, zipfile.ZipFile(out, "w") as to:
+            files = {n: z.read(n) for n in z.namelist()}
+            edit(files)
+            for n, c in files.items():
+                to.writestr(n, c)
+        return "; ".join(drawings.problems(out.getvalue()))
+
+    pages = [drawings.pictured([("a.png", png(20, 20))])[0][0] + drawings.laid_out(BLOCKS[:1])[0]]
+    whole = drawings.package(pages)
+    page, rels = "visio/pages/page1.xml", "visio/pages/_rels/page1.xml.rels"
+    swap = lambda n, a, b: lambda f: f.update({n: f[n].replace(a, b)})
+    assert changed(lambda f: None) == ""
+    assert "missing part: visio/document.xml" in changed(lambda f: f.pop("visio/document.xml"))
+    assert "malformed xml" in changed(lambda f: f.update({page: b"<x"}))
+    assert "content type not declared for odd.bin" in changed(lambda f: f.update({"odd.bin": b""}))
+    assert "missing visio/media/image1_1.png" in changed(lambda f: f.pop("visio/media/image1_1.png"))
+    assert "unused media file: visio/media/z.png" in changed(lambda f: f.update({"visio/media/z.png": b""}))
+    assert "1 pictures but 0 image relationships" in changed(lambda f: f.update({rels: drawings.relations([]).encode()}))
+    assert "declares no pages" in changed(lambda f: f.update({"visio/pages/pages.xml": f'<Pages xmlns="{drawings.VISIO}"/>'.encode()}))
+    assert "has no Text" in changed(lambda f: f.update({page: f[page].replace(b"<Text>", b"<Texts>").replace(b"</Text>", b"</Texts>")}))
+    assert "Cell[@N='PinX']" in changed(swap(page, b'"PinX"', b'"Pin"'))
+    assert "unsupported compression GIF" in changed(swap(page, b'CompressionType="PNG"', b'CompressionType="GIF"'))
+    assert "out of order" in changed(swap("visio/document.xml", b"FaceNames", b"Odd"))
+
+
+def test_diagrams(spark):
+    reply = {
+        "page": {"width": 1000, "height": 800},
+        "shapes": [
+            {"id": "start", "type": "ellipse", "x": 100, "y": 100, "width": 200, "height": 100, "text": "Start", "rotation": 90},
+            {"id": "end", "type": "diamond", "x": 0, "y": 0, "width": 1000, "height": 1000, "text": "End", "fill": "#ff0000", "line_style": "dashed"},
+            {"id": "flow", "type": "connector", "x": 300, "y": 150, "width": 200, "height": 0, "text": "Flow", "from": "start", "to": "end", "line_color": "#00ff00"},
+            {"type": "image", "text": "no text"},
+            {"type": "odd"},
+        ],
+    }
+    rows = spark.createDataFrame([("d", json.dumps(reply)), ("bad", "nothing")], "file string, reply string").select("file", model.diagram(F.col("reply")).alias("diagram"))
+    made = {r["file"]: bytes(r["content"]) for r in drawings.diagrams_drawn(rows, dpi=100).collect()}
+    assert list(drawings.problems(made["d"])) == []
+    found = drawings.summary(made["d"])
+    assert (found["pages"], found["sizes"], found["shapes"], found["written"]) == (1, [(10.0, 8.0)], 5, 3)
+    assert any("no shapes" in p for p in drawings.problems(made["bad"])) and drawings.summary(made["bad"])["texts"] == 0
+    (shapes,), _ = drawings.diagrammed(reply, 100)
+    start, end, flow, image, odd = shapes
+    assert [round(x, 6) for x in (start.left, start.bottom, start.width, start.height)] == [1.0, 6.4, 2.0, 0.8] and start.angle == 90 and start.outline == "ellipse"
+    assert [round(x, 6) for x in (end.left, end.bottom, end.width, end.height)] == [0, 0, 10.0, 8.0] and (end.fill, end.line, end.outline) == ("#ff0000", 2, "diamond")
+    assert (flow.height, flow.fill, round(flow.bottom, 6)) == (0.01, "#00ff00", 6.8) and image.text == "" and odd.name == "shape_4" and odd.outline == "rectangle"
 
 
 def test_pdf():
