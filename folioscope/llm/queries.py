@@ -96,7 +96,7 @@ def op6_pii_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     found = pii.find(docs, pii.fit(docs))
-    return found.select("doc_id", *(f"n_{k}" for k in pii.BASE), F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
+    return found.select("doc_id", *(f"n_{k}" for k in pii.BASE), F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans", "n_spans", "doubted")
 
 
 def op7_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
