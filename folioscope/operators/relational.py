@@ -43,6 +43,18 @@ def by_size(files: DataFrame) -> DataFrame:
     return files.orderBy(F.when(F.col("is_dir"), F.lit(0)).otherwise(F.col("size")), F.desc("is_dir"), "path")
 
 
+def in_order(files: DataFrame) -> DataFrame:
+    """Folders first, then files, each by path: the order in which discovery tells them."""
+    return files.orderBy(F.desc("is_dir"), "path")
+
+
+def unreviewed(files: DataFrame, marks: DataFrame, path: str = "path") -> DataFrame:
+    """Files without a mark of their stem; files of one stem share a mark."""
+    stem = lambda c: F.regexp_replace(F.regexp_extract(c, r"([^/]*)$", 1), r"(?<=.)\.[^.]*$", "")
+    done = marks.select(stem(path).alias("__stem")).distinct()
+    return files.withColumn("__stem", stem(path)).join(done, "__stem", "left_anti").drop("__stem")
+
+
 def collection_roots(paths: DataFrame, path: str = "path") -> DataFrame:
     """(root): folders that are one document each: named like an HTML file, or with an HTML
     file right in them; only the outermost. Top folders of `paths` are none."""
@@ -105,25 +117,42 @@ def missing(files: DataFrame, manifest: DataFrame, key: str = "name") -> DataFra
     return files.where(archivable(F.col(key))).join(manifest.select(key).distinct(), key, "left_anti").orderBy(key)
 
 
-def stale(files: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Journals whose content is not what the manifest holds: they call for a rebuild."""
-    live = files.where(F.col("name").isin(*JOURNALS)).select("name", "crc")
-    return live.join(manifest.select("name", F.col("crc").alias("held")), "name").where("crc <> held").select("name", "crc", "held")
+def stale(files: DataFrame, manifest: DataFrame, digest: str = "crc", journals: tuple[str, ...] | None = JOURNALS) -> DataFrame:
+    """Journals (all files, if None) whose digest is not what the manifest holds: they call for a rebuild."""
+    live = (files if journals is None else files.where(F.col("name").isin(*journals))).select("name", digest)
+    return live.join(manifest.select("name", F.col(digest).alias("held")), "name").where(F.col(digest) != F.col("held")).select("name", digest, "held")
 
 
-def as_of(events: DataFrame, states: DataFrame, key: list[str], at: str, since: str, value: str, default=None) -> DataFrame:
+def as_of(events: DataFrame, states: DataFrame, key: list[str], at: str, since: str, value: str, default=None, span: int | None = None) -> DataFrame:
     """events with the value of the last state of their key at or before them.
 
-    Both sides are laid on one time line and the value is carried forward by a window
-    over the key, so no pair of rows is ever formed.
+    Both sides are laid on one time line and the value is carried forward by a window, so no
+    pair of rows is ever formed. With `span` (in seconds for timestamps, else in units of the
+    time) the line of a key is cut into parts of that length, so that a hot key does not fill a
+    task: the last value of each part is carried over to the next by a window over the parts.
     """
     columns = events.columns
-    left = events.select(F.struct(*columns).alias("event"), *[F.col(k) for k in key], F.col(at).alias("__t"), F.lit(1).alias("__side"), F.lit(None).cast(states.schema[value].dataType).alias("__v"))
+    none = F.lit(None).cast(states.schema[value].dataType)
+    left = events.select(F.struct(*columns).alias("event"), *[F.col(k) for k in key], F.col(at).alias("__t"), F.lit(1).alias("__side"), none.alias("__v"))
     right = states.select(F.lit(None).cast(left.schema["event"].dataType).alias("event"), *[F.col(k) for k in key], F.col(since).alias("__t"), F.lit(0).alias("__side"), F.col(value).alias("__v"))
-    line = Window.partitionBy(*key).orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    out = left.unionByName(right).withColumn("__v", F.last("__v", ignorenulls=True).over(line)).where("__side = 1")
-    found = F.col("__v") if default is None else F.coalesce("__v", F.lit(default))
-    return out.select(*[F.col(f"event.{c}") for c in columns], found.alias(value))
+    both = left.unionByName(right)
+    part = []
+    if span:
+        number = F.unix_seconds("__t") if states.schema[since].dataType.simpleString().startswith("timestamp") else F.col("__t")
+        both, part = both.withColumn("__part", F.floor(number / span)), ["__part"]
+    line = Window.partitionBy(*key, *part).orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    found = F.last("__v", ignorenulls=True).over(line)
+    if span:
+        # a row for each part: its last value, from a pre-aggregated maximum, and the one before it
+        last = both.where("__side = 0 and __v is not null").groupBy(*key, "__part").agg(F.max(F.struct("__t", "__v")).alias("__l"))
+        parts = both.select(*key, "__part").distinct().join(last, [*key, "__part"], "left")
+        before = F.last("__l.__v", ignorenulls=True).over(Window.partitionBy(*key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+        both = both.withColumn("__v", found).where("__side = 1").join(parts.select(*key, "__part", before.alias("__b")), [*key, "__part"])
+        out = both.withColumn("__v", F.coalesce("__v", "__b"))
+    else:
+        out = both.withColumn("__v", found).where("__side = 1")
+    result = F.col("__v") if default is None else F.coalesce("__v", F.lit(default))
+    return out.select(*[F.col(f"event.{c}") for c in columns], result.alias(value))
 
 
 def last_rows(df: DataFrame, position: str, n: int) -> DataFrame:

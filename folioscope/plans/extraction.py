@@ -12,13 +12,16 @@ from folioscope.functions import entities
 from folioscope.functions.text import head_and_tail, strip, without_fences, without_thinking
 from folioscope.operators.relational import keep_first
 from folioscope.operators.segment import chunks, page_at, page_marks
-from folioscope.plans.model import Client, Post, over_http, read_json
+from folioscope.plans.model import Client, Post, answered, batches, over_http, read_json
 
 ENTITIES = "struct<entities:array<struct<type:string,value:string,normalized_value:string,page:int,paragraph:int,evidence:string,confidence:double,handwritten:boolean>>>"
 BLOCKS = "struct<blocks:array<struct<type:string,level:int,text:string,items:array<string>,rows:array<array<string>>,caption:string>>>"
 #: Fixed values.
 LONGEST, BLOCK_KINDS = 500, ("heading", "paragraph", "list", "table", "image")
 ENTITY_TASK = "Extract the entities of the text as JSON: {\"entities\": [{\"type\", \"value\", \"page\", \"paragraph\", \"evidence\", \"confidence\", \"handwritten\"}]}. Use only these types:"
+IMAGE_TASK = "Extract the entities of these page images."
+LAYOUT_TASK = "Read the pages and give their blocks in order as JSON: {\"blocks\": [{\"type\": heading, paragraph, list, table or image, \"level\", \"text\", \"items\", \"rows\", \"caption\"}]}. Leave nothing out and add nothing."
+DIAGRAM_TASK = "Read the diagram and give its page and shapes as JSON: {\"page\": {\"width\", \"height\"}, \"shapes\": [{\"id\", \"type\", \"x\", \"y\", \"width\", \"height\", \"text\", \"fill\", \"from\", \"to\"}]}. Coordinates run from 0 to 1000, from the top left corner."
 ANNOTATION_TASK = "Write an annotation of one or two sentences."
 FOCUS = {
     "article": "Authors, organisations, dates, methods and references matter most.",
@@ -71,7 +74,19 @@ def extracted(documents: DataFrame, endpoints: list[str], system: str, post: Pos
     scored against their chunk, the first of each type and value kept, values normalised."""
     requests = chunked(documents, limit)
     keys = ("file", "document_type", "position", "content", "page")
-    replies = asked(requests, endpoints, system, post, keys).where("error is null")
+    return checked(asked(requests, endpoints, system, post, keys).where("error is null"), least)
+
+
+def extracted_from_images(images: DataFrame, endpoints: list[str], system: str, post: Post = over_http, size: int = 2, document_type: str = "other", least: float = entities.LEAST_CONFIDENCE) -> DataFrame:
+    """(file, record) as extracted() gives them, of page images (file, page, png): `size` pages go
+    into a request, evidence is sought in the reply, entities without a page get the request's first."""
+    replies = answered(batches(images, size), endpoints, post, system, text=IMAGE_TASK).where("error is null")
+    first = ((F.col("chunk") - 1) * size + 1).cast("int")
+    return checked(replies.select("file", F.lit(document_type).alias("document_type"), (F.col("chunk") - 1).alias("position"), without_thinking(F.col("reply")).alias("content"), first.alias("page"), "reply"), least)
+
+
+def checked(replies: DataFrame, least: float = entities.LEAST_CONFIDENCE) -> DataFrame:
+    """(file, position, number, record) of replies (file, document_type, position, content, page, reply)."""
     found = F.from_json(read_json(without_thinking(F.col("reply"))), ENTITIES)["entities"]
     rows = replies.select("file", "document_type", "position", "page", "content", F.posexplode(found).alias("number", "entity"))
     rows = rows.select("file", "document_type", "position", "number", entities.processed(F.col("entity"), F.col("content"), F.col("page")).alias("record"))
@@ -83,10 +98,24 @@ def extracted(documents: DataFrame, endpoints: list[str], system: str, post: Pos
     return first.select("file", "position", "number", named.alias("record"))
 
 
-def annotated(documents: DataFrame, endpoints: list[str], post: Post = over_http, limit: int = LONGEST) -> DataFrame:
-    """(file, annotation) of (file, text); long texts are shown by head and tail, blank ones get none."""
-    shown = documents.where(F.coalesce(strip(F.col("text")), F.lit("")) != "").select("file", F.concat(F.lit("Document text:\n"), head_and_tail(F.col("text"), limit)).alias("content"))
-    return asked(shown, endpoints, ANNOTATION_TASK, post).where("error is null").select("file", strip(without_fences(without_thinking(F.col("reply")))).alias("annotation"))
+def annotated(documents: DataFrame, endpoints: list[str], post: Post = over_http, limit: int = LONGEST, images: DataFrame | None = None) -> DataFrame:
+    """(file, annotation) of (file, text); long texts are shown by head and tail. Files without a
+    text are shown by the first two of their `images` (file, page, png), and get none without those."""
+    blank = F.coalesce(strip(F.col("text")), F.lit("")) == ""
+    shown = documents.where(~blank).select("file", F.concat(F.lit("Document text:\n"), head_and_tail(F.col("text"), limit)).alias("content"))
+    replies = asked(shown, endpoints, ANNOTATION_TASK, post).select("file", "reply", "error")
+    if images is not None:
+        seen = batches(images.join(documents.where(blank).select("file"), "file", "left_semi"), 2).where("chunk = 1")
+        replies = replies.unionByName(answered(seen, endpoints, post, ANNOTATION_TASK).select("file", "reply", "error"))
+    return replies.where("error is null").select("file", strip(without_fences(without_thinking(F.col("reply")))).alias("annotation"))
+
+
+def layouts(images: DataFrame, endpoints: list[str], post: Post = over_http, size: int = 2, prompt: str = "") -> DataFrame:
+    """(file, blocks): the blocks of a file's page images (file, page, png), of all its requests in order;
+    none for replies that cannot be read or did not come."""
+    replies = answered(batches(images, size), endpoints, post, prompt or LAYOUT_TASK, text="Give the layout of these pages as JSON.")
+    parts = F.array_sort(F.collect_list(F.struct("chunk", layout_blocks(F.col("reply")).alias("blocks"))))
+    return replies.groupBy("file").agg(parts.alias("parts")).select("file", F.flatten(F.transform("parts", lambda p: p["blocks"])).alias("blocks"))
 
 
 def layout_blocks(reply: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,6 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 
-
 def _struct(**kinds: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, k) for n, k in kinds.items()])
 
@@ -42,21 +42,27 @@ def statistics(results: DataFrame) -> DataFrame:
     return results.select(*STATS.fieldNames())
 
 
-def snapshot(spark: SparkSession, ledger: str, path: str) -> None:
-    """The whole ledger as one table, in a new folder first, then in place of the old one."""
-    fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    read(spark, ledger).write.json(fresh)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    to, temporary = hadoop.Path(path), hadoop.Path(fresh)
-    store = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    store.delete(to, True)
-    if not store.rename(temporary, to):
-        raise OSError(f"cannot publish {path}")
+def snapshot(spark: SparkSession, ledger: str, path: str) -> int:
+    """The whole ledger as one JSON array, written row by row and put in place of the old one by a
+    rename, on a file system that the driver shares. Returns the number of rows."""
+    temporary, n = f"{path}.{uuid.uuid4().hex}", 0
+    rows = read(spark, ledger).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false", "pretty": "true"}).alias("row"))
+    with open(temporary, "w", encoding="utf-8") as out:
+        out.write("[")
+        for r in rows.toLocalIterator():
+            out.write((",\n" if n else "\n") + r["row"])
+            n += 1
+        out.write("\n]\n")
+    os.replace(temporary, path)
+    return n
 
 
 def upserted(held: DataFrame, new: DataFrame, key: str = "file") -> DataFrame:
-    """held with the rows of `new` in place of those of the same key; the last write wins."""
-    return held.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
+    """held with the rows of `new` in place of those of the same key; of several new rows of a
+    key the greatest stays, so that one does."""
+    rest = F.struct(*[c for c in new.columns if c != key])
+    one = new.groupBy(key).agg(F.max_by(rest, F.to_json(rest)).alias("row")).select(key, "row.*").select(*new.columns)
+    return held.join(one.select(key), key, "left_anti").unionByName(one)
 
 
 def extended(vocabulary: DataFrame, new: DataFrame, key: str = "name") -> DataFrame:

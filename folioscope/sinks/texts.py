@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -68,29 +68,53 @@ def wide(*values: int) -> bytes:
     return struct.pack(f"<HH{len(over)}Q", 1, 8 * len(over), *over) if over else b""
 
 
-def write_zip(files: DataFrame, path: str) -> int:
-    """Write (name, content) rows, in order of name, as a zip archive; ZIP64 where it must be.
-
-    Entries are compressed on executors and streamed through the driver one by one;
-    only the directory is held. The archive takes its name when it is whole.
+def streamed(out, name: bytes, parts: Iterable[bytes]) -> tuple[int, int, int]:
+    """Write an entry of unknown size and put its header right afterwards: (crc, packed, size).
+    Its sizes have 64 bits, as they are not known before."""
+    begin = out.tell()
+    out.write(b"\0" * (LOCAL.size + len(name) + 20))
+    squeeze, crc, size, packed = zlib.compressobj(6, zlib.DEFLATED, -15), 0, 0, 0
+    for part in parts:
+        crc, size = zlib.crc32(part, crc), size + len(part)
+        packed += out.write(squeeze.compress(part))
+    packed += out.write(squeeze.flush())
+    end = out.tell()
+    out.seek(begin)
+    out.write(LOCAL.pack(0x04034B50, 45, UTF8, DEFLATE, 0, DATE, crc, MOST32, MOST32, len(name), 20) + name + struct.pack("<HHQQ", 1, 16, size, packed))
+    out.seek(end)
+    return crc, packed, size
+
+
+def write_zip(files: DataFrame, path: str, streams: Iterable[tuple[str, Iterable[bytes]]] = (), comment: bytes = b"") -> int:
+    """Write (name, content) rows, in order of name, and then `streams` (name, parts) as a zip
+    archive; ZIP64 where it must be. Returns the number of entries.
+
+    Entries are compressed on executors and streamed through the driver one by one; those
+    of `streams` are compressed here as they come. Only the directory is held. The archive
+    takes its name when it is whole.
     """
-    directory, at, n = [], 0, 0
+    directory: list[bytes] = []
     temporary = f"{path}.tmp"
+
+    def listed(name: bytes, crc: int, packed: int, size: int, at: int) -> None:
+        limit = lambda v: min(v, MOST32)
+        more = wide(size, packed, at)
+        directory.append(CENTRAL.pack(0x02014B50, 45, 45 if more else 20, UTF8, DEFLATE, 0, DATE, crc, limit(packed), limit(size), len(name), len(more), 0, 0, 0, 0, limit(at)) + name + more)
+
     with open(temporary, "wb") as out:
         for r in deflated(files).orderBy("name").toLocalIterator():
-            name, packed = r["name"].encode(), bytes(r["packed"])
-            limit = lambda v: min(v, MOST32)
+            at, name, packed = out.tell(), r["name"].encode(), bytes(r["packed"])
             extra = struct.pack("<HHQQ", 1, 16, r["size"], len(packed)) if max(r["size"], len(packed)) >= MOST32 else b""
             sizes = (MOST32, MOST32) if extra else (len(packed), r["size"])
             out.write(LOCAL.pack(0x04034B50, 45 if extra else 20, UTF8, DEFLATE, 0, DATE, r["crc"], *sizes, len(name), len(extra)) + name + extra + packed)
-            more = wide(r["size"], len(packed), at)
-            directory.append(CENTRAL.pack(0x02014B50, 45, 45 if more else 20, UTF8, DEFLATE, 0, DATE, r["crc"], limit(len(packed)), limit(r["size"]), len(name), len(more), 0, 0, 0, 0, limit(at)) + name + more)
-            at += LOCAL.size + len(name) + len(extra) + len(packed)
-            n += 1
-        size = sum(map(len, directory))
+            listed(name, r["crc"], len(packed), r["size"], at)
+        for name, parts in streams:
+            at = out.tell()
+            listed(name.encode(), *streamed(out, name.encode(), parts), at)
+        at, size, n = out.tell(), sum(map(len, directory)), len(directory)
         out.writelines(directory)
         if n >= MOST16 or at >= MOST32 or size >= MOST32:
             out.write(END64.pack(0x06064B50, END64.size - 12, 45, 45, 0, 0, n, n, size, at) + LOCATOR64.pack(0x07064B50, 0, at + size, 1))
-        out.write(END.pack(0x06054B50, 0, 0, min(n, MOST16), min(n, MOST16), min(size, MOST32), min(at, MOST32), 0))
+        out.write(END.pack(0x06054B50, 0, 0, min(n, MOST16), min(n, MOST16), min(size, MOST32), min(at, MOST32), len(comment)) + comment)
     os.replace(temporary, path)
     return n

@@ -35,22 +35,23 @@ def contents(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ()) ->
 
 
 def extracted(files: DataFrame, name: str = "relative") -> DataFrame:
-    """files (name, content) with text and pages by suffix. HTML with little content, images
-    and unknown kinds give an empty text; a file that cannot be read gives one too."""
+    """files (name, content) with text, pages, error and seconds, by suffix. HTML with little
+    content, images and unknown kinds give an empty text; a file that cannot be read gives its error."""
     suffix = F.lower(F.regexp_extract(name, r"\.([^./]+)$", 1))
     rows = files.withColumn("__suffix", suffix)
-    page = html.text_of(F.decode("content", "UTF-8"))
+    page = html.text_of(F.make_valid_utf8(F.col("content").cast("string")))
+    plain = lambda text, pages: F.struct(text.alias("text"), F.lit(pages).alias("pages"), F.lit(None).cast("string").alias("error"), F.lit(0.0).alias("seconds"))
+    readers = {"docx": ooxml.docx_read, "pptx": ooxml.pptx_read, "pdf": pdf.pdf_read}
+    others = rows.where("__suffix is null or __suffix not in ('html', 'htm', 'docx', 'pptx', 'pdf')")
     kinds = [
-        rows.where("__suffix in ('html', 'htm')").withColumn("text", page).withColumn("text", F.when(meaningful(F.col("text")), F.col("text")).otherwise("")).withColumn("pages", F.lit(1)),
-        rows.where("__suffix = 'docx'").withColumn("text", ooxml.docx_text(F.col("content"))).withColumn("pages", F.lit(1)),
-        rows.where("__suffix = 'pptx'").withColumn("text", ooxml.pptx_text(F.col("content"))).withColumn("pages", F.lit(1)),
-        pdf.with_text(rows.where("__suffix = 'pdf'")),
-        rows.where("__suffix is null or __suffix not in ('html', 'htm', 'docx', 'pptx', 'pdf')").withColumn("text", F.lit("")).withColumn("pages", F.lit(0)),
+        rows.where("__suffix in ('html', 'htm')").withColumn("__read", plain(page, 1)).withColumn("__read", F.when(meaningful(F.col("__read.text")), F.col("__read")).otherwise(plain(F.lit(""), 1))),
+        *(rows.where(F.col("__suffix") == k).withColumn("__read", read(F.col("content"))) for k, read in readers.items()),
+        others.withColumn("__read", plain(F.lit(""), 0)),
     ]
     out = kinds[0]
     for k in kinds[1:]:
         out = out.unionByName(k)
-    return out.drop("__suffix").withColumn("pages", F.col("pages").cast("int"))
+    return out.select(*files.columns, F.col("__read.text").alias("text"), F.col("__read.pages").cast("int").alias("pages"), F.col("__read.error").alias("error"), F.col("__read.seconds").alias("seconds"))
 
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

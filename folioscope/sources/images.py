@@ -13,6 +13,32 @@ SUFFIXES = ("png", "jpg", "jpeg")
 STEPS = ("upscale", "denoise", "shadow", "contrast", "deskew", "binarize")
 
 
+def as_png(content: bytes) -> bytes:
+    """An image as a PNG file; as it is where no imaging library can read it."""
+    if content[:8] == b"\x89PNG\r\n\x1a\n":
+        return content
+    try:
+        import io
+
+        from PIL import Image
+
+        out = io.BytesIO()
+        with Image.open(io.BytesIO(content)) as image:
+            image.convert("RGB").save(out, "PNG")
+        return out.getvalue()
+    except Exception:  # noqa: BLE001 - no library, or not an image it knows
+        return content
+
+
+def page_files(content: bytes, suffix: str) -> list[bytes]:
+    """Images of a scan's pages: those of a PDF file, or the image itself."""
+    if suffix == "pdf":
+        from folioscope.sources.pdf import rendered
+
+        return rendered(content)
+    return [as_png(content)]
+
+
 def steps_of(text: str) -> tuple[str, ...]:
     """The steps named in a comma-separated text, in their fixed order."""
     asked = {s.strip().lower() for s in text.split(",") if s.strip()}

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import io
 import re
+import time
 import zipfile
 from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
@@ -117,6 +118,8 @@ def core(content: bytes) -> dict[str, str]:
 
 
 def _applied(content: Column, read: Callable[[bytes], object], kind: str, default: object) -> Column:
+    """read(content), `default` for what cannot be read."""
+
     @F.pandas_udf(kind)
     def apply(contents: pd.Series) -> pd.Series:
         def one(x: bytes) -> object:
@@ -130,6 +133,32 @@ def _applied(content: Column, read: Callable[[bytes], object], kind: str, defaul
     return apply(content)
 
 
+def told(read: Callable[[bytes], tuple[str, int]], content: Column) -> Column:
+    """(text, pages, error, seconds): what read(content) gives, or why it fails."""
+
+    @F.pandas_udf("struct<text:string,pages:int,error:string,seconds:double>")
+    def apply(contents: pd.Series) -> pd.DataFrame:
+        def one(x: bytes) -> tuple:
+            began = time.perf_counter()
+            try:
+                found = (*read(x), None)
+            except Exception as e:  # noqa: BLE001 - a file that cannot be read is a row with its error
+                found = ("", 0, f"{type(e).__name__}: {e}"[:1000])
+            return (*found, round(time.perf_counter() - began, 3))
+
+        return pd.DataFrame([one(x) for x in contents], columns=["text", "pages", "error", "seconds"])
+
+    return apply(content)
+
+
+def docx_read(content: Column) -> Column:
+    return told(lambda x: (Word(x).text(), 1), content)
+
+
+def pptx_read(content: Column) -> Column:
+    return told(lambda x: (Slides(x).text(), 1), content)
+
+
 def docx_text(content: Column) -> Column:
     return _applied(content, lambda x: Word(x).text(), "string", "")
 

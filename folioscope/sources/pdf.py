@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from folioscope.sources.ooxml import told
+
 
 def _open(content: bytes):
     try:
@@ -15,37 +17,39 @@ def _open(content: bytes):
     return fitz.open(stream=content, filetype="pdf")
 
 
-def with_text(files: DataFrame) -> DataFrame:
-    """files with text (pages joined by form feeds) and pages; unreadable ones give '' and 0."""
+def read(content: bytes) -> tuple[str, int]:
+    """Text of the pages, joined by form feeds, and their number; ('', 0) without a library."""
+    document = _open(content)
+    return ("\f".join(p.get_text() for p in document), len(document)) if document is not None else ("", 0)
 
-    @F.pandas_udf("struct<text:string,pages:int>")
-    def read(contents: pd.Series) -> pd.DataFrame:
-        def one(x: bytes) -> tuple[str, int]:
-            try:
-                document = _open(x)
-                return ("\f".join(p.get_text() for p in document), len(document)) if document is not None else ("", 0)
-            except Exception:  # noqa: BLE001 - unreadable files give nothing
-                return "", 0
 
-        return pd.DataFrame([one(x) for x in contents], columns=["text", "pages"])
+def pdf_read(content: Column) -> Column:
+    """(text, pages, error, seconds) of PDF files."""
+    return told(read, content)
+
 
-    return files.withColumn("__read", read("content")).withColumn("text", F.col("__read.text")).withColumn("pages", F.col("__read.pages")).drop("__read")
+def rendered(content: bytes, dpi: int = 200, most: int = 2000) -> list[bytes]:
+    """PNG files of the pages at dpi, no side longer than `most` pixels. Needs a PDF library."""
+    document = _open(content)
+    if document is None:
+        raise RuntimeError("no library to render PDF pages with")
+    import fitz
+
+    out = []
+    for p in document:
+        zoom = min(dpi / 72.0, most / max(p.rect.width, p.rect.height))
+        out.append(p.get_pixmap(matrix=fitz.Matrix(zoom, zoom), alpha=False).tobytes("png"))
+    return out
 
 
 def page_images(content: Column, dpi: int = 200, most: int = 2000) -> Column:
-    """array of (page, png): pages rendered at dpi, no side longer than `most` pixels."""
+    """array of (page, png): pages rendered whatever text they have; none of unreadable files."""
 
     @F.pandas_udf("array<struct<page:int,png:binary>>")
     def render(contents: pd.Series) -> pd.Series:
         def one(x: bytes) -> list[dict]:
             try:
-                import fitz
-
-                out = []
-                for i, p in enumerate(_open(x), 1):
-                    zoom = min(dpi / 72.0, most / max(p.rect.width, p.rect.height))
-                    out.append({"page": i, "png": p.get_pixmap(matrix=fitz.Matrix(zoom, zoom)).tobytes("png")})
-                return out
+                return [{"page": i, "png": png} for i, png in enumerate(rendered(x, dpi, most), 1)]
             except Exception:  # noqa: BLE001 - no library, or an unreadable file
                 return []
 

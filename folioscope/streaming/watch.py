@@ -3,13 +3,16 @@
 The ledger is the state. A file stream would mark files as seen when it lists them,
 and so lose those that must settle first or be tried again; each trigger therefore
 lists the folder anew and joins it against the ledger. A rate stream gives the
-triggers, and its checkpoint and the ledger's appends make restarts safe: a batch
-that was cut off is found pending again.
+triggers. Whatever a batch writes can be written again; its ledger rows come last
+and commit it, so a batch that was cut off is found pending again. Files with an
+error stay pending too, and each attempt is a row.
 """
 
 from __future__ import annotations
 
 import logging
+import os
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +23,8 @@ from folioscope.functions.text import document_type, is_blank
 from folioscope.operators.codes import extracted as codes_of
 from folioscope.operators.relational import by_size, pending, settled
 from folioscope.operators.segment import articles
-from folioscope.sinks import ledger, texts
+from folioscope.plans.model import Post, over_http, read_scans
+from folioscope.sinks import archive, ledger, texts
 from folioscope.sources import files as sources
 
 log = logging.getLogger(__name__)
@@ -33,7 +37,7 @@ def documents_of(text: Column) -> Column:
 
 
 def results(extracted: DataFrame) -> DataFrame:
-    """Ledger rows of (file, size_bytes, text, pages, error): errors have no documents, blank texts are skipped."""
+    """Ledger rows of (file, size_bytes, text, pages, error, seconds): errors have no documents, blank texts are skipped."""
     failed, blank = F.col("error").isNotNull(), is_blank(F.col("text"))
     suffix = F.lower(F.regexp_extract("file", r"(\.[^./]+)$", 1))
     none = F.array().cast(ledger.RESULT["documents"].dataType)
@@ -42,7 +46,7 @@ def results(extracted: DataFrame) -> DataFrame:
         F.regexp_replace(suffix, r"^\.", "").alias("type"),
         F.col("size_bytes").cast("long").alias("size_bytes"),
         F.col("pages").cast("int").alias("pages"),
-        F.lit(0.0).alias("duration_sec"),
+        F.coalesce("seconds", F.lit(0.0)).alias("duration_sec"),
         F.when(failed, "error").when(blank, "skip").otherwise("ok").alias("status"),
         "error",
         F.when(failed | blank, none).otherwise(documents_of(F.col("text"))).alias("documents"),
@@ -50,48 +54,71 @@ def results(extracted: DataFrame) -> DataFrame:
     )
 
 
-def extract_from(spark: SparkSession, root: str) -> Extract:
-    """Read and extract the wanted (path, is_dir) below root."""
+def extract_from(spark: SparkSession, root: str, endpoints: list[str] | None = None, post: Post = over_http, prompt: str = "", pages_of: Callable[[bytes, str], list[bytes]] | None = None) -> Extract:
+    """Read and extract the wanted (path, is_dir) below root. PDF files and images without text go to
+    the model at `endpoints`; without any they are errors, and so tried again."""
 
     def run(wanted: DataFrame) -> DataFrame:
         content = sources.contents(spark, root)
         single = content.join(wanted.where("not is_dir").select(F.col("path").alias("relative")), "relative")
-        read = sources.extracted(single).select(F.col("relative").alias("file"), F.length("content").alias("size_bytes"), "text", "pages")
+        read = sources.extracted(single).select(F.col("relative").alias("file"), F.length("content").alias("size_bytes"), "content", "text", "pages", "error", "seconds")
+        read = read_scans(read, endpoints or [], post, prompt, pages_of)
         folders = wanted.where("is_dir").select(F.col("path").alias("root"))
         parts = F.split("relative", "/", -1)
         inside = content.withColumn("root", F.explode(F.when(F.size(parts) < 2, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, 1, i), "/"))))).join(folders, "root")
-        pages = inside.where(F.col("relative").rlike(r"\.html?$")).withColumn("text", sources.html.text_of(F.decode("content", "UTF-8")))
-        joined = folders.join(sources.collections(pages), "root", "left").select(F.col("root").alias("file"), F.lit(0).alias("size_bytes"), F.coalesce("text", F.lit("")).alias("text"), F.lit(1).alias("pages"))
-        return read.unionByName(joined).withColumn("error", F.lit(None).cast("string"))
+        pages = inside.where(F.col("relative").rlike(r"\.html?$")).withColumn("text", sources.html.text_of(F.make_valid_utf8(F.col("content").cast("string"))))
+        joined = folders.join(sources.collections(pages), "root", "left").select(F.col("root").alias("file"), F.lit(0).alias("size_bytes"), F.coalesce("text", F.lit("")).alias("text"), F.lit(1).alias("pages"), F.lit(None).cast("string").alias("error"), F.lit(0.0).alias("seconds"))
+        return read.unionByName(joined)
 
     return run
 
 
-def batch(spark: SparkSession, root: str, output: str, settle: float = 0.0, force: bool = False, extract: Extract | None = None) -> int:
-    """Process what is pending once: ledger and statistics rows, then text files. Returns how many files."""
+def batch(spark: SparkSession, root: str, output: str, settle: float = 0.0, force: bool = False, extract: Extract | None = None, full: bool = True) -> int:
+    """Process what is pending once: text files, statistics, and then the ledger rows that commit them;
+    after these the readable snapshot and the archive, which are made from what is there. Returns how
+    many files."""
     found = sources.documents(spark, root).withColumn("file", F.col("path"))
     wanted = pending(settled(found, F.current_timestamp(), settle), ledger.read(spark, f"{output}/results.jsonl"), force)
     wanted = by_size(wanted).select("path", "is_dir").cache()
     n = wanted.count()
     if n:
         rows = results((extract or extract_from(spark, root))(wanted)).cache()
-        ledger.append(rows, f"{output}/results.jsonl")
-        ledger.append(ledger.statistics(rows), f"{output}/stats.jsonl")
+        os.makedirs(output, exist_ok=True)
         texts.write_files(texts.documents(rows), output)
+        ledger.append(ledger.statistics(rows), f"{output}/stats.jsonl")
+        ledger.append(rows, f"{output}/results.jsonl")
         rows.unpersist()
+        ledger.snapshot(spark, f"{output}/results.jsonl", f"{output}/results_readable.json")
+        archive.refreshed(spark, output, full)
     wanted.unpersist()
     return n
 
 
-def watch(spark: SparkSession, root: str, output: str, checkpoint: str, interval: float = 5.0, settle: float = 5.0, extract: Extract | None = None) -> StreamingQuery:
+def watch(spark: SparkSession, root: str, output: str, checkpoint: str, interval: float = 5.0, settle: float = 5.0, extract: Extract | None = None, sync: float = 60.0) -> StreamingQuery:
     """Process new files every `interval` seconds until the query is stopped. A batch that
-    fails is logged; its files stay pending for the next one."""
+    fails is logged; its files stay pending for the next one. The archive is reconciled at the
+    start and then every `sync` seconds; in between it gets what it lacks."""
+    archive.refreshed(spark, output)
+    last = [time.monotonic()]
 
     def once(_: DataFrame, number: int) -> None:
+        due = time.monotonic() - last[0] >= sync
         try:
-            log.info("batch %d: %d files", number, batch(spark, root, output, settle, extract=extract))
+            n = batch(spark, root, output, settle, extract=extract, full=due)
+            log.info("batch %d: %d files", number, n)
+            if due and not n:
+                archive.refreshed(spark, output)
+            last[0] = time.monotonic() if due else last[0]
         except Exception:
             log.exception("batch %d failed", number)
 
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return ticks.writeStream.foreachBatch(once).option("checkpointLocation", checkpoint).trigger(processingTime=f"{interval} seconds").start()
+
+
+def stopped(query: StreamingQuery, spark: SparkSession, output: str) -> None:
+    """Stop a watch: the batch under way ends, and the snapshot and archive are brought up to date."""
+    query.stop()
+    if os.path.isdir(f"{output}/results.jsonl"):
+        ledger.snapshot(spark, f"{output}/results.jsonl", f"{output}/results_readable.json")
+    archive.refreshed(spark, output)

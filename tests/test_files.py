@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioscope.plans import extraction, model
-from folioscope.sinks import drawings, ledger, pdf, texts, word
+from folioscope.sinks import archive, drawings, ledger, pdf, texts, word
 from folioscope.sources import archives, files, html, images, ooxml
 from folioscope.streaming import watch
 
@@ -267,16 +267,103 @@ def test_batches(spark, tmp_path):
     (root / "empty.docx").write_bytes(b"broken")
     assert watch.batch(spark, str(root), out) == 4
     rows = {r["file"]: r for r in ledger.read(spark, f"{out}/results.jsonl").collect()}
-    assert {k: v["status"] for k, v in rows.items()} == {"book": "ok", "deep": "ok", "report.docx": "ok", "empty.docx": "skip"}
+    assert {k: v["status"] for k, v in rows.items()} == {"book": "ok", "deep": "ok", "report.docx": "ok", "empty.docx": "error"}
+    assert "BadZipFile" in rows["empty.docx"]["error"] and rows["empty.docx"]["documents"] == []
     assert rows["book"]["documents"][0]["rubricators"][0]["number"] == "51.7"
     assert sorted(os.listdir(f"{out}/txts")) == ["book.txt", "deep.txt", "report.txt"]
-    assert watch.batch(spark, str(root), out) == 0
+    # what failed is tried again, and each attempt is a row; a mended file is done
+    assert watch.batch(spark, str(root), out) == 1
+    (root / "empty.docx").write_bytes(word.package(BLOCKS[:1]))
+    assert watch.batch(spark, str(root), out) == 1 and watch.batch(spark, str(root), out) == 0
     assert watch.batch(spark, str(root), out, force=True) == 4
-    assert ledger.read(spark, f"{out}/stats.jsonl", ledger.STATS).count() == 8
+    assert ledger.read(spark, f"{out}/stats.jsonl", ledger.STATS).count() == 10
     (root / "late.docx").write_bytes(word.package(BLOCKS[:1]))
     assert watch.batch(spark, str(root), out, settle=3600) == 0
-    ledger.snapshot(spark, f"{out}/results.jsonl", f"{out}/readable")
-    assert spark.read.json(f"{out}/readable").count() == 8
+    shown = json.loads(open(f"{out}/results_readable.json").read())
+    assert len(shown) == 10 and {r["status"] for r in shown} == {"ok", "error"} and "error" in shown[0]
+
+
+def test_texts_come_before_the_commit(spark, tmp_path, monkeypatch):
+    """A batch that is cut off while it writes texts is found pending again and loses none."""
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    root.mkdir()
+    (root / "a.docx").write_bytes(word.package(BLOCKS[:1]))
+
+    def cut_off(*_):
+        raise OSError("cut off")
+
+    with monkeypatch.context() as m:
+        m.setattr(texts, "write_files", cut_off)
+        with pytest.raises(OSError, match="cut off"):
+            watch.batch(spark, str(root), out)
+    assert ledger.read(spark, f"{out}/results.jsonl").count() == 0
+    assert watch.batch(spark, str(root), out) == 1 and os.listdir(f"{out}/txts") == ["a.txt"]
+    assert [r["status"] for r in ledger.read(spark, f"{out}/results.jsonl").collect()] == ["ok"]
+
+
+def test_scans_go_to_the_model(spark, tmp_path):
+    """PDF files without text and images are read by the model; what it cannot read stays pending."""
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    root.mkdir()
+    (root / "scan.pdf").write_bytes(b"%PDF-1.4 no text")
+    (root / "photo.png").write_bytes(png(60, 40))
+    (root / "bad.jpg").write_bytes(b"bad")
+
+    def pages_of(content, suffix):
+        return [png(3, 3), png(4, 4), png(5, 5)] if suffix == "pdf" else [content]
+
+    def post(url, payload):
+        shown = [c["image_url"]["url"] for c in payload["messages"][1]["content"]]
+        if any("YmFk" in x for x in shown):
+            return 400, "no image"
+        return 200, f"```markdown\n# Page {len(shown)}\n\nwords of the page [Image: x | bbox: 1 2 3 4](a.png)\n```"
+
+    extract = watch.extract_from(spark, str(root), ["stub"], post, pages_of=pages_of)
+    assert watch.batch(spark, str(root), out, extract=extract) == 3
+    rows = {r["file"]: r for r in ledger.read(spark, f"{out}/results.jsonl").collect()}
+    assert {k: (v["status"], v["pages"]) for k, v in rows.items()} == {"scan.pdf": ("ok", 3), "photo.png": ("ok", 1), "bad.jpg": ("error", 1)}
+    text = open(f"{out}/txts/scan.txt").read()
+    assert text.count("<!-- page") == 2 and "# Page 2" in text and "# Page 1" in text and "bbox" not in text and "```" not in text
+    assert "no image" in rows["bad.jpg"]["error"] and sorted(os.listdir(f"{out}/txts")) == ["photo.txt", "scan.txt"]
+    # without a model a scan is an error, not skipped for good
+    other = str(tmp_path / "other")
+    assert watch.batch(spark, str(root), other, extract=watch.extract_from(spark, str(root), pages_of=pages_of)) == 3
+    assert {r["status"] for r in ledger.read(spark, f"{other}/results.jsonl").collect()} == {"error"}
+
+
+def names_of(out):
+    with zipfile.ZipFile(f"{out}/results.zip") as z:
+        assert z.testzip() is None
+        return {n: z.read(n) for n in z.namelist()}
+
+
+def test_archive_of_a_run(spark, tmp_path):
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    root.mkdir()
+    (root / "a.docx").write_bytes(word.package(BLOCKS[:1]))
+    watch.batch(spark, str(root), out)
+    held = names_of(out)
+    assert set(held) == {"results.jsonl", "results_readable.json", "stats.jsonl", "txts/a.txt"}
+    assert json.loads(held["results.jsonl"])["file"] == "a.docx" and held["txts/a.txt"].decode() == open(f"{out}/txts/a.txt").read()
+    # between reconciliations files are appended and journals stay as they were
+    (root / "b.docx").write_bytes(word.package(BLOCKS[:1]))
+    os.makedirs(f"{out}/rendered")
+    open(f"{out}/rendered/page.png", "w").close()
+    watch.batch(spark, str(root), out, full=False)
+    more = names_of(out)
+    assert set(more) - set(held) == {"txts/b.txt"} and more["results.jsonl"] == held["results.jsonl"]
+    assert archive.refreshed(spark, out) == "built" and names_of(out)["results.jsonl"].count(b"\n") == 2
+    assert archive.refreshed(spark, out) == "kept"
+    # text files put there by hand, a broken archive and one that is gone
+    with open(f"{out}/txts/hand.txt", "w") as f:
+        f.write("by hand\n")
+    assert archive.refreshed(spark, out) == "extended" and names_of(out)["txts/hand.txt"] == b"by hand\n" and archive.refreshed(spark, out) == "kept"
+    blob = open(f"{out}/results.zip", "rb").read()
+    open(f"{out}/results.zip", "wb").write(blob[:-200])
+    assert archive.refreshed(spark, out, full=False) == "built" and len(names_of(out)) == 6
+    os.remove(f"{out}/results.zip")
+    assert archive.refreshed(spark, out) == "built" and len(names_of(out)) == 6
+    assert archive.refreshed(spark, str(tmp_path / "nothing")) == "kept"
 
 
 def test_watch(spark, tmp_path):
@@ -289,5 +376,5 @@ def test_watch(spark, tmp_path):
     until = time.time() + 60
     while time.time() < until and not os.path.exists(f"{out}/txts/a.txt"):
         time.sleep(0.5)
-    query.stop()
-    assert os.path.exists(f"{out}/txts/a.txt")
+    watch.stopped(query, spark, out)
+    assert os.path.exists(f"{out}/txts/a.txt") and "txts/a.txt" in names_of(out) and "results.jsonl" in names_of(out)
