@@ -1,11 +1,14 @@
-"""PDF files of document blocks by the standard library, with the fonts every reader has.
+"""PDF files of document blocks by the standard library.
 
-Those fonts hold Western letters only; others are shown as question marks. Where
-all of Unicode is needed, use DOCX or VSDX.
+Western letters use the fonts that every reader has. Others, such as Cyrillic ones, are dealt
+to further fonts of up to 224 letters each, which name their letters by code point and say
+what they mean, so a reader shows them with a font of its own and copies them rightly; no
+font is embedded.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -14,14 +17,38 @@ from pyspark.sql import DataFrame
 
 from folioscope.sinks.drawings import A4, LINE, Shape, laid_out
 
+FIRST, CODES = 32, 224
 
-def shown(text: str) -> str:
-    """A PDF string literal."""
-    plain = text.replace("•", "\x95").encode("cp1252", "replace").decode("cp1252")
-    return "(" + plain.replace("\\", r"\\").replace("(", r"\(").replace(")", r"\)") + ")"
 
+def western(c: str) -> bool:
+    try:
+        c.encode("cp1252")
+    except UnicodeEncodeError:
+        return False
+    return True
 
-def content(shapes: list[Shape]) -> bytes:
+
+def further_letters(pages: list[list[Shape]]) -> dict[str, tuple[int, int]]:
+    """(font, code) of each letter that the usual fonts lack."""
+    letters = sorted({c for p in pages for s in p for c in s.text if c != "\n" and not western(c) and c <= "\uffff"})
+    return {c: (i // CODES, FIRST + i % CODES) for i, c in enumerate(letters)}
+
+
+def shown(line: str, style: str, size: float, letters: dict[str, tuple[int, int]]) -> str:
+    """Operators that show a line: a string for each run of letters of one font."""
+
+    def escaped(codes: bytes) -> str:
+        return "(" + "".join(f"\\{c:03o}" if c in b"()\\" or not 32 <= c < 127 else chr(c) for c in codes) + ")"
+
+    out = []
+    for font, run in itertools.groupby(line, lambda c: letters[c][0] if c in letters else -1):
+        text = "".join(run)
+        codes = text.encode("cp1252", "replace") if font < 0 else bytes(letters[c][1] for c in text)
+        out.append(f"/{style if font < 0 else f'X{font}'} {size:.2f} Tf {escaped(codes)} Tj")
+    return " ".join(out)
+
+
+def content(shapes: list[Shape], letters: dict[str, tuple[int, int]]) -> bytes:
     """Drawing operators of a page: filled cells with outlines, then their lines of text."""
     out = []
     for s in shapes:
@@ -32,22 +59,54 @@ def content(shapes: list[Shape]) -> bytes:
         size = s.size * 72
         y = 72 * (s.bottom + s.height) - size * 1.05
         for line in s.text.split("\n"):
-            out.append(f"BT /{'B' if s.bold else 'R'} {size:.2f} Tf {72 * s.left + 3:.2f} {y:.2f} Td {shown(line)} Tj ET")
+            out.append(f"BT {72 * s.left + 3:.2f} {y:.2f} Td {shown(line, 'B' if s.bold else 'R', size, letters)} ET")
             y -= size * LINE
-    return "\n".join(out).encode("cp1252", "replace")
+    return "\n".join(out).encode("ascii")
+
+
+def stream(body: bytes) -> bytes:
+    packed = zlib.compress(body)
+    return f"<< /Length {len(packed)} /Filter /FlateDecode >>\nstream\n".encode() + packed + b"\nendstream"
+
+
+def meanings(codes: list[tuple[int, str]]) -> bytes:
+    """A map from codes to what they stand for."""
+    blocks = "".join(f"{len(part)} beginbfchar\n" + "".join(f"<{code:02X}> <{ord(c):04X}>\n" for code, c in part) + "endbfchar\n" for part in (codes[k : k + 100] for k in range(0, len(codes), 100)))
+    head = "/CIDInit /ProcSet findresource begin 12 dict begin begincmap /CMapName /Letters def /CMapType 2 def 1 begincodespacerange <00> <FF> endcodespacerange\n"
+    return stream(f"{head}{blocks}endcmap end end".encode())
 
 
 def package(blocks: list[dict], page: tuple[float, float] = A4) -> bytes:
     """A .pdf file with blocks (kind, level, text, rows, items) in order."""
     pages = laid_out(blocks, page)
-    font = "<< /Type /Font /Subtype /Type1 /BaseFont /Times-{0} /Encoding /WinAnsiEncoding >>"
-    kids = " ".join(f"{5 + 2 * i} 0 R" for i in range(len(pages)))
-    objects = [b"<< /Type /Catalog /Pages 2 0 R >>", f"<< /Type /Pages /Kids [{kids}] /Count {len(pages)} >>".encode(), font.format("Roman").encode(), font.format("Bold").encode()]
+    letters = further_letters(pages)
+    fonts: dict[int, list[tuple[int, str]]] = {}
+    for c, (font, code) in letters.items():
+        fonts.setdefault(font, []).append((code, c))
+    usual = "<< /Type /Font /Subtype /Type1 /BaseFont /Times-{0} /Encoding /WinAnsiEncoding >>"
+    # objects: catalogue, pages, two fonts, what all further fonts share, two for each of them, two for each page
+    first_font, first_page = 6, 6 + 2 * len(fonts)
+    kids = " ".join(f"{first_page + 2 * i} 0 R" for i in range(len(pages)))
+    named = " ".join(["/R 3 0 R /B 4 0 R", *(f"/X{k} {first_font + 2 * k} 0 R" for k in fonts)])
+    objects = [
+        b"<< /Type /Catalog /Pages 2 0 R >>",
+        f"<< /Type /Pages /Kids [{kids}] /Count {len(pages)} >>".encode(),
+        usual.format("Roman").encode(),
+        usual.format("Bold").encode(),
+        b"<< /Type /FontDescriptor /FontName /TimesNewRoman /Flags 34 /FontBBox [-568 -307 2000 1007] /ItalicAngle 0 /Ascent 891 /Descent -216 /CapHeight 662 /StemV 80 >>",
+    ]
+    for k, codes in fonts.items():
+        names = " ".join(f"/uni{ord(c):04X}" for _, c in codes)
+        widths = " ".join(["500"] * len(codes))
+        objects.append(
+            f"<< /Type /Font /Subtype /TrueType /BaseFont /TimesNewRoman /FirstChar {FIRST} /LastChar {codes[-1][0]} /Widths [{widths}] /FontDescriptor 5 0 R "
+            f"/Encoding << /Type /Encoding /Differences [{FIRST} {names}] >> /ToUnicode {first_font + 2 * k + 1} 0 R >>".encode()
+        )
+        objects.append(meanings(codes))
     for i, shapes in enumerate(pages):
         size = " ".join(f"{72 * v:.2f}" for v in page)
-        objects.append(f"<< /Type /Page /Parent 2 0 R /MediaBox [0 0 {size}] /Contents {6 + 2 * i} 0 R /Resources << /Font << /R 3 0 R /B 4 0 R >> >> >>".encode())
-        packed = zlib.compress(content(shapes))
-        objects.append(f"<< /Length {len(packed)} /Filter /FlateDecode >>\nstream\n".encode() + packed + b"\nendstream")
+        objects.append(f"<< /Type /Page /Parent 2 0 R /MediaBox [0 0 {size}] /Contents {first_page + 2 * i + 1} 0 R /Resources << /Font << {named} >> >> >>".encode())
+        objects.append(stream(content(shapes, letters)))
     out, places = bytearray(b"%PDF-1.4\n"), []
     for n, body in enumerate(objects, 1):
         places.append(len(out))

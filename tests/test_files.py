@@ -147,7 +147,107 @@ def test_pdf():
     import zlib
 
     streams = [zlib.decompress(x) for x in re.findall(rb"stream\n(.*?)\nendstream", content, re.DOTALL)]
-    assert rb"plain \(text\) plain" in streams[0]
+    assert rb"plain \050text\051 plain" in streams[0]
+
+
+def letters_of(content: bytes) -> str:
+    """What a reader copies from a PDF file: strings by the maps of their fonts."""
+    import re
+    import zlib
+
+    bodies = {int(n): b for n, b in re.findall(rb"(\d+) 0 obj\n(.*?)\nendobj", content, re.DOTALL)}
+    text = lambda b: zlib.decompress(b.split(b"stream\n", 1)[1].rsplit(b"\nendstream", 1)[0])
+    page = next(b for b in bodies.values() if b"/Type /Page " in b)
+    fonts = {k: bodies[int(n)] for k, n in re.findall(rb"/(\w+) (\d+) 0 R", page.split(b"/Font <<")[1])}
+    maps = {k: {int(a, 16): chr(int(b, 16)) for a, b in re.findall(rb"<(..)> <(....)>", text(bodies[int(re.search(rb"/ToUnicode (\d+)", b)[1])]))} for k, b in fonts.items() if b"ToUnicode" in b}
+    out = []
+    for b in bodies.values():
+        if b"FlateDecode" in b and b"begincmap" not in (t := text(b)):
+            for line in t.split(b"\n"):
+                for font, raw in re.findall(rb"/(\w+) [\d.]+ Tf \(((?:\\\d{3}|[^)])*)\) Tj", line):
+                    codes = re.sub(rb"\\(\d{3})", lambda m: bytes([int(m[1], 8)]), raw)
+                    out.append("".join(maps[font][c] for c in codes) if font in maps else codes.decode("cp1252"))
+                out.append("\n")
+    return "".join(out)
+
+
+def test_pdf_letters():
+    text = "Заголовок (тест) • naïve — Ω ≤ π, \\ 日本"
+    assert text in letters_of(pdf.package([{"kind": "heading", "level": 1, "text": text, "rows": [], "items": []}]))
+    many = "".join(chr(c) for c in range(0x400, 0x600))
+    assert many in letters_of(pdf.package([{"kind": "paragraph", "level": 0, "text": many, "rows": [], "items": []}]))
+
+
+def test_pictures_in_word():
+    text = "see ![a map](images/m.png) and [HANDWRITTEN: note](n.jpg) ![gone](x.png)"
+    blocks = [{"kind": "paragraph", "level": 0, "text": t, "rows": [], "items": []} for t in (text, "![a map](images/m.png)")]
+    content = word.package(blocks, {"images/m.png": png(300, 150)})
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        body = z.read("word/document.xml").decode()
+        assert [n for n in z.namelist() if "media" in n] == ["word/media/image1.png", "word/media/image2.png"]
+        assert z.read("word/_rels/document.xml.rels").decode().count("/image") == 4
+    assert body.count("<w:drawing>") == 2 and 'cx="1828800"' in body and 'cy="914400"' in body
+    assert "[gone]" in body and "<w:i/>" in body and body.count('<w:jc w:val="center"/>') == 1
+    assert ooxml.Word(content).text().startswith("see ")
+
+
+def test_bundles(spark, tmp_path):
+    from folioscope.plans import bundles
+
+    for name in ("one", "two", "three"):
+        os.makedirs(tmp_path / name / "images")
+        (tmp_path / name / "text.txt").write_text(f"# Title {name}\n\nbody ![p](images/a.png)\n")
+    (tmp_path / "one" / "images" / "page_00001.png").write_bytes(png(400, 200))
+    (tmp_path / "one" / "images" / "a.png").write_bytes(png(20, 10))
+    (tmp_path / "two" / "layout.json").write_text('{"blocks": [{"type": "heading", "level": 1, "text": "From the layout"}]}')
+    done = dict(bundles.write(spark, str(tmp_path)))
+    assert {os.path.relpath(p, tmp_path) for p, e in done.items() if not e} == {f"{b}/reconstruct.{f}" for b in ("one", "two", "three") for f in ("docx", "pdf", "vsdx")} - {"three/reconstruct.vsdx"}
+    assert [e for e in done.values() if e] == ["no images to convert"]
+    read = lambda b: drawings.summary((tmp_path / b / "reconstruct.vsdx").read_bytes())
+    assert read("one")["sizes"] == [(2.0, 1.0)] and read("one")["images"] == 1 and read("two")["texts"] == 1
+    made = {(r["bundle"], r["format"]): r for r in bundles.rebuilt(bundles.bundles(spark, str(tmp_path)), ("vsdx",), "document").collect()}
+    assert drawings.summary(bytes(made["one", "vsdx"]["content"]))["images"] == 1 and made["three", "vsdx"]["error"] is None
+    with pytest.raises(ValueError):
+        bundles.rebuilt(bundles.bundles(spark, str(tmp_path)), ("odt",))
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from folioscope.__main__ import main
+
+    (tmp_path / "a.png").write_bytes(png(200, 100))
+    (tmp_path / "t.md").write_text("# Head\n\ntext ![p](a.png)\n")
+    out = str(tmp_path / "o.vsdx")
+    assert main(["visio", str(tmp_path), str(tmp_path / "a.png"), "--out", out]) == 0
+    assert "pages: 1, images: 1" in capsys.readouterr().out
+    assert main(["visio", str(tmp_path / "t.md"), "--mode", "document", "--out", out, "--page-size", "5x5"]) == 0
+    assert "images: 1, texts: 2" in capsys.readouterr().out and drawings.summary(open(out, "rb").read())["sizes"] == [(5.0, 5.0)]
+    assert main(["rebuild", str(tmp_path / "t.md"), str(tmp_path / "t.docx")]) == 0 and (tmp_path / "t.docx").stat().st_size > 0
+
+
+def test_requests_of_images(spark):
+    """Layouts, entities and diagrams of page images: all requests of a file in order, bad replies give nothing."""
+    pages = spark.createDataFrame([("f", i, bytearray(bytes([i]))) for i in (1, 2, 3)] + [("bad", 1, bytearray(b"\x09"))], "file string, page int, png binary")
+
+    def post(url, payload):
+        shown = [c["image_url"]["url"].rpartition(",")[2] for c in payload["messages"][1]["content"] if c["type"] == "image_url"]
+        n = len(shown)
+        if "CQ==" in shown:
+            return 200, "no json"
+        if "blocks" in payload["messages"][0]["content"]:
+            return 200, json.dumps({"blocks": [{"type": "paragraph", "text": f"p{n}"}]})
+        if "shapes" in payload["messages"][0]["content"]:
+            return 200, json.dumps({"shapes": [{"id": f"s{n}"}], **({"page": {"width": 500, "height": 400}} if n == 2 else {})})
+        return 200, json.dumps({"entities": [{"type": "date", "value": f"0{n}.05.2026", "confidence": 0.9}]})
+
+    got = {r["file"]: [b["text"] for b in r["blocks"]] for r in extraction.layouts(pages, ["u"], post).collect()}
+    assert got == {"f": ["p2", "p1"], "bad": []}
+    found = {r["file"]: r["diagram"] for r in model.diagrams(pages, ["u"], extraction.DIAGRAM_TASK, post).collect()}
+    assert [s["id"] for s in found["f"]["shapes"]] == ["s2", "s1"] and found["f"]["page"]["width"] == 500 and found["bad"]["shapes"] == [] and found["bad"]["page"]["width"] == 1000
+    seen = extraction.extracted_from_images(pages, ["u"], "system", post).collect()
+    assert sorted((r["file"], r["record"]["value"], r["record"]["page"]) for r in seen) == [("f", "01.05.2026", 3), ("f", "02.05.2026", 1)]
+    texts_of = spark.createDataFrame([("f", None), ("t", "words")], "file string, text string")
+    notes = extraction.annotated(texts_of, ["u"], lambda u, p: (200, str(len([c for c in p["messages"][1]["content"] if isinstance(c, dict)]))), images=pages).collect()
+    assert {r["file"]: r["annotation"] for r in notes} == {"f": "2", "t": "0"}
 
 
 def test_entities_from_a_model(spark):
