@@ -61,19 +61,19 @@ def running(values: Column) -> Column:
     return bound(values, whole)
 
 
-def matches(text: Column, pattern: str, group: int = 0) -> Column:
+def matches(text: Column, pattern: str, group: int = 0, within: bool = False) -> Column:
     """array of (start, end, found, value) of all matches, in code points; `value` is a group.
 
-    Ends are running sums of the lengths of gaps and matches; matches must not be empty.
+    Ends are running sums of the lengths of gaps and matches; matches must not be empty. With
+    `within` the group is read from the match itself, not in a further pass over the text; the
+    pattern must then not depend on what follows.
     """
-    parts = F.struct(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"),
-        F.split(text, pattern, -1).alias("gap"),
-    )
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")
+    parts = F.struct(whole, *([F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value")] if group and not within else []), F.split(text, pattern, -1).alias("gap"))
 
     def placed(p: Column) -> Column:
+        values = p["found"] if not group else F.transform(p["found"], lambda f: F.regexp_extract(f, pattern, group)) if within else p["value"]
         ends = running(F.transform(p["found"], lambda f, i: F.length(F.get(p["gap"], i)) + F.length(f)))
-        return F.transform(ends, lambda e, i: F.struct((e - F.length(F.get(p["found"], i))).alias("start"), e.alias("end"), F.get(p["found"], i).alias("found"), F.get(p["value"], i).alias("value")))
+        return F.transform(ends, lambda e, i: F.struct((e - F.length(F.get(p["found"], i))).alias("start"), e.alias("end"), F.get(p["found"], i).alias("found"), F.get(values, i).alias("value")))
 
     return bound(parts, placed)

@@ -33,7 +33,7 @@ def extracted(text: Column, page: Column, families: dict[str, str] | None = None
     first of each type and number. Null texts have none."""
     def of(name: str, number: str) -> Column:
         pattern = head.format(name=name, number=number)
-        found = first_of_each(matches(text, pattern, 1), lambda m: m["value"])
+        found = first_of_each(matches(text, pattern, 1, within=True), lambda m: m["value"])
         records = F.transform(
             found,
             lambda m: F.struct(

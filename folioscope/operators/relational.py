@@ -88,15 +88,31 @@ def discovered(paths: DataFrame, path: str = "path") -> DataFrame:
     return roots.select(F.col("root").alias("path"), F.lit(True).alias("is_dir")).unionByName(files)
 
 
+def numbered(rows: DataFrame, key: str, order: list[str], number: str = "n") -> DataFrame:
+    """rows with `number`: their places, from 1, in order among those of their key.
+
+    The first of `order` is a number of 0 or more, or null. Rows of a key are dealt to buckets of
+    like magnitude, 16 to each doubling, which follow one another in order: places are
+    counted within buckets, and the buckets' sizes are added up before them. So a hot key fills
+    a task only with the rows of one magnitude.
+    """
+    bucket = F.coalesce(F.floor(F.log2(F.col(order[0]) + 1) * 16), F.lit(-1)).alias("__bucket")
+    dealt = rows.select("*", bucket)
+    before = F.sum("__size").over(Window.partitionBy(key).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = dealt.groupBy(key, "__bucket").agg(F.count("*").alias("__size")).select(key, "__bucket", F.coalesce(before, F.lit(0)).alias("__before"))
+    local = F.row_number().over(Window.partitionBy(key, "__bucket").orderBy(*order))
+    return dealt.withColumn(number, local).join(sizes, [key, "__bucket"]).withColumn(number, (F.col(number) + F.col("__before")).cast("int")).select(*rows.columns, number)
+
+
 def export_names(documents: DataFrame, stem: str = "stem", order: list[str] | None = None) -> DataFrame:
     """documents with `name`: the safe stem, then stem_2, stem_3 for later ones in order.
 
     A suffixed name that is itself a stem goes on to the next free number, so names
-    are unique. Numbers come from a window over the files of one stem.
+    are unique. `order` begins with a number, such as the size.
     """
     order = order or ["size", "path"]
     named = documents.withColumn("base", file_name(F.col(stem)))
-    ranked = named.withColumn("n", F.row_number().over(Window.partitionBy("base").orderBy(*order)))
+    ranked = numbered(named, "base", order)
     # names that stems themselves take: base_k of another base
     tail = F.regexp_extract("base", r"^(.*)_([0-9]{1,9})$", 2).try_cast("int")
     taken = named.select(F.regexp_extract("base", r"^(.*)_([0-9]{1,9})$", 1).alias("base"), tail.alias("k"), "base").toDF("base", "k", "own").where("k >= 2").where(F.col("own") == F.concat("base", F.lit("_"), F.col("k").cast("string"))).groupBy("base").agg(F.array_sort(F.collect_set("k")).alias("taken"))
@@ -138,7 +154,8 @@ def as_of(events: DataFrame, states: DataFrame, key: list[str], at: str, since:
     both = left.unionByName(right)
     part = []
     if span:
-        number = F.unix_seconds("__t") if states.schema[since].dataType.simpleString().startswith("timestamp") else F.col("__t")
+        clock = {"timestamp": lambda: F.unix_seconds("__t"), "timestamp_ntz": lambda: F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("__t"))}
+        number = clock.get(states.schema[since].dataType.simpleString(), lambda: F.col("__t"))()
         both, part = both.withColumn("__part", F.floor(number / span)), ["__part"]
     line = Window.partitionBy(*key, *part).orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
     found = F.last("__v", ignorenulls=True).over(line)

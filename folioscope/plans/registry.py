@@ -247,7 +247,8 @@ def page_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read(spark, sf_dir, "events")
     states = events.where("event_type = 'purchase'").groupBy("user_id", "ts").agg(F.max("value").alias("last_purchase"))
     views = events.where("event_type = 'view'").select("event_id", "user_id", "ts")
-    return relational.as_of(views, states, ["user_id"], "ts", "ts", "last_purchase", -1.0).select("event_id", "user_id", "last_purchase")
+    # a day at a time, so that a user with most of the events does not fill a task
+    return relational.as_of(views, states, ["user_id"], "ts", "ts", "last_purchase", -1.0, span=86_400).select("event_id", "user_id", "last_purchase")
 
 
 @query(r"""
@@ -374,16 +375,90 @@ def archive_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relational.missing(docs.select("name").unionByName(journals), held)
 
 
-@query(r"""
-SELECT 'f' || doc_id AS name, md5(text) AS crc, md5(text || 'x') AS held FROM documents WHERE false
-UNION ALL SELECT 'stats.jsonl', md5('new'), md5('old')""")
+_JOURNAL = "md5(CAST(count(*) AS VARCHAR) || ':' || CAST(sum(n_chars)::BIGINT AS VARCHAR) || ':' || CAST(max(doc_id) AS VARCHAR)) AS digest"
+
+
+@query(f"""
+SELECT l.source AS name, l.digest, h.digest AS held FROM (SELECT source, {_JOURNAL} FROM documents GROUP BY 1) l
+JOIN (SELECT source, {_JOURNAL} FROM documents WHERE lang <> 'es' GROUP BY 1) h USING (source) WHERE l.digest <> h.digest""")
 def archive_stale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    digest = lambda s: F.md5(F.lit(s).cast("binary"))
-    one = spark.range(1)
-    names = F.explode(F.array(*[F.lit(n) for n in (*relational.JOURNALS, "f1")])).alias("name")
-    files, held = one.select(names), one.select(names)
-    changed = F.col("name").isin("stats.jsonl", "f1")
-    return relational.stale(files.withColumn("crc", F.when(changed, digest("new")).otherwise(digest("old"))), held.withColumn("crc", digest("old")))
+    """Every source is a journal; the archive was made before its Spanish documents came."""
+    docs = read(spark, sf_dir, "documents")
+    told = F.md5(F.concat_ws(":", F.count("*").cast("string"), F.sum("n_chars").cast("string"), F.max("doc_id").cast("string")).cast("binary")).alias("digest")
+    journals = lambda rows: rows.groupBy(F.col("source").alias("name")).agg(told)
+    return relational.stale(journals(docs), journals(docs.where("lang <> 'es'")), "digest", None)
+
+
+@query("SELECT doc_id AS file, n_chars AS size FROM documents WHERE doc_id % 5 = 0 OR epoch_us(TIMESTAMP '2024-01-01 00:00:00') + doc_id * 1000000 <= epoch_us(TIMESTAMP '2024-01-01 00:03:20')")
+def settled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files written a second after one another, seen when five minutes are over."""
+    start = F.unix_timestamp(F.lit("2024-01-01 00:00:00"))
+    files = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("file"), F.col("n_chars").alias("size"), (F.col("doc_id") % 5 == 0).alias("is_dir"), F.timestamp_seconds(start + F.col("doc_id")).alias("modified"))
+    return relational.settled(files, F.timestamp_seconds(start + 300), 100.0).select("file", "size")
+
+
+@query("""
+SELECT CAST(row_number() OVER (ORDER BY CASE WHEN doc_id % 9 = 0 THEN 0 ELSE n_chars END, doc_id % 9 = 0 DESC, lpad(CAST(doc_id AS VARCHAR), 9, '0')) AS INT) AS place, lpad(CAST(doc_id AS VARCHAR), 9, '0') AS path FROM documents""")
+def files_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql.window import Window
+
+    files = read(spark, sf_dir, "documents").select(F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("path"), F.col("n_chars").alias("size"), (F.col("doc_id") % 9 == 0).alias("is_dir"))
+    # numbered as they come, to hold the order against SQL; runs themselves do not number files
+    return relational.by_size(files).select(F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).alias("place"), "path")
+
+
+@query("SELECT page_id, url FROM pages WHERE regexp_extract(url, '([^/]*)$', 1) = '' OR regexp_extract(url, '([^/]*)$', 1) NOT IN (SELECT regexp_extract(url, '([^/]*)$', 1) FROM pages WHERE page_id % 4 = 0)")
+def unreviewed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", F.concat("url", F.lit(".png")).alias("path"))
+    marks = pages.where("page_id % 4 = 0").select(F.concat(F.lit("out/"), F.regexp_extract("url", "([^/]*)$", 1), F.lit(".json")).alias("path"))
+    return relational.unreviewed(pages, marks).select("page_id", "url")
+
+
+@query(r"""
+WITH r AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE NOT regexp_matches(text, '^\s*$')),
+e AS (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM r)
+SELECT 'd' || doc_id || CASE WHEN len(l) > 1 THEN '_' || i ELSE '' END AS name, md5(regexp_replace(l[i], '^\s+|\s+$', '', 'g') || chr(10)) AS digest FROM e""")
+def text_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each line of a text is a document of its file."""
+    from folioscope.sinks import texts
+
+    rows = read(spark, sf_dir, "documents").where(~text.is_blank(F.col("text")))
+    documents = F.transform(F.split("text", "\n", -1), lambda x: F.struct(x.alias("text")))
+    results = rows.select(F.concat(F.lit("in/d"), F.col("doc_id").cast("string"), F.lit(".html")).alias("file"), F.col("n_chars").alias("size_bytes"), F.lit("ok").alias("status"), documents.alias("documents"))
+    return texts.documents(results).select("name", F.md5(F.col("body").cast("binary")).alias("digest"))
+
+
+@query("""
+SELECT name, description FROM (SELECT n_name AS name, 'held' AS description FROM nation)
+UNION ALL SELECT trim(p_brand), min(p_type) FROM part WHERE trim(p_brand) <> '' AND p_brand NOT IN (SELECT n_name FROM nation) GROUP BY p_brand""")
+def vocabulary_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioscope.sinks import ledger
+
+    held = read(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.lit("held").alias("description"))
+    new = read(spark, sf_dir, "part").select(F.col("p_brand").alias("name"), F.col("p_type").alias("description"))
+    return ledger.extended(held, new.unionByName(held.withColumn("description", F.lit("new"))))
+
+
+@query("""
+SELECT o_orderkey AS file, o_totalprice AS value FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)
+UNION ALL SELECT l_orderkey, max(l_extendedprice) FROM lineitem WHERE l_quantity > 45 GROUP BY 1""")
+def store_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders replaced by their large items, of which the dearest counts."""
+    from folioscope.sinks import ledger
+
+    held = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("file"), F.col("o_totalprice").alias("value"))
+    new = read(spark, sf_dir, "lineitem").where("l_quantity > 45").groupBy(F.col("l_orderkey").alias("file")).agg(F.max("l_extendedprice").alias("value"))
+    return ledger.upserted(held, new)
+
+
+@query("""
+SELECT conv_id AS file, CAST(floor(turn / 2) AS INT) + 1 AS chunk, CAST(count(*) AS INT) AS pages, string_agg(to_base64(encode(role)), ',' ORDER BY turn) AS images FROM conversations GROUP BY 1, 2""")
+def model_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as pages, two to a request."""
+    from folioscope.plans import model
+
+    pages = read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("file"), (F.col("turn") + 1).alias("page"), F.col("role").cast("binary").alias("png"))
+    return model.batches(pages).select("file", "chunk", F.size("images").alias("pages"), F.array_join("images", ",").alias("images"))
 
 
 # feedback
@@ -442,12 +517,13 @@ def text_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-SELECT doc_id, CAST(len(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '(?i)^\s*(references|appendix|page\s+\d+)\s*$'))) AS BIGINT) AS n_lines FROM documents
-WHERE NOT regexp_matches(text, '^\s|\s$|\n\s*\n')""")
+WITH l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '(?i)^\s*(references|appendix|page\s+\d+)\s*$')) AS l FROM documents),
+j AS (SELECT doc_id, array_to_string(list_transform(l, lambda x: CASE WHEN regexp_matches(x, '^\s*$') THEN '' ELSE x END), chr(10)) AS t FROM l)
+SELECT doc_id, md5(regexp_replace(regexp_replace(t, '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')) AS digest FROM j""")
 def noise_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third line gets noise before it; what remains is the text without its own noise."""
     noisy = F.array_join(F.transform(F.split("text", "\n", -1), lambda x, i: F.when(i % 3 == 1, F.concat(F.lit(" References \nPage 7\nAPPENDIX\n"), x)).otherwise(x)), "\n")
-    rows = read(spark, sf_dir, "documents").where(~F.col("text").rlike(r"^\s|\s$|\n\s*\n"))
-    return rows.select("doc_id", F.size(F.split(text.without_noise(noisy), "\n", -1)).cast("long").alias("n_lines"))
+    return read(spark, sf_dir, "documents").select("doc_id", F.md5(text.without_noise(noisy).cast("binary")).alias("digest"))
 
 
 @query(r"""
@@ -483,7 +559,16 @@ def html_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
-@query()
+#: Rules of the page text for the tags that the test pages have, one SQL expression around the other.
+_SILENT = "(?s)<!--.*?-->|<!DOCTYPE[^>]*>|<(?:script|style)>.*?</(?:script|style)>|<nav>.*?(?:</nav>|$)|<footer>.*?(?:</footer>|$)"
+_HTML = f"regexp_replace(html, '{_SILENT}', '', 'g')"
+_HTML = rf"regexp_replace({_HTML}, '<h1>\s*([^<]*?)\s*</h1>', chr(10) || '# \1' || chr(10), 'g')"
+_HTML = rf"regexp_replace({_HTML}, '</?(?:p|div|li|title|article)(?: [^>]*)?>|<br>', chr(10), 'g')"
+_HTML = rf"regexp_replace({_HTML}, '[ \t]*<[^>]+>[ \t]*', '', 'g')"
+_HTML = f"replace(replace(replace(replace({_HTML}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
+
+
+@query(f"SELECT page_id, url, array_to_string({LINES.format(_HTML)}, chr(10) || chr(10)) AS text FROM pages")
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").select("page_id", "url", html.text_of(F.col("html")).alias("text"))
 

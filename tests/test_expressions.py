@@ -1,11 +1,13 @@
 """Golden cases of single expressions."""
 
+import itertools
 import math
+import random
 import re
 
 from pyspark.sql import functions as F
 
-from folioscope.functions import entities, layout, text
+from folioscope.functions import arrays, entities, layout, text
 from folioscope.operators import codes, relational, segment
 
 
@@ -118,3 +120,85 @@ def test_lines_needed(spark):
     want = sum(max(1, math.ceil(len(x) / fit)) for x in t.split("\n"))
     assert one(spark, layout.lines_needed(F.lit(t), F.lit(200.0), F.lit(12.0))) == want
     assert re.match("a", t)
+
+
+def packed(text: str, limit: int) -> list[tuple[str, int]]:
+    """Pieces by definition: paragraphs by places, joined while they fit, long ones word by word."""
+    if len(text) <= limit:
+        return [(text, 0)]
+    paragraphs, at = [], 0
+    for p in text.split("\n\n"):
+        at = text.index(p, at)
+        paragraphs.append((p, at))
+        at += len(p)
+    out, group = [], []
+    fits = lambda g: sum(len(p) + 2 for p, _ in g) <= limit
+    for p, at in [*paragraphs, (None, 0)]:
+        if group and (p is None or len(p) > limit or not fits([*group, (p, at)])):
+            out.append(("\n\n".join(x for x, _ in group), group[0][1]))
+            group = []
+        if p is not None and len(p) <= limit:
+            group.append((p, at))
+        elif p is not None:
+            line: list[str] = []
+            for w in [*p.split(), None]:
+                if line and (w is None or sum(len(x) + 1 for x in [*line, w]) > limit):
+                    out.append((" ".join(line), at))
+                    line = []
+                if w is not None:
+                    line.append(w)
+    return out
+
+
+def test_chunks_of_any_text(spark):
+    rng = random.Random(8)
+    parts = ["a", "word", "é" * 9, " ", "\n", "\n\n", "\n\n", "\n\n\n", "long " * 12, "x" * 50]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(1500)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", segment.chunks(F.col("t"), 40).alias("c")).collect()
+    for r in rows:
+        assert [(c["text"], c["start"]) for c in r["c"]] == packed(r["t"], 40), repr(r["t"])
+    assert spark.createDataFrame([(None,)], "t string").select(segment.chunks(F.col("t"), 40)).first()[0] == [("", 0)]
+
+
+def test_running_and_carried(spark):
+    rng = random.Random(9)
+    lists = [[rng.randint(0, 9) for _ in range(n)] for n in (0, 1, 63, 64, 65, 128, 1000)]
+    rows = spark.createDataFrame([(x,) for x in lists], "x array<int>")
+    for r in rows.select("x", arrays.running(F.col("x")).alias("s"), arrays.carried(F.col("x"), lambda v: F.when(v > 7, v), -1).alias("c")).collect():
+        assert r["s"] == list(itertools.accumulate(r["x"]))
+        assert r["c"] == list(itertools.accumulate(r["x"], lambda a, v: v if v > 7 else a, initial=-1))[1:]
+
+
+def test_matches_of_long_texts(spark):
+    text = "no 7, " * 20_000
+    rows = spark.createDataFrame([(text,)], "t string")
+    for within in (False, True):
+        got = rows.select(arrays.matches(F.col("t"), r"no ([0-9])", 1, within).alias("m")).select(F.size("m"), F.element_at("m", -1)).first()
+        assert got[0] == 20_000 and (got[1]["start"], got[1]["end"], got[1]["value"]) == (len(text) - 6, len(text) - 2, "7")
+
+
+def test_as_of_in_parts(spark):
+    """Parts of the time line give what the whole line gives, hot key or not."""
+    rng = random.Random(10)
+    events = spark.createDataFrame([(i, rng.choice("aab"), rng.randint(0, 500)) for i in range(400)], "id int, k string, t int")
+    states = spark.createDataFrame([(rng.choice("ab"), t, rng.choice([None, float(t)])) for t in rng.sample(range(500), 60)], "k string, since int, v double")
+    whole = relational.as_of(events, states, ["k"], "t", "since", "v").orderBy("id").collect()
+    for span in (1, 7, 100, 1000):
+        assert relational.as_of(events, states, ["k"], "t", "since", "v", span=span).orderBy("id").collect() == whole
+    known = [(r["k"], r["since"], r["v"]) for r in states.collect() if r["v"] is not None]
+    assert all(r["v"] == max(((t, v) for k, t, v in known if k == r["k"] and t <= r["t"]), default=(0, None))[1] for r in whole)
+
+
+def test_numbers_of_a_hot_key(spark):
+    rng = random.Random(12)
+    data = [(i, rng.choice("aaaab"), rng.choice([None, 0, 1, 5, 5, 1000, rng.randint(0, 10**6)])) for i in range(2000)]
+    got = relational.numbered(spark.createDataFrame(data, "id int, k string, size long"), "k", ["size", "id"]).collect()
+    for key in "ab":
+        own = sorted((d for d in data if d[1] == key), key=lambda d: (d[2] is not None, d[2] or 0, d[0]))
+        assert {r["id"]: r["n"] for r in got if r["k"] == key} == {d[0]: i for i, d in enumerate(own, 1)}
+
+
+def test_reviewed_files_and_order(spark):
+    files = spark.createDataFrame([("b/x.png", False), ("a/x.pdf", False), ("c/y.png", False), ("z", True)], "path string, is_dir boolean")
+    marks = spark.createDataFrame([("done/x.json",)], "path string")
+    assert [r["path"] for r in relational.in_order(relational.unreviewed(files, marks)).collect()] == ["z", "c/y.png"]
