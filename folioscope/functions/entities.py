@@ -117,5 +117,6 @@ def processed(entity: Column, source: Column, page: Column) -> Column:
         evidence.alias("evidence"),
         score.alias("confidence"),
         hand.alias("handwritten"),
+        comment(score, hand).alias("comment"),
     )
     return F.when(is_valid(entity["type"], value), record)

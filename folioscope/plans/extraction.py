@@ -12,7 +12,7 @@ from folioscope.functions import entities
 from folioscope.functions.text import head_and_tail, strip, without_fences, without_thinking
 from folioscope.operators.relational import keep_first
 from folioscope.operators.segment import chunks, page_at, page_marks
-from folioscope.plans.model import Client, Post, answered, batches, over_http, read_json
+from folioscope.plans.model import Client, Post, answered, batches, over_http, quarantine, read_json
 
 ENTITIES = "struct<entities:array<struct<type:string,value:string,normalized_value:string,page:int,paragraph:int,evidence:string,confidence:double,handwritten:boolean>>>"
 BLOCKS = "struct<blocks:array<struct<type:string,level:int,text:string,items:array<string>,rows:array<array<string>>,caption:string>>>"
@@ -69,12 +69,18 @@ def chunked(documents: DataFrame, limit: int = LONGEST) -> DataFrame:
     return rows.select("file", "document_type", "position", F.col("chunk.text").alias("content"), page_at(F.col("marks"), F.col("chunk.start")).alias("page"))
 
 
-def extracted(documents: DataFrame, endpoints: list[str], system: str, post: Post = over_http, limit: int = LONGEST, least: float = entities.LEAST_CONFIDENCE) -> DataFrame:
+def extracted(documents: DataFrame, endpoints: list[str], system: str, post: Post = over_http, limit: int = LONGEST, least: float = entities.LEAST_CONFIDENCE, trash: str = "") -> DataFrame:
     """(file, record): chunks are put to the model, replies read leniently, entities checked and
-    scored against their chunk, the first of each type and value kept, values normalised."""
+    scored against their chunk, the first of each type and value kept, values normalised. Replies
+    that cannot be read are added to the JSON lines in `trash`, if given; for that they are kept
+    until the result is, and not asked for again."""
     requests = chunked(documents, limit)
     keys = ("file", "document_type", "position", "content", "page")
-    return checked(asked(requests, endpoints, system, post, keys).where("error is null"), least)
+    replies = asked(requests, endpoints, system, post, keys).where("error is null")
+    if trash:
+        replies = replies.persist()
+        quarantine(replies, "entities").write.mode("append").json(trash)
+    return checked(replies, least)
 
 
 def extracted_from_images(images: DataFrame, endpoints: list[str], system: str, post: Post = over_http, size: int = 2, document_type: str = "other", least: float = entities.LEAST_CONFIDENCE) -> DataFrame:

@@ -666,14 +666,35 @@ def broken_references(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(r"""
 SELECT event_type, count(*) AS requests, CAST(floor(avg(value) * 1000 + 0.5) AS BIGINT) AS mean_milli, max(value) AS max_value, CAST(floor(count(*) / sum(value) * 1000000 + 0.5) AS BIGINT) AS per_million FROM events GROUP BY 1""")
 def bench_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").groupBy("event_type").agg(
-        F.count("*").alias("requests"),
-        F.floor(F.avg("value") * 1000 + 0.5).cast("long").alias("mean_milli"),
-        F.max("value").alias("max_value"),
-        F.floor(F.count("*") / F.sum("value") * 1_000_000 + 0.5).cast("long").alias("per_million"),
-    )
+    from folioscope.plans import model
+
+    found = model.timings(read(spark, sf_dir, "events"), ["event_type"], "value")
+    rounded = lambda c, k: F.floor(F.col(c) * k + 0.5).cast("long")
+    return found.select("event_type", "requests", rounded("mean", 1000).alias("mean_milli"), F.col("longest").alias("max_value"), rounded("per_second", 1_000_000).alias("per_million"))
 
 
 @query("SELECT source, count(*) AS files, count(*) FILTER (status = 'ok') AS processed, sum(n_chars)::BIGINT AS chars FROM (SELECT source, n_chars, CASE WHEN n_chars >= 200 THEN 'ok' ELSE 'skip' END AS status FROM documents) GROUP BY 1")
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("files"), F.count_if(F.col("n_chars") >= 200).alias("processed"), F.sum("n_chars").alias("chars"))
+    from folioscope.sinks import ledger
+
+    rows = read(spark, sf_dir, "documents").select("source", "n_chars", F.when(F.col("n_chars") >= 200, "ok").otherwise("skip").alias("status"))
+    return ledger.counts(rows, ["source"], "n_chars").withColumnRenamed("bytes", "chars")
+
+
+@query("""
+SELECT event_id, ((year(ts) - 1980) * 512 + month(ts) * 32 + day(ts)) * 65536 + hour(ts) * 2048 + minute(ts) * 32 + CAST(floor(second(ts) / 2) AS BIGINT) AS zip_time FROM events""")
+def zip_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioscope.sinks import texts
+
+    return read(spark, sf_dir, "events").select("event_id", texts.zip_time(F.col("ts")).alias("zip_time"))
+
+
+_SCORED = "SELECT event_id, (event_id % 100) / 100.0 AS score, event_id % 3 = 0 AS hand FROM events"
+
+
+@query(f"""
+SELECT event_id, CASE WHEN score >= 0.5 THEN NULL WHEN NOT hand THEN 'Низкая уверенность, требуется проверка оператором' WHEN score < 0.3 THEN 'Рукопись плохо читается, требуется проверка оператором'
+  ELSE 'Рукопись частично нечёткая, рекомендуется проверить' END AS comment FROM ({_SCORED})""")
+def entity_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "events")
+    return rows.select("event_id", entities.comment((F.col("event_id") % 100) / 100.0, F.col("event_id") % 3 == 0).alias("comment"))

@@ -62,11 +62,11 @@ def manifest(path: str) -> tuple[list[str], bytes] | None:
 
 
 def text_files(spark: SparkSession, output: str) -> DataFrame:
-    """(name, content) of the text files; names are relative to output."""
+    """(name, content, modified) of the text files; names are relative to output."""
     if not os.path.isdir(f"{output}/txts"):
-        return spark.createDataFrame([], "name string, content binary")
+        return spark.createDataFrame([], "name string, content binary, modified timestamp")
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(f"{output}/txts")
-    return found.select(F.concat(F.lit("txts/"), F.regexp_extract("path", r"([^/]+)$", 1)).alias("name"), "content")
+    return found.select(F.concat(F.lit("txts/"), F.regexp_extract("path", r"([^/]+)$", 1)).alias("name"), "content", F.col("modificationTime").alias("modified"))
 
 
 def refreshed(spark: SparkSession, output: str, full: bool = True) -> str:

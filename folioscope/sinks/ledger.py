@@ -42,6 +42,11 @@ def statistics(results: DataFrame) -> DataFrame:
     return results.select(*STATS.fieldNames())
 
 
+def counts(results: DataFrame, by: list[str] | None = None, size: str = "size_bytes") -> DataFrame:
+    """Files, those processed, and their sizes, by group or in all."""
+    return results.groupBy(*(by or [])).agg(F.count("*").alias("files"), F.count_if(F.col("status") == "ok").alias("processed"), F.sum(size).alias("bytes"))
+
+
 def snapshot(spark: SparkSession, ledger: str, path: str) -> int:
     """The whole ledger as one JSON array, written row by row and put in place of the old one by a
     rename, on a file system that the driver shares. Returns the number of rows."""

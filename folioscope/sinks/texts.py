@@ -8,7 +8,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions.text import strip
@@ -48,8 +48,18 @@ def write_files(texts: DataFrame, folder: str) -> None:
     texts.select("name", "body").mapInPandas(put, "n bigint").agg(F.sum("n")).collect()
 
 
+def zip_time(at: Column) -> Column:
+    """A time as zip archives have it: date and time of day in 16 bits each, two seconds apart,
+    from 1980 to 2107."""
+    year = F.greatest(F.least(F.year(at), F.lit(2107)), F.lit(1980))
+    late, early = F.year(at) > 2107, F.year(at) < 1980
+    date = ((year - 1980) * 16 + F.when(early, 1).when(late, 12).otherwise(F.month(at))) * 32 + F.when(early, 1).when(late, 31).otherwise(F.day(at))
+    time = F.when(early | late, 0).otherwise((F.hour(at) * 64 + F.minute(at)) * 32 + F.floor(F.second(at) / 2))
+    return date.cast("long") * 65536 + time.cast("long")
+
+
 def deflated(files: DataFrame) -> DataFrame:
-    """(name, packed, crc, size) of (name, content): executors compress."""
+    """(name, packed, crc, size, time) of (name, content) and, if there, `modified`: executors compress."""
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -57,9 +67,10 @@ def deflated(files: DataFrame) -> DataFrame:
             for content in f["content"]:
                 squeeze = zlib.compressobj(6, zlib.DEFLATED, -15)
                 packed.append(squeeze.compress(content) + squeeze.flush())
-            yield pd.DataFrame({"name": f["name"], "packed": packed, "crc": [zlib.crc32(c) for c in f["content"]], "size": [len(c) for c in f["content"]]})
+            yield pd.DataFrame({"name": f["name"], "packed": packed, "crc": [zlib.crc32(c) for c in f["content"]], "size": [len(c) for c in f["content"]], "time": f["time"]})
 
-    return files.select("name", "content").mapInPandas(pack, "name string, packed binary, crc bigint, size bigint")
+    time = F.coalesce(zip_time(F.col("modified")), F.lit(DATE << 16)) if "modified" in files.columns else F.lit(DATE << 16)
+    return files.select("name", "content", time.cast("long").alias("time")).mapInPandas(pack, "name string, packed binary, crc bigint, size bigint, time bigint")
 
 
 def wide(*values: int) -> bytes:
@@ -96,18 +107,18 @@ def write_zip(files: DataFrame, path: str, streams: Iterable[tuple[str, Iterable
     directory: list[bytes] = []
     temporary = f"{path}.tmp"
 
-    def listed(name: bytes, crc: int, packed: int, size: int, at: int) -> None:
+    def listed(name: bytes, crc: int, packed: int, size: int, at: int, time: int = DATE << 16) -> None:
         limit = lambda v: min(v, MOST32)
         more = wide(size, packed, at)
-        directory.append(CENTRAL.pack(0x02014B50, 45, 45 if more else 20, UTF8, DEFLATE, 0, DATE, crc, limit(packed), limit(size), len(name), len(more), 0, 0, 0, 0, limit(at)) + name + more)
+        directory.append(CENTRAL.pack(0x02014B50, 45, 45 if more else 20, UTF8, DEFLATE, time & 0xFFFF, time >> 16, crc, limit(packed), limit(size), len(name), len(more), 0, 0, 0, 0, limit(at)) + name + more)
 
     with open(temporary, "wb") as out:
         for r in deflated(files).orderBy("name").toLocalIterator():
             at, name, packed = out.tell(), r["name"].encode(), bytes(r["packed"])
             extra = struct.pack("<HHQQ", 1, 16, r["size"], len(packed)) if max(r["size"], len(packed)) >= MOST32 else b""
             sizes = (MOST32, MOST32) if extra else (len(packed), r["size"])
-            out.write(LOCAL.pack(0x04034B50, 45 if extra else 20, UTF8, DEFLATE, 0, DATE, r["crc"], *sizes, len(name), len(extra)) + name + extra + packed)
-            listed(name, r["crc"], len(packed), r["size"], at)
+            out.write(LOCAL.pack(0x04034B50, 45 if extra else 20, UTF8, DEFLATE, r["time"] & 0xFFFF, r["time"] >> 16, r["crc"], *sizes, len(name), len(extra)) + name + extra + packed)
+            listed(name, r["crc"], len(packed), r["size"], at, r["time"])
         for name, parts in streams:
             at = out.tell()
             listed(name.encode(), *streamed(out, name.encode(), parts), at)

@@ -250,7 +250,7 @@ def test_requests_of_images(spark):
     assert {r["file"]: r["annotation"] for r in notes} == {"f": "2", "t": "0"}
 
 
-def test_entities_from_a_model(spark):
+def test_entities_from_a_model(spark, tmp_path):
     def post(url, payload):
         text = payload["messages"][1]["content"]
         if "fail" in text:
@@ -264,6 +264,10 @@ def test_entities_from_a_model(spark):
     assert "- date: a day" in system and system.endswith("feedback")
     got = extraction.extracted(rows, ["u"], system, post, limit=60).collect()
     assert [(r["file"], r["record"]["type"], r["record"]["normalized_value"], r["record"]["page"], r["record"]["confidence"]) for r in got] == [("a", "date", "2026-05-12", 3, 0.9)]
+    assert [r["record"]["comment"] for r in extraction.extracted(rows, ["u"], system, post, limit=60).collect()] == [None]
+    trash = str(tmp_path / "trash")
+    assert extraction.extracted(rows, ["u"], system, lambda u, p: (200, "no json"), limit=60, trash=trash).count() == 0
+    assert {(r["context"], r["raw"]) for r in spark.read.json(trash).collect()} == {("entities", "no json")}
     notes = extraction.annotated(rows, ["u"], lambda u, p: (200, "```\nshort\n```")).collect()
     assert {r["file"]: r["annotation"] for r in notes} == {"a": "short", "b": "short"}
 
@@ -314,6 +318,31 @@ def test_images():
         images.steps_of("sharpen")
 
 
+def test_png_files(spark):
+    rng = np.random.default_rng(3)
+    grey = rng.integers(0, 256, (40, 30), dtype=np.uint8)
+    assert (images.decoded(images.encoded(grey)) == grey).all() and drawings.picture_size(images.encoded(grey)) == (30, 40)
+    # every kind of line filter, by its definition
+    import struct
+    import zlib
+
+    lines = []
+    for y in range(40):
+        kind = y % 5
+        row = bytearray([kind])
+        for x in range(30):
+            a, b, c = (int(grey[y, x - 1]) if x else 0), (int(grey[y - 1, x]) if y else 0), (int(grey[y - 1, x - 1]) if x and y else 0)
+            paeth = min((a, b, c), key=lambda v: (abs(a + b - c - v), (a, b, c).index(v)))
+            row.append((int(grey[y, x]) - (0, a, b, (a + b) // 2, paeth)[kind]) % 256)
+        lines.append(bytes(row))
+    chunk = lambda k, d: struct.pack(">I", len(d)) + k + d + struct.pack(">I", zlib.crc32(k + d))
+    filtered = images.SIGNATURE + chunk(b"IHDR", struct.pack(">IIBBBBB", 30, 40, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(b"".join(lines))) + chunk(b"IEND", b"")
+    assert (images.decoded(filtered) == grey).all()
+    rows = spark.createDataFrame([(bytearray(images.encoded(grey)),), (bytearray(b"none"),), (None,)], "png binary")
+    got = [r[0] for r in rows.select(images.preprocessed(F.col("png"), "binarize, denoise")).collect()]
+    assert set(np.unique(images.decoded(bytes(got[0])))) == {0, 255} and bytes(got[1]) == b"none" and got[2] is None
+
+
 def test_replies(spark):
     replies = ['```json\n{"a": 1}\n```', '{"a": 1\n"b": 2}', '{"a": [1]} tail', '{"entities": [{"type": "x", "value": "y"}, {"type"', "nothing", None]
     rows = spark.createDataFrame([(r,) for r in replies], "reply string")
