@@ -33,6 +33,14 @@ def shared_dir(spark: SparkSession) -> str:
     return name
 
 
+def free(df: DataFrame, name: str) -> str:
+    """The name, or the first longer one that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write df as Parquet under the shared folder and read it back: cuts lineage."""
     spark = df.sparkSession

@@ -18,8 +18,8 @@ passes. Windows meet the items of their size in blocks of `MEETINGS` pairs.
 Items of fewer than five words have no shingle and never match; so do null and
 empty texts. A text with fewer words than an item is one window. Very long texts go
 through whole, a text at a time. Windows of one item that tie are told by the first of
-them. Repeated items and rows each keep their results; an empty table gives an empty
-one, and an empty benchmark finds nothing. contamination() replaces a column named like
+them, and repeated items are told once. Repeated rows keep a row each; an empty table gives
+an empty one, and an empty benchmark finds nothing. contamination() replaces a column named like
 its result; clean() leaves all columns as they are.
 """
 
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import arrow_map, pieces, worker_state
+from folioscope.llm.common import arrow_map, free, pieces, worker_state
 
 WORDS, SIMILARITY, RADIUS, NEAR = 5, 0.8, 23, 2
 ODD, INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -268,4 +268,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", blo
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of docs, as they are, that hold no benchmark item."""
-    return contamination(docs, benchmark, name="__hits").where(F.size("__hits") == 0).select(*docs.columns)
+    name = free(docs, "__hits")
+    return contamination(docs, benchmark, name=name).where(F.size(name) == 0).select(*docs.columns)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import arrow_map, pieces
+from folioscope.llm.common import arrow_map, free, pieces
 
 BUCKETS = 1 << 15
 GRAMS = (1, 2, 3, 4)
@@ -221,10 +221,10 @@ def training_sample(docs: DataFrame, per_language: int = 1000, longest: int = 20
     return [r["text"] for r in rows], [r["lang"] for r in rows]
 
 
-def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of docs and `__language`: (language, score, rejected), from the text alone."""
-    docs = docs.drop("__language")
-    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "__language struct<language:string,score:double,rejected:boolean>"])
+def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "__language") -> DataFrame:
+    """All columns of docs and `name`: (language, score, rejected), from the text alone."""
+    docs = docs.drop(name)
+    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), f"`{name}` struct<language:string,score:double,rejected:boolean>"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array(model.languages)
@@ -232,25 +232,27 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             z, sizes = model.evidence(data, off)
             best = [pa.array(names[z.argmax(1)].tolist(), pa.string()), pa.array(model.softmax(z).max(1), pa.float64()), pa.array(model.unlike(z, sizes))]
             both = pa.StructArray.from_arrays(best, names=["language", "score", "rejected"])
-            yield pa.RecordBatch.from_arrays([*batch.columns, both], names=[*batch.schema.names, "__language"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, both], names=[*batch.schema.names, name])
 
-    found = F.col("__language")
+    found = F.col(name)
     known = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)) & (found["language"] != UND)
     score = F.when(known, found["score"]).otherwise(0.0)
     verdict = F.struct(F.when(known, found["language"]).otherwise(UND).alias("language"), score.alias("score"), (~known | found["rejected"]).alias("rejected"))
-    return arrow_map(docs, run, ddl).withColumn("__language", verdict)
+    return arrow_map(docs, run, ddl).withColumn(name, verdict)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of docs plus lang_pred, score and rejected."""
     others = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
-    found = F.col("__language")
-    return scored(docs.select(*{*others, text}), model, text).select(*others, found["language"].alias("lang_pred"), found["score"].alias("score"), found["rejected"].alias("rejected"))
+    name = free(docs, "__language")
+    found = F.col(name)
+    return scored(docs.select(*dict.fromkeys([*others, text])), model, text, name).select(*others, found["language"].alias("lang_pred"), found["score"].alias("score"), found["rejected"].alias("rejected"))
 
 
 def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Rows of docs, as they are, whose language the classifier accepts."""
-    return scored(docs, model, text).where(~F.col("__language.rejected")).select(*docs.columns)
+    name = free(docs, "__language")
+    return scored(docs, model, text, name).where(~F.col(f"{name}.rejected")).select(*docs.columns)
 
 
 def train(docs: DataFrame, **options) -> Model:

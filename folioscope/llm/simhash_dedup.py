@@ -22,8 +22,13 @@ one_of_each() groups texts by their similarity, at which SimHash fingerprints di
 too many bits for tables. Bands of least hashes (MinHash) of the same shingles find
 candidates, and the shingle sets of every pair decide.
 
-Null and empty texts have fingerprint zero and link like any other. Repeated rows
-keep one output row each.
+Null and empty texts have fingerprint zero and link like any other; one_of_each() takes
+them for copies of one another. Very long texts are hashed whole, shingle by shingle.
+Bits that are set in exactly half of the shingles are zero. Repeated rows keep one output
+row each in near_duplicates(), and one of them stays in one_of_each(). Null ids have no say
+in a component's name, and a component of null ids alone has a null one. An empty table
+gives an empty one. near_duplicates() looks at doc_id and the text alone; one_of_each()
+leaves all columns as they are.
 """
 
 from __future__ import annotations
@@ -37,9 +42,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from folioscope.llm.common import arrow_map, utf8, written
+from folioscope.llm.common import arrow_map, forget, free, utf8, written
 from folioscope.llm.graph import components
 
 RADIUS = 4
@@ -115,7 +119,8 @@ def cells(distinct: DataFrame, blocks: int, radius: int = RADIUS) -> DataFrame:
     signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
     tables = F.array(*[F.struct(F.lit(i).cast("smallint").alias("i"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)])
     rows = distinct.select("node", "fp", F.explode(tables).alias("cell")).select("node", "fp", "cell.i", "cell.key")
-    return rows.withColumn("n", F.count("*").over(Window.partitionBy("i", "key"))).where("n > 1")
+    # counted by a pre-aggregated sum and joined, not by a window: a hot cell does not meet in one task
+    return rows.join(rows.groupBy("i", "key").agg(F.count("*").alias("n")).where("n > 1"), ["i", "key"])
 
 
 def spanning(n: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,6 +175,7 @@ def linked(group: np.ndarray, fps: np.ndarray, pivots: np.ndarray, radius: int,
 def links(distinct: DataFrame, blocks: int | None = None, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
     """(a, b): nodes whose fingerprints are within the radius, as forests of the closest pairs
     that connect what all such pairs connect. `distinct` has unlike rows of (node, fp)."""
+    distinct = written(distinct)
     blocks = blocks or blocks_for(distinct.count(), radius)
     rows = cells(distinct, blocks, radius)
     # large cells: blocks of about `cell` members meet pairwise
@@ -325,10 +331,10 @@ def alike(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.nda
 def contested(rows: DataFrame, known: DataFrame, sets: DataFrame, similarity: float, cell: int = CELL) -> DataFrame:
     """Links (a, b) between unlike roots: every pair of a cell that holds nodes of several
     known roots is verified. Large cells are cut into blocks that meet pairwise, with their sets."""
-    w = Window.partitionBy("key")
     rows = rows.where("n > 2").join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = rows.withColumns({"low": F.min("root").over(w), "high": F.max("root").over(w)}).where("low <> high").select("node", "key", "n", "root")
-    rows = rows.join(sets.select("node", "size"), "node").withColumn("total", F.sum("size").over(w))
+    rows = written(rows.join(sets.select("node", "size"), "node").select("node", "key", "n", "root", "size"))
+    several = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum("size").alias("total")).where("low <> high")
+    rows = rows.join(several.select("key", "total"), "key")
     parts = F.greatest(F.ceil(F.col("n") / cell), F.ceil(F.col("total") / BLOCK)).cast("int")
     rows = rows.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("parts")).cast("int"))
     others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: (k != F.col("own")) | (F.col("parts") == 1))
@@ -377,22 +383,25 @@ def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similar
     cells that this leaves in several pieces.
     """
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    own = {"__r1": F.xxhash64(F.lit(1), t, "doc_id"), "__r2": F.xxhash64(F.lit("second"), t, "doc_id")}
-    keyed = docs.withColumns(own)
-    found = written(sketches(keyed, text, words, ("doc_id", "__r1", "__r2"), bands, minima))
+    r1, r2 = free(docs, "__r1"), free(docs, "__r2")
+    keyed = docs.withColumns({r1: F.xxhash64(F.lit(1), t, "doc_id"), r2: F.xxhash64(F.lit("second"), t, "doc_id")})
+    ids = keyed.select("doc_id", F.col(r1).alias("r1"), F.col(r2).alias("r2"), F.col(text).alias("text"))
+    found = written(sketches(ids, "text", words, ("doc_id", "r1", "r2"), bands, minima))
     # a text for each set of shingles, by a pre-aggregated minimum: copies go before any join
-    who = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__r1", "__r2")
+    who = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "r1", "r2")
     first = written(found.groupBy("node").agg(F.min(who).alias("who"), F.first("bands").alias("bands")))
-    w = Window.partitionBy("key")
+    forget(found)
     tables = first.select("node", F.posexplode("bands").alias("i", "key")).select("node", F.xxhash64("i", "key").alias("key"))
-    rows = written(tables.withColumns({"n": F.count("*").over(w), "least": F.min("node").over(w)}).where("n > 1"))
-    shown = first.join(rows.select("node").distinct(), "node", "left_semi").select("node", "who.__r1", "who.__r2")
-    sets = shingle_sets(keyed.select("__r1", "__r2", text).join(shown.hint("shuffle_hash"), ["__r1", "__r2"]).select("node", text), text, words, ("node",)).dropDuplicates(["node"])
+    shared = tables.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
+    rows = written(tables.join(shared, "key"))
+    shown = first.join(rows.select("node").distinct(), "node", "left_semi").select("node", "who.r1", "who.r2")
+    sets = shingle_sets(ids.select("r1", "r2", "text").join(shown.hint("shuffle_hash"), ["r1", "r2"]).select("node", "text"), "text", words, ("node",)).dropDuplicates(["node"])
     sets = written(sets.withColumn("size", F.size("shingles")))
     stars = rows.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     links = written(similar(stars, sets.select("node", "shingles"), similarity))
     more = written(contested(rows, components(links), sets, similarity, cell))
     roots = components(links.unionByName(more))
-    kept = first.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("who").alias("who")).select("who.__r1", "who.__r2")
+    forget(rows, sets, links, more)
+    kept = first.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("who").alias("who")).select(F.col("who.r1").alias(r1), F.col("who.r2").alias(r2))
     # repeated rows agree in id and text; one of them stays
-    return keyed.join(kept.hint("shuffle_hash"), ["__r1", "__r2"], "left_semi").dropDuplicates(["__r1", "__r2"]).drop(*own)
+    return keyed.join(kept.hint("shuffle_hash"), [r1, r2], "left_semi").dropDuplicates([r1, r2]).select(*docs.columns)
