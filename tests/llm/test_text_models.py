@@ -250,6 +250,58 @@ def test_every_print_within_the_radius_is_looked_up():
         assert any(index.tables[n][b][near[b]][0] for b in range(8))
 
 
+def plain_masked(t):
+    """t with its base spans replaced, overlaps going to the first and longest."""
+    out, at = "", 0
+    for a, b, k in sorted(((a, b, k) for k, a, b in plain_spans(t)), key=lambda s: (s[0], -s[1])):
+        if a >= at:
+            out += t[at:a] + f"<{k.upper()}>"
+        at = max(at, b)
+    return out + t[at:]
+
+
+def test_pipeline_like_brute_force(spark, sf):
+    """Rows of run() against the definition of each stage but the first, whose model is trained:
+    all pairs by Jaccard, all windows of items, fixed patterns, and the tokenizer library."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    docs = [(r["doc_id"], r["text"]) for r in corpus_pipeline.language(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf).select("doc_id", "text").orderBy("doc_id").collect()]
+    shingles = {}
+    for i, t in docs:
+        w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").encode().split()
+        shingles[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    root = {i: i for i, _ in docs}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for n, (i, _) in enumerate(docs):
+        for j, _ in docs[n + 1 :]:
+            a, b = shingles[i], shingles[j]
+            if len(a & b) >= 0.8 * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    fold = lambda t: set(zip(*(re.findall(r"[a-z0-9\x80-\U0010ffff]+", t.lower())[k:] for k in range(5)), strict=False))
+    known = [(i, t, fold(t)) for i, t in items]
+    path = public_tokenizers.path(corpus_pipeline.VOCABULARY)
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = {}
+    for i, t in docs:
+        own = fold(t or "")
+        # items without a shingle in common have similarity 0
+        if find(i) == i and not plain_hits(t or "", [(k, x) for k, x, f in known if own & f]):
+            want[i] = np.array(library.encode_ordinary(plain_masked(t or "")), "<u4").tobytes()
+    got = {r["doc_id"]: bytes(r["ids"]) for r in corpus_pipeline.run(spark, sf).collect()}
+    assert got == want and 0 < len(want) < len(docs)
+
+
 def test_pipeline(spark, sf):
     """Each stage keeps what the ones before it kept and what its own rule allows."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
