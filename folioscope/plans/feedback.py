@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import glob
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.functions.text import is_blank, strip
+from folioscope.operators.relational import last_rows
+from folioscope.sinks import ledger
 
 #: Fixed values.
 INTRODUCTION = "Recent corrections from operator (VLM was wrong, operator corrected it — follow the operator's values, they are authoritative):\n"
@@ -26,6 +31,23 @@ def block(recent: DataFrame, position: str = "position", markdown: str = "markdo
     return gathered.select(F.when(F.size("r") == 0, "").otherwise(F.concat(F.lit(INTRODUCTION), F.array_join(examples, "\n\n"))).alias("block"))
 
 
+#: The last block made, by ledger and number of corrections, and what the ledger's files were then.
+_made: dict[tuple[str, int], tuple[str, str]] = {}
+
+
+def current_block(spark: SparkSession, path: str, limit: int) -> str:
+    """The block of the last `limit` corrections in the ledger at path, on a file system that the
+    driver shares; made anew only if its files have changed. '' without any."""
+    parts = sorted(glob.glob(f"{glob.escape(path)}/part-*")) if os.path.isdir(path) else [path] * os.path.isfile(path)
+    state = ";".join(f"{p}:{os.stat(p).st_size}:{os.stat(p).st_mtime_ns}" for p in parts)
+    if limit <= 0 or not parts:
+        return ""
+    if _made.get((path, limit), ("", ""))[0] != state:
+        rows = ledger.read(spark, path, ledger.CORRECTION).select(F.col("timestamp").alias("position"), "markdown")
+        _made[path, limit] = state, block(last_rows(rows, "position", limit)).first()["block"]
+    return _made[path, limit][1]
+
+
 def corrected(markdown: Column, seen: Column, fixed: Column) -> Column:
     """Did the operator leave some Markdown, or change the entities?"""
     return ~is_blank(markdown) | F.coalesce(seen != fixed, F.lit(False))

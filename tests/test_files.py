@@ -495,6 +495,22 @@ def test_archive_of_a_run(spark, tmp_path):
     assert archive.refreshed(spark, str(tmp_path / "nothing")) == "kept"
 
 
+def test_feedback_of_a_ledger(spark, tmp_path, monkeypatch):
+    from folioscope.plans import feedback
+
+    path = str(tmp_path / "corrections.jsonl")
+    add = lambda *rows: ledger.append(spark.createDataFrame([(None, m, [], [], t) for m, t in rows], ledger.CORRECTION), path)
+    assert feedback.current_block(spark, path, 2) == ""
+    add(("one", 1.0), ("two", 2.0), ("three", 3.0))
+    first = feedback.current_block(spark, path, 2)
+    assert "two" in first and "three" in first and "one\n" not in first and first.count("<EXAMPLE") == 2
+    with monkeypatch.context() as m:  # nothing has changed: the ledger is not read again
+        m.setattr(ledger, "read", lambda *_: pytest.fail("read again"))
+        assert feedback.current_block(spark, path, 2) == first and feedback.current_block(spark, path, 0) == ""
+    add(("four", 4.0))
+    assert "four" in feedback.current_block(spark, path, 2)
+
+
 def test_watch(spark, tmp_path):
     import time
 
