@@ -78,8 +78,9 @@ BEFORE = {k: re.compile(rf"(?:{v})[^.;\n]{{0,24}}$", re.I) for k, v in BEFORE.it
 NOT_BEFORE = re.compile(r"(?:version|release|isbn|issn|order|serial|section|figure|table|ticket|part|build|model|item|invoice|published|updated|posted|dated|on|since|brand|novel|shop)[ #:.no]*$", re.I)
 AFTER = re.compile(r"^[ ,;.)]*(?:is my|was born|or write|to reach|anytime|expires|after hours|lives|called|said|wrote|signed)", re.I)
 NOT_AFTER = re.compile(r"^[ ,]*(?:units?|pieces|items|pages?|percent|%|copies|kg|mm|releases?|edition|museum|avenue|street|brand|stadium|airport|university)", re.I)
-#: Bytes of a text without which it has no candidate.
-SIGNS = re.compile(rb"[0-9@]|\bdot\b|[\[(]dot[\])]|\b(?:%s|%s)\b" % (TITLES.encode(), NAMES.encode()))
+#: Bytes of a text without which it has no candidate. The second begins with letters, not a
+#: boundary, so that only capitals are looked at.
+DIGIT, NAMED, DOT = re.compile(rb"[0-9@]"), re.compile(rb"(?:%s|%s)\b" % (TITLES.encode(), NAMES.encode())), re.compile(rb"\bdot\b|[\[(]dot[\])]")
 #: Candidates the final classifier is fitted on at most, and the score it accepts.
 SAMPLE, ACCEPT = 20_000, 0.8
 FEATURES = 1 << 12
@@ -324,7 +325,8 @@ def texts_of(batch: pa.RecordBatch, column: str) -> Iterator[str]:
     data, off = utf8(batch.column(column))
     cuts = off.tolist()
     for a, b in zip(cuts, cuts[1:], strict=False):
-        yield data[a:b].decode() if SIGNS.search(data, a, b) else ""
+        sign = DIGIT.search(data, a, b) or NAMED.search(data, a, b) or (data.find(b"dot", a, b) >= 0 and DOT.search(data, a, b))
+        yield data[a:b].decode() if sign else ""
 
 
 def fit(docs: DataFrame, text: str = "text") -> Model:
