@@ -77,7 +77,7 @@ def is_blank(text: Column) -> Column:
 def alternatives(pattern: str) -> list[str]:
     """The parts of a pattern between its outermost bars."""
     out, depth = [""], 0
-    for sign in re.findall(r"\\.|.", pattern, re.DOTALL):
+    for sign in re.findall(r"\\.|\[\^?\]?(?:\\.|[^\]])*\]|.", pattern, re.DOTALL):
         depth += (sign == "(") - (sign == ")")
         if sign == "|" and depth == 0:
             out.append("")
@@ -86,28 +86,40 @@ def alternatives(pattern: str) -> list[str]:
     return out
 
 
-def mentions(text: Column, pattern: str) -> Column:
-    """Does a text have one of the pattern's alternatives, in any case? Plain words are sought
-    byte by byte in the lower-cased text, which costs a fraction of a regular expression."""
-    parts = alternatives(pattern)
-    plain = [p for p in parts if p == re.escape(p).replace("\\ ", " ").replace("\\-", "-")]
-    rest = "|".join(p for p in parts if p not in plain)
-    low = F.lower(text)
+def beginning(pattern: str) -> str:
+    """What every match begins with: the plain signs up to the first special one."""
+    plain = re.match(r"[^\\\[\](){}.*+?|^$]*", pattern)[0]
+    return plain[:-1] if pattern[len(plain) : len(plain) + 1] in ("?", "*", "{", "+") else plain
+
+
+def mentions(low: Column, pattern: str) -> Column:
+    """Does a lower-cased text have one of the pattern's alternatives, in any case? Plain words are
+    sought byte by byte, which costs a fraction of a regular expression, and regular expressions
+    only where the text has what they begin with."""
     found = F.lit(False)
-    for word in plain:
-        found = found | low.contains(word.lower())
-    return found | low.rlike(f"(?iU)(?:{rest})") if rest else found
+    for part in alternatives(pattern):
+        if part == re.escape(part).replace("\\ ", " ").replace("\\-", "-"):
+            found = found | low.contains(part.lower())
+            continue
+        # an escape of upper case means another class: such a pattern keeps its case
+        lowered = part if re.search(r"\\[A-Z]", part) else part.lower()
+        test = low.rlike(f"(?U)(?:{lowered})" if lowered.lower() == lowered else f"(?iU)(?:{part})")
+        found = found | ((low.contains(beginning(part).lower()) & test) if beginning(part) else test)
+    return found
 
 
 def document_type(text: Column, suffix: Column | None = None, rules: dict[str, str] | None = None, sample: int = 4000) -> Column:
     """The first rule found in the first `sample` characters; else by suffix, else other."""
-    head = F.substring(F.coalesce(text, F.lit("")), 1, sample)
-    out = None
-    for name, pattern in (rules or TYPE_WORDS).items():
-        test = mentions(head, pattern)
-        out = F.when(test, name) if out is None else out.when(test, name)
     by_suffix = F.lit("other") if suffix is None else F.when(F.lower(suffix) == ".pptx", "report").otherwise("other")
-    return out.otherwise(by_suffix)
+
+    def named(low: Column) -> Column:
+        out = None
+        for name, pattern in (rules or TYPE_WORDS).items():
+            test = mentions(low, pattern)
+            out = F.when(test, name) if out is None else out.when(test, name)
+        return out.otherwise(by_suffix)
+
+    return bound(F.lower(F.substring(F.coalesce(text, F.lit("")), 1, sample)), named)
 
 
 def meaningful(text: Column, least: int = 200, prose: int = 40) -> Column:
@@ -129,7 +141,7 @@ def is_collection(text: Column, words_pattern: str = COLLECTION_WORDS) -> Column
         return F.when(F.size(pages) < 2, False).otherwise(F.size(F.filter(F.slice(pages, 1, 5), lambda p: bound(first(p), title))) >= 2)
 
     pages = F.filter(F.split(text, "\f", -1), lambda p: ~is_blank(p))
-    return F.coalesce(mentions(F.substring(text, 1, 3000), words_pattern) | bound(pages, titled), F.lit(False))
+    return F.coalesce(bound(F.lower(F.substring(text, 1, 3000)), lambda low: mentions(low, words_pattern)) | bound(pages, titled), F.lit(False))
 
 
 def file_name(name: Column) -> Column:
