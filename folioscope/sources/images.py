@@ -101,7 +101,7 @@ def page_files(content: bytes, suffix: str) -> list[bytes]:
     if suffix == "pdf":
         from folioscope.sources.pdf import rendered
 
-        return rendered(content)
+        return [as_png(x) for x in rendered(content)]
     return [as_png(content)]
 
 

@@ -1,4 +1,4 @@
-"""PDF text and page images through whatever PDF library a worker has; none gives nothing."""
+"""PDF text and page images: by PyMuPDF where a worker has it, else by the standard library."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from folioscope.sources import pdf_objects
 from folioscope.sources.ooxml import told
 
 
@@ -18,9 +19,13 @@ def _open(content: bytes):
 
 
 def read(content: bytes) -> tuple[str, int]:
-    """Text of the pages, joined by form feeds, and their number; ('', 0) without a library."""
+    """Text of the pages, joined by form feeds, and their number."""
     document = _open(content)
-    return ("\f".join(p.get_text() for p in document), len(document)) if document is not None else ("", 0)
+    if document is not None:
+        return "\f".join(p.get_text() for p in document), len(document)
+    file = pdf_objects.File(content)
+    pages = [pdf_objects.page_text(file, p) for p in file.pages()]
+    return "\f".join(pages), len(pages)
 
 
 def pdf_read(content: Column) -> Column:
@@ -29,10 +34,15 @@ def pdf_read(content: Column) -> Column:
 
 
 def rendered(content: bytes, dpi: int = 200, most: int = 2000) -> list[bytes]:
-    """PNG files of the pages at dpi, no side longer than `most` pixels. Needs a PDF library."""
+    """Images of the pages at dpi, no side longer than `most` pixels. Without a library that draws
+    pages, the picture that each page of a scan is; other pages are an error."""
     document = _open(content)
     if document is None:
-        raise RuntimeError("no library to render PDF pages with")
+        file = pdf_objects.File(content)
+        pictures = [pdf_objects.page_picture(file, p) for p in file.pages()]
+        if not all(pictures):
+            raise RuntimeError("no library to render PDF pages with")
+        return pictures
     import fitz
 
     out = []

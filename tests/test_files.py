@@ -171,6 +171,71 @@ def letters_of(content: bytes) -> str:
     return "".join(out)
 
 
+def scan_pdf(pictures: list[tuple[bytes, str]]) -> bytes:
+    """A PDF file whose pages are pictures: (image dictionary and data, filter)."""
+    n = len(pictures)
+    kids = " ".join(f"{3 + 2 * i} 0 R" for i in range(n))
+    out = f"%PDF-1.4\n1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj\n2 0 obj << /Type /Pages /Kids [{kids}] /Count {n} >> endobj\n".encode()
+    for i, (data, keys) in enumerate(pictures):
+        out += f"{3 + 2 * i} 0 obj << /Type /Page /Parent 2 0 R /Resources << /XObject << /I {4 + 2 * i} 0 R >> >> >> endobj\n".encode()
+        out += f"{4 + 2 * i} 0 obj << /Subtype /Image /Width 30 /Height 20 /BitsPerComponent 8 {keys} /Length {len(data)} >>\nstream\n".encode() + data + b"\nendstream endobj\n"
+    return out + b"trailer << /Root 1 0 R >>"
+
+
+def test_pdf_text_without_a_library():
+    from folioscope.sources import pdf as reader
+    from folioscope.sources import pdf_objects
+
+    blocks = [{"kind": "heading", "level": 1, "text": "Заголовок (тест) \\ naïve", "rows": [], "items": []}, {"kind": "paragraph", "level": 0, "text": "plain (text) words " * 40, "rows": [], "items": []}, {"kind": "page_break", "level": 0, "text": "", "rows": [], "items": []}, {"kind": "paragraph", "level": 0, "text": "УДК 51.78", "rows": [], "items": []}]
+    file = pdf_objects.File(pdf.package(blocks))
+    texts_ = [pdf_objects.page_text(file, p) for p in file.pages()]
+    assert texts_[0].startswith("Заголовок (тест) \\ naïve\nplain (text) words") and texts_[1] == "УДК 51.78" and texts_[0].count("\n") > 3
+    if reader._open(pdf.package(blocks)) is None:
+        assert reader.read(pdf.package(blocks)) == ("\f".join(texts_), 2)
+    for bad in (b"", b"none", b"%PDF-1.4 trailer << /Encrypt 1 0 R >>"):
+        with pytest.raises(ValueError):
+            pdf_objects.File(bad)
+    # an object stream, a font with a map of two-byte codes, gaps that are blanks, escapes
+    import zlib
+
+    inner = [b"<< /Type /Catalog /Pages 2 0 R >>", b"<< /Type /Pages /Kids [5 0 R] /Resources << /Font << /F 6 0 R >> >> >>", b"<< /Type /Page /Contents [7 0 R] >>", b"<< /Type /Font /Subtype /Type0 /ToUnicode 8 0 R >>"]
+    places, body = [], b""
+    for x in inner:
+        places.append(len(body))
+        body += x + b" "
+    head = " ".join(f"{k} {p}" for k, p in zip((1, 2, 5, 6), places, strict=True)).encode() + b" "
+    pack = lambda k, keys, data: f"{k} 0 obj << {keys} /Filter /FlateDecode /Length {len(zlib.compress(data))} >> stream\n".encode() + zlib.compress(data) + b"\nendstream endobj\n"
+    show = b"BT /F 9 Tf 1 0 0 1 5 700 Tm [<0001> 20 <0002> -400 <0003>] TJ 0 -12 Td <00040005> Tj T* (\\000\\001) ' ET"
+    maps = b"1 beginbfrange <0001> <0003> <0416> endbfrange 1 beginbfrange <0004> <0005> [<0041> <00420043>] endbfrange"
+    made = b"%PDF-1.5\n" + pack(9, f"/Type /ObjStm /N 4 /First {len(head)}", head + body) + pack(7, "", show) + pack(8, "", maps)
+    file = pdf_objects.File(made)
+    assert [pdf_objects.page_text(file, p) for p in file.pages()] == ["ЖЗ И\nABCЖ"]
+
+
+def test_scans_without_a_library(spark, tmp_path):
+    """Pages that are pictures go to the model as such."""
+    import zlib
+
+    from folioscope.sources import pdf as reader
+
+    grey = np.arange(600, dtype=np.uint8).reshape(20, 30)
+    color = np.repeat(grey[:, :, None], 3, 2)
+    content = scan_pdf([(zlib.compress(grey.tobytes()), "/ColorSpace /DeviceGray /Filter /FlateDecode"), (zlib.compress(color.tobytes()), "/ColorSpace /DeviceRGB /Filter [/FlateDecode]"), (b"\xff\xd8jpeg", "/ColorSpace /DeviceRGB /Filter /DCTDecode")])
+    if reader._open(content) is not None:
+        pytest.skip("pages are drawn by the library")
+    pages = images.page_files(content, "pdf")
+    assert [(images.decoded(p) == grey).all() for p in pages[:2]] == [True, True] and pages[2] == b"\xff\xd8jpeg"
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    root.mkdir()
+    (root / "scan.pdf").write_bytes(content)
+    (root / "drawn.pdf").write_bytes(pdf.package([]))
+    (root / "text.pdf").write_bytes(pdf.package([{"kind": "paragraph", "level": 0, "text": "УДК 51.78 words", "rows": [], "items": []}]))
+    assert watch.batch(spark, str(root), out, extract=watch.extract_from(spark, str(root), ["u"], lambda u, p: (200, "read by the model"))) == 3
+    rows = {r["file"]: r for r in ledger.read(spark, f"{out}/results.jsonl").collect()}
+    assert {k: (v["status"], v["pages"]) for k, v in rows.items()} == {"scan.pdf": ("ok", 3), "text.pdf": ("ok", 1), "drawn.pdf": ("error", 0)}
+    assert rows["text.pdf"]["documents"][0]["rubricators"][0]["number"] == "51.78" and "no library" in rows["drawn.pdf"]["error"]
+
+
 def test_pdf_letters():
     text = "Заголовок (тест) • naïve — Ω ≤ π, \\ 日本"
     assert text in letters_of(pdf.package([{"kind": "heading", "level": 1, "text": text, "rows": [], "items": []}]))
