@@ -68,13 +68,7 @@ def preprocessed(png: Column, steps: str) -> Column:
 
     @F.pandas_udf("binary")
     def apply(files: pd.Series) -> pd.Series:
-        def one(x: bytes | None) -> bytes | None:
-            try:
-                return encoded(cleaned(decoded(bytes(x)), named))
-            except (ValueError, TypeError, struct.error, zlib.error):
-                return x
-
-        return files.map(one)
+        return files.map(lambda x: None if x is None else cleaned_file(bytes(x), named))
 
     return apply(png)
 
@@ -96,8 +90,21 @@ def as_png(content: bytes) -> bytes:
         return content
 
 
-def page_files(content: bytes, suffix: str) -> list[bytes]:
-    """Images of a scan's pages: those of a PDF file, or the image itself."""
+def cleaned_file(png: bytes, steps: str) -> bytes:
+    """A PNG file with the steps applied; as it is if it cannot be read here."""
+    try:
+        return encoded(cleaned(decoded(png), steps))
+    except (ValueError, TypeError, struct.error, zlib.error):
+        return png
+
+
+def page_files(content: bytes, suffix: str, steps: str = "") -> list[bytes]:
+    """Images of a scan's pages, those of a PDF file or the image itself, with the steps applied."""
+    pages = pages_as_they_are(content, suffix)
+    return [cleaned_file(x, steps) for x in pages] if steps else pages
+
+
+def pages_as_they_are(content: bytes, suffix: str) -> list[bytes]:
     if suffix == "pdf":
         from folioscope.sources.pdf import rendered
 

@@ -19,7 +19,15 @@ def _open(content: bytes):
 
 
 def read(content: bytes) -> tuple[str, int]:
-    """Text of the pages, joined by form feeds, and their number."""
+    """Text of the pages, joined by form feeds, and their number; ('', 0) of a file whose text cannot
+    be read: whether its pages can be shown is another question, which rendered() answers."""
+    try:
+        return text_of_pages(content)
+    except Exception:  # noqa: BLE001 - see above
+        return "", 0
+
+
+def text_of_pages(content: bytes) -> tuple[str, int]:
     document = _open(content)
     if document is not None:
         return "\f".join(p.get_text() for p in document), len(document)
@@ -40,7 +48,7 @@ def rendered(content: bytes, dpi: int = 200, most: int = 2000) -> list[bytes]:
     if document is None:
         file = pdf_objects.File(content)
         pictures = [pdf_objects.page_picture(file, p) for p in file.pages()]
-        if not all(pictures):
+        if not pictures or not all(pictures):
             raise RuntimeError("no library to render PDF pages with")
         return pictures
     import fitz

@@ -224,15 +224,17 @@ def test_scans_without_a_library(spark, tmp_path):
     if reader._open(content) is not None:
         pytest.skip("pages are drawn by the library")
     pages = images.page_files(content, "pdf")
+    assert set(np.unique(images.decoded(images.page_files(content, "pdf", "binarize")[0]))) == {0, 255}
     assert [(images.decoded(p) == grey).all() for p in pages[:2]] == [True, True] and pages[2] == b"\xff\xd8jpeg"
     root, out = tmp_path / "in", str(tmp_path / "out")
     root.mkdir()
     (root / "scan.pdf").write_bytes(content)
     (root / "drawn.pdf").write_bytes(pdf.package([]))
+    (root / "broken.pdf").write_bytes(b"%PDF-1.4 none")
     (root / "text.pdf").write_bytes(pdf.package([{"kind": "paragraph", "level": 0, "text": "УДК 51.78 words", "rows": [], "items": []}]))
-    assert watch.batch(spark, str(root), out, extract=watch.extract_from(spark, str(root), ["u"], lambda u, p: (200, "read by the model"))) == 3
+    assert watch.batch(spark, str(root), out, extract=watch.extract_from(spark, str(root), ["u"], lambda u, p: (200, "read by the model"))) == 4
     rows = {r["file"]: r for r in ledger.read(spark, f"{out}/results.jsonl").collect()}
-    assert {k: (v["status"], v["pages"]) for k, v in rows.items()} == {"scan.pdf": ("ok", 3), "text.pdf": ("ok", 1), "drawn.pdf": ("error", 0)}
+    assert {k: (v["status"], v["pages"]) for k, v in rows.items()} == {"scan.pdf": ("ok", 3), "text.pdf": ("ok", 1), "drawn.pdf": ("error", 0), "broken.pdf": ("error", 0)}
     assert rows["text.pdf"]["documents"][0]["rubricators"][0]["number"] == "51.78" and "no library" in rows["drawn.pdf"]["error"]
 
 
@@ -286,6 +288,10 @@ def test_command_line(spark, tmp_path, capsys):
     assert "pages: 1, images: 1" in capsys.readouterr().out
     assert main(["visio", str(tmp_path / "t.md"), "--mode", "document", "--out", out, "--page-size", "5x5"]) == 0
     assert "images: 1, texts: 2" in capsys.readouterr().out and drawings.summary(open(out, "rb").read())["sizes"] == [(5.0, 5.0)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.docx").write_bytes(word.package(BLOCKS[:1]))
+    assert main(["run", str(tmp_path / "in"), str(tmp_path / "out"), "--preprocess", "binarize"]) == 0 and "1 files" in capsys.readouterr().out
+    assert os.listdir(tmp_path / "out" / "txts") == ["a.txt"]
     assert main(["rebuild", str(tmp_path / "t.md"), str(tmp_path / "t.docx")]) == 0 and (tmp_path / "t.docx").stat().st_size > 0
 
 
