@@ -594,3 +594,35 @@ def test_watch(spark, tmp_path):
         time.sleep(0.5)
     watch.stopped(query, spark, out)
     assert os.path.exists(f"{out}/txts/a.txt") and "txts/a.txt" in names_of(out) and "results.jsonl" in names_of(out)
+
+
+def test_word_columns(spark):
+    rows = spark.createDataFrame([(bytearray(word.package(BLOCKS[:1] + BLOCKS[2:3])),), (bytearray(b"broken"),), (None,)], "content binary")
+    got = rows.select(ooxml.docx_text(F.col("content")), ooxml.docx_markdown(F.col("content")), ooxml.docx_read(F.col("content")).alias("r")).collect()
+    assert got[0][0].startswith("Заголовок") and got[0][1].startswith("## Заголовок") and (got[0]["r"]["pages"], got[0]["r"]["error"]) == (1, None)
+    assert tuple(got[1])[:2] == ("", "") == tuple(got[2])[:2] and "BadZipFile" in got[1]["r"]["error"] and got[2]["r"]["error"]
+
+
+def test_images_to_work_on(spark, tmp_path):
+    for name in ("b/x.png", "a/y.JPG", "a/z.pdf", "a/t.txt"):
+        os.makedirs(tmp_path / os.path.dirname(name), exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    names = lambda rows: [r["relative"] for r in rows.collect()]
+    assert names(files.usable_images(spark, str(tmp_path))) == ["a/y.JPG", "b/x.png"]
+    for name in ("b/x.png", "a/y.JPG"):
+        os.remove(tmp_path / name)
+    assert names(files.usable_images(spark, str(tmp_path))) == ["a/z.pdf"]
+    shown = spark.createDataFrame([("one", "page_2.png"), ("one", "page_1.png"), ("one", "a.png"), ("two", "b.JPEG"), ("two", "c.txt")], "bundle string, name string")
+    assert [tuple(r) for r in files.bundle_images(shown).collect()] == [("one", "page_1.png"), ("one", "page_2.png"), ("two", "b.JPEG")]
+
+
+def test_page_images(spark):
+    import zlib
+
+    from folioscope.sources import pdf as reader
+
+    grey = np.zeros((20, 30), np.uint8)
+    content = scan_pdf([(zlib.compress(grey.tobytes()), "/ColorSpace /DeviceGray /Filter /FlateDecode")] * 2)
+    rows = spark.createDataFrame([(bytearray(content),), (bytearray(b"none"),)], "content binary")
+    got = [r[0] for r in rows.select(reader.page_images(F.col("content"))).collect()]
+    assert [x["page"] for x in got[0]] == [1, 2] and got[1] == []
