@@ -84,8 +84,8 @@ DIGIT, NAMED, DOT = re.compile(rb"[0-9@]"), re.compile(rb"(?:%s|%s)\b" % (TITLES
 #: Candidates the final classifier is fitted on at most, and the score it accepts.
 SAMPLE, ACCEPT = 20_000, 0.8
 FEATURES = 1 << 12
-LABELERS = ("pattern", "gazetteer", "before", "after", "placeholder")
-#: Labelers that mean the same whatever the kind: their votes on all kinds tell how reliable they are.
+#: Labelers that mean the same whatever the kind (of words before, words after, placeholders):
+#: their votes on all kinds tell how reliable they are.
 SHARED = (2, 3, 4)
 
 
@@ -330,7 +330,8 @@ def texts_of(batch: pa.RecordBatch, column: str) -> Iterator[str]:
 
 
 def fit(docs: DataFrame, text: str = "text") -> Model:
-    table = written(votes_table(docs, text))
+    # a few files of votes, not one for each task
+    table = written(votes_table(docs, text).hint("rebalance"))
     counts = table.groupBy("kind", "votes").count().orderBy("kind", "votes").collect()
     prior, reliable, found = expectation_maximisation([(tuple(r["votes"]), r["count"]) for r in counts], [r["kind"] for r in counts], SHARED) if counts else ({}, {}, [])
     post = {(r["kind"], *r["votes"]): p for r, p in zip(counts, found, strict=True)}

@@ -328,13 +328,28 @@ def alike(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.nda
     return np.nonzero(np.triu(exact >= similarity * (sizes[:, None] + sizes[None, :] - exact), 1))
 
 
-def contested(rows: DataFrame, known: DataFrame, sets: DataFrame, similarity: float, cell: int = CELL) -> DataFrame:
-    """Links (a, b) between unlike roots: every pair of a cell that holds nodes of several
-    known roots is verified. Large cells are cut into blocks that meet pairwise, with their sets."""
+#: Parts that the rows of a key are dealt to where they meet its count.
+PARTS = 8
+
+
+def met(rows: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+    """rows (with a node) joined with one row for each key: a row of counts goes to `PARTS` parts of
+    its key, so that a hot key does not meet in one task."""
+    salted = rows.withColumn("__part", F.pmod(F.xxhash64("node"), F.lit(PARTS)).cast("int"))
+    spread = counts.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return salted.join(spread, [key, "__part"]).drop("__part")
+
+
+def contested(rows: DataFrame, known: DataFrame, sets: DataFrame, similarity: float, cell: int = CELL) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) between unlike roots, and a table to forget once they are read.
+
+    Every pair of a cell that holds nodes of several known roots is verified. Large cells are
+    cut into blocks that meet pairwise, with their sets.
+    """
     rows = rows.where("n > 2").join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = written(rows.join(sets.select("node", "size"), "node").select("node", "key", "n", "root", "size"))
+    held = rows = written(rows.join(sets.select("node", "size"), "node").select("node", "key", "n", "root", "size"))
     several = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum("size").alias("total")).where("low <> high")
-    rows = rows.join(several.select("key", "total"), "key")
+    rows = met(rows, several.select("key", "total"), "key")
     parts = F.greatest(F.ceil(F.col("n") / cell), F.ceil(F.col("total") / BLOCK)).cast("int")
     rows = rows.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("parts")).cast("int"))
     others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: (k != F.col("own")) | (F.col("parts") == 1))
@@ -369,7 +384,7 @@ def contested(rows: DataFrame, known: DataFrame, sets: DataFrame, similarity: fl
         if rest is not None and rest.num_rows:
             yield from found(rest, [0, rest.num_rows])
 
-    return arrow_map(rows, run, "a bigint, b bigint")
+    return arrow_map(rows, run, "a bigint, b bigint"), held
 
 
 def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILAR, bands: int = BANDS, minima: int = MINIMA, cell: int = CELL) -> DataFrame:
@@ -393,15 +408,16 @@ def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similar
     forget(found)
     tables = first.select("node", F.posexplode("bands").alias("i", "key")).select("node", F.xxhash64("i", "key").alias("key"))
     shared = tables.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
-    rows = written(tables.join(shared, "key"))
+    rows = written(met(tables, shared, "key"))
     shown = first.join(rows.select("node").distinct(), "node", "left_semi").select("node", "who.r1", "who.r2")
     sets = shingle_sets(ids.select("r1", "r2", "text").join(shown.hint("shuffle_hash"), ["r1", "r2"]).select("node", "text"), "text", words, ("node",)).dropDuplicates(["node"])
     sets = written(sets.withColumn("size", F.size("shingles")))
     stars = rows.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     links = written(similar(stars, sets.select("node", "shingles"), similarity))
-    more = written(contested(rows, components(links), sets, similarity, cell))
+    more, held = contested(rows, components(links), sets, similarity, cell)
+    more = written(more)
     roots = components(links.unionByName(more))
-    forget(rows, sets, links, more)
+    forget(rows, sets, links, more, held)
     kept = first.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("who").alias("who")).select(F.col("who.r1").alias(r1), F.col("who.r2").alias(r2))
     # repeated rows agree in id and text; one of them stays
     return keyed.join(kept.hint("shuffle_hash"), [r1, r2], "left_semi").dropDuplicates([r1, r2]).select(*docs.columns)

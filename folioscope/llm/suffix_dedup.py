@@ -37,7 +37,6 @@ text are not looked at, whatever their names.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np

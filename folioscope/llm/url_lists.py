@@ -14,7 +14,9 @@ at equal keys `allow` goes before `block`, then the list first in alphabetical o
 Adds of an active key and removes of an inactive one change nothing; at equal times
 removes go first. Captures without a time, or whose URL has no host, match nothing and
 are `none`, as are all captures of an empty list. Null keys, times and actions of
-entries are ignored. Repeated captures keep one row each.
+entries are ignored. Repeated captures keep one row each; no captures give no rows. A very
+long URL has as many keys as folders. Of captures the id, the URL and the time are read,
+whatever other columns are named.
 """
 
 from __future__ import annotations
