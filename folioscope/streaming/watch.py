@@ -116,8 +116,12 @@ def watch(spark: SparkSession, root: str, output: str, checkpoint: str, interval
     return ticks.writeStream.foreachBatch(once).option("checkpointLocation", checkpoint).trigger(processingTime=f"{interval} seconds").start()
 
 
-def stopped(query: StreamingQuery, spark: SparkSession, output: str) -> None:
-    """Stop a watch: the batch under way ends, and the snapshot and archive are brought up to date."""
+def stopped(query: StreamingQuery, spark: SparkSession, output: str, patience: float = 600.0) -> None:
+    """Stop a watch: the batch under way may end within `patience` seconds (one that is cut off is
+    found pending again), and the snapshot and archive are brought up to date."""
+    until = time.monotonic() + patience
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
+        time.sleep(0.05)
     query.stop()
     if os.path.isdir(f"{output}/results.jsonl"):
         ledger.snapshot(spark, f"{output}/results.jsonl", f"{output}/results_readable.json")
