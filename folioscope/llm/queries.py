@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,8 +132,39 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioscope.llm import whitening
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whitened(vectors, whitening.fit(vectors))
+
+
+def repeated_from(words: list[bytes], doc_id: int | None) -> list[bytes]:
+    """The words of every tenth document by its hash, made periodic from some word on."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioscope.llm.periodic_runs import collapsed
+
+    found = collapsed(table(spark, sf_dir, "documents").select("doc_id", "text"), prepare=repeated_from, texts=False)
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+def op13_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioscope.llm.site_tree import extracted
+
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_temporal_url_lists, op2_simhash_pivots, op3_bwt_merge, op4_license_classifier, op5_risk_controlled_quality, op6_pii_weak_labels, op7_entropy_secrets, op8_simhash_windows, op9_language_id, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_temporal_url_lists, op2_simhash_pivots, op3_bwt_merge, op4_license_classifier, op5_risk_controlled_quality, op6_pii_weak_labels, op7_entropy_secrets, op8_simhash_windows, op9_language_id, op10_byte_bpe, op11_embedding_whitening, op12_periodic_runs, op13_site_style_tree)}
 
 
 def oracle_sql() -> dict[str, str]:
