@@ -33,7 +33,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -98,7 +97,20 @@ WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 PLAIN, NAMED, MARKED, HIDDEN = range(4)
 
 
-@lru_cache(maxsize=1 << 16)
+#: What tags and attributes that were met say; emptied when it has so many.
+KINDS_MET: dict[tuple[str, str], tuple[int, str]] = {}
+MOST_KINDS = 1 << 16
+
+
+def kind_met(name: str, given: str) -> tuple[int, str]:
+    """kind_of, remembered."""
+    if (found := KINDS_MET.get((name, given))) is None:
+        if len(KINDS_MET) >= MOST_KINDS:
+            KINDS_MET.clear()
+        found = KINDS_MET[name, given] = kind_of(name, given)
+    return found
+
+
 def kind_of(name: str, given: str) -> tuple[int, str]:
     """(what an element's tag and attributes say, its name in the tree: tag, classes and id, without numbers of three digits or, in ids, any)."""
     if not given.strip(" \t\n\r\f/"):
@@ -213,7 +225,7 @@ def parsed(html: str, site: int = 0) -> Page:
             if name not in BLOCK and len(stack) > 1 and elements[stack[-1]].inline and elements[stack[-1]].name == name:
                 hidden -= elements[stack.pop()].kind == HIDDEN
             continue
-        kind, key = kind_of(name, m["given"])
+        kind, key = kind_met(name, m["given"])
         if name in VOID or (kind == HIDDEN and name in ("input", "embed")):
             if name == "br" and not hidden:
                 buffer.append(" ")
