@@ -31,6 +31,7 @@ def arguments() -> argparse.ArgumentParser:
     run.add_argument("--archive-sync", type=float, default=60.0, help="seconds between reconciliations of the archive")
     run.add_argument("--force", action="store_true")
     run.add_argument("--endpoints", default="", help="comma-separated URLs of the model that reads scans")
+    run.add_argument("--calls", type=int, default=32, help="requests to the model under way at once, over all tasks")
     run.add_argument("--preprocess", default="", help="steps for the pages of scans: upscale, denoise, shadow, contrast, deskew, binarize")
     samples = commands.add_parser("samples", help="fine-tuning samples from corrections")
     samples.add_argument("corrections")
@@ -64,7 +65,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
     from folioscope.sources.images import page_files, steps_of
 
     pages_of = partial(page_files, steps=",".join(steps_of(a.preprocess)))
-    extract = watch.extract_from(spark, a.input, endpoints_of(a.endpoints), pages_of=pages_of)
+    extract = watch.extract_from(endpoints_of(a.endpoints), pages_of=pages_of, calls=a.calls)
     if not a.watch:
         print(watch.batch(spark, a.input, a.output, force=a.force, extract=extract), "files")
         return

@@ -16,8 +16,14 @@ from folioscope.plans.model import Client, Post, answered, batches, over_http, q
 
 ENTITIES = "struct<entities:array<struct<type:string,value:string,normalized_value:string,page:int,paragraph:int,evidence:string,confidence:double,handwritten:boolean>>>"
 BLOCKS = "struct<blocks:array<struct<type:string,level:int,text:string,items:array<string>,rows:array<array<string>>,caption:string>>>"
-#: Fixed values.
+#: Sizes, kinds, and the forms of notes that later steps know.
 LONGEST, BLOCK_KINDS = 500, ("heading", "paragraph", "list", "table", "image")
+SCAN_TASK = """Write down the pages shown as clean Markdown, and nothing but Markdown: no remarks, no reasoning, no code fences.
+
+Text: every word in reading order, as it is spelled. Join words that a line end has cut; leave out page numbers, running heads and feet, watermarks and stamps of copies.
+Structure: # for the title, ## and ### for sections and their parts, - or 1. for lists, | tables | with all their columns, and formulas as they stand.
+Pictures: where one is, [Image: kind: what it shows | bbox: left top right bottom | img: n], with coordinates from 0 to 1000 and n the number of the page shown.
+Handwriting: [HANDWRITTEN: the words | bbox: left top right bottom]; what cannot be read is [?]."""
 ENTITY_TASK = "Extract the entities of the text as JSON: {\"entities\": [{\"type\", \"value\", \"page\", \"paragraph\", \"evidence\", \"confidence\", \"handwritten\"}]}. Use only these types:"
 IMAGE_TASK = "Extract the entities of these page images."
 LAYOUT_TASK = "Read the pages and give their blocks in order as JSON: {\"blocks\": [{\"type\": heading, paragraph, list, table or image, \"level\", \"text\", \"items\", \"rows\", \"caption\"}]}. Leave nothing out and add nothing."
@@ -25,10 +31,12 @@ DIAGRAM_TASK = "Read the diagram and give its page and shapes as JSON: {\"page\"
 ANNOTATION_TASK = "Write an annotation of one or two sentences."
 FOCUS = {
     "article": "Authors, organisations, dates, methods and references matter most.",
-    "directive": "Numbers, dates, persons responsible and deadlines matter most.",
-    "certificate": "Persons, organisations, document numbers and dates of issue matter most.",
+    "directive": "The kind and number of the directive, its date, whom it is addressed to and who signed it (with their posts), what it rests on, its items and tasks, deadlines and who controls them matter most.",
+    "certificate": "The kind, number and date of the certificate, whom it is issued to and by, what it rests on, what it states, periods (as of a day, or for a time), amounts, rates and codes matter most.",
     "tech_doc": "Quantities with their units, ranges and tolerances matter most.",
-    "ttz": "Requirements with their numbers, units and limits matter most.",
+    "ttz": "Requirements with their numbers, the norms they set (times, temperatures, ranges, probabilities), the standards they name, deadlines and those who carry them out matter most.",
+    "ttkh": "Names and models, masses, dimensions, crews, armament, ranges, speeds, engines, protection, electronics and versions matter most. Keep units as they are written and put nothing general in place of a figure. A heading without a figure is no entity.",
+    "summary": "The kind of summary and its period, dates and times, places, states and categories, quantities, identifiers and persons or units responsible matter most. Keep the wording of states as it is. The word for the summary alone is no entity.",
 }
 
 

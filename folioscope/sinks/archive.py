@@ -4,7 +4,7 @@ anew where its journals are old or it cannot be read.
 A journal is a folder of parts or a file; in the archive it is one entry. A digest of the
 names, sizes and times of all parts stands in the archive's comment, so whether the journals
 have changed is known without reading them. Archives lie on a file system that the
-driver shares; text files are compressed on executors and streamed through it.
+driver shares; text files are compressed into shards on executors, which it puts together.
 """
 
 from __future__ import annotations
@@ -14,13 +14,14 @@ import hashlib
 import logging
 import os
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.operators.relational import JOURNALS, missing
-from folioscope.sinks.texts import write_zip
+from folioscope.sinks.texts import extend_zip, write_zip
+from folioscope.sources.reader import content_of
 
 log = logging.getLogger(__name__)
 NAME = "results.zip"
@@ -62,19 +63,20 @@ def manifest(path: str) -> tuple[list[str], bytes] | None:
 
 
 def text_files(spark: SparkSession, output: str) -> DataFrame:
-    """(name, content, modified) of the text files; names are relative to output."""
+    """(name, path, modified) of the text files, none of which is read; names are relative to output."""
     if not os.path.isdir(f"{output}/txts"):
-        return spark.createDataFrame([], "name string, content binary, modified timestamp")
+        return spark.createDataFrame([], "name string, path string, modified timestamp")
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(f"{output}/txts")
-    return found.select(F.concat(F.lit("txts/"), F.regexp_extract("path", r"([^/]+)$", 1)).alias("name"), "content", F.col("modificationTime").alias("modified"))
+    return found.select(F.concat(F.lit("txts/"), F.regexp_extract("path", r"([^/]+)$", 1)).alias("name"), "path", F.col("modificationTime").alias("modified"))
 
 
-def refreshed(spark: SparkSession, output: str, full: bool = True) -> str:
+def refreshed(spark: SparkSession, output: str, full: bool = True, opened: Callable[[str], bytes] = content_of) -> str:
     """Bring output/results.zip up to date: "built", "extended" or "kept".
 
-    Always appends text files that it lacks. With `full` it is built anew if it cannot be read, is
-    gone, or its journals are not the present ones. A failure leaves the old archive and is
-    logged; the next call tries again.
+    Always appends text files that it lacks: names are compared first, and only those files are
+    opened, by the executors. With `full` it is built anew if it cannot be read, is gone, or its
+    journals are not the present ones. A failure is logged, and the next call tries again; one
+    while the archive is built leaves the old one.
     """
     path = f"{output}/{NAME}"
     held, state, files = manifest(path), state_of(output), text_files(spark, output)
@@ -82,17 +84,12 @@ def refreshed(spark: SparkSession, output: str, full: bool = True) -> str:
         if held is None or (full and held[1] != state):
             if held is None and not os.path.exists(path) and not parts_of(output, JOURNALS[0]) and files.isEmpty():
                 return "kept"
-            n = write_zip(files, path, journals(output), state)
+            n = write_zip(files, path, journals(output), state, opened)
             log.info("archive %s built: %d files", path, n)
             return "built"
         names = spark.createDataFrame([(n,) for n in held[0]], "name string")
-        n = 0
-        # the archive's comment stays: it tells which state of the journals it holds
-        with zipfile.ZipFile(path, "a", zipfile.ZIP_DEFLATED) as z:
-            for r in missing(files, names).toLocalIterator():
-                z.writestr(zipfile.ZipInfo(r["name"]), bytes(r["content"]), zipfile.ZIP_DEFLATED)
-                n += 1
-        return "extended" if n else "kept"
+        # the comment stays: it tells which state of the journals the archive holds
+        return "extended" if extend_zip(missing(files, names), path, held[1], opened) else "kept"
     except Exception:
         log.exception("archive %s could not be brought up to date", path)
         return "kept"

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from typing import BinaryIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,21 +51,87 @@ def counts(results: DataFrame, by: list[str] | None = None, size: str = "size_by
     return results.groupBy(*(by or [])).agg(F.count("*").alias("files"), F.count_if(F.col("status") == "ok").alias("processed"), F.sum(size).alias("bytes"))
 
 
+CLOSING = b"\n]\n"
+
+
+def parts_state(ledger: str) -> list[int]:
+    """Number and bytes of the ledger's parts, from their names and sizes alone."""
+    found = [e.stat().st_size for e in os.scandir(ledger) if e.name.startswith("part-")] if os.path.isdir(ledger) else []
+    return [len(found), sum(found)]
+
+
+def _marked(path: str) -> dict | None:
+    try:
+        with open(f"{path}.mark", encoding="utf-8") as f:
+            mark = json.load(f)
+        return mark if os.path.getsize(path) >= mark["length"] else None
+    except (OSError, ValueError, KeyError):
+        return None
+
+
+def _mark(path: str, length: int, rows: int, state: list[int]) -> None:
+    temporary = f"{path}.mark.{uuid.uuid4().hex}"
+    with open(temporary, "w", encoding="utf-8") as f:
+        json.dump({"length": length, "rows": rows, "state": state}, f)
+    os.replace(temporary, f"{path}.mark")
+
+
+def _put(out: BinaryIO, rows: DataFrame, n: int) -> tuple[int, int]:
+    """Write rows where `out` stands, n rows being before them, and the closing bracket: (length without it, rows)."""
+    shown = rows.select(F.to_json(F.struct(*RESULT.fieldNames()), {"ignoreNullFields": "false", "pretty": "true"}).alias("row"))
+    for r in shown.toLocalIterator():
+        out.write((",\n" if n else "\n").encode() + r["row"].encode())
+        n += 1
+    length = out.tell()
+    out.write(CLOSING)
+    out.truncate()
+    out.flush()
+    os.fsync(out.fileno())
+    return length, n
+
+
 def snapshot(spark: SparkSession, ledger: str, path: str) -> int:
     """The whole ledger as one JSON array, written row by row and put in place of the old one by a
     rename, on a file system that the driver shares. Returns the number of rows."""
-    temporary, n = f"{path}.{uuid.uuid4().hex}", 0
-    rows = read(spark, ledger).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false", "pretty": "true"}).alias("row"))
-    with open(temporary, "w", encoding="utf-8") as out:
-        out.write("[")
-        for r in rows.toLocalIterator():
-            out.write((",\n" if n else "\n") + r["row"])
-            n += 1
-        out.write("\n]\n")
+    temporary, state = f"{path}.{uuid.uuid4().hex}", parts_state(ledger)
+    with open(temporary, "wb") as out:
+        out.write(b"[")
+        length, n = _put(out, read(spark, ledger), 0)
     os.replace(temporary, path)
+    _mark(path, length, n, state)
     return n
 
 
+def snapshot_checked(spark: SparkSession, ledger: str, path: str) -> bool:
+    """Write the snapshot anew unless it is whole and holds the ledger as it is. Returns whether it was written."""
+    mark = _marked(path)
+    current = mark is not None and mark["state"] == parts_state(ledger) and os.path.getsize(path) == mark["length"] + len(CLOSING)
+    if not current and os.path.isdir(ledger):
+        snapshot(spark, ledger, path)
+        return True
+    return False
+
+
+@contextmanager
+def snapshot_follows(ledger: str, path: str, rows: DataFrame) -> Iterator[None]:
+    """Within it `rows` are added to the ledger; then they are added to the snapshot, in place of its
+    closing bracket, so a batch writes its own rows only.
+
+    A mark beside the snapshot has its length without the bracket and the ledger's state. What lies
+    behind that length was cut off and is written over; where the mark, the snapshot and the
+    ledger before the batch do not agree, the snapshot is written anew.
+    """
+    mark, before = _marked(path), parts_state(ledger)
+    yield
+    if mark is None or mark["state"] != before:
+        snapshot(rows.sparkSession, ledger, path)
+        return
+    with open(path, "r+b") as out:
+        out.seek(mark["length"])
+        length, n = _put(out, rows, mark["rows"])
+    _mark(path, length, n, parts_state(ledger))
+
+
 def upserted(held: DataFrame, new: DataFrame, key: str = "file") -> DataFrame:
     """held with the rows of `new` in place of those of the same key; of several new rows of a
     key the greatest stays, so that one does."""

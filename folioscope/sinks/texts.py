@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 import os
+import shutil
 import struct
+import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import BinaryIO
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions.text import strip
 from folioscope.operators.relational import export_names
+from folioscope.sources.reader import content_of
 
-LOCAL = struct.Struct("<IHHHHHIIIHH")
+#: A form, as tasks take it along.
+LOCAL = "<IHHHHHIIIHH"
 CENTRAL = struct.Struct("<IHHHHHHIIIHHHHHII")
 END = struct.Struct("<IHHHHIIH")
 END64, LOCATOR64 = struct.Struct("<IQHHIIQQQQ"), struct.Struct("<IIQI")
@@ -58,19 +64,35 @@ def zip_time(at: Column) -> Column:
     return date.cast("long") * 65536 + time.cast("long")
 
 
-def deflated(files: DataFrame) -> DataFrame:
-    """(name, packed, crc, size, time) of (name, content) and, if there, `modified`: executors compress."""
-
-    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            packed = []
-            for content in f["content"]:
-                squeeze = zlib.compressobj(6, zlib.DEFLATED, -15)
-                packed.append(squeeze.compress(content) + squeeze.flush())
-            yield pd.DataFrame({"name": f["name"], "packed": packed, "crc": [zlib.crc32(c) for c in f["content"]], "size": [len(c) for c in f["content"]], "time": f["time"]})
+def local(name: bytes, crc: int, packed: int, size: int, time: int) -> bytes:
+    """What stands before an entry's content."""
+    extra = struct.pack("<HHQQ", 1, 16, size, packed) if max(size, packed) >= MOST32 else b""
+    sizes = (MOST32, MOST32) if extra else (packed, size)
+    return struct.pack(LOCAL, 0x04034B50, 45 if extra else 20, UTF8, DEFLATE, time & 0xFFFF, time >> 16, crc, *sizes, len(name), len(extra)) + name + extra
+
+
+def sharded(files: DataFrame, folder: str, opened: Callable[[str], bytes] = content_of) -> DataFrame:
+    """(name, shard, at, crc, packed, size, time) of (name, content) or (name, path) and, if there, `modified`.
+    Each task deflates its files, which it opens itself if paths are given, into a shard below `folder`: entries of an archive, one behind the other."""
+    source = "content" if "content" in files.columns else "path"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
+        os.makedirs(folder, exist_ok=True)
+        with open(f"{folder}/{shard}", "wb") as out:
+            for f in frames:
+                entries = []
+                for name, given, time in zip(f["name"], f[source], f["time"], strict=True):
+                    content = opened(given) if source == "path" else given
+                    squeeze = zlib.compressobj(6, zlib.DEFLATED, -15)
+                    packed, crc, title = squeeze.compress(content) + squeeze.flush(), zlib.crc32(content), name.encode()
+                    entries.append((name, shard, out.tell(), crc, len(packed), len(content), time))
+                    out.write(local(title, crc, len(packed), len(content), time) + packed)
+                out.flush()
+                yield pd.DataFrame(entries, columns=["name", "shard", "at", "crc", "packed", "size", "time"])
 
     time = F.coalesce(zip_time(F.col("modified")), F.lit(DATE << 16)) if "modified" in files.columns else F.lit(DATE << 16)
-    return files.select("name", "content", time.cast("long").alias("time")).mapInPandas(pack, "name string, packed binary, crc bigint, size bigint, time bigint")
+    return files.select("name", source, time.cast("long").alias("time")).orderBy("name").mapInPandas(run, "name string, shard string, at bigint, crc bigint, packed bigint, size bigint, time bigint")
 
 
 def wide(*values: int) -> bytes:
@@ -83,7 +105,7 @@ def streamed(out, name: bytes, parts: Iterable[bytes]) -> tuple[int, int, int]:
     """Write an entry of unknown size and put its header right afterwards: (crc, packed, size).
     Its sizes have 64 bits, as they are not known before."""
     begin = out.tell()
-    out.write(b"\0" * (LOCAL.size + len(name) + 20))
+    out.write(b"\0" * (struct.calcsize(LOCAL) + len(name) + 20))
     squeeze, crc, size, packed = zlib.compressobj(6, zlib.DEFLATED, -15), 0, 0, 0
     for part in parts:
         crc, size = zlib.crc32(part, crc), size + len(part)
@@ -91,41 +113,89 @@ def streamed(out, name: bytes, parts: Iterable[bytes]) -> tuple[int, int, int]:
     packed += out.write(squeeze.flush())
     end = out.tell()
     out.seek(begin)
-    out.write(LOCAL.pack(0x04034B50, 45, UTF8, DEFLATE, 0, DATE, crc, MOST32, MOST32, len(name), 20) + name + struct.pack("<HHQQ", 1, 16, size, packed))
+    out.write(struct.pack(LOCAL, 0x04034B50, 45, UTF8, DEFLATE, 0, DATE, crc, MOST32, MOST32, len(name), 20) + name + struct.pack("<HHQQ", 1, 16, size, packed))
     out.seek(end)
     return crc, packed, size
 
 
-def write_zip(files: DataFrame, path: str, streams: Iterable[tuple[str, Iterable[bytes]]] = (), comment: bytes = b"") -> int:
-    """Write (name, content) rows, in order of name, and then `streams` (name, parts) as a zip
+def central(name: bytes, crc: int, packed: int, size: int, at: int, time: int = DATE << 16) -> bytes:
+    """An entry of the directory."""
+    limit = lambda v: min(v, MOST32)
+    more = wide(size, packed, at)
+    return CENTRAL.pack(0x02014B50, 45, 45 if more else 20, UTF8, DEFLATE, time & 0xFFFF, time >> 16, crc, limit(packed), limit(size), len(name), len(more), 0, 0, 0, 0, limit(at)) + name + more
+
+
+def joined(out: BinaryIO, files: DataFrame, folder: str, opened: Callable[[str], bytes]) -> list[bytes]:
+    """Put the shards of files behind one another into an archive: their entries of the directory."""
+    shards: dict[str, list] = {}
+    for r in sharded(files, folder, opened).toLocalIterator():
+        shards.setdefault(r["shard"], []).append(r)
+    directory = []
+    for shard in sorted(shards):
+        base = out.tell()
+        with open(f"{folder}/{shard}", "rb") as part:
+            shutil.copyfileobj(part, out, 1 << 20)
+        directory += [central(r["name"].encode(), r["crc"], r["packed"], r["size"], base + r["at"], r["time"]) for r in shards[shard]]
+    return directory
+
+
+def ended(out: BinaryIO, directory: list[bytes], n: int, comment: bytes) -> None:
+    """Write the directory of n entries and the end of an archive."""
+    at, size = out.tell(), sum(map(len, directory))
+    out.writelines(directory)
+    if n >= MOST16 or at >= MOST32 or size >= MOST32:
+        out.write(END64.pack(0x06064B50, END64.size - 12, 45, 45, 0, 0, n, n, size, at) + LOCATOR64.pack(0x07064B50, 0, at + size, 1))
+    out.write(END.pack(0x06054B50, 0, 0, min(n, MOST16), min(n, MOST16), min(size, MOST32), min(at, MOST32), len(comment)) + comment)
+
+
+def write_zip(files: DataFrame, path: str, streams: Iterable[tuple[str, Iterable[bytes]]] = (), comment: bytes = b"", opened: Callable[[str], bytes] = content_of) -> int:
+    """Write (name, content) or (name, path) rows, in order of name, and then `streams` (name, parts) as a zip
     archive; ZIP64 where it must be. Returns the number of entries.
 
-    Entries are compressed on executors and streamed through the driver one by one; those
-    of `streams` are compressed here as they come. Only the directory is held. The archive
-    takes its name when it is whole.
+    Executors write deflated shards beside the archive, which are put behind one another here
+    without being looked into; `streams` are compressed as they come. Only the directory is
+    held. The archive takes its name when it is whole.
     """
-    directory: list[bytes] = []
-    temporary = f"{path}.tmp"
-
-    def listed(name: bytes, crc: int, packed: int, size: int, at: int, time: int = DATE << 16) -> None:
-        limit = lambda v: min(v, MOST32)
-        more = wide(size, packed, at)
-        directory.append(CENTRAL.pack(0x02014B50, 45, 45 if more else 20, UTF8, DEFLATE, time & 0xFFFF, time >> 16, crc, limit(packed), limit(size), len(name), len(more), 0, 0, 0, 0, limit(at)) + name + more)
-
-    with open(temporary, "wb") as out:
-        for r in deflated(files).orderBy("name").toLocalIterator():
-            at, name, packed = out.tell(), r["name"].encode(), bytes(r["packed"])
-            extra = struct.pack("<HHQQ", 1, 16, r["size"], len(packed)) if max(r["size"], len(packed)) >= MOST32 else b""
-            sizes = (MOST32, MOST32) if extra else (len(packed), r["size"])
-            out.write(LOCAL.pack(0x04034B50, 45 if extra else 20, UTF8, DEFLATE, r["time"] & 0xFFFF, r["time"] >> 16, r["crc"], *sizes, len(name), len(extra)) + name + extra + packed)
-            listed(name, r["crc"], len(packed), r["size"], at, r["time"])
-        for name, parts in streams:
-            at = out.tell()
-            listed(name.encode(), *streamed(out, name.encode(), parts), at)
-        at, size, n = out.tell(), sum(map(len, directory)), len(directory)
-        out.writelines(directory)
-        if n >= MOST16 or at >= MOST32 or size >= MOST32:
-            out.write(END64.pack(0x06064B50, END64.size - 12, 45, 45, 0, 0, n, n, size, at) + LOCATOR64.pack(0x07064B50, 0, at + size, 1))
-        out.write(END.pack(0x06054B50, 0, 0, min(n, MOST16), min(n, MOST16), min(size, MOST32), min(at, MOST32), len(comment)) + comment)
-    os.replace(temporary, path)
-    return n
+    temporary, folder = f"{path}.tmp", f"{path}.{uuid.uuid4().hex}.shards"
+    try:
+        with open(temporary, "wb") as out:
+            directory = joined(out, files, folder, opened)
+            for name, parts in streams:
+                at = out.tell()
+                directory.append(central(name.encode(), *streamed(out, name.encode(), parts), at))
+            ended(out, directory, len(directory), comment)
+        os.replace(temporary, path)
+    finally:
+        shutil.rmtree(folder, ignore_errors=True)
+    return len(directory)
+
+
+def directory_of(path: str, comment: bytes) -> tuple[int, int, bytes]:
+    """(number of entries, place, bytes) of the directory of an archive with this comment."""
+    with open(path, "rb") as f:
+        end = f.seek(-END.size - len(comment), os.SEEK_END)
+        _, _, _, _, n, size, at, _ = END.unpack(f.read(END.size))
+        if n == MOST16 or size == MOST32 or at == MOST32:
+            f.seek(end - LOCATOR64.size)
+            f.seek(LOCATOR64.unpack(f.read(LOCATOR64.size))[2])
+            *_, n, size, at = END64.unpack(f.read(END64.size))
+        f.seek(at)
+        return n, at, f.read(size)
+
+
+def extend_zip(files: DataFrame, path: str, comment: bytes, opened: Callable[[str], bytes] = content_of) -> int:
+    """Put files (as for write_zip) behind the entries of an archive, whose comment stays. What it held
+    is neither read nor moved, but for its directory. If this is cut off the archive has no
+    directory, and so cannot be read until it is written anew. Returns the number of new entries."""
+    folder = f"{path}.{uuid.uuid4().hex}.shards"
+    n, at, held = directory_of(path, comment)
+    try:
+        with open(path, "r+b") as out:
+            out.seek(at)
+            directory = joined(out, files, folder, opened)
+            if directory:
+                ended(out, [held, *directory], n + len(directory), comment)
+                out.truncate()
+    finally:
+        shutil.rmtree(folder, ignore_errors=True)
+    return len(directory)

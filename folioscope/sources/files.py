@@ -1,4 +1,4 @@
-"""Files as rows: discovery, lenient JSON lines, and format dispatch."""
+"""Files as rows: discovery, contents of a folder, and lenient JSON lines."""
 
 from __future__ import annotations
 
@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioscope.functions.text import is_blank, meaningful
 from folioscope.operators.relational import discovered
-from folioscope.sources import html, images, ooxml, pdf
+from folioscope.sources import images
 
 
 def listed(spark: SparkSession, root: str) -> DataFrame:
@@ -18,9 +17,8 @@ def listed(spark: SparkSession, root: str) -> DataFrame:
     return found.select("path", F.regexp_replace("path", rf"^(?:file:)?(?://)?\Q{base}\E/*", "").alias("relative"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
-def documents(spark: SparkSession, root: str) -> DataFrame:
-    """(path, is_dir, size, modified) relative to root: single files and HTML collections."""
-    files = listed(spark, root)
+def documents(files: DataFrame) -> DataFrame:
+    """(path, is_dir, size, modified) of a listing, relative to its root: single files and HTML collections."""
     found = discovered(files.select(F.col("relative").alias("path")))
     return found.join(files.select(F.col("relative").alias("path"), "size", "modified"), "path", "left")
 
@@ -34,26 +32,6 @@ def contents(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ()) ->
     return found.select("path", F.regexp_replace("path", rf"^(?:file:)?(?://)?\Q{base}\E/*", "").alias("relative"), "content")
 
 
-def extracted(files: DataFrame, name: str = "relative") -> DataFrame:
-    """files (name, content) with text, pages, error and seconds, by suffix. HTML with little
-    content, images and unknown kinds give an empty text; a file that cannot be read gives its error."""
-    suffix = F.lower(F.regexp_extract(name, r"\.([^./]+)$", 1))
-    rows = files.withColumn("__suffix", suffix)
-    page = html.text_of(F.make_valid_utf8(F.col("content").cast("string")))
-    plain = lambda text, pages: F.struct(text.alias("text"), F.lit(pages).alias("pages"), F.lit(None).cast("string").alias("error"), F.lit(0.0).alias("seconds"))
-    readers = {"docx": ooxml.docx_read, "pptx": ooxml.pptx_read, "pdf": pdf.pdf_read}
-    others = rows.where("__suffix is null or __suffix not in ('html', 'htm', 'docx', 'pptx', 'pdf')")
-    kinds = [
-        rows.where("__suffix in ('html', 'htm')").withColumn("__read", plain(page, 1)).withColumn("__read", F.when(meaningful(F.col("__read.text")), F.col("__read")).otherwise(plain(F.lit(""), 1))),
-        *(rows.where(F.col("__suffix") == k).withColumn("__read", read(F.col("content"))) for k, read in readers.items()),
-        others.withColumn("__read", plain(F.lit(""), 0)),
-    ]
-    out = kinds[0]
-    for k in kinds[1:]:
-        out = out.unionByName(k)
-    return out.select(*files.columns, F.col("__read.text").alias("text"), F.col("__read.pages").cast("int").alias("pages"), F.col("__read.error").alias("error"), F.col("__read.seconds").alias("seconds"))
-
-
 def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """JSON lines; blank and malformed lines are left out."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
@@ -65,24 +43,14 @@ def json_lines_kept(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(held).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_raw").json(path).withColumn("_parse_error", F.col("_raw").isNotNull())
 
 
-def collections(files: DataFrame, root: str = "root", name: str = "relative", text: str = "text") -> DataFrame:
-    """(root, text): the texts of a collection's HTML files in order of their paths, each under
-    its name. .htm counts only where there is no .html."""
-    kind = F.when(F.col(name).endswith(".html"), 0).when(F.col(name).endswith(".htm"), 1)
-    rows = files.withColumn("__kind", kind).where("__kind is not null")
-    best = rows.groupBy(root).agg(F.min("__kind").alias("__best"))
-    rows = rows.join(best, root).where("__kind = __best").where(~is_blank(F.col(text)))
-    part = F.concat(F.lit("<!-- file: "), F.regexp_extract(name, r"([^/]+)$", 1), F.lit(" -->\n"), F.col(text))
-    gathered = rows.groupBy(root).agg(F.array_sort(F.collect_list(F.struct(F.col(name).alias("n"), part.alias("p")))).alias("parts"))
-    return gathered.select(root, F.array_join(F.transform("parts", lambda p: p["p"]), "\n\n").alias("text"))
-
-
 def usable_images(spark: SparkSession, root: str) -> DataFrame:
     """Images below root, or PDFs where there are no images; each path once."""
     files = listed(spark, root).withColumn("suffix", F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)))
     pictures = files.where(F.col("suffix").isin(*images.SUFFIXES))
-    found = pictures.count()
-    return (pictures if found else files.where("suffix = 'pdf'")).dropDuplicates(["path"]).orderBy("path")
+    # one row says that there are images; PDF files have none to meet where there are none
+    some = pictures.limit(1).select(F.lit("pdf").alias("suffix"))
+    found = pictures.unionByName(files.where("suffix = 'pdf'").join(some, "suffix", "left_anti"), allowMissingColumns=True)
+    return found.dropDuplicates(["path"]).select(*files.columns).orderBy("path")
 
 
 def bundle_images(files: DataFrame, bundle: str = "bundle", name: str = "name") -> DataFrame:

@@ -11,11 +11,13 @@ error stay pending too, and each attempt is a row.
 from __future__ import annotations
 
 import logging
-import os
+import shutil
 import time
+import uuid
 from collections.abc import Callable
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,12 +25,15 @@ from folioscope.functions.text import document_type, is_blank
 from folioscope.operators.codes import extracted as codes_of
 from folioscope.operators.relational import by_size, pending, settled
 from folioscope.operators.segment import articles
-from folioscope.plans.model import Post, over_http, read_scans
+from folioscope.plans.extraction import SCAN_TASK
+from folioscope.plans.model import CALLS, Post, over_http, read_scans
 from folioscope.sinks import archive, ledger, texts
 from folioscope.sources import files as sources
+from folioscope.sources import reader
 
 log = logging.getLogger(__name__)
-Extract = Callable[[DataFrame], DataFrame]
+#: Results of documents (file, is_dir, bytes, parts); the folder takes tables of the batch.
+Extract = Callable[[DataFrame, str], DataFrame]
 
 
 def documents_of(text: Column) -> Column:
@@ -36,61 +41,78 @@ def documents_of(text: Column) -> Column:
     return F.transform(articles(text), lambda d: F.struct(d["text"].alias("text"), codes_of(d["text"], d["page"]).alias("rubricators"), d["page"].alias("page")))
 
 
-def results(extracted: DataFrame) -> DataFrame:
-    """Ledger rows of (file, size_bytes, text, pages, error, seconds): errors have no documents, blank texts are skipped."""
+@lru_cache(maxsize=1)
+def result_columns(application: str) -> tuple[Column, ...]:
+    """The columns of a ledger row. They are some thousand calls to build, and the same in each batch of an application."""
     failed, blank = F.col("error").isNotNull(), is_blank(F.col("text"))
     suffix = F.lower(F.regexp_extract("file", r"(\.[^./]+)$", 1))
     none = F.array().cast(ledger.RESULT["documents"].dataType)
-    return extracted.select(
-        "file",
+    return (
+        F.col("file"),
         F.regexp_replace(suffix, r"^\.", "").alias("type"),
         F.col("size_bytes").cast("long").alias("size_bytes"),
         F.col("pages").cast("int").alias("pages"),
         F.coalesce("seconds", F.lit(0.0)).alias("duration_sec"),
         F.when(failed, "error").when(blank, "skip").otherwise("ok").alias("status"),
-        "error",
+        F.col("error"),
         F.when(failed | blank, none).otherwise(documents_of(F.col("text"))).alias("documents"),
         F.when(failed | blank, "other").otherwise(document_type(F.col("text"), suffix)).alias("document_type"),
     )
 
 
-def extract_from(spark: SparkSession, root: str, endpoints: list[str] | None = None, post: Post = over_http, prompt: str = "", pages_of: Callable[[bytes, str], list[bytes]] | None = None) -> Extract:
-    """Read and extract the wanted (path, is_dir) below root. PDF files and images without text go to
-    the model at `endpoints`; without any they are errors, and so tried again."""
+def results(extracted: DataFrame) -> DataFrame:
+    """Ledger rows of (file, size_bytes, text, pages, error, seconds): errors have no documents, blank texts are skipped."""
+    return extracted.select(*result_columns(extracted.sparkSession.sparkContext.applicationId))
+
+
+def extract_from(endpoints: list[str] | None = None, post: Post = over_http, prompt: str = SCAN_TASK, pages_of: Callable[[bytes, str], list[bytes]] | None = None, calls: int = CALLS, opened: Callable[[str], bytes] = reader.content_of) -> Extract:
+    """Read and extract documents (file, is_dir, bytes, parts). PDF files and images without text go to
+    the model at `endpoints`, `calls` requests at once; without any they are errors, and so tried
+    again. What was read is a table in the batch's folder before the model is asked."""
 
-    def run(wanted: DataFrame) -> DataFrame:
-        content = sources.contents(spark, root)
-        single = content.join(wanted.where("not is_dir").select(F.col("path").alias("relative")), "relative")
-        read = sources.extracted(single).select(F.col("relative").alias("file"), F.length("content").alias("size_bytes"), "content", "text", "pages", "error", "seconds")
-        read = read_scans(read, endpoints or [], post, prompt, pages_of)
-        folders = wanted.where("is_dir").select(F.col("path").alias("root"))
-        parts = F.split("relative", "/", -1)
-        inside = content.withColumn("root", F.explode(F.when(F.size(parts) < 2, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, 1, i), "/"))))).join(folders, "root")
-        pages = inside.where(F.col("relative").rlike(r"\.html?$")).withColumn("text", sources.html.text_of(F.make_valid_utf8(F.col("content").cast("string"))))
-        joined = folders.join(sources.collections(pages), "root", "left").select(F.col("root").alias("file"), F.lit(0).alias("size_bytes"), F.coalesce("text", F.lit("")).alias("text"), F.lit(1).alias("pages"), F.lit(None).cast("string").alias("error"), F.lit(0.0).alias("seconds"))
-        return read.unionByName(joined)
+    def run(documents: DataFrame, folder: str) -> DataFrame:
+        return read_scans(kept(reader.read(documents, opened), f"{folder}/read"), endpoints or [], post, prompt, pages_of, calls=calls)
 
     return run
 
 
+def kept(rows: DataFrame, path: str) -> DataFrame:
+    """rows as a table, so that what made them is done once, whatever executors are lost."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def batch(spark: SparkSession, root: str, output: str, settle: float = 0.0, force: bool = False, extract: Extract | None = None, full: bool = True) -> int:
     """Process what is pending once: text files, statistics, and then the ledger rows that commit them;
     after these the readable snapshot and the archive, which are made from what is there. Returns how
-    many files."""
-    found = sources.documents(spark, root).withColumn("file", F.col("path"))
-    wanted = pending(settled(found, F.current_timestamp(), settle), ledger.read(spark, f"{output}/results.jsonl"), force)
-    wanted = by_size(wanted).select("path", "is_dir").cache()
-    n = wanted.count()
-    if n:
-        rows = results((extract or extract_from(spark, root))(wanted)).cache()
-        os.makedirs(output, exist_ok=True)
-        texts.write_files(texts.documents(rows), output)
-        ledger.append(ledger.statistics(rows), f"{output}/stats.jsonl")
-        ledger.append(rows, f"{output}/results.jsonl")
-        rows.unpersist()
-        ledger.snapshot(spark, f"{output}/results.jsonl", f"{output}/results_readable.json")
-        archive.refreshed(spark, output, full)
-    wanted.unpersist()
+    many documents were pending.
+
+    The folder is listed once, without contents. How many documents there are, are pending, were
+    processed, failed, and had how many pages is observed by the jobs that do the work.
+    """
+    files = sources.listed(spark, root).cache()
+    seen, done = Observation(), Observation()
+    found = sources.documents(files).withColumn("file", F.col("path")).observe(seen, F.count(F.lit(1)).alias("found"))
+    wanted = by_size(pending(settled(found, F.current_timestamp(), settle), ledger.read(spark, f"{output}/results.jsonl"), force))
+    folder = f"{output}/_batches/{uuid.uuid4().hex}"
+    try:
+        # names and sizes of what is to be read; the task counts follow from their sums
+        table = kept(reader.wanted_files(wanted.select("path", "is_dir"), files), f"{folder}/wanted")
+        n, size = table.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+        if n:
+            rows = results((extract or extract_from())(reader.dealt(table.orderBy("bytes", "file"), n, size), folder))
+            figures = [F.count_if(F.col("status") == s).alias(s) for s in ("ok", "skip", "error")]
+            rows = kept(rows.observe(done, *figures, F.coalesce(F.sum("pages"), F.lit(0)).alias("pages")), f"{folder}/results")
+            texts.write_files(texts.documents(rows), output)
+            ledger.append(ledger.statistics(rows), f"{output}/stats.jsonl")
+            with ledger.snapshot_follows(f"{output}/results.jsonl", f"{output}/results_readable.json", rows):
+                ledger.append(rows, f"{output}/results.jsonl")
+            archive.refreshed(spark, output, full)
+            counted = done.get
+            log.info("found %d, pending %d, processed %d, without text %d, failed %d, pages %d", seen.get["found"], n, counted["ok"], counted["skip"], counted["error"], counted["pages"])
+    finally:
+        files.unpersist()
+        shutil.rmtree(folder, ignore_errors=True)
     return n
 
 
@@ -123,6 +145,5 @@ def stopped(query: StreamingQuery, spark: SparkSession, output: str, patience: f
     while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
         time.sleep(0.05)
     query.stop()
-    if os.path.isdir(f"{output}/results.jsonl"):
-        ledger.snapshot(spark, f"{output}/results.jsonl", f"{output}/results_readable.json")
+    ledger.snapshot_checked(spark, f"{output}/results.jsonl", f"{output}/results_readable.json")
     archive.refreshed(spark, output)

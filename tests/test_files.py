@@ -232,7 +232,7 @@ def test_scans_without_a_library(spark, tmp_path):
     (root / "drawn.pdf").write_bytes(pdf.package([]))
     (root / "broken.pdf").write_bytes(b"%PDF-1.4 none")
     (root / "text.pdf").write_bytes(pdf.package([{"kind": "paragraph", "level": 0, "text": "УДК 51.78 words", "rows": [], "items": []}]))
-    assert watch.batch(spark, str(root), out, extract=watch.extract_from(spark, str(root), ["u"], lambda u, p: (200, "read by the model"))) == 4
+    assert watch.batch(spark, str(root), out, extract=watch.extract_from(["u"], lambda u, p: (200, "read by the model"))) == 4
     rows = {r["file"]: r for r in ledger.read(spark, f"{out}/results.jsonl").collect()}
     assert {k: (v["status"], v["pages"]) for k, v in rows.items()} == {"scan.pdf": ("ok", 3), "text.pdf": ("ok", 1), "drawn.pdf": ("error", 0), "broken.pdf": ("error", 0)}
     assert rows["text.pdf"]["documents"][0]["rubricators"][0]["number"] == "51.78" and "no library" in rows["drawn.pdf"]["error"]
@@ -518,7 +518,7 @@ def test_scans_go_to_the_model(spark, tmp_path):
             return 400, "no image"
         return 200, f"```markdown\n# Page {len(shown)}\n\nwords of the page [Image: x | bbox: 1 2 3 4](a.png)\n```"
 
-    extract = watch.extract_from(spark, str(root), ["stub"], post, pages_of=pages_of)
+    extract = watch.extract_from(["stub"], post, pages_of=pages_of)
     assert watch.batch(spark, str(root), out, extract=extract) == 3
     rows = {r["file"]: r for r in ledger.read(spark, f"{out}/results.jsonl").collect()}
     assert {k: (v["status"], v["pages"]) for k, v in rows.items()} == {"scan.pdf": ("ok", 3), "photo.png": ("ok", 1), "bad.jpg": ("error", 1)}
@@ -527,7 +527,7 @@ def test_scans_go_to_the_model(spark, tmp_path):
     assert "no image" in rows["bad.jpg"]["error"] and sorted(os.listdir(f"{out}/txts")) == ["photo.txt", "scan.txt"]
     # without a model a scan is an error, not skipped for good
     other = str(tmp_path / "other")
-    assert watch.batch(spark, str(root), other, extract=watch.extract_from(spark, str(root), pages_of=pages_of)) == 3
+    assert watch.batch(spark, str(root), other, extract=watch.extract_from(pages_of=pages_of)) == 3
     assert {r["status"] for r in ledger.read(spark, f"{other}/results.jsonl").collect()} == {"error"}
 
 
@@ -566,6 +566,164 @@ def test_archive_of_a_run(spark, tmp_path):
     assert archive.refreshed(spark, str(tmp_path / "nothing")) == "kept"
 
 
+def counting(folder):
+    """An opener that leaves a mark for each file it opens, whichever process does."""
+    import uuid
+
+    from folioscope.sources.reader import content_of
+
+    def opened(path):
+        name = path.rpartition("/")[2]
+        open(f"{folder}/{name}.{uuid.uuid4().hex}", "w").close()
+        return content_of(path)
+
+    return opened
+
+
+def marks(folder):
+    found = sorted(n.rpartition(".")[0] for n in os.listdir(folder))
+    for n in os.listdir(folder):
+        os.remove(f"{folder}/{n}")
+    return found
+
+
+def test_only_pending_files_are_opened(spark, tmp_path, caplog):
+    """Done files are listed, not opened; pending ones are opened once, scans once more for the model."""
+    root, out, opened = tmp_path / "in", str(tmp_path / "out"), tmp_path / "opened"
+    (root / "book").mkdir(parents=True)
+    opened.mkdir()
+    for i in range(30):
+        (root / f"d{i}.docx").write_bytes(word.package(BLOCKS[:1]))
+    (root / "book" / "c1.html").write_text(prose("one"))
+    (root / "book" / "c2.html").write_text(prose("two"))
+    (root / "book" / "c3.htm").write_text(prose("three"))
+    (root / "book" / "notes.txt").write_text("never read")
+    (root / "photo.png").write_bytes(png(3, 3))
+    extract = watch.extract_from(["u"], lambda u, p: (200, "words"), pages_of=lambda c, s: [c], opened=counting(opened))
+    plans = []
+
+    def seen(documents, folder):
+        plans.append(documents)
+        return extract(documents, folder)
+
+    with caplog.at_level("INFO", logger="folioscope.streaming.watch"):
+        assert watch.batch(spark, str(root), out, extract=seen) == 32
+    assert "found 32, pending 32, processed 32, without text 0, failed 0, pages 32" in caplog.text
+    assert marks(opened) == sorted([*(f"d{i}.docx" for i in range(30)), "c1.html", "c2.html"])
+    # one read of contents in the plan, and no scan of the folder that has them
+    from folioscope.sources import reader
+
+    plan = reader.read(plans[0])._jdf.queryExecution().toString()
+    assert plan.split("== Physical Plan ==")[1].count("MapInArrow") == 1 and "binaryFile" not in plan
+    (root / "late.docx").write_bytes(word.package(BLOCKS[:1]))
+    assert watch.batch(spark, str(root), out, extract=seen) == 1
+    assert marks(opened) == ["late.docx"] and not os.listdir(f"{out}/_batches")
+
+
+def test_listing_reads_no_contents(spark, tmp_path):
+    (tmp_path / "a.docx").write_bytes(b"x")
+    scans = [x for x in files.documents(files.listed(spark, str(tmp_path)))._jdf.queryExecution().executedPlan().toString().splitlines() if "binaryFile" in x]
+    assert scans and not any("content" in x.split("ReadSchema")[1] for x in scans if "ReadSchema" in x)
+
+
+def test_documents_and_their_files(spark):
+    from folioscope.sources import reader
+
+    listing = spark.createDataFrame([(f"file:/r/{n}", n, len(n)) for n in ("a.pdf", "b/x.html", "b/in/y.html", "b/z.htm", "c.html/only.htm", "c.html/pic.png")], "path string, relative string, size long")
+    wanted = spark.createDataFrame([("a.pdf", False), ("b", True), ("c.html", True), ("none", True), ("gone.pdf", False)], "path string, is_dir boolean")
+    got = {r["file"]: (r["is_dir"], r["bytes"], [p["relative"] for p in r["parts"]]) for r in reader.wanted_files(wanted, listing).collect()}
+    assert got == {"a.pdf": (False, 5, ["a.pdf"]), "b": (True, 19, ["b/in/y.html", "b/x.html"]), "c.html": (True, 15, ["c.html/only.htm"]), "none": (True, 0, [])}
+    assert [reader.tasks_for(*x) for x in ((0, 0, 8), (3, 10, 8), (10**6, 10**4, 8), (5, 128 << 23, 8))] == [1, 3, 8, 8]
+
+
+def test_paths_that_are_opened(tmp_path):
+    from folioscope.sources.reader import content_of
+
+    (tmp_path / "a b%20.txt").write_bytes(b"x")
+    assert content_of(f"{tmp_path}/a b%20.txt") == content_of(f"file:{tmp_path}/a b%20.txt") == content_of(f"file://{tmp_path}/a b%20.txt") == b"x"
+
+
+def test_archive_by_names(spark, tmp_path):
+    """Of a thousand texts that the archive holds none is opened for one that it lacks, and none is moved."""
+    out, opened = str(tmp_path / "out"), tmp_path / "opened"
+    os.makedirs(f"{out}/txts")
+    opened.mkdir()
+    for i in range(1000):
+        with open(f"{out}/txts/t{i:04d}.txt", "w") as f:
+            f.write(f"text {i}\n" * 5)
+    assert archive.refreshed(spark, out) == "built" and len(names_of(out)) == 1000
+    with open(f"{out}/results.zip", "rb") as f:
+        before = f.read()
+    with open(f"{out}/txts/new.txt", "w") as f:
+        f.write("new\n")
+    assert archive.refreshed(spark, out, opened=counting(opened)) == "extended" and marks(opened) == ["new.txt"]
+    held = names_of(out)
+    assert len(held) == 1001 and held["txts/new.txt"] == b"new\n" and held["txts/t0999.txt"] == b"text 999\n" * 5
+    with open(f"{out}/results.zip", "rb") as f:
+        assert f.read()[: texts.directory_of(f"{out}/results.zip", archive.manifest(f"{out}/results.zip")[1])[1] - 200] [: len(before) // 2] == before[: len(before) // 2]
+    assert archive.refreshed(spark, out, opened=counting(opened)) == "kept" and marks(opened) == [] and sorted(os.listdir(out)) == ["results.zip", "txts"]
+
+
+def test_snapshot_grows_by_batches(spark, tmp_path):
+    """A batch adds its rows in place of the closing bracket; what was cut off is written over or anew."""
+    path, shown = str(tmp_path / "results.jsonl"), str(tmp_path / "shown.json")
+    rows = lambda *names: spark.createDataFrame([(n, "docx", 1, 1, 0.0, "ok", None, [], "other") for n in names], ledger.RESULT)
+    read = lambda: [r["file"] for r in json.load(open(shown))]
+
+    def add(*names):
+        with ledger.snapshot_follows(path, shown, rows(*names)):
+            ledger.append(rows(*names), path)
+
+    add("a")
+    first = os.path.getsize(shown)
+    add("b", "c")
+    add()
+    assert read() == ["a", "b", "c"] and not ledger.snapshot_checked(spark, path, shown)
+    with open(shown, "rb") as f:
+        assert f.read()[: first - len(ledger.CLOSING)] == open(shown, "rb").read()[: first - len(ledger.CLOSING)]
+    # cut off behind the mark: written over
+    with open(shown, "ab") as f:
+        f.write(b',\n {"file": "half')
+    add("d")
+    assert read() == ["a", "b", "c", "d"]
+    # rows that reached the ledger only, a snapshot cut short, and a mark that is gone: written anew
+    ledger.append(rows("e"), path)
+    add("f")
+    assert sorted(read()) == ["a", "b", "c", "d", "e", "f"]
+    os.truncate(shown, 40)
+    add("g")
+    assert len(read()) == 7
+    os.remove(f"{shown}.mark")
+    assert ledger.snapshot_checked(spark, path, shown) and len(read()) == 7 and not ledger.snapshot_checked(spark, path, shown)
+
+
+def test_calls_are_bounded_over_all_tasks(spark, tmp_path):
+    """However many tasks there could be, no more requests than `calls` are under way."""
+    under, most = tmp_path / "under", tmp_path / "most"
+    under.mkdir()
+    most.mkdir()
+
+    def post(url, payload):
+        import time
+        import uuid
+
+        mine = under / uuid.uuid4().hex
+        mine.touch()
+        (most / str(len(os.listdir(under)))).touch()
+        time.sleep(0.05)
+        mine.unlink()
+        return 200, payload["messages"][0]["content"][:20]
+
+    for i in range(24):
+        (tmp_path / f"s{i}.png").write_bytes(b"x")
+    scans = spark.createDataFrame([(f"s{i}.png", 1, "", 0, None, 0.0, f"{tmp_path}/s{i}.png") for i in range(24)] + [("t.pdf", 1, "text", 1, None, 0.0, None)], "file string, size_bytes long, text string, pages int, error string, seconds double, path string").repartition(12)
+    got = {r["file"]: r for r in model.read_scans(scans, ["u"], post, extraction.SCAN_TASK, lambda c, s: [c] * 5, calls=4, at_once=2).collect()}
+    assert len(got) == 25 and got["t.pdf"]["text"] == "text" and got["s3.png"]["text"].count(extraction.SCAN_TASK[:20]) == 3
+    assert max(int(n) for n in os.listdir(most)) <= 4
+    pages = spark.createDataFrame([(str(i), 1, bytearray(b"png")) for i in range(20)], "file string, page int, png binary").repartition(10)
+    assert model.answered(model.batches(pages), ["u"], post, calls=3).where("error is null").count() == 20 and max(int(n) for n in os.listdir(most)) <= 4
+
+
 def test_feedback_of_a_ledger(spark, tmp_path, monkeypatch):
     from folioscope.plans import feedback
 
