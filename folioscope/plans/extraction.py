@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from folioscope.functions import entities
 from folioscope.functions.text import head_and_tail, strip, without_fences, without_thinking
 from folioscope.operators.relational import keep_first
-from folioscope.operators.segment import chunks, page_at, page_marks
+from folioscope.operators.segment import chunks, page_at, page_marks, paragraphs
 from folioscope.plans.model import Client, Post, answered, batches, over_http, quarantine, read_json
 
 ENTITIES = "struct<entities:array<struct<type:string,value:string,normalized_value:string,page:int,paragraph:int,evidence:string,confidence:double,handwritten:boolean>>>"
@@ -156,3 +156,15 @@ def with_regions(links: DataFrame, regions: DataFrame, path: str = "path") -> Da
     name = F.regexp_extract(path, r"([^/]*)$", 1)
     last = regions.groupBy("name").agg(F.max_by("bbox", "position").alias("bbox"))
     return links.withColumn("__name", name).join(last.withColumnRenamed("name", "__name"), "__name", "left").drop("__name")
+
+
+def entity_rows(records: DataFrame, documents: DataFrame, annotations: DataFrame | None = None) -> DataFrame:
+    """(file, paragraphs, entities, annotation), as the entity store holds them: of each document (file, text) its
+    paragraphs, its records (file, position, number, record) in order, the first of each type and value, and its annotation."""
+    first = keep_first(records.withColumn("kind", F.col("record.type")).withColumn("same", F.lower(strip(F.col("record.value")))), ["file", "kind", "same"], ["position", "number"])
+    found = first.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("position", "number", "record"))).alias("found"))
+    rows = documents.select("file", paragraphs(F.col("text")).alias("paragraphs")).join(found, "file", "left")
+    none = F.array().cast(records.select(F.array("record").alias("a")).schema["a"].dataType)
+    rows = rows.withColumn("entities", F.coalesce(F.transform("found", lambda x: x["record"]), none))
+    said = annotations.select("file", "annotation") if annotations is not None else documents.select("file").limit(0).withColumn("annotation", F.lit(""))
+    return rows.join(said, "file", "left").select("file", "paragraphs", "entities", F.coalesce("annotation", F.lit("")).alias("annotation"))

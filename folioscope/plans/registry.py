@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -451,6 +453,28 @@ def store_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.upserted(held, new)
 
 
+@query("""
+SELECT o_orderkey AS file, o_totalprice AS value, o_orderstatus AS status FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)
+UNION ALL SELECT l_orderkey, max(l_extendedprice), 'L' FROM lineitem WHERE l_quantity > 45 GROUP BY 1""")
+def store_on_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store of all orders on disk, then updated by their large items, of which the dearest counts, and read back."""
+    from folioscope.sinks import store
+
+    path = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+    store.update(read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("file"), F.col("o_totalprice").alias("value"), F.col("o_orderstatus").alias("status")), path)
+    large = read(spark, sf_dir, "lineitem").where("l_quantity > 45")
+    store.update(large.select(F.col("l_orderkey").alias("file"), F.col("l_extendedprice").alias("value"), F.lit("L").alias("status")), path)
+    return store.read(spark, path)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors see: spark.checkpoint.dir, a temporary one where all run on this machine."""
+    name = spark.conf.get("spark.checkpoint.dir", None)
+    if not name and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return (name or tempfile.mkdtemp(prefix="shared-")).removeprefix("file://").removeprefix("file:").rstrip("/")
+
+
 @query("""
 SELECT conv_id AS file, CAST(floor(turn / 2) AS INT) + 1 AS chunk, CAST(count(*) AS INT) AS pages, string_agg(to_base64(encode(role)), ',' ORDER BY turn) AS images FROM conversations GROUP BY 1, 2""")
 def model_batches(spark: SparkSession, sf_dir: str) -> DataFrame:

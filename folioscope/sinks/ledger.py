@@ -136,7 +136,9 @@ def upserted(held: DataFrame, new: DataFrame, key: str = "file") -> DataFrame:
     """held with the rows of `new` in place of those of the same key; of several new rows of a
     key the greatest stays, so that one does."""
     rest = F.struct(*[c for c in new.columns if c != key])
-    one = new.groupBy(key).agg(F.max_by(rest, F.to_json(rest)).alias("row")).select(key, "row.*").select(*new.columns)
+    # maps have no order; rows with any are compared as JSON
+    order = F.to_json(rest) if "map<" in new.drop(key).schema.simpleString() else rest
+    one = new.groupBy(key).agg(F.max_by(rest, order).alias("row")).select(key, "row.*").select(*new.columns)
     return held.join(one.select(key), key, "left_anti").unionByName(one)
 
 

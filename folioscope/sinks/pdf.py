@@ -9,13 +9,17 @@ font is embedded.
 from __future__ import annotations
 
 import itertools
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import suppress
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from folioscope.sinks.drawings import A4, LINE, Shape, laid_out
+from folioscope.sinks.drawings import A4, LINE, Shape, laid_out, picture_size
+from folioscope.sinks.fonts import Font
+from folioscope.sources.images import channels_of
 
 FIRST, CODES = 32, 224
 
@@ -48,14 +52,17 @@ def shown(line: str, style: str, size: float, letters: dict[str, tuple[int, int]
     return " ".join(out)
 
 
-def content(shapes: list[Shape], letters: dict[str, tuple[int, int]]) -> bytes:
-    """Drawing operators of a page: filled cells with outlines, then their lines of text."""
+def content(shapes: list[Shape], letters: dict[str, tuple[int, int]], images: dict[bytes, int]) -> bytes:
+    """Drawing operators of a page: filled cells with outlines and their lines of text, and pictures."""
     out = []
     for s in shapes:
         box = " ".join(f"{72 * v:.2f}" for v in (s.left, s.bottom, s.width, s.height))
         if s.fill:
             red, green, blue = (int(s.fill[i : i + 2], 16) / 255 for i in (1, 3, 5))
             out.append(f"{red:.3f} {green:.3f} {blue:.3f} rg 0 G {box} re B 0 g")
+        if s.picture:
+            out.append(f"q {72 * s.width:.2f} 0 0 {72 * s.height:.2f} {72 * s.left:.2f} {72 * s.bottom:.2f} cm /I{images[s.picture]} Do Q")
+            continue
         size = s.size * 72
         y = 72 * (s.bottom + s.height) - size * 1.05
         for line in s.text.split("\n"):
@@ -69,6 +76,52 @@ def stream(body: bytes) -> bytes:
     return f"<< /Length {len(packed)} /Filter /FlateDecode >>\nstream\n".encode() + packed + b"\nendstream"
 
 
+def picture_object(picture: bytes) -> tuple[str, bytes, bytes]:
+    """(entries, data, data of the mask) of a picture as a PDF file holds it; ValueError for one it cannot hold.
+
+    JPEG files are held as they are. So are the compressed rows of PNG files, whose filters
+    readers know, but for those that are interlaced; transparency becomes a mask.
+    """
+    wide, high = picture_size(picture)
+    if not wide or not high:
+        raise ValueError("not a picture")
+    shape = f"/Width {wide} /Height {high}"
+    if picture[:2] == b"\xff\xd8":
+        at = 2
+        while picture[at + 1] not in (0xC0, 0xC1, 0xC2):
+            at += 2 + struct.unpack_from(">H", picture, at + 2)[0]
+        space = {1: "/DeviceGray", 3: "/DeviceRGB", 4: "/DeviceCMYK /Decode [1 0 1 0 1 0 1 0]"}[picture[at + 9]]
+        return f"{shape} /BitsPerComponent 8 /ColorSpace {space} /Filter /DCTDecode", picture, b""
+    depth, color, _, _, laced = picture[24:29]
+    if laced:
+        raise ValueError("an interlaced picture")
+    if color in (4, 6):
+        values = channels_of(picture)
+        seen, mask = values[..., :-1], values[..., -1]
+        space = "/DeviceGray" if color == 4 else "/DeviceRGB"
+        return f"{shape} /BitsPerComponent 8 /ColorSpace {space} /Filter /FlateDecode", zlib.compress(seen.tobytes()), zlib.compress(mask.tobytes())
+    at, rows, palette = 8, [], b""
+    while at + 8 <= len(picture):
+        size, kind = struct.unpack_from(">I4s", picture, at)
+        body = picture[at + 8 : at + 8 + size]
+        rows += [body] * (kind == b"IDAT")
+        palette = body if kind == b"PLTE" else palette
+        at += size + 12
+    colors = 3 if color == 2 else 1
+    space = f"[/Indexed /DeviceRGB {len(palette) // 3 - 1} <{palette.hex()}>]" if color == 3 else "/DeviceRGB" if color == 2 else "/DeviceGray"
+    read = f"/Filter /FlateDecode /DecodeParms << /Predictor 15 /Colors {colors} /BitsPerComponent {depth} /Columns {wide} >>"
+    return f"{shape} /BitsPerComponent {depth} /ColorSpace {space} {read}", b"".join(rows), b""
+
+
+def holdable(pictures: dict[str, bytes]) -> dict[str, tuple[str, bytes, bytes]]:
+    """Picture objects by path, of those that a PDF file can hold."""
+    out = {}
+    for path, c in pictures.items():
+        with suppress(ValueError, KeyError, IndexError, struct.error, zlib.error):
+            out[path] = picture_object(c)
+    return out
+
+
 def meanings(codes: list[tuple[int, str]]) -> bytes:
     """A map from codes to what they stand for."""
     blocks = "".join(f"{len(part)} beginbfchar\n" + "".join(f"<{code:02X}> <{ord(c):04X}>\n" for code, c in part) + "endbfchar\n" for part in (codes[k : k + 100] for k in range(0, len(codes), 100)))
@@ -76,16 +129,25 @@ def meanings(codes: list[tuple[int, str]]) -> bytes:
     return stream(f"{head}{blocks}endcmap end end".encode())
 
 
-def package(blocks: list[dict], page: tuple[float, float] = A4) -> bytes:
-    """A .pdf file with blocks (kind, level, text, rows, items) in order."""
-    pages = laid_out(blocks, page)
+def package(blocks: list[dict], page: tuple[float, float] = A4, pictures: dict[str, bytes] | None = None, font: Font | None = None, regions: Mapping[str, Sequence[float]] | None = None) -> bytes:
+    """A .pdf file with blocks (kind, level, text, rows, items) in order, pictures taken by their paths. What
+    cannot be held is told by its name. With a font texts are measured by it: type is shrunk and rows are
+    split where they would not fit."""
+    held = holdable(pictures or {})
+    shown = {p: c for p, c in (pictures or {}).items() if p in held}
+    pages = laid_out(blocks, page, pictures=shown, font=font, regions=regions)
+    objects_of = {shown[p]: o for p, o in held.items()}
+    used = list(dict.fromkeys(s.picture for p in pages for s in p if s.picture))
+    images = {c: k for k, c in enumerate(used)}
     letters = further_letters(pages)
     fonts: dict[int, list[tuple[int, str]]] = {}
     for c, (font, code) in letters.items():
         fonts.setdefault(font, []).append((code, c))
     usual = "<< /Type /Font /Subtype /Type1 /BaseFont /Times-{0} /Encoding /WinAnsiEncoding >>"
-    # objects: catalogue, pages, two fonts, what all further fonts share, two for each of them, two for each page
+    # objects: catalogue, pages, two fonts, what all further fonts share, two for each of them, two for each page, two for each picture
     first_font, first_page = 6, 6 + 2 * len(fonts)
+    first_image = first_page + 2 * len(pages)
+    shows = " ".join(f"/I{k} {first_image + 2 * k} 0 R" for k in range(len(used)))
     kids = " ".join(f"{first_page + 2 * i} 0 R" for i in range(len(pages)))
     named = " ".join(["/R 3 0 R /B 4 0 R", *(f"/X{k} {first_font + 2 * k} 0 R" for k in fonts)])
     objects = [
@@ -97,7 +159,7 @@ def package(blocks: list[dict], page: tuple[float, float] = A4) -> bytes:
     ]
     for k, codes in fonts.items():
         names = " ".join(f"/uni{ord(c):04X}" for _, c in codes)
-        widths = " ".join(["500"] * len(codes))
+        widths = " ".join(f"{font.widths.get(ord(c), font.missing):.0f}" if font else "500" for _, c in codes)
         objects.append(
             f"<< /Type /Font /Subtype /TrueType /BaseFont /TimesNewRoman /FirstChar {FIRST} /LastChar {codes[-1][0]} /Widths [{widths}] /FontDescriptor 5 0 R "
             f"/Encoding << /Type /Encoding /Differences [{FIRST} {names}] >> /ToUnicode {first_font + 2 * k + 1} 0 R >>".encode()
@@ -105,8 +167,14 @@ def package(blocks: list[dict], page: tuple[float, float] = A4) -> bytes:
         objects.append(meanings(codes))
     for i, shapes in enumerate(pages):
         size = " ".join(f"{72 * v:.2f}" for v in page)
-        objects.append(f"<< /Type /Page /Parent 2 0 R /MediaBox [0 0 {size}] /Contents {first_page + 2 * i + 1} 0 R /Resources << /Font << {named} >> >> >>".encode())
-        objects.append(stream(content(shapes, letters)))
+        objects.append(f"<< /Type /Page /Parent 2 0 R /MediaBox [0 0 {size}] /Contents {first_page + 2 * i + 1} 0 R /Resources << /Font << {named} >> /XObject << {shows} >> >> >>".encode())
+        objects.append(stream(content(shapes, letters, images)))
+    for k, c in enumerate(used):
+        entries, data, mask = objects_of[c]
+        soft = f" /SMask {first_image + 2 * k + 1} 0 R" if mask else ""
+        objects.append(f"<< /Type /XObject /Subtype /Image {entries}{soft} /Length {len(data)} >>\nstream\n".encode() + data + b"\nendstream")
+        wide, high = picture_size(c)
+        objects.append(f"<< /Type /XObject /Subtype /Image /Width {wide} /Height {high} /BitsPerComponent 8 /ColorSpace /DeviceGray /Filter /FlateDecode /Length {len(mask)} >>\nstream\n".encode() + mask + b"\nendstream" if mask else b"null")
     out, places = bytearray(b"%PDF-1.4\n"), []
     for n, body in enumerate(objects, 1):
         places.append(len(out))

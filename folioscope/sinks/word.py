@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from folioscope.sinks.drawings import LINK, MEDIA, picture_size, suffix_of
+from folioscope.sinks.drawings import LINK, MEDIA, picture_size, region_size, suffix_of
 
 W = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
 A, PIC = "http://schemas.openxmlformats.org/drawingml/2006/main", "http://schemas.openxmlformats.org/drawingml/2006/picture"
@@ -28,11 +28,12 @@ def paragraph(text: str, style: str = "", bold: bool = False, size: int = BODY,
     return f'<w:p><w:pPr>{kind}{extra}</w:pPr><w:r>{run}<w:t xml:space="preserve">{lines}</w:t></w:r></w:p>'
 
 
-def picture(number: int, path: str, content: bytes) -> str:
-    """A picture in the line, at its own size or as large as a page takes."""
+def picture(number: int, path: str, content: bytes, region: Sequence[float] | None = None) -> str:
+    """A picture in the line, as large as its region says, else at its own size or as large as a page takes."""
     wide, high = picture_size(content)
-    scale = min(MOST[0] / (wide / DPI * 2.54), MOST[1] / (high / DPI * 2.54), 1.0)
-    size = " ".join(f'{k}="{round(v / DPI * 2.54 * scale * 360_000)}"' for k, v in (("cx", wide), ("cy", high)))
+    w, h = (v * 2.54 for v in region_size(wide, high, region) or (wide / DPI, high / DPI))
+    scale = min(MOST[0] / w, MOST[1] / h, 1.0) if not region_size(wide, high, region) else 1.0
+    size = " ".join(f'{k}="{round(v * scale * 360_000)}"' for k, v in (("cx", w), ("cy", h)))
     name = quoteattr(path.rpartition("/")[2])
     box = f'<pic:spPr><a:xfrm><a:off x="0" y="0"/><a:ext {size}/></a:xfrm><a:prstGeom prst="rect"><a:avLst/></a:prstGeom></pic:spPr>'
     shown = f'<pic:pic xmlns:pic="{PIC}"><pic:nvPicPr><pic:cNvPr id="{number}" name={name}/><pic:cNvPicPr/></pic:nvPicPr><pic:blipFill><a:blip xmlns:r="{R}" r:embed="rIdP{number}"/><a:stretch><a:fillRect/></a:stretch></pic:blipFill>{box}</pic:pic>'
@@ -44,7 +45,7 @@ def run(text: str, italic: bool = False) -> str:
     return f'<w:r><w:rPr><w:rFonts w:ascii="Times New Roman" w:hAnsi="Times New Roman" w:cs="Times New Roman"/>{"<w:i/>" * italic}<w:sz w:val="{BODY}"/></w:rPr><w:t xml:space="preserve">{lines}</w:t></w:r>' if text else ""
 
 
-def linked(text: str, pictures: dict[str, bytes], media: list[tuple[str, bytes]]) -> str:
+def linked(text: str, pictures: dict[str, bytes], media: list[tuple[str, bytes]], regions: Mapping[str, Sequence[float]] | None = None) -> str:
     """A paragraph with links to pictures: those known are put in, others told by their name;
     handwriting is in italics. Pictures by themselves are centred."""
     out, at, plain = [], 0, False
@@ -55,7 +56,7 @@ def linked(text: str, pictures: dict[str, bytes], media: list[tuple[str, bytes]]
         content = pictures.get(path)
         if content and suffix_of(path) in MEDIA and all(picture_size(content)):
             media.append((path, content))
-            out.append(picture(len(media), path, content))
+            out.append(picture(len(media), path, content, (regions or {}).get(path.rpartition("/")[2])))
         elif m[1]:
             out.append(run(f"[{m[1]}]"))
         out.append(run(note or "", True))
@@ -76,8 +77,9 @@ def table(rows: list[list[str]]) -> str:
     return f"<w:tbl><w:tblPr><w:tblBorders>{edges}</w:tblBorders></w:tblPr><w:tblGrid>{grid}</w:tblGrid>{body}</w:tbl>"
 
 
-def package(blocks: list[dict], pictures: dict[str, bytes] | None = None) -> bytes:
-    """A .docx file with blocks (kind, level, text, rows, items) in order, pictures taken by their paths."""
+def package(blocks: list[dict], pictures: dict[str, bytes] | None = None, regions: Mapping[str, Sequence[float]] | None = None) -> bytes:
+    """A .docx file with blocks (kind, level, text, rows, items) in order, pictures taken by their paths,
+    their regions by file name."""
     out: list[str] = []
     media: list[tuple[str, bytes]] = []
     for b in blocks:
@@ -92,7 +94,7 @@ def package(blocks: list[dict], pictures: dict[str, bytes] | None = None) -> byt
             case "table":
                 out.append(table([list(r) for r in b["rows"]]))
             case "paragraph":
-                out.append(linked(b["text"], pictures or {}, media) if LINK.search(b["text"]) else paragraph(b["text"]))
+                out.append(linked(b["text"], pictures or {}, media, regions) if LINK.search(b["text"]) else paragraph(b["text"]))
     head = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
     styles = "".join(f'<w:style w:type="paragraph" w:styleId="Heading{i}"><w:name w:val="heading {i}"/></w:style>' for i in range(1, 7)) + '<w:style w:type="paragraph" w:styleId="ListBullet"><w:name w:val="List Bullet"/></w:style>'
     kind = "application/vnd.openxmlformats-officedocument.wordprocessingml"

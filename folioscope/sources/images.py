@@ -20,8 +20,8 @@ SUFFIXES = ("png", "jpg", "jpeg")
 STEPS = ("upscale", "denoise", "shadow", "contrast", "deskew", "binarize")
 
 
-def decoded(png: bytes) -> np.ndarray:
-    """Grey values of a PNG file of 8 bits a channel that is not interlaced, by its definition."""
+def channels_of(png: bytes) -> np.ndarray:
+    """(height, width, channels) of a PNG file of 8 bits a channel that is not interlaced, by its definition."""
     if png[:8] != SIGNATURE:
         raise ValueError("not a PNG file")
     at, packed, head = 8, [], b""
@@ -48,8 +48,13 @@ def decoded(png: bytes) -> np.ndarray:
                 near = np.abs(np.stack([b - c, a - c, a + b - 2 * c]))
                 guess = (a + b) // 2 if kind == 3 else np.choose(near.argmin(0), [a, b, c])
                 out[y, x] = line[x - 1] + guess.astype(np.uint8)
-    shown = out[1:, 1:].astype(np.float64)
-    grey = shown[..., 0] if channels < 3 else shown[..., :3] @ np.array([0.299, 0.587, 0.114])
+    return out[1:, 1:]
+
+
+def decoded(png: bytes) -> np.ndarray:
+    """Grey values of a PNG file that channels_of() reads."""
+    shown = channels_of(png).astype(np.float64)
+    grey = shown[..., 0] if shown.shape[2] < 3 else shown[..., :3] @ np.array([0.299, 0.587, 0.114])
     return np.rint(grey).astype(np.uint8)
 
 
@@ -149,25 +154,79 @@ def flattened(grey: np.ndarray, radius: int = 25) -> np.ndarray:
     return np.clip(grey / background * 200, 0, 255).astype(np.uint8)
 
 
-def stretched(grey: np.ndarray) -> np.ndarray:
-    """Grey values spread over the whole range between the 1st and 99th percentiles."""
-    low, high = np.percentile(grey, (1, 99))
-    return grey if high <= low else np.clip((grey - low) * 255.0 / (high - low), 0, 255).astype(np.uint8)
-
-
-def sheared(grey: np.ndarray, degrees: float) -> np.ndarray:
-    """Columns moved up or down by a small angle."""
-    shift = np.rint(np.tan(np.radians(degrees)) * (np.arange(grey.shape[1]) - grey.shape[1] / 2)).astype(int)
-    rows = np.clip(np.arange(grey.shape[0])[:, None] + shift[None, :], 0, grey.shape[0] - 1)
-    return grey[rows, np.arange(grey.shape[1])[None, :]]
+#: Tiles a side and clip limit of contrast, block and offset of binarizing, greatest angle and step of turning.
+TILES, CLIP, BLOCK, OFFSET, MOST_DEGREES, STEP_DEGREES = 8, 2.0, 35, 11, 10.0, 0.5
+
+
+def tile_maps(grey: np.ndarray, tiles: int, clip: float) -> tuple[np.ndarray, int, int]:
+    """(maps, tile height, tile width): for each tile the new value of each grey value. A tile's histogram
+    is cut at `clip` times its mean; what is cut off is dealt to all values evenly, and running
+    sums of that are the map. The image is mirrored at its ends to whole tiles."""
+    high, wide = (-(-n // tiles) for n in grey.shape)
+    padded = np.pad(grey, ((0, high * tiles - grey.shape[0]), (0, wide * tiles - grey.shape[1])), mode="symmetric")
+    tile = np.arange(high * tiles)[:, None] // high * tiles + np.arange(wide * tiles)[None, :] // wide
+    counts = np.bincount((tile * 256 + padded).ravel(), minlength=tiles * tiles * 256).reshape(tiles, tiles, 256)
+    most = max(1, int(clip * high * wide / 256))
+    over = np.maximum(counts - most, 0).sum(-1)
+    share, rest = over // 256, over % 256
+    counts = np.minimum(counts, most) + share[..., None]
+    # of the rest one each goes to values at even steps
+    step = np.maximum(256 // np.maximum(rest, 1), 1)
+    values = np.arange(256)
+    counts = counts + ((values % step[..., None] == 0) & (values // step[..., None] < rest[..., None]))
+    return np.clip(np.rint(counts.cumsum(-1) * (255.0 / (high * wide))), 0, 255), high, wide
+
+
+def equalized(grey: np.ndarray, tiles: int = TILES, clip: float = CLIP) -> np.ndarray:
+    """Contrast evened out tile by tile, within the clip limit; between the middles of tiles their maps blend."""
+    maps, high, wide = tile_maps(grey, tiles, clip)
+
+    def between(n: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = (np.arange(n) + 0.5) / size - 0.5
+        low = np.floor(at).astype(int)
+        return np.clip(low, 0, tiles - 1), np.clip(low + 1, 0, tiles - 1), at - low
+
+    y0, y1, v = between(grey.shape[0], high)
+    x0, x1, h = between(grey.shape[1], wide)
+    value = lambda y, x: maps[y[:, None], x[None, :], grey]
+    above = value(y0, x0) * (1 - h) + value(y0, x1) * h
+    below = value(y1, x0) * (1 - h) + value(y1, x1) * h
+    return np.clip(np.rint(above * (1 - v[:, None]) + below * v[:, None]), 0, 255).astype(np.uint8)
+
+
+def turned(grey: np.ndarray, degrees: float, fill: float = 255.0, grow: bool = False) -> np.ndarray:
+    """The image turned about its middle, counter-clockwise, values between pixels blended; what comes
+    from outside is `fill`. With `grow` the canvas holds all of it, else it keeps its size."""
+    angle = np.radians(degrees)
+    cos, sin = np.cos(angle), np.sin(angle)
+    high, wide = grey.shape
+    size = (int(np.ceil(abs(high * cos) + abs(wide * sin) - 1e-9)), int(np.ceil(abs(wide * cos) + abs(high * sin) - 1e-9))) if grow else grey.shape
+    y, x = (np.arange(n) - (n - 1) / 2 for n in size)
+    # where each pixel comes from, in an image with a margin of two pixels of fill
+    sy = np.clip(y[:, None] * cos + x[None, :] * sin + (high - 1) / 2, -2, high + 1) + 2
+    sx = np.clip(x[None, :] * cos - y[:, None] * sin + (wide - 1) / 2, -2, wide + 1) + 2
+    padded = np.pad(grey.astype(np.float64), 2, constant_values=fill)
+    y0, x0 = np.minimum(sy.astype(int), high + 2), np.minimum(sx.astype(int), wide + 2)
+    v, h = sy - y0, sx - x0
+    above = padded[y0, x0] * (1 - h) + padded[y0, x0 + 1] * h
+    below = padded[y0 + 1, x0] * (1 - h) + padded[y0 + 1, x0 + 1] * h
+    return np.rint(above * (1 - v) + below * v).astype(np.uint8)
+
+
+def skew_of(grey: np.ndarray, most: float = MOST_DEGREES, step: float = STEP_DEGREES, side: int = 400) -> float:
+    """The angle to turn by, at which the sums of the rows of ink vary most; of equal ones the least. Lines of
+    text are seen as well in an image whose longer side has `side` pixels and a few more."""
+    k = max(1, max(grey.shape) // side)
+    ink = np.where(grey > otsu(grey), 0, 255).astype(np.float64)
+    ink = ink[: ink.shape[0] // k * k, : ink.shape[1] // k * k].reshape(ink.shape[0] // k, k, ink.shape[1] // k, k).mean((1, 3))
+    angles = np.arange(-most, most + step / 2, step)
+    return float(max(angles, key=lambda a: (turned(ink, a, 0.0).sum(1, dtype=np.float64).var(), -abs(a))))
 
 
-def deskewed(grey: np.ndarray, most: float = 5.0, step: float = 0.5) -> np.ndarray:
-    """Turned by the angle at which the sums of its rows vary most."""
-    angles = np.arange(-most, most + step / 2, step)
-    ink = 255.0 - grey
-    best = max(angles, key=lambda a: (sheared(ink, a).sum(1).var(), -abs(a)))
-    return sheared(grey, best)
+def deskewed(grey: np.ndarray, most: float = MOST_DEGREES) -> np.ndarray:
+    """Turned by the angle of its lines, on a canvas that holds all of it."""
+    angle = skew_of(grey, most)
+    return grey if abs(angle) < 1e-6 else turned(grey, angle, grow=True)
 
 
 def otsu(grey: np.ndarray) -> int:
@@ -181,11 +240,27 @@ def otsu(grey: np.ndarray) -> int:
     return int(between.argmax())
 
 
-def binarized(grey: np.ndarray) -> np.ndarray:
-    return np.where(grey > otsu(grey), 255, 0).astype(np.uint8)
+def gaussian_mean(grey: np.ndarray, block: int = BLOCK) -> np.ndarray:
+    """Means of block x block neighbourhoods with the weights of a bell curve, ends repeated."""
+    sigma = 0.3 * ((block - 1) * 0.5 - 1) + 0.8
+    bell = np.exp(-((np.arange(block) - block // 2) ** 2) / (2 * sigma * sigma))
+    bell /= bell.sum()
+    out = np.pad(grey.astype(np.float64), block // 2, mode="edge")
+    out = sum(w * out[k : k + grey.shape[0]] for k, w in enumerate(bell))
+    return sum(w * out[:, k : k + grey.shape[1]] for k, w in enumerate(bell))
+
+
+def binarized(grey: np.ndarray, block: int = BLOCK, offset: float = OFFSET) -> np.ndarray:
+    """White where a pixel is lighter than its neighbourhood's mean less `offset`, else black."""
+    return np.where(grey > np.rint(gaussian_mean(grey, block)) - offset, 255, 0).astype(np.uint8)
+
+
+def sharpened(grey: np.ndarray, amount: float = 1.5, block: int = 7) -> np.ndarray:
+    """The difference from its neighbourhood's mean added to each pixel."""
+    return np.clip(np.rint(grey + amount * (grey - gaussian_mean(grey, block))), 0, 255).astype(np.uint8)
 
 
-WORK = dict(zip(STEPS, (upscaled, denoised, flattened, stretched, deskewed, binarized), strict=True))
+WORK = dict(zip(STEPS, (upscaled, denoised, flattened, equalized, deskewed, binarized), strict=True))
 
 
 def cleaned(grey: np.ndarray, steps: str) -> np.ndarray:
