@@ -4,7 +4,7 @@ Dated list entries (list, effect, scope, key, action, at) become validity interv
 for each entry key the adds and removes, in order of time, open and close half-open
 intervals [since, until). Every capture is evaluated against the entries active when
 it was fetched. A capture has one key for its host, one for each domain above it and
-one for each folder of its path; intervals are laid out over buckets of time, and an
+one for each folder of its path; intervals are laid out over those buckets of time that captures have, and an
 equality join on (scope, key, bucket) with the time test on top is the as-of join: a
 capture meets at most one interval of an entry. A hot host spreads over buckets, and
 Spark may split the rest or broadcast the list if it finds it small.
@@ -21,6 +21,8 @@ whatever other columns are named.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -74,13 +76,11 @@ def evaluated(captures: DataFrame, entries: DataFrame, id_column: str = "page_id
     rows = rows.withColumn("bucket", bucket_of(F.col("fetched_at"), days))
     candidates = rows.withColumn("k", F.explode_outer(keys_of(F.coalesce(host_of(F.col("url")), F.lit("")), F.coalesce(path_of(F.col("url")), F.lit("")))))
     candidates = candidates.select(*named, "copies", "bucket", "k.scope", "k.key")
-    last = captures.agg(F.max("fetched_at")).first()[0]
-    active = intervals(entries)
-    if last is not None:
-        active = active.where(F.col("since") <= F.lit(last)).withColumn("stop", F.least(F.col("until"), F.lit(last)))
-        active = active.withColumn("bucket", F.explode(F.sequence(bucket_of(F.col("since"), days), bucket_of(F.col("stop"), days)))).drop("stop")
-    else:
-        active = active.withColumn("bucket", F.lit(None).cast("int"))
+    # intervals are laid over the buckets that captures have: at most one for each bucket of the calendar
+    held = rows.where("bucket is not null").agg(F.array_sort(F.collect_set("bucket"))).first()[0]
+    buckets = F.from_json(F.lit(json.dumps(held)), "array<int>")
+    begin, end = bucket_of(F.col("since"), days), bucket_of(F.col("until"), days)
+    active = intervals(entries).withColumn("bucket", F.explode(F.filter(buckets, lambda b: (b >= begin) & (end.isNull() | (b <= end)))))
     active = active.select(F.col("scope").alias("l_scope"), F.col("key").alias("l_key"), F.col("bucket").alias("l_bucket"), "list", "effect", "since", "until")
     c = F.col
     met = candidates.join(

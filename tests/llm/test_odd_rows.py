@@ -104,6 +104,27 @@ def test_lists_of_odd_rows(spark):
         assert found.count() == 6 and url_lists.evaluated(pages.limit(0), spark.createDataFrame(listed, entries)).count() == 0
 
 
+def test_lists_of_far_times(spark):
+    """A capture of the year 9999 makes one bucket more, not all up to it."""
+    pages = spark.createDataFrame([(i, "http://a.b/", t) for i, t in enumerate(("2024-01-05", "2024-02-20", "9999-12-31", "0001-01-01", "1960-05-05"))], "page_id long, url string, t string").withColumn("fetched_at", F.col("t").cast("timestamp"))
+    entries = spark.createDataFrame([("l", "block", "host", "a.b", "add", "1970-01-01"), ("m", "block", "domain", "b", "add", "2024-02-01"), ("m", "block", "domain", "b", "remove", "2024-03-01")], "list string, effect string, scope string, key string, action string, at string").withColumn("at", F.col("at").cast("timestamp"))
+    found = url_lists.evaluated(pages, entries)
+    assert {r["page_id"]: r["verdict"] for r in found.select("page_id", "verdict").collect()} == {0: "block", 1: "block", 2: "block", 3: "none", 4: "none"}
+    # five buckets are laid over, whatever time lies between them
+    assert "[-23950,-122,0,1,97825]" in found._jdf.queryExecution().logical().toString().replace(" ", "") or "97825" in found._jdf.queryExecution().logical().toString()
+
+
+def test_sample_of_many_languages(spark):
+    """However many languages `lang` names, the sample stays within its characters; each of the commonest has a part."""
+    rows = spark.range(6000).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("w"), F.col("id").cast("string"), F.lit(" ")), 100).alias("text"), F.concat(F.lit("l"), (F.col("id") % 500).cast("string")).alias("lang"))
+    texts, langs = language_id.training_sample(rows, in_all=100_000)
+    assert 50_000 < sum(map(len, texts)) <= 150_000 and len(set(langs)) > 50
+    assert len(set(language_id.training_sample(rows, languages=7)[1])) == 7
+    long = spark.createDataFrame([(i, "x " * 30_000, f"l{i}") for i in range(40)], "doc_id long, text string, lang string")
+    texts, langs = language_id.training_sample(long, in_all=80_000)
+    assert len(langs) == len(set(langs)) >= 20 and sum(map(len, texts)) <= 80_000
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_stage(name, spark, sf, rows):
     """Stages keep columns as they are, take odd rows, and keep clean documents."""
