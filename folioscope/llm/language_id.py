@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from folioscope.llm.common import arrow_map, free, pieces
 
@@ -200,24 +201,36 @@ def fitted(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 4,
     return model
 
 
-def training_sample(docs: DataFrame, per_language: int = 1000, longest: int = 20_000) -> tuple[list[str], list[str]]:
-    """At most about `per_language` texts of each language, the ones of lowest hash, none over
-    `longest` characters (unless all of its language are): per_language * longest characters
-    a language bound what reaches the driver."""
+#: Of the fitting sample: texts of a language, characters of a text, characters in all, and languages.
+PER_LANGUAGE, LONGEST, IN_ALL, LANGUAGES = 1000, 20_000, 64_000_000, 1000
+
+
+def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, longest: int = LONGEST, in_all: int = IN_ALL, languages: int = LANGUAGES) -> tuple[list[str], list[str]]:
+    """About `per_language` texts of each language, the ones of lowest hash, none over `longest`
+    characters (of a language that has longer ones only, one of them, cut). Where that comes to more than
+    about `in_all` characters each language gives fewer, in proportion; of more than `languages` the
+    commonest are learned. So whatever `lang` holds, in_all characters reach the driver, and half as much again at most."""
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 != 2))
     usable = usable.select("doc_id", "lang", "text", (F.length("text") <= longest).alias("fits"))
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.col("fits").cast("long")).alias("fit"), F.min("doc_id").alias("one")).collect()
+    fits = F.col("fits").cast("long")
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"), F.sum(fits).alias("fit"), F.sum(fits * F.length("text")).alias("chars")).orderBy(F.desc("n"), "lang").limit(languages).collect()
     if not counts:
         return [], []
-    # the share of each language that gives about per_language rows; one text, cut, of those that have long ones only
+    # the share of each language that gives about per_language rows, and all together in_all characters
     share = {r["lang"]: min(1.0, 1.15 * per_language / r["fit"]) for r in counts if r["fit"]}
-    alone = [(r["lang"], r["one"]) for r in counts if not r["fit"]]
+    scale = min(1.0, in_all / max(1.0, sum(share[r["lang"]] * r["chars"] for r in counts if r["fit"])))
+    share = {k: v * scale for k, v in share.items()}
+    alone = [r["lang"] for r in counts if not r["fit"]]
     shares = F.from_json(F.lit(json.dumps(share)), "map<string,double>")
     draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rows = usable.where("fits").select("lang", "text", draw.alias("draw")).where(F.col("draw") < shares[F.col("lang")]).distinct()
-    rows = rows.orderBy("draw", "lang", "text").limit(per_language * len(counts) * 2).collect()
-    for lang, one in alone:
-        rows += usable.where((F.col("lang") == lang) & F.col("doc_id").eqNullSafe(F.lit(one))).select("lang", F.substring("text", 1, longest).alias("text")).limit(1).collect()
+    # the draw is by chance: what it gives over the bound is left out, by a running sum over the texts in order of the draw
+    order = Window.orderBy("draw", "lang", "text")
+    rows = rows.orderBy("draw", "lang", "text").limit(per_language * len(counts) * 2)
+    rows = rows.withColumn("before", F.sum(F.length("text")).over(order)).where(F.col("before") <= in_all * 1.5).select("lang", "text").collect()
+    if alone:
+        cut = F.substring("text", 1, max(1, min(longest, in_all // (2 * len(alone)))))
+        rows += usable.where(F.col("lang").isin(alone)).groupBy("lang").agg(F.min(cut).alias("text")).collect()
     return [r["text"] for r in rows], [r["lang"] for r in rows]
 
 
