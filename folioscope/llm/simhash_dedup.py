@@ -269,9 +269,9 @@ def odd_mixers(n: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, text: str, words: int, keep: tuple[str, ...], bands: int, minima: int) -> DataFrame:
-    """`keep` columns, `node`, a hash of the set of shingles, and `bands`, its band keys."""
+    """`keep` columns, `node`, 128 bits of hash of the set of shingles, and `bands`, its band keys."""
     fields = [f for f in docs.schema if f.name in keep]
-    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + "node bigint, bands array<bigint>"
+    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + "node binary, bands array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,9 +280,9 @@ def sketches(docs: DataFrame, text: str, words: int, keep: tuple[str, ...], band
             nodes, keys = [], []
             for a, b in zip(cuts, cuts[1:], strict=False):
                 h = np.unique(shingle_hashes(data[a:b], words))
-                nodes.append(xxhash.xxh64_intdigest(h.tobytes(), 7))
+                nodes.append(xxhash.xxh3_128_digest(h.tobytes(), 7))
                 keys.append(band_keys(h, bands, minima))
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], names=[*[f.name for f in fields], "node", "bands"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=[*[f.name for f in fields], "node", "bands"])
 
     return arrow_map(docs.select(*keep, F.col(text).cast("string").alias("__text")), run, ddl)
 
@@ -367,11 +367,11 @@ def contested(rows: DataFrame, known: DataFrame, sets: DataFrame, similarity: fl
         def found(t: pa.Table, cuts: list[int]) -> Iterator[pa.RecordBatch]:
             for a, b in zip(cuts, cuts[1:], strict=False):
                 group = t.slice(a, b - a)
-                nodes, roots = group.column("node").to_numpy(), group.column("root").to_numpy()
+                nodes, roots = (np.array(group.column(c).to_pylist(), object) for c in ("node", "root"))
                 i, j = alike([s.values.to_numpy() for s in group.column("shingles")], similarity)
                 apart = roots[i] != roots[j]
                 i, j = spanning(len(nodes), i[apart], j[apart])
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[i]), pa.array(nodes[j])], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[i], pa.binary()), pa.array(nodes[j], pa.binary())], names=["a", "b"])
 
         for batch in batches:
             t = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
@@ -384,7 +384,7 @@ def contested(rows: DataFrame, known: DataFrame, sets: DataFrame, similarity: fl
         if rest is not None and rest.num_rows:
             yield from found(rest, [0, rest.num_rows])
 
-    return arrow_map(rows, run, "a bigint, b bigint"), held
+    return arrow_map(rows, run, "a binary, b binary"), held
 
 
 def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILAR, bands: int = BANDS, minima: int = MINIMA, cell: int = CELL) -> DataFrame:
@@ -392,7 +392,7 @@ def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similar
     ids last), then the smallest hash of its text. Same columns.
 
     Texts link if their sets of `words`-word shingles are `similarity` similar. Equal sets
-    (by a 64-bit hash) are copies. Sets that agree in one of `bands` bands of `minima` least
+    (by 128 bits of hash) are copies. Sets that agree in one of `bands` bands of `minima` least
     hashes share a cell. Every pair of a cell is verified, unless links that were verified
     connect it already: first each set with its cell's smallest, then all pairs of the
     cells that this leaves in several pieces.
