@@ -68,6 +68,13 @@ def keys_of(host: Column, path: Column) -> Column:
     return F.when(host == "", F.array().cast("array<struct<scope:string,key:string>>")).otherwise(F.array_distinct(F.concat(F.array(pair(HOST)(host)), F.transform(domains, pair(DOMAIN)), F.transform(folders, pair(FOLDER)))))
 
 
+def laid(active: DataFrame, buckets: list[int], days: int = BUCKET_DAYS) -> DataFrame:
+    """Intervals with `bucket`: a row for each of the buckets that an interval meets."""
+    begin, end = bucket_of(F.col("since"), days), bucket_of(F.col("until"), days)
+    held = F.from_json(F.lit(json.dumps(buckets)), "array<int>")
+    return active.withColumn("bucket", F.explode(F.filter(held, lambda b: (b >= begin) & (end.isNull() | (b <= end)))))
+
+
 def evaluated(captures: DataFrame, entries: DataFrame, id_column: str = "page_id", days: int = BUCKET_DAYS) -> DataFrame:
     """id, url, fetched_at, verdict (allow, block or none), and list, scope, matched_key and
     since of the deciding entry; one row per row of captures."""
@@ -78,9 +85,7 @@ def evaluated(captures: DataFrame, entries: DataFrame, id_column: str = "page_id
     candidates = candidates.select(*named, "copies", "bucket", "k.scope", "k.key")
     # intervals are laid over the buckets that captures have: at most one for each bucket of the calendar
     held = rows.where("bucket is not null").agg(F.array_sort(F.collect_set("bucket"))).first()[0]
-    buckets = F.from_json(F.lit(json.dumps(held)), "array<int>")
-    begin, end = bucket_of(F.col("since"), days), bucket_of(F.col("until"), days)
-    active = intervals(entries).withColumn("bucket", F.explode(F.filter(buckets, lambda b: (b >= begin) & (end.isNull() | (b <= end)))))
+    active = laid(intervals(entries), held, days)
     active = active.select(F.col("scope").alias("l_scope"), F.col("key").alias("l_key"), F.col("bucket").alias("l_bucket"), "list", "effect", "since", "until")
     c = F.col
     met = candidates.join(
