@@ -37,13 +37,15 @@ _made: dict[tuple[str, int], tuple[str, str]] = {}
 
 def current_block(spark: SparkSession, path: str, limit: int) -> str:
     """The block of the last `limit` corrections in the ledger at path, on a file system that the
-    driver shares; made anew only if its files have changed. '' without any."""
+    driver shares; made anew only if its files have changed. '' without any. Corrections stand in the
+    order in which they were added, whatever their timestamps: by part, then by place in it."""
     parts = sorted(glob.glob(f"{glob.escape(path)}/part-*")) if os.path.isdir(path) else [path] * os.path.isfile(path)
     state = ";".join(f"{p}:{os.stat(p).st_size}:{os.stat(p).st_mtime_ns}" for p in parts)
     if limit <= 0 or not parts:
         return ""
     if _made.get((path, limit), ("", ""))[0] != state:
-        rows = ledger.read(spark, path, ledger.CORRECTION).select(F.col("timestamp").alias("position"), "markdown")
+        place = F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+        rows = ledger.read(spark, path, ledger.CORRECTION).select(place.alias("position"), "markdown")
         _made[path, limit] = state, block(last_rows(rows, "position", limit)).first()["block"]
     return _made[path, limit][1]
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -103,6 +104,23 @@ def cleaned_file(png: bytes, steps: str) -> bytes:
         return png
 
 
+def _worked(png: bytes, work: Callable[[np.ndarray], np.ndarray]) -> bytes:
+    try:
+        return encoded(work(decoded(png)))
+    except (ValueError, TypeError, struct.error, zlib.error):
+        return png
+
+
+def sharpened_file(png: bytes) -> bytes:
+    """A PNG file sharpened; as it is if it cannot be read here."""
+    return _worked(png, sharpened)
+
+
+def enlarged_file(png: bytes, scale: int) -> bytes:
+    """A PNG file with each pixel `scale` by `scale`, sharpened; as it is if it cannot be read here."""
+    return _worked(png, lambda grey: sharpened(np.kron(grey, np.ones((scale, scale), grey.dtype))))
+
+
 def page_files(content: bytes, suffix: str, steps: str = "") -> list[bytes]:
     """Images of a scan's pages, those of a PDF file or the image itself, with the steps applied."""
     pages = pages_as_they_are(content, suffix)

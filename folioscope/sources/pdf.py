@@ -7,6 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from folioscope.sources import pdf_objects
+from folioscope.sources.images import enlarged_file, sharpened_file
 from folioscope.sources.ooxml import told
 
 
@@ -41,22 +42,23 @@ def pdf_read(content: Column) -> Column:
     return told(read, content)
 
 
-def rendered(content: bytes, dpi: int = 200, most: int = 2000) -> list[bytes]:
-    """Images of the pages at dpi, no side longer than `most` pixels. Without a library that draws
-    pages, the picture that each page of a scan is; other pages are an error."""
+def rendered(content: bytes, dpi: int = 200, most: int = 2000, scale: int = 1) -> list[bytes]:
+    """Images of the pages at dpi, enlarged `scale` times and then sharpened, no side longer than `most`
+    pixels. Without a library that draws pages, the picture that each page of a scan is; other pages are an error."""
     document = _open(content)
     if document is None:
         file = pdf_objects.File(content)
         pictures = [pdf_objects.page_picture(file, p) for p in file.pages()]
         if not pictures or not all(pictures):
             raise RuntimeError("no library to render PDF pages with")
-        return pictures
+        return [enlarged_file(p, scale) for p in pictures] if scale > 1 else pictures
     import fitz
 
     out = []
     for p in document:
-        zoom = min(dpi / 72.0, most / max(p.rect.width, p.rect.height))
-        out.append(p.get_pixmap(matrix=fitz.Matrix(zoom, zoom), alpha=False).tobytes("png"))
+        zoom = min(dpi / 72.0 * scale, most / max(p.rect.width, p.rect.height))
+        page = p.get_pixmap(matrix=fitz.Matrix(zoom, zoom), alpha=False).tobytes("png")
+        out.append(sharpened_file(page) if scale > 1 else page)
     return out
 
 

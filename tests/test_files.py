@@ -735,8 +735,9 @@ def test_feedback_of_a_ledger(spark, tmp_path, monkeypatch):
     with monkeypatch.context() as m:  # nothing has changed: the ledger is not read again
         m.setattr(ledger, "read", lambda *_: pytest.fail("read again"))
         assert feedback.current_block(spark, path, 2) == first and feedback.current_block(spark, path, 0) == ""
-    add(("four", 4.0))
-    assert "four" in feedback.current_block(spark, path, 2)
+    add(("four", 0.5))
+    assert "four" in feedback.current_block(spark, path, 2)  # the last added, whatever its time
+    assert feedback.current_block(spark, path, 2).index("three") < feedback.current_block(spark, path, 2).index("four")
 
 
 def test_watch(spark, tmp_path):

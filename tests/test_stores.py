@@ -290,3 +290,21 @@ def test_salvaged_entities():
     assert got("\"type\": \"date\" \"page\": 3, \"value\": 'May', {\"type\": \"sum\", \"value\": 12 000 rub}\n\"type\": \"lost\", \"type\": \"code\"\n\"value\": A-7\nrest") == [("date", "May"), ("sum", "12 000 rub"), ("code", "A-7")]
     assert got("") == got("no JSON at all: type value") == got('{"value": "x", "type": "late"}') == []
     assert model.lenient('[{"type": "a", "value": "b"} {"type": "c"')["entities"] == [{"type": "a", "value": "b"}]
+
+
+def test_clocked_requests(spark):
+    """Times by a clock that a stub moves on: first part, end, parts a second and pages a second."""
+    assert list(model.parts_of(["data: {\"choices\": [{\"delta\": {\"content\": \"a\"}}]}\n", ": note", "data: broken", "data: {\"choices\": []}", "data: {\"choices\": [{\"delta\": {}}]}", "data: [DONE]", "data: {\"choices\": [{\"delta\": {\"content\": \"late\"}}]}"])) == ["a"]
+    now = [0.0]
+
+    def stream(url, payload):
+        if len(payload["messages"][1]["content"]) == 1:
+            raise OSError("gone")
+        for step in (2.0, 0.5, 1.5):
+            now[0] += step
+            yield "x"
+
+    pages = spark.createDataFrame([("f", i, bytearray(b"png")) for i in (1, 2, 3, 4, 5)], "file string, page int, png binary").coalesce(1)
+    got = model.clocked(model.batches(pages).coalesce(1), "u", stream, clock=lambda: now[0])
+    assert sorted((r["chunk"], r["pages"], r["first_seconds"], r["seconds"], r["parts"], r["error"]) for r in got.collect()) == [(1, 2, 2.0, 4.0, 3, None), (2, 2, 2.0, 4.0, 3, None), (3, 1, 0.0, 0.0, 0, "gone")]
+    assert tuple(model.rates(got).first()) == (2, 2.0, 2.0, 4.0, 4.0, 0.75, 0.5)
