@@ -141,8 +141,8 @@ def package(blocks: list[dict], page: tuple[float, float] = A4, pictures: dict[s
     images = {c: k for k, c in enumerate(used)}
     letters = further_letters(pages)
     fonts: dict[int, list[tuple[int, str]]] = {}
-    for c, (font, code) in letters.items():
-        fonts.setdefault(font, []).append((code, c))
+    for c, (number, code) in letters.items():
+        fonts.setdefault(number, []).append((code, c))
     usual = "<< /Type /Font /Subtype /Type1 /BaseFont /Times-{0} /Encoding /WinAnsiEncoding >>"
     # objects: catalogue, pages, two fonts, what all further fonts share, two for each of them, two for each page, two for each picture
     first_font, first_page = 6, 6 + 2 * len(fonts)

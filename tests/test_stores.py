@@ -166,6 +166,8 @@ def test_pictures_in_pdf():
     places = [int(x) for x in re.findall(rb"(\d{10}) 00000 n", content)]
     assert all(content[p:].startswith(f"{k} 0 obj".encode()) for k, p in enumerate(places, 1))
     assert pdf.package([]).startswith(b"%PDF")
+    # letters beyond Western ones have the widths of the font
+    assert b"/Widths [250 750]" in pdf.package([block("paragraph", text="ЖЯ")], font=fonts.Font({ord("Ж"): 250.0}, 750.0)) and b"/Widths [500 500]" in pdf.package([block("paragraph", text="ЖЯ")])
 
 
 def test_regions_of_pictures(spark, tmp_path):
