@@ -232,13 +232,17 @@ def turned(grey: np.ndarray, degrees: float, fill: float = 255.0, grow: bool = F
 
 
 def skew_of(grey: np.ndarray, most: float = MOST_DEGREES, step: float = STEP_DEGREES, side: int = 400) -> float:
-    """The angle to turn by, at which the sums of the rows of ink vary most; of equal ones the least. Lines of
+    """The angle to turn by, at which the sums of the rows of ink vary most; of equal ones the least; 0 if they go on rising beyond `most`. Lines of
     text are seen as well in an image whose longer side has `side` pixels and a few more."""
     k = max(1, max(grey.shape) // side)
     ink = np.where(grey > otsu(grey), 0, 255).astype(np.float64)
     ink = ink[: ink.shape[0] // k * k, : ink.shape[1] // k * k].reshape(ink.shape[0] // k, k, ink.shape[1] // k, k).mean((1, 3))
-    angles = np.arange(-most, most + step / 2, step)
-    return float(max(angles, key=lambda a: (turned(ink, a, 0.0).sum(1, dtype=np.float64).var(), -abs(a))))
+    sharpness = lambda a: turned(ink, a, 0.0).sum(1, dtype=np.float64).var()
+    known = {float(a): sharpness(a) for a in np.arange(-most, most + step / 2, step)}
+    best = max(known, key=lambda a: (known[a], -abs(a)))
+    # at an end it is a peak only if it falls off beyond; an image without lines may rise on and on
+    beyond = best + np.copysign(step, best)
+    return 0.0 if abs(beyond) > most and sharpness(beyond) >= known[best] else best
 
 
 def deskewed(grey: np.ndarray, most: float = MOST_DEGREES) -> np.ndarray:
