@@ -134,6 +134,7 @@ def meaningful(text: Column, least: int = 200, prose: int = 40) -> Column:
 
 def is_collection(text: Column, words_pattern: str = COLLECTION_WORDS) -> Column:
     """Key words in the first 3000 characters, or two title lines on the first five pages with text."""
+    # fixed values: 3000 characters, five pages, two titles of twelve words at most
     first = lambda p: strip(F.element_at(split_lines(strip(p)), 1))
 
     def titled(pages: Column) -> Column:
@@ -158,6 +159,7 @@ def without_regions(text: Column) -> Column:
 
 def ocr_cleaned(text: Column) -> Column:
     """8OO and O0 before millimetres become digits; a hyphen between digits a space."""
+    # fixed values: the three patterns
     text = F.regexp_replace(text, r"(?U)\b8OO((?iu:\s*мм|\s*mm))\b", "800$1")
     text = F.regexp_replace(text, r"(?U)\bO0((?iu:\s*мм|\s*mm))\b", "00$1")
     return F.regexp_replace(text, r"(?U)(?<=\d)(\s*)-(\s*)(?=\d)", "$1 $2")
@@ -177,6 +179,7 @@ def without_fences(text: Column) -> Column:
 
 def without_thinking(text: Column) -> Column:
     """Without the blocks in which models think aloud."""
+    # fixed values: the names of the blocks and their forms
     for tag in ("thinking", "thought", "reasoning"):
         if tag == "thought":
             text = F.regexp_replace(text, r"(?is)\[THINKING\][^\[]*\[/THINKING\]", "")
@@ -212,6 +215,7 @@ def head_and_tail(text: Column, limit: int, mark: str = "\n...\n[текст об
 
 def slide_heading(text: Column) -> Column:
     """A slide's heading as Markdown, null if the text is none."""
+    # fixed values: the forms of headings, and twelve words at most
     t = strip(text)
     number = F.regexp_extract(t, r"(?U)^([0-9]+(?:\.[0-9]+)*)(?:\s|$)", 1)
     depth = F.least(F.length(number) - F.length(F.replace(number, F.lit("."), F.lit(""))) + 1, F.lit(6))
