@@ -14,9 +14,11 @@ not be entered by all pairs. It is entered by the coordinates of the one-bit
 pivots: d(x, e_i) - d(x, 0) tells bit i. These are cut into `blocks` groups;
 radius differing bits leave blocks - radius groups of coordinates equal, so two
 linked fingerprints share a cell of one of the choose(blocks, radius) tables.
-A cell with many members (a large group of near copies) is cut into blocks that
-meet pairwise in tasks of bounded size, and a task returns a spanning forest of
-its links, never all pairs.
+A cell with many members (a large group of near copies) is dealt to blocks, and a task returns
+a spanning forest of its links, never all pairs. Each block is first met with itself and with one
+of them, so rows grow in proportion. Links contract: where they make one component of a cell,
+as near copies do, that is all. What is left of other cells meets the cell's largest
+component and itself, block by block, so no link is lost; components are never met with themselves.
 
 one_of_each() groups texts by their similarity, at which SimHash fingerprints differ in
 too many bits for tables. Bands of least hashes (MinHash) of the same shingles find
@@ -40,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.common import arrow_map, forget, free, utf8, written
@@ -112,6 +114,18 @@ def blocks_for(n: int, radius: int = RADIUS) -> int:
     return next((b for b in range(radius + 2, radius + 6) if n <= 16 * 2 ** (64 * (b - radius) / b)), radius + 6)
 
 
+#: Parts that the rows of a key are dealt to where they meet its count.
+PARTS = 8
+
+
+def met(rows: DataFrame, counts: DataFrame, *key: str, by: str = "node") -> DataFrame:
+    """rows joined with one row for each key: a row of counts goes to `PARTS` parts of its key,
+    and rows are dealt to them by the column `by`, so that a hot key does not meet in one task."""
+    salted = rows.withColumn("__part", F.pmod(F.xxhash64(by), F.lit(PARTS)).cast("int"))
+    spread = counts.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return salted.join(spread, [*key, "__part"]).drop("__part")
+
+
 def cells(distinct: DataFrame, blocks: int, radius: int = RADIUS) -> DataFrame:
     """(node, fp, i, key, n): one row for each table and fingerprint; cells with one member are left out."""
     edges = [round(64 * i / blocks) for i in range(blocks + 1)]
@@ -120,7 +134,41 @@ def cells(distinct: DataFrame, blocks: int, radius: int = RADIUS) -> DataFrame:
     tables = F.array(*[F.struct(F.lit(i).cast("smallint").alias("i"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)])
     rows = distinct.select("node", "fp", F.explode(tables).alias("cell")).select("node", "fp", "cell.i", "cell.key")
     # counted by a pre-aggregated sum and joined, not by a window: a hot cell does not meet in one task
-    return rows.join(rows.groupBy("i", "key").agg(F.count("*").alias("n")).where("n > 1"), ["i", "key"])
+    return met(rows, rows.groupBy("i", "key").agg(F.count("*").alias("n")).where("n > 1"), "i", "key")
+
+
+def dealt(rows: DataFrame, others: Column) -> DataFrame:
+    """(node, fp, i, key, p, q, side): each row at the meetings of its block `own` with the blocks `others`
+    of its cell. In that of a block with itself all sides are -1, else they are the rows' own blocks."""
+    meets = F.transform(others, lambda k: F.struct(F.least(k, F.col("own")).alias("p"), F.greatest(k, F.col("own")).alias("q")))
+    rows = rows.select("node", "fp", "i", "key", "own", F.explode(meets).alias("m"))
+    return rows.select("node", "fp", "i", "key", "m.p", "m.q", F.when(F.col("m.p") == F.col("m.q"), -1).otherwise(F.col("own")).alias("side"))
+
+
+def blocked(parts: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit("block"), "fp"), parts).cast("int")
+
+
+def first_meetings(rows: DataFrame, cell: int = CELL) -> DataFrame:
+    """Blocks of about `cell` rows of a cell meet themselves and the first of them: at most three times the rows, about."""
+    parts = F.ceil(F.col("n") / cell).cast("int")
+    rows = rows.withColumn("parts", parts).withColumn("own", blocked(F.col("parts")))
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    return dealt(rows, F.when(F.col("own") == 0, every).otherwise(F.array(F.lit(0), F.col("own"))))
+
+
+def other_meetings(rows: DataFrame, roots: DataFrame, cell: int = CELL) -> DataFrame:
+    """What first_meetings() may have missed in cells of several components, of roots (node, root):
+    rows beside the cell's largest component are met with all of the cell."""
+    rows = rows.where(F.col("n") > cell).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = rows.groupBy("i", "key", "root").agg(F.count("*").alias("size"))
+    # the first blocks are the rest's, those behind them the largest component's
+    largest = sizes.groupBy("i", "key").agg(F.max(F.struct("size", "root")).alias("top"), F.sum("size").alias("all")).where("top.size < all")
+    largest = largest.select("i", "key", F.col("top.root").alias("top"), F.ceil((F.col("all") - F.col("top.size")) / cell).cast("int").alias("rest"), F.ceil(F.col("top.size") / cell).cast("int").alias("main"))
+    rows = met(rows, largest, "i", "key")
+    inside = F.col("root") == F.col("top")
+    rows = rows.withColumn("own", F.when(inside, F.col("rest") + blocked(F.col("main"))).otherwise(blocked(F.col("rest"))))
+    return dealt(rows, F.sequence(F.lit(0), F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("main")) - 1))
 
 
 def spanning(n: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,19 +220,9 @@ def linked(group: np.ndarray, fps: np.ndarray, pivots: np.ndarray, radius: int,
     return *spanning(n, found[1][order], found[2][order]), survivors
 
 
-def links(distinct: DataFrame, blocks: int | None = None, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
-    """(a, b): nodes whose fingerprints are within the radius, as forests of the closest pairs
-    that connect what all such pairs connect. `distinct` has unlike rows of (node, fp)."""
-    distinct = written(distinct)
-    blocks = blocks or blocks_for(distinct.count(), radius)
-    rows = cells(distinct, blocks, radius)
-    # large cells: blocks of about `cell` members meet pairwise
-    parts = F.ceil(F.col("n") / cell).cast("int")
-    own = F.pmod(F.xxhash64(F.lit("block"), "fp"), parts).cast("int")
-    rows = rows.withColumn("parts", parts).withColumn("own", own)
-    meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, F.col("own")).alias("p"), F.greatest(k, F.col("own")).alias("q")))
-    rows = rows.select("node", "fp", "i", "key", "own", F.explode(meets).alias("m")).select("node", "fp", "i", "key", "m.p", "m.q", F.when(F.col("m.p") == F.col("m.q"), -1).otherwise(F.col("own")).alias("side"))
-    rows = rows.repartition("i", "key", "p", "q").sortWithinPartitions("i", "key", "p", "q", "fp")
+def forests(meetings: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(a, b): a spanning forest of the links of each meeting."""
+    rows = meetings.repartition("i", "key", "p", "q").sortWithinPartitions("i", "key", "p", "q", "fp")
     pivots = PIVOTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,8 +234,7 @@ def links(distinct: DataFrame, blocks: int | None = None, radius: int = RADIUS,
             fps = t.column("fp").to_numpy().astype(np.int64).view(np.uint64)
             side, group = t.column("side").to_numpy(), np.cumsum(new)
             # a block by itself compares all of its rows, two blocks only across
-            mixed = np.where(side < 0, np.arange(len(side)) + 2, side % 2 if len(side) else side)
-            mixed = np.where(side < 0, mixed, np.where(side == t.column("p").to_numpy(), 0, 1))
+            mixed = np.where(side < 0, np.arange(len(side)) + 2, np.where(side == t.column("p").to_numpy(), 0, 1))
             i, j, _ = linked(group, fps, pivots, radius, mixed)
             nodes = t.column("node").to_numpy()
             return pa.RecordBatch.from_arrays([pa.array(nodes[i]), pa.array(nodes[j])], names=["a", "b"])
@@ -217,6 +254,21 @@ def links(distinct: DataFrame, blocks: int | None = None, radius: int = RADIUS,
     return arrow_map(rows, run, "a bigint, b bigint")
 
 
+def links(distinct: DataFrame, blocks: int | None = None, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
+    """(a, b): links between nodes whose fingerprints are within the radius, as forests that
+    connect what all such pairs connect. `distinct` has unlike rows of (node, fp)."""
+    distinct = written(distinct)
+    rows = written(cells(distinct, blocks or blocks_for(distinct.count(), radius), radius))
+    forget(distinct)
+    found = written(forests(first_meetings(rows, cell), radius))
+    if rows.where(F.col("n") > cell).isEmpty():
+        forget(rows)
+        return found
+    more = written(forests(other_meetings(rows, components(found), cell), radius))
+    forget(rows)
+    return found.unionByName(more)
+
+
 def classes(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, root): the component of every fingerprint that has a link."""
     distinct = fps.select(F.col("fp").alias("node"), "fp").distinct()
@@ -229,9 +281,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", words: int = 4, radius:
     # one row per distinct fingerprint: the smallest doc_id that has it
     least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = classes(fps, radius)
-    placed = least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = placed.select("fp", "root").join(named, "root").select("fp", "component_id")
+    named = roots.join(least, "fp").groupBy("root").agg(F.min("least").alias("named"))
+    of = least.join(met(roots, named, "root", by="fp").select("fp", "named", F.lit(True).alias("linked")), "fp", "left")
+    of = of.select("fp", F.when(F.col("linked"), F.col("named")).otherwise(F.col("least")).alias("component_id"))
     return fps.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -328,18 +380,6 @@ def alike(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.nda
     return np.nonzero(np.triu(exact >= similarity * (sizes[:, None] + sizes[None, :] - exact), 1))
 
 
-#: Parts that the rows of a key are dealt to where they meet its count.
-PARTS = 8
-
-
-def met(rows: DataFrame, counts: DataFrame, key: str) -> DataFrame:
-    """rows (with a node) joined with one row for each key: a row of counts goes to `PARTS` parts of
-    its key, so that a hot key does not meet in one task."""
-    salted = rows.withColumn("__part", F.pmod(F.xxhash64("node"), F.lit(PARTS)).cast("int"))
-    spread = counts.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    return salted.join(spread, [key, "__part"]).drop("__part")
-
-
 def contested(rows: DataFrame, known: DataFrame, sets: DataFrame, similarity: float, cell: int = CELL) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) between unlike roots, and a table to forget once they are read.
 

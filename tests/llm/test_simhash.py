@@ -72,6 +72,39 @@ def test_large_cells(spark):
     assert {r["node"]: r["root"] for r in found} == want
 
 
+def test_cells_of_several_components(spark):
+    """Groups that share cells without a link, one that a chain ties to another, and loners: as all pairs have it."""
+    rng = random.Random(8)
+    flips = lambda n: sum({1 << rng.randrange(64) for _ in range(n)})
+    center = rng.getrandbits(64)
+    far, tied = center ^ (1 << 20) - 1, center ^ ((1 << 16) - 1 << 40)
+    fps = {c ^ flips(3) for c, n in ((center, 300), (far, 90), (tied, 60)) for _ in range(n)}
+    fps |= {tied ^ ((1 << k) - 1 << 40) for k in range(0, 17, 4)} | {center ^ flips(3) ^ rng.getrandbits(20) for _ in range(80)}
+    signed = [x - (1 << 64) if x >= 1 << 63 else x for x in fps]
+    table = spark.createDataFrame([(x, x) for x in signed], "node long, fp long")
+    got = {r["node"]: r["root"] for r in components(S.links(table, cell=24)).collect()}
+    want = reach(signed, [(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 4])
+    assert {n: got.get(n, n) for n in signed} == want and 2 < len(set(want.values()))
+
+
+def test_meetings_of_near_copies_grow_in_proportion(spark):
+    """20,000 near copies: each cell's rows meet three times at most, and not again once they are one component."""
+    rng = random.Random(6)
+    center = rng.getrandbits(63)
+    fps = list({center ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)) for _ in range(26000)})[:20000]
+    table = spark.createDataFrame([(x, x) for x in fps], "node long, fp long")
+    rows = S.cells(table, 6).cache()
+    n, first = rows.count(), S.first_meetings(rows, 256)
+    assert n > 10 * len(fps) and first.count() <= 3.2 * n
+    assert first.groupBy("i", "key", "p", "q").count().agg(F.max("count")).first()[0] < 2 * 256 * 1.5
+    one = table.select("node", F.lit(fps[0]).alias("root"))
+    assert S.other_meetings(rows, one, 256).count() == 0
+    # with 100 of them not yet linked, only these go to every block
+    most = table.select("node", F.when(F.col("node").isin(fps[:100]), F.col("node")).otherwise(fps[-1]).alias("root"))
+    assert S.other_meetings(rows, most, 256).count() <= 2 * n
+    rows.unpersist()
+
+
 def test_blocks_grow_with_the_input():
     assert [S.blocks_for(n) for n in (10, 1 << 25, 1 << 28, 1 << 34, 1 << 60)] == [6, 6, 7, 8, 10]
 
