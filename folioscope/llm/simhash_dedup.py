@@ -133,8 +133,9 @@ def cells(distinct: DataFrame, blocks: int, radius: int = RADIUS) -> DataFrame:
     signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
     tables = F.array(*[F.struct(F.lit(i).cast("smallint").alias("i"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)])
     rows = distinct.select("node", "fp", F.explode(tables).alias("cell")).select("node", "fp", "cell.i", "cell.key")
-    # counted by a pre-aggregated sum and joined, not by a window: a hot cell does not meet in one task
-    return met(rows, rows.groupBy("i", "key").agg(F.count("*").alias("n")).where("n > 1"), "i", "key")
+    # counted by a pre-aggregated sum and joined, not by a window; most cells are chance pairs, so
+    # counts are not dealt to parts: a crowded cell's narrow rows are left to the skew join
+    return rows.join(rows.groupBy("i", "key").agg(F.count("*").alias("n")).where("n > 1"), ["i", "key"])
 
 
 def dealt(rows: DataFrame, others: Column) -> DataFrame:
