@@ -104,15 +104,23 @@ def numbered(rows: DataFrame, key: str, order: list[str], number: str = "n") ->
     return dealt.withColumn(number, local).join(sizes, [key, "__bucket"]).withColumn(number, (F.col(number) + F.col("__before")).cast("int")).select(*rows.columns, number)
 
 
-def export_names(documents: DataFrame, stem: str = "stem", order: list[str] | None = None) -> DataFrame:
-    """documents with `name`: the safe stem, then stem_2, stem_3 for later ones in order.
+def numbered_name(base: Column, number: Column) -> Column:
+    """base, then base_2, base_3."""
+    return F.when(number == 1, base).otherwise(F.concat(base, F.lit("_"), number.cast("string")))
 
-    A suffixed name that is itself a stem goes on to the next free number, so names
-    are unique. `order` begins with a number, such as the size.
-    """
-    order = order or ["size", "path"]
+
+def numbered_names(documents: DataFrame, stem: str = "stem", order: list[str] | None = None) -> DataFrame:
+    """documents with `name`: the safe stem, then stem_2, stem_3 for later ones in order, also
+    where that is another one's stem. `order` begins with a number, such as the size."""
+    named = documents.withColumn("base", file_name(F.col(stem)))
+    return numbered(named, "base", order or ["size", "path"]).withColumn("name", numbered_name(F.col("base"), F.col("n"))).drop("base", "n")
+
+
+def export_names(documents: DataFrame, stem: str = "stem", order: list[str] | None = None) -> DataFrame:
+    """numbered_names(), but a suffixed name that is itself a stem goes on to the next free
+    number, so names are unique."""
     named = documents.withColumn("base", file_name(F.col(stem)))
-    ranked = numbered(named, "base", order)
+    ranked = numbered(named, "base", order or ["size", "path"])
     # names that stems themselves take: base_k of another base
     tail = F.regexp_extract("base", r"^(.*)_([0-9]{1,9})$", 2).try_cast("int")
     taken = named.select(F.regexp_extract("base", r"^(.*)_([0-9]{1,9})$", 1).alias("base"), tail.alias("k"), "base").toDF("base", "k", "own").where("k >= 2").where(F.col("own") == F.concat("base", F.lit("_"), F.col("k").cast("string"))).groupBy("base").agg(F.array_sort(F.collect_set("k")).alias("taken"))
@@ -120,7 +128,7 @@ def export_names(documents: DataFrame, stem: str = "stem", order: list[str] | No
     # the n-th number free of those taken: step over each taken one up to it
     free = F.aggregate(F.coalesce("taken", F.array().cast("array<int>")), F.col("n"), lambda k, t: F.when(t <= k, k + 1).otherwise(k))
     number = F.when(F.col("n") == 1, 1).otherwise(free)
-    return ranked.withColumn("name", F.when(number == 1, F.col("base")).otherwise(F.concat("base", F.lit("_"), number.cast("string")))).drop("base", "n", "taken")
+    return ranked.withColumn("name", numbered_name(F.col("base"), number)).drop("base", "n", "taken")
 
 
 def archivable(name: Column) -> Column:
