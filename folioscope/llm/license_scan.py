@@ -3,12 +3,11 @@
 Paragraphs end at blank lines; line breaks within them count as blanks, so wrapped
 notices hang together. A paragraph over `SPAN` words is read in windows of that many,
 each half over the one before it, so that a notice inside long prose is not lost in
-it. No word list decides what is looked at: a sparse logistic regression over single
-words, summed over blocks of the text, passes the windows that may speak of licences, and
-a multinomial one over hashed word 1- and 2-grams names the family. Both sum weights
-without regard to length, so prose around a notice, whose weights are near zero, does not
-dilute it. Both are trained here, in numpy on the driver, by proximal gradient steps that
-keep the weights sparse and end once they settle, on pieces of notices of the families among
+it. Every window is scored; neither a word list nor a cheaper test decides what is looked
+at. A sparse multinomial logistic regression over hashed word 1- and 2-grams names the family.
+It sums weights without regard to length, so prose around a notice, whose weights are near
+zero, does not dilute it. It is trained here, in numpy on the driver, by proximal gradient steps
+that keep the weights sparse and end once they settle, on pieces of notices of the families among
 prose; the unknown class is prose, talk of licences that names none, and notices of licences that
 are not listed. fitted() trains; saved() and loaded() keep a model, so that it is trained once.
 Other pieces and other talk, none of them seen in training, fit the softmax temperature. The
@@ -129,9 +128,7 @@ TALK = [
 ]
 #: The share of unlisted licences that the classifier accepts at most: the threshold is the rank that
 #: conformal calibration asks for over the calibrating ones, which must be 49 at least for 0.02.
-CONFIRM, FALSE_ACCEPTANCE, PENALTY, GATE_PENALTY = 0.6, 0.02, 3e-4, 5e-4
-#: Share of calibrating pieces that the gate may miss; a notice has several.
-MISSED = 0.01
+CONFIRM, FALSE_ACCEPTANCE, PENALTY = 0.6, 0.02, 3e-4
 SETTLED = 1e-3
 
 
@@ -176,8 +173,12 @@ class Model:
     bias: np.ndarray
     temperature: float
     threshold: float
-    gate: np.ndarray  # a weight for each bucket of a single word
-    least: float  # sum of the gate's weights that passes a window
+    least = 0.0
+
+    @property
+    def gate(self) -> np.ndarray:
+        """Weights of single words whose sum must reach `least` for a window to be scored: none, so all are."""
+        return np.zeros(BUCKETS)
 
     def probabilities(self, words: list[str]) -> np.ndarray:
         z = (vector(words) @ self.weights + self.bias) / self.temperature
@@ -260,16 +261,15 @@ def fitted(prose: list[str], seed: int = 4, rounds: int = 8, steps: int = 300) -
     texts = [w for p in prose for _, w in units_of(p)]
     families = [*sorted(NOTICES), UNKNOWN]
     place = {f: i for i, f in enumerate(families)}
-    unknown = place[UNKNOWN]
     train = examples(rng, rounds, texts[::2], UNLISTED[::2] + TALK[::2])
     held = examples(rng, rounds, texts[1::2], TALK[1::2])
 
-    def arrays(some: list, vectors) -> tuple[np.ndarray, np.ndarray]:
-        return np.stack([vectors(w) for w, _ in some]), np.array([place[f] for _, f in some])
+    def arrays(some: list) -> tuple[np.ndarray, np.ndarray]:
+        return np.stack([vector(w) for w, _ in some]), np.array([place[f] for _, f in some])
 
-    x, y = arrays(train, vector)
+    x, y = arrays(train)
     w, b = descended(x, y, len(families), steps, PENALTY)
-    cx, cy = arrays(held, vector)
+    cx, cy = arrays(held)
     z = cx @ w + b
 
     def soft(z: np.ndarray, t: float) -> np.ndarray:
@@ -282,13 +282,7 @@ def fitted(prose: list[str], seed: int = 4, rounds: int = 8, steps: int = 300) -
     scores = np.sort(soft(np.stack([vector(f) for f in forms]) @ w + b, t)[:, :-1].max(1))
     rank = int(np.ceil((1 - FALSE_ACCEPTANCE) * (len(scores) + 1)))
     threshold = max(0.5, float(scores[rank - 1])) if rank <= len(scores) else 1.0
-    # the gate tells notices from prose and talk by single words; unlisted licences, which share those, have no say
-    plain = [e for e in train if e[1] != UNKNOWN] + [e for e in examples(rng, rounds, texts[::2], TALK[::2]) if e[1] == UNKNOWN]
-    gx, gy = arrays(plain, word_vector)
-    g, _ = descended(gx, (gy != unknown).astype(int), 2, steps, GATE_PENALTY)
-    g = np.round(g[:, 1] - g[:, 0], 4)
-    passing = arrays(held, word_vector)[0][cy != unknown] @ g
-    return Model(families, w, b, t, threshold, g, float(np.quantile(passing, MISSED)) - 1e-6)
+    return Model(families, w, b, t, threshold)
 
 
 def saved(model: Model) -> str:
@@ -299,7 +293,7 @@ def saved(model: Model) -> str:
 def loaded(kept: str) -> Model:
     """The model that saved() wrote."""
     fields = json.loads(kept)
-    return Model(**fields | {n: np.array(fields[n]) for n in ("weights", "bias", "gate")})
+    return Model(**fields | {n: np.array(fields[n]) for n in ("weights", "bias")})
 
 
 def weighted_pieces() -> dict[str, list[dict[str, float]]]:
@@ -339,34 +333,26 @@ def literal(values: object, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), kind)
 
 
-def scored(words: Column, model: Model) -> Column:
-    """(family, probability, overlap) of a window's words, by array functions alone; the overlap
-    is looked up for accepted families."""
+def scored(window: Column, model: Model) -> Column:
+    """(family, probability, overlap) of a window's words and buckets, by array functions alone; the
+    overlap is looked up for accepted families."""
     k = len(model.families)
-    weights, bias = literal(model.weights.tolist(), "array<array<double>>"), literal(model.bias.tolist(), "array<double>")
+    weights, bias = literal([*model.weights.tolist(), [0.0] * k], "array<array<double>>"), literal(model.bias.tolist(), "array<double>")
     known = weighted_pieces()
     pieces = [[[{"h": hashed(g), "w": round(x, 6)} for g, x in p.items()] for p in known.get(f, [])] for f in model.families]
     notices = literal(pieces, "array<array<array<struct<h:bigint,w:double>>>>")
     names = F.array(*[F.lit(f) for f in model.families])
-    # most buckets weigh nothing for any family: they need not be added up
-    weighs = literal((model.weights != 0).any(1).tolist(), "array<boolean>")
-
-    def judged(w: Column) -> Column:
-        pairs = F.when(F.size(w) < 2, F.array().cast("array<string>")).otherwise(F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w)), lambda a, b: F.concat_ws(" ", a, b)))
-        single, double = (F.transform(x, lambda g: F.xxhash64(g)) for x in (w, pairs))
-        ids = F.array_distinct(F.filter(F.transform(F.concat(single, double), lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int")), lambda i: F.get(weighs, i)))
-        return bound(F.struct(ids.alias("ids"), F.array_distinct(double).alias("pairs")), rated)
 
     def rated(g: Column) -> Column:
-        total = F.aggregate(g["ids"], F.array_repeat(F.lit(0.0), k), lambda s, i: F.zip_with(s, F.get(weights, i), lambda a, b: a + b))
+        total = F.aggregate(F.array_distinct(g["ids"]), F.array_repeat(F.lit(0.0), k), lambda s, i: F.zip_with(s, F.get(weights, i), lambda a, b: a + b))
         logits = F.zip_with(total, bias, lambda a, b: (a + b) / model.temperature)
-        return bound(logits, lambda z: bound(F.transform(z, lambda v: F.exp(v - F.array_max(z))), lambda e: chosen(e, g["pairs"])))
+        return bound(logits, lambda z: bound(F.transform(z, lambda v: F.exp(v - F.array_max(z))), lambda e: chosen(e, g["words"])))
 
-    def chosen(e: Column, pairs: Column) -> Column:
+    def chosen(e: Column, words: Column) -> Column:
         best = F.array_position(e, F.array_max(e)).cast("int")
         p = F.array_max(e) / F.aggregate(e, F.lit(0.0), lambda s, v: s + v)
-        shared = lambda t: F.aggregate(t, F.lit(0.0), lambda s, x: s + F.when(F.array_contains(pairs, x["h"]), x["w"]).otherwise(0.0))
-        overlap = F.array_max(F.transform(F.get(notices, best - 1), shared))
+        shared = lambda pairs: lambda t: F.aggregate(t, F.lit(0.0), lambda s, x: s + F.when(F.array_contains(pairs, x["h"]), x["w"]).otherwise(0.0))
+        overlap = bound(pair_hashes(words), lambda pairs: F.array_max(F.transform(F.get(notices, best - 1), shared(pairs))))
 
         def named(p: Column) -> Column:
             accepted = (p > model.threshold) & (best < k)  # the last one is the unknown class
@@ -374,41 +360,49 @@ def scored(words: Column, model: Model) -> Column:
 
         return bound(p, named)
 
-    return bound(words, judged)
+    return bound(window, rated)
+
+
+def pair_hashes(words: Column) -> Column:
+    """Hashes of the 2-grams of words, one fewer than these."""
+    n = F.size(words) - 1
+    return F.when(n < 1, F.array().cast("array<bigint>")).otherwise(F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.xxhash64(F.concat_ws(" ", a, b))))
 
 
 def windows(text: Column, model: Model) -> Column:
-    """array of (paragraph, words) of the windows that the gate passes."""
+    """array of (paragraph, words, ids) of all windows; ids are the buckets of their grams, repeats
+    included, and `BUCKETS` for those that weigh nothing."""
     half = SPAN // 2
-    gate = literal(model.gate.tolist(), "array<double>")
-    none = F.array().cast("array<struct<paragraph:int,words:array<string>>>")
+    place = literal([i if any(w) else BUCKETS for i, w in enumerate((model.weights != 0).tolist())], "array<int>")
+    none = F.array().cast("array<struct<paragraph:int,words:array<string>,ids:array<int>>>")
+    buckets = lambda hashes: F.transform(hashes, lambda h: F.get(place, F.pmod(h, F.lit(BUCKETS)).cast("int")))
 
     def paragraph(p: Column, number: Column) -> Column:
         words = F.filter(F.split(p, "[^a-z0-9]+", -1), lambda w: w != "")
         return bound(words, lambda w: F.when(F.size(w) == 0, none).otherwise(read(w, number)))
 
     def read(w: Column, number: Column) -> Column:
-        total = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + F.get(gate, F.pmod(F.xxhash64(v), F.lit(BUCKETS)).cast("int")))
-        sums = F.transform(F.sequence(F.lit(0), F.ceil(F.size(w) / half).cast("int") - 1), lambda k: total(F.slice(w, k * half + 1, half)))
+        grams = F.struct(buckets(F.transform(w, lambda x: F.xxhash64(x))).alias("single"), buckets(pair_hashes(w)).alias("double"))
 
-        def passing(s: Column) -> Column:
-            both = F.transform(F.sequence(F.lit(0), F.greatest(F.size(s) - 2, F.lit(0))), lambda k: F.when(F.get(s, k) + F.coalesce(F.get(s, k + 1), F.lit(0.0)) >= model.least, k))
-            return F.transform(F.filter(both, lambda k: k.isNotNull()), lambda k: F.struct(number.alias("paragraph"), F.slice(w, k * half + 1, SPAN).alias("words")))
+        def cut(g: Column) -> Column:
+            of = lambda a, k, n: F.slice(a, k * half + 1, n)
+            ks = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(w) / half).cast("int") - 2, F.lit(0)))
+            return F.transform(ks, lambda k: F.struct(number.alias("paragraph"), of(w, k, SPAN).alias("words"), F.concat(of(g["single"], k, SPAN), of(g["double"], k, SPAN - 1)).alias("ids")))
 
-        return bound(sums, passing)
+        return bound(grams, cut)
 
     return F.flatten(F.transform(F.split(F.lower(text), r"\n[\t\r ]*\n", -1), paragraph))
 
 
 def scan(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """`keep` columns and `paragraphs`: (paragraph number, family, probability, overlap,
-    confirmed) of every window that the gate passes; the rest of the text has none."""
+    confirmed) of every window of the text."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(*keep, windows(t, model).alias("windows"))
 
     def finished(p: Column) -> Column:
         return bound(
-            scored(p["words"], model),
+            scored(p, model),
             lambda s: F.struct(
                 p["paragraph"].alias("number"),
                 s["family"].alias("family"),
@@ -422,7 +416,7 @@ def scan(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...
 
 
 def families(docs: DataFrame, text: str = "text", model: Model | None = None) -> DataFrame:
-    """doc_id, n_paragraphs (windows that the gate passes), n_unknown of them, and the confirmed
+    """doc_id, n_paragraphs (windows of the text), n_unknown of them, and the confirmed
     families, sorted and comma-joined. Without a model, one is trained first."""
     found = scan(docs, model or fitted(prose_sample(docs, text)), text)
     confirmed = F.filter("paragraphs", lambda p: p["confirmed"])

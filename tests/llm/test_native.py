@@ -145,6 +145,14 @@ def test_licence_scores_like_numpy(spark, sf):
     assert seen > 100
 
 
+def test_every_window_is_scored(spark):
+    """No window is passed over: prose, talk and lone words are scored like notices."""
+    model = license_scan.fitted([PROSE], rounds=2, steps=50)
+    texts = [PROSE * 9, "one", f"{PROSE}\n\n!!\n\nAll rights reserved.\n{PROSE * 30}", " \n\n ", "a " * 97]
+    got = {r["doc_id"]: r for r in license_scan.families(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model=model).collect()}
+    assert [got[i]["n_paragraphs"] for i in range(5)] == [len(license_scan.units_of(t)) for t in texts] and got[1]["n_paragraphs"] == got[1]["n_unknown"] == 1
+
+
 def test_licence_hash_is_the_same_on_both_sides(spark):
     grams = ["mit license", "gnu", "каталог"]
     got = spark.createDataFrame([(g,) for g in grams], "g string").select(F.pmod(F.xxhash64("g"), F.lit(license_scan.BUCKETS)), F.xxhash64("g")).collect()
