@@ -20,9 +20,10 @@ of them, so rows grow in proportion. Links contract: where they make one compone
 as near copies do, that is all. What is left of other cells meets the cell's largest
 component and itself, block by block, so no link is lost; components are never met with themselves.
 
-one_of_each() groups texts by their similarity, at which SimHash fingerprints differ in
-too many bits for tables. Bands of least hashes (MinHash) of the same shingles find
-candidates, and the shingle sets of every pair decide.
+one_of_each() links texts by the same tables first, fingerprints being those of their sets of
+shingles, and the sets of every linked pair decide. At the similarity that it asks for most
+pairs differ in more bits than tables reach. For these, bands of least hashes (MinHash) of the same
+shingles find further candidates, for sets that the tables leave apart.
 
 Null and empty texts have fingerprint zero and link like any other; one_of_each() takes
 them for copies of one another. Very long texts are hashed whole, shingle by shingle.
@@ -322,20 +323,23 @@ def odd_mixers(n: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, text: str, words: int, keep: tuple[str, ...], bands: int, minima: int) -> DataFrame:
-    """`keep` columns, `node`, 128 bits of hash of the set of shingles, and `bands`, its band keys."""
+    """`keep` columns, `node`, 128 bits of hash of the set of shingles, `fp`, its fingerprint, in which
+    each shingle counts once, and `bands`, its band keys."""
     fields = [f for f in docs.schema if f.name in keep]
-    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + "node binary, bands array<bigint>"
+    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields) + "node binary, fp bigint, bands array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = utf8(batch.column("__text"))
             cuts = off.tolist()
-            nodes, keys = [], []
+            nodes, fps, keys = [], [], []
             for a, b in zip(cuts, cuts[1:], strict=False):
                 h = np.unique(shingle_hashes(data[a:b], words))
                 nodes.append(xxhash.xxh3_128_digest(h.tobytes(), 7))
+                fps.append(simhash(h))
                 keys.append(band_keys(h, bands, minima))
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=[*[f.name for f in fields], "node", "bands"])
+            prints = pa.array(np.array(fps, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], pa.array(nodes, pa.binary()), prints, pa.array(keys, pa.list_(pa.int64()))], names=[*[f.name for f in fields], "node", "fp", "bands"])
 
     return arrow_map(docs.select(*keep, F.col(text).cast("string").alias("__text")), run, ddl)
 
@@ -363,6 +367,24 @@ def similar(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where((union == 0) | (F.col("common") >= similarity * union)).select("a", "b")
 
 
+def printed(first: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Links (a, b) between nodes whose fingerprints are within the radius, by the pivot tables; nodes
+    of one fingerprint link to the least of them."""
+    least = first.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("n"))
+    near = links(least.select(F.col("fp").alias("node"), "fp"), radius=radius)
+    of = lambda n: least.select(F.col("fp").alias(n), F.col("least").alias(f"least_{n}"))
+    near = near.join(of("a"), "a").join(of("b"), "b").select(F.col("least_a").alias("a"), F.col("least_b").alias("b"))
+    same = met(first.select("node", "fp"), least.where("n > 1").select("fp", "least"), "fp").where("node <> least")
+    return near.unionByName(same.select(F.col("least").alias("a"), F.col("node").alias("b"))).distinct()
+
+
+def apart(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """Edges (a, b) whose ends roots (node, root) do not connect."""
+    of = lambda n: roots.select(F.col("node").alias(n), F.col("root").alias(f"root_{n}"))
+    both = edges.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return both.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
 def alike(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """All pairs of the sets that are that similar by Jaccard: counts of common shingles, by matrix products."""
     n, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
@@ -433,10 +455,10 @@ def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similar
     ids last), then the smallest hash of its text. Same columns.
 
     Texts link if their sets of `words`-word shingles are `similarity` similar. Equal sets
-    (by 128 bits of hash) are copies. Sets that agree in one of `bands` bands of `minima` least
-    hashes share a cell. Every pair of a cell is verified, unless links that were verified
-    connect it already: first each set with its cell's smallest, then all pairs of the
-    cells that this leaves in several pieces.
+    (by 128 bits of hash) are copies. Sets whose SimHash fingerprints the pivot tables link are
+    verified first. Sets that agree in one of `bands` bands of `minima` least hashes share a cell:
+    every pair of a cell is verified, unless links that were verified connect it already, first each
+    set with its cell's smallest, then all pairs of the cells that this leaves in several pieces.
     """
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     r1, r2 = free(docs, "__r1"), free(docs, "__r2")
@@ -445,20 +467,24 @@ def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similar
     found = written(sketches(ids, "text", words, ("doc_id", "r1", "r2"), bands, minima))
     # a text for each set of shingles, by a pre-aggregated minimum: copies go before any join
     who = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "r1", "r2")
-    first = written(found.groupBy("node").agg(F.min(who).alias("who"), F.first("bands").alias("bands")))
+    first = written(found.groupBy("node").agg(F.min(who).alias("who"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
     forget(found)
+    near = written(printed(first))
     tables = first.select("node", F.posexplode("bands").alias("i", "key")).select("node", F.xxhash64("i", "key").alias("key"))
     shared = tables.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
     rows = written(met(tables, shared, "key"))
-    shown = first.join(rows.select("node").distinct(), "node", "left_semi").select("node", "who.r1", "who.r2")
+    needed = rows.select("node").unionByName(near.select(F.col("a").alias("node"))).unionByName(near.select(F.col("b").alias("node"))).distinct()
+    shown = first.join(needed, "node", "left_semi").select("node", "who.r1", "who.r2")
     sets = shingle_sets(ids.select("r1", "r2", "text").join(shown.hint("shuffle_hash"), ["r1", "r2"]).select("node", "text"), "text", words, ("node",)).dropDuplicates(["node"])
     sets = written(sets.withColumn("size", F.size("shingles")))
     stars = rows.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(similar(stars, sets.select("node", "shingles"), similarity))
-    more, held = contested(rows, components(links), sets, similarity, cell)
+    near_links = written(similar(near, sets.select("node", "shingles"), similarity))
+    star_links = written(similar(apart(stars, components(near_links)), sets.select("node", "shingles"), similarity))
+    known = near_links.unionByName(star_links)
+    more, held = contested(rows, components(known), sets, similarity, cell)
     more = written(more)
-    roots = components(links.unionByName(more))
-    forget(rows, sets, links, more, held)
+    roots = components(known.unionByName(more))
+    forget(near, rows, sets, near_links, star_links, more, held)
     kept = first.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("who").alias("who")).select(F.col("who.r1").alias(r1), F.col("who.r2").alias(r2))
     # repeated rows agree in id and text; one of them stays
     return keyed.join(kept.hint("shuffle_hash"), [r1, r2], "left_semi").dropDuplicates([r1, r2]).select(*docs.columns)

@@ -186,3 +186,20 @@ def test_one_repeated_line_makes_no_copies(spark):
     docs = [(i, "\n".join([line] * 100 + [" ".join(f"v{rng.getrandbits(40)}" for _ in range(300))])) for i in range(6)]
     assert len({S.fingerprint(t.encode(), 5) for _, t in docs}) < 6
     assert S.one_of_each(spark.createDataFrame(docs, "doc_id long, text string")).count() == 6
+
+
+def test_fingerprints_link_texts_of_the_pipeline(spark):
+    """Without any band the pivot tables alone find what lies within the radius; sets decide, each shingle counted once."""
+    rng = random.Random(34)
+    docs = []
+    for _ in range(40):
+        base = [f"v{rng.getrandbits(40)}" for _ in range(400)]
+        docs += [base, changed_words(rng, base, 1), changed_words(rng, base, 2)]
+    prints = [S.simhash(S.np.unique(S.shingle_hashes(" ".join(d).encode(), 5))) for d in docs]
+    want = reach(range(len(docs)), [(a, b) for b in range(len(docs)) for a in range(b) if (prints[a] ^ prints[b]).bit_count() <= 4])
+    line = " ".join(rng.choice(WORDS) for _ in range(9))
+    odd = ["\n".join([line] * 100 + [" ".join(f"v{rng.getrandbits(40)}" for _ in range(300))]) for _ in range(4)]
+    rows = spark.createDataFrame([*enumerate(" ".join(d) for d in docs), *enumerate(odd, len(docs))], "doc_id long, text string")
+    kept = [r["doc_id"] for r in S.one_of_each(rows, bands=0).collect()]
+    assert sorted(kept) == sorted({*want.values(), *range(len(docs), len(docs) + 4)}) and len(set(want.values())) < 60
+    assert S.one_of_each(rows, bands=0, similarity=0.999).count() == rows.count()
