@@ -31,6 +31,18 @@ def block(recent: DataFrame, position: str = "position", markdown: str = "markdo
     return gathered.select(F.when(F.size("r") == 0, "").otherwise(F.concat(F.lit(INTRODUCTION), F.array_join(examples, "\n\n"))).alias("block"))
 
 
+def placed(corrections: DataFrame) -> DataFrame:
+    """(position, markdown) of a ledger's rows as read: batches by the time of their last part, then by
+    part and by place in it. The parts of a batch are written side by side, so their own times tell nothing."""
+    name = F.col("_metadata.file_name")
+    number = lambda pattern: F.regexp_extract(name, pattern, 1).try_cast("long")
+    batch = F.coalesce(F.nullif(F.regexp_extract(name, r"^part-\d+-(.+?)(?:-c\d+)?\.", 1), F.lit("")), name).alias("batch")
+    last = corrections.select(batch, F.col("_metadata.file_modification_time").alias("at")).groupBy("batch").agg(F.max("at").alias("at"))
+    place = (number(r"^part-(\d+)").alias("part"), number(r"-c(\d+)\.").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    rows = corrections.select(batch, *place, "markdown").join(last, "batch")
+    return rows.select(F.struct("at", "batch", "part", "file", "start", "row").alias("position"), "markdown")
+
+
 #: The last block made, by ledger and number of corrections, and what the ledger's files were then.
 _made: dict[tuple[str, int], tuple[str, str]] = {}
 
@@ -38,15 +50,13 @@ _made: dict[tuple[str, int], tuple[str, str]] = {}
 def current_block(spark: SparkSession, path: str, limit: int) -> str:
     """The block of the last `limit` corrections in the ledger at path, on a file system that the
     driver shares; made anew only if its files have changed. '' without any. Corrections stand in the
-    order in which they were added, whatever their timestamps: by part, then by place in it."""
+    order in which they were added, whatever their timestamps."""
     parts = sorted(glob.glob(f"{glob.escape(path)}/part-*")) if os.path.isdir(path) else [path] * os.path.isfile(path)
     state = ";".join(f"{p}:{os.stat(p).st_size}:{os.stat(p).st_mtime_ns}" for p in parts)
     if limit <= 0 or not parts:
         return ""
     if _made.get((path, limit), ("", ""))[0] != state:
-        place = F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
-        rows = ledger.read(spark, path, ledger.CORRECTION).select(place.alias("position"), "markdown")
-        _made[path, limit] = state, block(last_rows(rows, "position", limit)).first()["block"]
+        _made[path, limit] = state, block(last_rows(placed(ledger.read(spark, path, ledger.CORRECTION)), "position", limit)).first()["block"]
     return _made[path, limit][1]
 
 

@@ -743,6 +743,23 @@ def test_feedback_of_a_ledger(spark, tmp_path, monkeypatch):
     assert feedback.current_block(spark, path, 2).index("three") < feedback.current_block(spark, path, 2).index("four")
 
 
+def test_feedback_of_parts_that_end_out_of_order(spark, tmp_path):
+    from folioscope.plans import feedback
+
+    path = tmp_path / "corrections.jsonl"
+    for names in (("one", "two", "three"), ("four", "five")):
+        ledger.append(spark.createDataFrame([(None, n, [], [], 0.0) for n in names], ledger.CORRECTION), str(path))
+    assert len([*path.glob("part-*")]) >= 5
+    for batch in {p.name.split("-", 2)[2] for p in path.glob("part-*")}:  # within each batch the last part is written first
+        parts = sorted(path.glob(f"part-*-{batch}"))
+        times = sorted(p.stat().st_mtime_ns for p in parts)
+        for p, t in zip(parts, reversed(times), strict=True):
+            os.utime(p, ns=(t, t))
+    for n, want in ((2, ["four", "five"]), (4, ["two", "three", "four", "five"])):
+        got = feedback.current_block(spark, str(path), n).splitlines()
+        assert [x for x in got if x in ("one", "two", "three", "four", "five")] == want
+
+
 def test_watch(spark, tmp_path):
     import time
 
