@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from folioscope.llm import bpe, decontaminate, language_id, pii, simhash_dedup
-from folioscope.llm.common import written
+from folioscope.llm.common import give_back, written
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -18,6 +18,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier accepts."""
     model = language_id.train(docs.select("doc_id", "text", "lang"))
+    give_back()  # the driver lives on through all stages
     return language_id.accepted(docs, model)
 
 

@@ -479,11 +479,11 @@ def one_of_each(docs: DataFrame, text: str = "text", words: int = WORDS, similar
     sets = written(sets.withColumn("size", F.size("shingles")))
     stars = rows.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     near_links = written(similar(near, sets.select("node", "shingles"), similarity))
-    star_links = written(similar(apart(stars, components(near_links)), sets.select("node", "shingles"), similarity))
+    star_links = written(similar(apart(stars, components(near_links, contract=True)), sets.select("node", "shingles"), similarity))
     known = near_links.unionByName(star_links)
-    more, held = contested(rows, components(known), sets, similarity, cell)
+    more, held = contested(rows, components(known, contract=True), sets, similarity, cell)
     more = written(more)
-    roots = components(known.unionByName(more))
+    roots = components(known.unionByName(more), contract=True)
     forget(near, rows, sets, near_links, star_links, more, held)
     kept = first.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("who").alias("who")).select(F.col("who.r1").alias(r1), F.col("who.r2").alias(r2))
     # repeated rows agree in id and text; one of them stays

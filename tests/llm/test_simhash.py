@@ -3,6 +3,7 @@ import random
 import xxhash
 from pyspark.sql import functions as F
 
+from folioscope.llm import graph
 from folioscope.llm import simhash_dedup as S
 from folioscope.llm.graph import components
 
@@ -203,3 +204,27 @@ def test_fingerprints_link_texts_of_the_pipeline(spark):
     kept = [r["doc_id"] for r in S.one_of_each(rows, bands=0).collect()]
     assert sorted(kept) == sorted({*want.values(), *range(len(docs), len(docs) + 4)}) and len(set(want.values())) < 60
     assert S.one_of_each(rows, bands=0, similarity=0.999).count() == rows.count()
+
+
+def test_contracted_links(spark):
+    rng = random.Random(5)
+    name = {i: xxhash.xxh3_128_digest(str(i).encode()) for i in range(400)}
+    pairs = [(name[a], name[b]) for a, b in (rng.sample(range(400), 2) for _ in range(300))]
+    want = reach({x for p in pairs for x in p}, pairs)
+    links = spark.createDataFrame([*pairs, *pairs[:20], (None, name[0]), (name[0], name[0])], "a binary, b binary").repartition(3)
+    assert {bytes(r["node"]): bytes(r["root"]) for r in components(links, contract=True).collect()} == want
+    u, v = (F.col(c).alias(n) for c, n in (("a", "u"), ("b", "v")))
+    some = graph.contracted(links.dropna().where("a <> b").select(u, v), chunk=7).collect()
+    assert all(r["v"] < r["u"] for r in some) and reach(set(want), [(bytes(r["u"]), bytes(r["v"])) for r in some]) == want
+    chain = spark.createDataFrame([(k, k + 1) for k in range(-50, 50)], "a bigint, b bigint")
+    assert {(r["node"], r["root"]) for r in components(chain, contract=True).collect()} == {(k, -50) for k in range(-50, 51)}
+    assert components(links.limit(0), contract=True).count() == 0
+
+
+def test_few_links_take_one_round(spark, monkeypatch):
+    """Each round is a plan that the driver holds: few links in one task settle in one."""
+    made, real = [], graph.written
+    monkeypatch.setattr(graph, "written", lambda df: made.append(df) or real(df))
+    docs = spark.createDataFrame(list(enumerate(texts())), "doc_id int, text string")
+    S.one_of_each(docs).count()
+    assert len(made) == 3 * 2
